@@ -290,3 +290,163 @@ def q_savings(spark, sf_dir):
     sv = savings(F.col("naive_total"), F.col("plan_total"))
     return rounded(both.select("naive_total", "plan_total", sv["savings"].alias("savings"),
                                sv["savings_pct"].alias("savings_pct")), 4)
+
+
+# ---------------------------------------------------------------- routing
+def routing_inputs(spark, sf_dir):
+    from stockroute.sources import testdata as TD
+    return TD.routing_stops(spark, sf_dir), TD.routing_depots(spark, sf_dir)
+
+
+ROUTE_BASE = "WITH " + V.ROUTING.strip()
+
+
+@register("K2_nearest_depot", ROUTE_BASE + "\nSELECT plan_id, stop_id, k AS depot_idx, "
+          + r("km", "depot_km", 4) + " FROM ranked WHERE rk = 1")
+def q_nearest_depot(spark, sf_dir):
+    from stockroute.operators.routing import nearest_depot
+    stops, depots = routing_inputs(spark, sf_dir)
+    a = nearest_depot(stops, depots)
+    return a.select("plan_id", "stop_id", "depot_idx",
+                    round_col("depot_dist", 4).alias("depot_km"))
+
+
+@register("K9_naive_distance", ROUTE_BASE + "\nSELECT plan_id, " + r("2 * sum(km)", "naive_km", 4)
+          + ", count(*) AS n_stops FROM ranked WHERE rk = 1 GROUP BY plan_id")
+def q_naive_distance(spark, sf_dir):
+    from stockroute.operators.routing import naive_distance, nearest_depot
+    stops, depots = routing_inputs(spark, sf_dir)
+    return rounded(naive_distance(nearest_depot(stops, depots)), 4)
+
+
+def routes_q(spark, sf_dir):
+    from stockroute.operators.routing import solve_routes
+    stops, depots = routing_inputs(spark, sf_dir)
+    return solve_routes(stops, depots, _params().routing)
+
+
+@register("K4_routes")
+def q_routes(spark, sf_dir):
+    """K4-K6: capacity-limited nearest-neighbour tours for every (plan, depot)."""
+    return rounded(routes_q(spark, sf_dir), 4)
+
+
+@register("K7_route_summary")
+def q_route_summary(spark, sf_dir):
+    from stockroute.operators.routing import route_summary
+    return rounded(route_summary(routes_q(spark, sf_dir)), 4)
+
+
+@register("F7_fleet_distance")
+def q_fleet_distance(spark, sf_dir):
+    from stockroute.operators.routing import fleet_distance
+    return rounded(fleet_distance(routes_q(spark, sf_dir)), 4)
+
+
+@register("K8_unserved_stops")
+def q_unserved(spark, sf_dir):
+    from stockroute.operators.routing import unserved_stops
+    stops, _ = routing_inputs(spark, sf_dir)
+    return rounded(unserved_stops(stops, routes_q(spark, sf_dir)), 4)
+
+
+@register("K11_route_paths")
+def q_route_paths(spark, sf_dir):
+    from stockroute.operators.routing import route_paths
+    return route_paths(routes_q(spark, sf_dir)).select("plan_id", "depot_idx", "Vehicle",
+                                                       "n_points", "geojson")
+
+
+# ---------------------------------------------------------------- scenarios
+SPIKE_FACTORS = (1.1, 1.2, 1.5)
+DELAYS = (7, 14)
+
+
+def fallback_plan(spark, sf_dir):
+    from stockroute.operators.inventory import order_up_to, plan_rows
+    return plan_rows(order_up_to(demand_series_q(spark, sf_dir)), _params().inventory,
+                     order_threshold=0.0)
+
+
+PLAN_SQL = INV_BASE + """,
+up AS (SELECT Store, t AS Week, d, greatest(1.5 * ss, ss + cmax) - cum AS lvl, ss FROM ser3),
+up2 AS (SELECT *, greatest(0.0, d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week),
+                                                  1.5 * ss)) AS ord FROM up),
+bc AS (SELECT coalesce(sum(0.05 * lvl + CASE WHEN ord > 0 THEN 5000.0 ELSE 0.0 END), 0.0) AS base
+       FROM up2),
+ps AS (SELECT Store, avg(p) AS m FROM pred GROUP BY Store)"""
+
+SPIKE_SQL = PLAN_SQL + """,
+f AS (SELECT CAST(unnest([""" + ", ".join(str(x) for x in SPIKE_FACTORS) + """]) AS DOUBLE) AS factor),
+sp AS (SELECT factor, avg(m) AS b_avg, avg(m * factor) AS n_avg, sum(m) AS sb, sum(m * factor) AS sn,
+              any_value(base) AS base
+       FROM ps CROSS JOIN f CROSS JOIN bc GROUP BY factor),
+sp2 AS (SELECT *, base * (sn / greatest(sb, 1.0)) * 1.1 AS new_cost FROM sp)"""
+
+
+@register("L1_demand_spike", SPIKE_SQL + "\nSELECT " + ", ".join([
+    r("factor", digits=4), r("b_avg", "baseline_avg_demand", 4), r("n_avg", "new_avg_demand", 4),
+    r("(factor - 1) * 100", "demand_increase_pct", 4), r("base", "baseline_inventory_cost", 4),
+    r("new_cost", "new_inventory_cost", 4), r("new_cost - base", "cost_increase", 4),
+    r("(new_cost / greatest(base, 1.0) - 1) * 100", "cost_increase_pct", 4),
+    "CAST(greatest(0, ceil((factor - 1) * 5.0)) AS INTEGER) AS additional_vehicles_needed"])
+    + " FROM sp2")
+def q_demand_spike(spark, sf_dir):
+    from stockroute.operators.scenarios import demand_spike
+    p = _params()
+    return rounded(demand_spike(ma_predictions(spark, sf_dir), fallback_plan(spark, sf_dir),
+                                SPIKE_FACTORS, None, p.scenario, p.routing), 4)
+
+
+DELAY_SQL = PLAN_SQL + """,
+pw AS (SELECT Store, avg(p) AS w FROM pred GROUP BY Store),
+ml AS (SELECT Store, min(lvl) AS min_level FROM up2 GROUP BY Store),
+per AS (SELECT ml.min_level, pw.w FROM ml FULL JOIN pw ON ml.Store = pw.Store),
+dl AS (SELECT CAST(unnest([""" + ", ".join(str(x) for x in DELAYS) + """]) AS INTEGER) AS delay_days),
+x AS (SELECT delay_days, min_level, w, coalesce(w, 0.0) / 7.0 * delay_days AS extra
+      FROM per CROSS JOIN dl),
+agg AS (SELECT delay_days, sum(CASE WHEN w IS NOT NULL THEN extra END) AS ext,
+               count(CASE WHEN min_level < extra THEN 1 END) AS risk, count(min_level) AS nplan
+        FROM x GROUP BY delay_days),
+agg2 AS (SELECT agg.*, bc.base, coalesce(ext, 0.0) * 0.05 * delay_days / 7.0 AS addh
+         FROM agg CROSS JOIN bc)"""
+
+
+@register("L2_supply_delay", DELAY_SQL + "\nSELECT delay_days, " + ", ".join([
+    r("ext", "extra_safety_stock_total", 4), r("addh", "additional_holding_cost", 4),
+    r("base", "baseline_inventory_cost", 4), r("base + addh", "new_inventory_cost", 4),
+    r("(base + addh) - base", "cost_increase", 4),
+    r("((base + addh) / greatest(base, 1.0) - 1) * 100", "cost_increase_pct", 4),
+    "risk AS stores_at_stockout_risk",
+    r("risk * 100.0 / greatest(nplan, 1)", "stockout_risk_pct", 4)]) + " FROM agg2")
+def q_supply_delay(spark, sf_dir):
+    from stockroute.operators.scenarios import supply_delay
+    return rounded(supply_delay(ma_predictions(spark, sf_dir), fallback_plan(spark, sf_dir),
+                                DELAYS, _params().inventory), 4)
+
+
+FAIL_SQL = ROUTE_BASE + """,
+cases AS (SELECT p.plan_id, d.depot_idx AS failed_depot
+          FROM (SELECT DISTINCT plan_id FROM stops) p CROSS JOIN depots d),
+per AS (SELECT c.plan_id, c.failed_depot, x.stop_id,
+               min(CASE WHEN x.k <> c.failed_depot THEN x.km END) AS min_other,
+               max(CASE WHEN x.k = c.failed_depot THEN x.km END) AS d_failed,
+               min(x.km) AS best
+        FROM cases c JOIN sd x ON x.plan_id = c.plan_id GROUP BY 1, 2, 3),
+fl AS (SELECT plan_id, failed_depot,
+              CAST(count(CASE WHEN d_failed <= min_other THEN 1 END) AS BIGINT) AS reassigned,
+              2 * sum(min_other) AS new_km, 2 * sum(best) AS base_km
+       FROM per GROUP BY 1, 2)"""
+
+
+@register("L3_depot_failure", FAIL_SQL + "\nSELECT plan_id, failed_depot, reassigned AS stores_reassigned, "
+          + ", ".join([r("new_km", "new_distance_km", 4), r("base_km", "baseline_distance_km", 4),
+                       r("new_km - base_km", "distance_increase_km", 4),
+                       r("(new_km / greatest(base_km, 1.0) - 1) * 100", "distance_increase_pct", 4),
+                       r("(new_km - base_km) * 1.5", "additional_fuel_cost_estimate", 4)])
+          + " FROM fl")
+def q_depot_failure(spark, sf_dir):
+    """L3 for every depot of every plan, baseline = round trips over all depots."""
+    from stockroute.operators.scenarios import depot_failure
+    stops, depots = routing_inputs(spark, sf_dir)
+    return rounded(depot_failure(stops, depots, None, None, _params().scenario), 4)

@@ -127,3 +127,26 @@ SHIP_MODE_CASE = _case('"Ship Mode"', {"Same Day": 0, "First Class": 1, "Second
                                         "Standard Class": 3}, "3")
 PRIORITY_CASE = _case("o.o_orderpriority", PRIORITY_SHIP_MODE)
 RETURN_CASE = _case("l.l_returnflag", RETURN_FLAG_TEXT)
+
+
+ROUTING = f"""
+stops AS (
+  SELECT d.plan_id, d.stop_id, s.s_name AS stop_name,
+         {hash_lat("s.s_name || '_' || CAST(s.s_nationkey AS VARCHAR)")} AS lat,
+         {hash_lon("s.s_name || '_' || CAST(s.s_nationkey AS VARCHAR)")} AS lon, d.demand
+  FROM (SELECT CAST(year(l_shipdate) AS BIGINT) AS plan_id, l_suppkey AS stop_id,
+               sum(l_extendedprice * (1 - l_discount)) AS demand
+        FROM lineitem GROUP BY 1, 2) d
+  JOIN supplier s ON d.stop_id = s.s_suppkey),
+depots AS (
+  SELECT CAST(r_regionkey AS INTEGER) AS depot_idx, r_name || ' Depot' AS depot_name,
+         {hash_lat("r_name")} AS depot_lat, {hash_lon("r_name")} AS depot_lon
+  FROM region),
+sd AS (
+  SELECT s.*, d.depot_idx AS k,
+         2 * 6371.0 * asin(sqrt(pow(sin(radians(d.depot_lat - s.lat) / 2), 2)
+           + cos(radians(s.lat)) * cos(radians(d.depot_lat))
+             * pow(sin(radians(d.depot_lon - s.lon) / 2), 2))) AS km
+  FROM stops s CROSS JOIN depots d),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY plan_id, stop_id ORDER BY km, k) AS rk FROM sd)"""
