@@ -450,3 +450,81 @@ def q_depot_failure(spark, sf_dir):
     from stockroute.operators.scenarios import depot_failure
     stops, depots = routing_inputs(spark, sf_dir)
     return rounded(depot_failure(stops, depots, None, None, _params().scenario), 4)
+
+
+# ---------------------------------------------------------------- orders, profiles
+def orders_q(spark, sf_dir):
+    from stockroute.operators.features import prepare_orders
+    from stockroute.sources import testdata as TD
+    return prepare_orders(TD.retail_orders(spark, sf_dir))
+
+
+RETAIL_BASE = "WITH " + V.RETAIL.strip()
+
+
+@register("I4_prepare_orders", RETAIL_BASE + """
+SELECT "Order ID" AS order_id, "Order Date" AS order_date, "Ship Date" AS ship_date,
+       "Ship Mode" AS ship_mode, Returned_flag AS returned, City AS city, State AS state,
+       Lead_Time_Days AS lead_time_days, Ship_Mode_encoded AS ship_mode_encoded, """
+          + r("Latitude", "latitude", 6) + ", " + r("Longitude", "longitude", 6) + " FROM retail_clean")
+def q_prepare_orders(spark, sf_dir):
+    df = orders_q(spark, sf_dir)
+    return rounded(df.select(
+        F.col("Order ID").alias("order_id"), F.col("Order Date").alias("order_date"),
+        F.col("Ship Date").alias("ship_date"), F.col("Ship Mode").alias("ship_mode"),
+        F.col("Returned").alias("returned"), F.col("City").alias("city"),
+        F.col("State").alias("state"), F.col("Lead_Time_Days").alias("lead_time_days"),
+        F.col("Ship_Mode_encoded").alias("ship_mode_encoded"),
+        F.col("Latitude").alias("latitude"), F.col("Longitude").alias("longitude")))
+
+
+@register("F18_lead_time_by_ship_mode", RETAIL_BASE + """
+SELECT Lead_Time_Days AS lead_time_days, "Ship Mode" AS ship_mode, count(*) AS n
+FROM retail_clean GROUP BY 1, 2""")
+def q_lead_time_counts(spark, sf_dir):
+    from stockroute.operators.aggregates import two_way_counts
+    df = orders_q(spark, sf_dir).select(F.col("Lead_Time_Days").alias("lead_time_days"),
+                                        F.col("Ship Mode").alias("ship_mode"))
+    return two_way_counts(df, "lead_time_days", "ship_mode")
+
+
+@register("F17_sales_histogram", V.with_views("panel") + """,
+mm AS (SELECT min(Weekly_Sales) AS lo, max(Weekly_Sales) AS hi FROM sales),
+b AS (SELECT CAST(least(floor((Weekly_Sales - lo) / ((hi - lo) / 100.0)), 99) AS INTEGER) AS bin,
+             lo, hi FROM sales CROSS JOIN mm)
+SELECT bin, """ + r("any_value(lo) + bin * (any_value(hi) - any_value(lo)) / 100.0", "bin_lo", 4) + ", "
+          + r("any_value(lo) + (bin + 1) * (any_value(hi) - any_value(lo)) / 100.0", "bin_hi", 4)
+          + ", count(*) AS n FROM b GROUP BY bin")
+def q_sales_histogram(spark, sf_dir):
+    """100 equal-width bins of weekly sales over the data range."""
+    from stockroute.operators.aggregates import histogram
+    from stockroute.sources import testdata as TD
+    return rounded(histogram(TD.sales_panel(spark, sf_dir), "Weekly_Sales", 100), 4)
+
+
+@register("B3_upload_profile", V.with_views("panel") + """
+SELECT count(*) AS n_rows, count(DISTINCT Store) AS n_stores, count(DISTINCT Dept) AS n_depts,
+       min(Date) AS first_date, max(Date) AS last_date FROM sales""")
+def q_upload_profile(spark, sf_dir):
+    """Rows, distinct stores and departments, period."""
+    from stockroute.sources import testdata as TD
+    panel = TD.sales_panel(spark, sf_dir)
+    return panel.agg(F.count("*").alias("n_rows"), F.count_distinct("Store").alias("n_stores"),
+                     F.count_distinct("Dept").alias("n_depts"), F.min("Date").alias("first_date"),
+                     F.max("Date").alias("last_date"))
+
+
+@register("F14_last_row_per_series", V.with_views("panel") + """,
+lastr AS (SELECT *, row_number() OVER (PARTITION BY Store, Dept ORDER BY Date DESC) AS rk FROM sales)
+SELECT Store, Dept, Date AS last_date, """ + r("Weekly_Sales", "last_sales") + """,
+       CAST(count(*) OVER (PARTITION BY Store, Dept) AS BIGINT) AS n_weeks
+FROM lastr QUALIFY rk = 1""")
+def q_last_row(spark, sf_dir):
+    """Last observation and length of every series."""
+    from stockroute.sources import testdata as TD
+    panel = TD.sales_panel(spark, sf_dir)
+    last = panel.groupBy("Store", "Dept").agg(
+        F.max_by(F.struct("Date", "Weekly_Sales"), "Date").alias("l"),
+        F.count("*").alias("n_weeks"))
+    return rounded(last.select("Store", "Dept", F.col("l.Date").alias("last_date"),
+                               F.col("l.Weekly_Sales").alias("last_sales"), "n_weeks"))

@@ -150,3 +150,23 @@ sd AS (
   FROM stops s CROSS JOIN depots d),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY plan_id, stop_id ORDER BY km, k) AS rk FROM sd)"""
+
+
+RETAIL = f"""
+retail AS (
+  SELECT printf('%d-%d', l.l_orderkey, l.l_linenumber) AS "Order ID",
+         CAST(o.o_orderdate AS DATE) AS "Order Date", CAST(l.l_shipdate AS DATE) AS "Ship Date",
+         {PRIORITY_CASE} AS "Ship Mode", {RETURN_CASE} AS "Returned",
+         n.n_name AS City, r.r_name AS State, l.l_extendedprice AS Sales
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+       JOIN customer c ON o.o_custkey = c.c_custkey
+       JOIN nation n ON c.c_nationkey = n.n_nationkey
+       JOIN region r ON n.n_regionkey = r.r_regionkey),
+retail_clean AS (
+  SELECT *, CAST(datediff('day', "Order Date", "Ship Date") AS INTEGER) AS Lead_Time_Days,
+         CAST(CASE WHEN lower(trim(coalesce("Returned", 'No'))) = 'yes' THEN 1 ELSE 0 END AS INTEGER)
+           AS Returned_flag,
+         CAST({SHIP_MODE_CASE} AS INTEGER) AS Ship_Mode_encoded,
+         {hash_lat("coalesce(City, '') || '_' || coalesce(State, '')")} AS Latitude,
+         {hash_lon("coalesce(City, '') || '_' || coalesce(State, '')")} AS Longitude
+  FROM retail)"""
