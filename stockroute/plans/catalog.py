@@ -528,3 +528,67 @@ def q_last_row(spark, sf_dir):
         F.count("*").alias("n_weeks"))
     return rounded(last.select("Store", "Dept", F.col("l.Date").alias("last_date"),
                                F.col("l.Weekly_Sales").alias("last_sales"), "n_weeks"))
+
+
+# ---------------------------------------------------------------- model forecasts
+_MODEL_CACHE: dict = {}
+
+
+def ml_history(spark, sf_dir):
+    """History for the model path: unmapped store types coded 1."""
+    from stockroute.operators.features import prepare_history
+    from stockroute.sources import testdata as TD
+    from stockroute.sources.schemas import store_coordinates
+    return prepare_history(TD.sales_panel(spark, sf_dir), TD.stores_dim(spark, sf_dir),
+                           TD.features_table(spark, sf_dir), store_coordinates(spark),
+                           type_default=1)
+
+
+def fitted(spark, sf_dir):
+    """(model, model frame); the fit is cached per session and folder."""
+    from stockroute.operators.forecast import fit_model, prepare_model_frame
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODEL_CACHE:
+        frame = prepare_model_frame(ml_history(spark, sf_dir), _params().forecast)
+        _MODEL_CACHE[key] = (fit_model(frame, _params().forecast), frame)
+    return _MODEL_CACHE[key]
+
+
+@register("I9_model_metrics")
+def q_model_metrics(spark, sf_dir):
+    """GBT fit on the training weeks; MAE/RMSE/R^2 on train and val."""
+    from stockroute.operators.forecast import evaluate
+    model, frame = fitted(spark, sf_dir)
+    metrics, _ = evaluate(model, frame, _params().forecast)
+    return rounded(metrics, 4)
+
+
+@register("I9_validation_predictions")
+def q_validation(spark, sf_dir):
+    from stockroute.operators.forecast import evaluate
+    model, frame = fitted(spark, sf_dir)
+    _, val = evaluate(model, frame, _params().forecast)
+    return rounded(val, 4)
+
+
+@register("I10_feature_importance")
+def q_importance(spark, sf_dir):
+    from stockroute.operators.forecast import feature_importance
+    model, _ = fitted(spark, sf_dir)
+    return rounded(feature_importance(model, _params().forecast), 6)
+
+
+@register("I11_forecast_direct")
+def q_forecast_direct(spark, sf_dir):
+    """13-week forecast per series, lags frozen at the last week."""
+    from stockroute.operators.forecast import forecast_direct
+    model, _ = fitted(spark, sf_dir)
+    return forecast_direct(model, ml_history(spark, sf_dir), _params().forecast)
+
+
+@register("I12_forecast_recursive")
+def q_forecast_recursive(spark, sf_dir):
+    """13-week forecast per series, each week fed back into the lags."""
+    from stockroute.operators.forecast import forecast_recursive
+    model, _ = fitted(spark, sf_dir)
+    return forecast_recursive(model, ml_history(spark, sf_dir), _params().forecast)
