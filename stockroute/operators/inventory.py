@@ -127,8 +127,8 @@ def order_up_to(series: DataFrame) -> DataFrame:
     """Fallback policy, order just enough to keep the safety stock.
 
     inv_t = max(inv_0, safety + max_{j<=t} C_j) - C_t  (exact for any sign of
-    demand);  order_t = max(0, d_t + safety - inv_{t-1}), which is exactly 0
-    in weeks without an order.
+    demand);  order_t = max(0, d_t + safety - inv_{t-1}), exactly 0 in weeks
+    without an order (shortfalls below 1e-9 x safety count as float noise).
     """
     C = _prefix_sums(F.col("demand"))
     out = series.withColumn("_C", C)
@@ -137,8 +137,11 @@ def order_up_to(series: DataFrame) -> DataFrame:
                          - F.element_at(F.col("_C"), i + 1))
     out = out.withColumn("levels", levels)
     prev = lambda i: F.when(i == 0, F.col("initial")).otherwise(F.element_at(F.col("levels"), i))
-    orders = F.transform(F.col("demand"), lambda d, i: F.greatest(
-        F.lit(0.0), d + F.col("safety") - prev(i)))
+    # shortfalls within float noise of zero are not orders (no fixed cost)
+    eps = F.lit(1e-9) * F.greatest(F.lit(1.0), F.abs(F.col("safety")))
+    raw = lambda d, i: d + F.col("safety") - prev(i)
+    orders = F.transform(F.col("demand"), lambda d, i: F.when(raw(d, i) > eps, raw(d, i))
+                         .otherwise(F.lit(0.0)))
     return out.withColumn("orders", orders).drop("_C")
 
 

@@ -194,8 +194,7 @@ def q_store_week_demand(spark, sf_dir):
 @register("J3_order_up_to_plan", INV_BASE + """,
 up AS (SELECT Store, t AS Week, d AS Demand, ss,
               greatest(1.5 * ss, ss + cmax) - cum AS lvl FROM ser3),
-up2 AS (SELECT *, greatest(0.0, Demand + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week),
-                                                        1.5 * ss)) AS ord FROM up)
+up2 AS (SELECT *, (CASE WHEN Demand + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss) > 1e-9 * greatest(1.0, abs(ss)) THEN Demand + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss) ELSE 0.0 END) AS ord FROM up)
 SELECT Store, Week, """ + ", ".join([r("Demand"), r("ord", "Optimal_Order"), r("lvl", "Inventory_Level"),
                                      r("0.05 * lvl", "Holding_Cost"),
                                      r("CASE WHEN ord > 0 THEN 5000.0 ELSE 0.0 END", "Ordering_Cost"),
@@ -251,7 +250,7 @@ def q_naive_cost(spark, sf_dir):
 
 @register("F9_plan_summary", INV_BASE + """,
 up AS (SELECT Store, t AS Week, d, greatest(1.5 * ss, ss + cmax) - cum AS lvl, ss FROM ser3),
-up2 AS (SELECT *, greatest(0.0, d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss)) AS ord
+up2 AS (SELECT *, (CASE WHEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss) > 1e-9 * greatest(1.0, abs(ss)) THEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss) ELSE 0.0 END) AS ord
         FROM up)
 SELECT """ + r("sum(0.05 * lvl + CASE WHEN ord > 0 THEN 5000.0 ELSE 0.0 END)", "total_cost", 4)
           + ", count(CASE WHEN ord > 0 THEN 1 END) AS orders_placed, "
@@ -267,7 +266,7 @@ def q_plan_summary(spark, sf_dir):
 @register("J7_savings", INV_BASE + """,
 ser4 AS (SELECT *, greatest(cmax - 0.5 * ss, 0.0) AS req FROM ser3),
 up AS (SELECT Store, t, d, greatest(1.5 * ss, ss + cmax) - cum AS lvl, ss FROM ser3),
-up2 AS (SELECT *, greatest(0.0, d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY t), 1.5 * ss)) AS ord
+up2 AS (SELECT *, (CASE WHEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY t), 1.5 * ss) > 1e-9 * greatest(1.0, abs(ss)) THEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY t), 1.5 * ss) ELSE 0.0 END) AS ord
         FROM up),
 pc AS (SELECT sum(0.05 * lvl + CASE WHEN ord > 0 THEN 5000.0 ELSE 0.0 END) AS plan_total FROM up2),
 nc AS (SELECT sum(n_cost) AS naive_total FROM (
@@ -370,8 +369,7 @@ def fallback_plan(spark, sf_dir):
 
 PLAN_SQL = INV_BASE + """,
 up AS (SELECT Store, t AS Week, d, greatest(1.5 * ss, ss + cmax) - cum AS lvl, ss FROM ser3),
-up2 AS (SELECT *, greatest(0.0, d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week),
-                                                  1.5 * ss)) AS ord FROM up),
+up2 AS (SELECT *, (CASE WHEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss) > 1e-9 * greatest(1.0, abs(ss)) THEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss) ELSE 0.0 END) AS ord FROM up),
 bc AS (SELECT coalesce(sum(0.05 * lvl + CASE WHEN ord > 0 THEN 5000.0 ELSE 0.0 END), 0.0) AS base
        FROM up2),
 ps AS (SELECT Store, avg(p) AS m FROM pred GROUP BY Store)"""
