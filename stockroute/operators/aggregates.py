@@ -19,43 +19,75 @@ def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     """exact (interpolated) medians of several columns, distributed.
 
     The global ``median`` aggregate keeps every distinct value of a column in
-    one final buffer, which does not survive billions of rows.  Instead the
-    rank interval holding the median is narrowed with approximate quantiles
-    (bounded memory), counted exactly, and only the few values inside the
-    final interval are sorted and fetched.
+    one final buffer, which does not survive billions of rows.  Instead, for
+    all columns at once: (1) one pass counts values and takes approximate
+    quantiles just around the median ranks (bounded sketch memory); (2) one
+    pass counts exactly how many values fall below / inside those bounds;
+    (3) one pass fetches only the values inside the bounds, sorted.  When a
+    window is still too wide the narrowing repeats inside it.
     """
-    out: dict[str, float | None] = {}
     base = df.select(*cols)
-    stats = base.agg(*[F.count(c).alias(c) for c in cols]).first()
+    n_all = base.agg(*[F.count(c).alias(c) for c in cols]).first()
+    state = {}
     for c in cols:
-        n = int(stats[c])
-        if n == 0:
-            out[c] = None
-            continue
-        pos = (n - 1) * 0.5
-        k1, k2 = int(math.floor(pos)), int(math.ceil(pos))
-        lo_val, hi_val = None, None          # current value bounds (inclusive)
-        below = 0                            # rows strictly below lo_val
-        sub = base.select(F.col(c).alias("v")).where(F.col("v").isNotNull())
-        width = n
-        while width > MEDIAN_WINDOW_ROWS:
-            acc = min(1_000_000, max(10_000, int(4 * width / MEDIAN_WINDOW_ROWS) + 1))
+        n = int(n_all[c])
+        if n:
+            pos = (n - 1) * 0.5
+            state[c] = dict(n=n, pos=pos, k1=int(math.floor(pos)), k2=int(math.ceil(pos)),
+                            below=0, lo=None, hi=None, width=n)
+    out: dict[str, float | None] = {c: None for c in cols}
+
+    def window(c):
+        st = state[c]
+        cond = F.col(c).isNotNull()
+        if st["lo"] is not None:
+            cond = cond & (F.col(c) >= st["lo"]) & (F.col(c) <= st["hi"])
+        return cond
+
+    for _ in range(8):
+        wide = [c for c in state if state[c]["width"] > MEDIAN_WINDOW_ROWS]
+        if not wide:
+            break
+        qs = []
+        for c in wide:
+            st = state[c]
+            acc = min(1_000_000, max(10_000, int(4 * st["width"] / MEDIAN_WINDOW_ROWS) + 1))
             eps = 2.0 / acc
-            r1 = (k1 - below) / max(width - 1, 1)
-            r2 = (k2 - below) / max(width - 1, 1)
-            q = sub.agg(F.percentile_approx("v", [max(0.0, r1 - eps), min(1.0, r2 + eps)],
-                                            acc).alias("q")).first()["q"]
-            cand_lo, cand_hi = float(q[0]), float(q[1])
-            cnt = sub.agg(F.count(F.when(F.col("v") < cand_lo, 1)).alias("lt"),
-                          F.count(F.when(F.col("v") <= cand_hi, 1)).alias("le")).first()
-            lt, le = below + int(cnt["lt"]), below + int(cnt["le"])
-            if not (lt <= k1 and k2 < le) or (le - lt) >= width:
-                break                       # no progress: fall back to the interval as is
-            below, lo_val, hi_val, width = lt, cand_lo, cand_hi, le - lt
-            sub = sub.where((F.col("v") >= cand_lo) & (F.col("v") <= cand_hi))
-        vals = [r["v"] for r in sub.orderBy("v").collect()]
-        a, b = vals[k1 - below], vals[k2 - below]
-        out[c] = a + (b - a) * (pos - k1)
+            r1 = (st["k1"] - st["below"]) / max(st["width"] - 1, 1)
+            r2 = (st["k2"] - st["below"]) / max(st["width"] - 1, 1)
+            qs.append(F.percentile_approx(F.when(window(c), F.col(c)),
+                                          [max(0.0, r1 - eps), min(1.0, r2 + eps)], acc).alias(c))
+        q = base.agg(*qs).first()
+        cnts = []
+        for c in wide:
+            lo, hi = float(q[c][0]), float(q[c][1])
+            cnts += [F.count(F.when(window(c) & (F.col(c) < lo), 1)).alias(f"{c}__lt"),
+                     F.count(F.when(window(c) & (F.col(c) <= hi), 1)).alias(f"{c}__le")]
+        cnt = base.agg(*cnts).first()
+        progress = False
+        for c in wide:
+            st = state[c]
+            lo, hi = float(q[c][0]), float(q[c][1])
+            lt, le = st["below"] + int(cnt[f"{c}__lt"]), st["below"] + int(cnt[f"{c}__le"])
+            if lt <= st["k1"] and st["k2"] < le and (le - lt) < st["width"]:
+                st.update(below=lt, lo=lo, hi=hi, width=le - lt)
+                progress = True
+        if not progress:
+            break
+    if state:
+        parts = [base.where(window(c)).select(F.lit(c).alias("col"),
+                                             F.col(c).cast("double").alias("v"))
+                 for c in state]
+        fetched = parts[0]
+        for p in parts[1:]:
+            fetched = fetched.unionByName(p)
+        vals: dict[str, list[float]] = {c: [] for c in state}
+        for r in fetched.collect():
+            vals[r["col"]].append(r["v"])
+        for c, st in state.items():
+            v = sorted(vals[c])
+            a, b = v[st["k1"] - st["below"]], v[st["k2"] - st["below"]]
+            out[c] = a + (b - a) * (st["pos"] - st["k1"])
     return out
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockroute.plans import sqlviews as V
+from stockroute.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,12 +80,30 @@ def _sel(cols, doubles) -> str:
 
 
 # ---------------------------------------------------------------- history
+_SHARED: dict = {}
+
+
+def shared(spark: SparkSession, key: tuple, build):
+    """A prepared table reused by several queries of one session.
+
+    It is written once with a reliable ``checkpoint()`` into the folder named
+    by ``spark.checkpoint.dir``: later queries read that copy, and a lost
+    executor does not force the joins and medians to be recomputed.
+    """
+    k = (spark.sparkContext.applicationId,) + key
+    if k not in _SHARED:
+        ensure_checkpoint_dir(spark)
+        _SHARED[k] = build().checkpoint()
+    return _SHARED[k]
+
+
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stockroute.operators.features import prepare_history
     from stockroute.sources import testdata as TD
     from stockroute.sources.schemas import store_coordinates
-    return prepare_history(TD.sales_panel(spark, sf_dir), TD.stores_dim(spark, sf_dir),
-                           TD.features_table(spark, sf_dir), store_coordinates(spark))
+    return shared(spark, ("history", sf_dir), lambda: prepare_history(
+        TD.sales_panel(spark, sf_dir), TD.stores_dim(spark, sf_dir),
+        TD.features_table(spark, sf_dir), store_coordinates(spark)))
 
 
 @register("I1_prepare_history",
@@ -537,9 +556,9 @@ def ml_history(spark, sf_dir):
     from stockroute.operators.features import prepare_history
     from stockroute.sources import testdata as TD
     from stockroute.sources.schemas import store_coordinates
-    return prepare_history(TD.sales_panel(spark, sf_dir), TD.stores_dim(spark, sf_dir),
-                           TD.features_table(spark, sf_dir), store_coordinates(spark),
-                           type_default=1)
+    return shared(spark, ("ml_history", sf_dir), lambda: prepare_history(
+        TD.sales_panel(spark, sf_dir), TD.stores_dim(spark, sf_dir),
+        TD.features_table(spark, sf_dir), store_coordinates(spark), type_default=1))
 
 
 def fitted(spark, sf_dir):
