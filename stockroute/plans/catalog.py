@@ -401,13 +401,15 @@ sp AS (SELECT factor, avg(m) AS b_avg, avg(m * factor) AS n_avg, sum(m) AS sb, s
 sp2 AS (SELECT *, base * (sn / greatest(sb, 1.0)) * 1.1 AS new_cost FROM sp)"""
 
 
-@register("L1_demand_spike", SPIKE_SQL + "\nSELECT " + ", ".join([
+L1_SELECT = "SELECT " + ", ".join([
     r("factor", digits=4), r("b_avg", "baseline_avg_demand", 4), r("n_avg", "new_avg_demand", 4),
     r("(factor - 1) * 100", "demand_increase_pct", 4), r("base", "baseline_inventory_cost", 4),
     r("new_cost", "new_inventory_cost", 4), r("new_cost - base", "cost_increase", 4),
     r("(new_cost / greatest(base, 1.0) - 1) * 100", "cost_increase_pct", 4),
-    "CAST(greatest(0, ceil((factor - 1) * 5.0)) AS INTEGER) AS additional_vehicles_needed"])
-    + " FROM sp2")
+    "CAST(greatest(0, ceil((factor - 1) * 5.0)) AS INTEGER) AS additional_vehicles_needed"]) + " FROM sp2"
+
+
+@register("L1_demand_spike", SPIKE_SQL + "\n" + L1_SELECT)
 def q_demand_spike(spark, sf_dir):
     from stockroute.operators.scenarios import demand_spike
     p = _params()
@@ -429,13 +431,16 @@ agg2 AS (SELECT agg.*, bc.base, coalesce(ext, 0.0) * 0.05 * delay_days / 7.0 AS
          FROM agg CROSS JOIN bc)"""
 
 
-@register("L2_supply_delay", DELAY_SQL + "\nSELECT delay_days, " + ", ".join([
+L2_SELECT = "SELECT delay_days, " + ", ".join([
     r("ext", "extra_safety_stock_total", 4), r("addh", "additional_holding_cost", 4),
     r("base", "baseline_inventory_cost", 4), r("base + addh", "new_inventory_cost", 4),
     r("(base + addh) - base", "cost_increase", 4),
     r("((base + addh) / greatest(base, 1.0) - 1) * 100", "cost_increase_pct", 4),
     "risk AS stores_at_stockout_risk",
-    r("risk * 100.0 / greatest(nplan, 1)", "stockout_risk_pct", 4)]) + " FROM agg2")
+    r("risk * 100.0 / greatest(nplan, 1)", "stockout_risk_pct", 4)]) + " FROM agg2"
+
+
+@register("L2_supply_delay", DELAY_SQL + "\n" + L2_SELECT)
 def q_supply_delay(spark, sf_dir):
     from stockroute.operators.scenarios import supply_delay
     return rounded(supply_delay(ma_predictions(spark, sf_dir), fallback_plan(spark, sf_dir),
@@ -456,12 +461,15 @@ fl AS (SELECT plan_id, failed_depot,
        FROM per GROUP BY 1, 2)"""
 
 
-@register("L3_depot_failure", FAIL_SQL + "\nSELECT plan_id, failed_depot, reassigned AS stores_reassigned, "
-          + ", ".join([r("new_km", "new_distance_km", 4), r("base_km", "baseline_distance_km", 4),
+L3_SELECT = ("SELECT plan_id, failed_depot, reassigned AS stores_reassigned, "
+             + ", ".join([r("new_km", "new_distance_km", 4), r("base_km", "baseline_distance_km", 4),
                        r("new_km - base_km", "distance_increase_km", 4),
                        r("(new_km / greatest(base_km, 1.0) - 1) * 100", "distance_increase_pct", 4),
                        r("(new_km - base_km) * 1.5", "additional_fuel_cost_estimate", 4)])
-          + " FROM fl")
+             + " FROM fl")
+
+
+@register("L3_depot_failure", FAIL_SQL + "\n" + L3_SELECT)
 def q_depot_failure(spark, sf_dir):
     """L3 for every depot of every plan, baseline = round trips over all depots."""
     from stockroute.operators.scenarios import depot_failure
@@ -609,3 +617,144 @@ def q_forecast_recursive(spark, sf_dir):
     from stockroute.operators.forecast import forecast_recursive
     model, _ = fitted(spark, sf_dir)
     return forecast_recursive(model, ml_history(spark, sf_dir), _params().forecast)
+
+
+def _unpivot(select_sql: str, key: str, label: str) -> str:
+    return (f"SELECT {label} AS scenario, metric, value FROM (UNPIVOT (SELECT * REPLACE () FROM ("
+            f"{select_sql}) q0) ON COLUMNS(* EXCLUDE ({key})) INTO NAME metric VALUE value) u")
+
+
+def _as_double(select_sql: str, key: str, cols: list[str]) -> str:
+    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+    return f"SELECT {key}, {casts} FROM ({select_sql}) q"
+
+
+L1_COLS = ["baseline_avg_demand", "new_avg_demand", "demand_increase_pct", "baseline_inventory_cost",
+           "new_inventory_cost", "cost_increase", "cost_increase_pct", "additional_vehicles_needed"]
+L2_COLS = ["extra_safety_stock_total", "additional_holding_cost", "baseline_inventory_cost",
+           "new_inventory_cost", "cost_increase", "cost_increase_pct", "stores_at_stockout_risk",
+           "stockout_risk_pct"]
+L3_COLS = ["stores_reassigned", "new_distance_km", "baseline_distance_km", "distance_increase_km",
+           "distance_increase_pct", "additional_fuel_cost_estimate"]
+
+
+def _long_sql(select_sql, key, cols, label):
+    inner = _as_double(select_sql, key, cols)
+    return (f"SELECT {label} AS scenario, metric, value FROM "
+            f"(UNPIVOT ({inner}) ON {', '.join(cols)} INTO NAME metric VALUE value) u")
+
+
+L4_SQL = (SPIKE_SQL + ",\nfl1 AS (" + L1_SELECT + ")"
+          + DELAY_SQL[DELAY_SQL.index(",\npw AS"):] + ",\nfl2 AS (" + L2_SELECT + ")"
+          + FAIL_SQL.replace("WITH ", ",\n", 1)[FAIL_SQL.replace("WITH ", ",\n", 1).index(",\nstops AS"):]
+          .replace("sd AS (\n  SELECT s.*", "sdd AS (\n  SELECT s.*").replace("FROM sd)", "FROM sdd)")
+          .replace("JOIN sd x", "JOIN sdd x")
+          + ",\nfl3 AS (" + L3_SELECT.replace("FROM fl", "FROM fl_") + ")")
+L4_SQL = L4_SQL.replace("\nfl AS (SELECT plan_id, failed_depot,", "\nfl_ AS (SELECT plan_id, failed_depot,")
+L4_SQL = L4_SQL.replace("\nper AS (SELECT c.plan_id,", "\nperf AS (SELECT c.plan_id,").replace(
+    "FROM per GROUP BY 1, 2)", "FROM perf GROUP BY 1, 2)")
+L4_SQL += ("\n" + _long_sql("SELECT * FROM fl1", "factor", L1_COLS,
+                            "'Demand Spike ' || CAST(factor AS VARCHAR)")
+           + "\nUNION ALL\n" + _long_sql("SELECT * FROM fl2", "delay_days", L2_COLS,
+                                         "'Supply Delay ' || CAST(delay_days AS VARCHAR)")
+           + "\nUNION ALL\n" + _long_sql(
+               "SELECT printf('plan %d depot %d', plan_id, failed_depot) AS case_id, "
+               + ", ".join(L3_COLS) + " FROM fl3", "case_id", L3_COLS,
+               "'Warehouse Failure ' || case_id"))
+
+
+@register("L4_scenario_summary", L4_SQL)
+def q_scenario_summary(spark, sf_dir):
+    """L4: the three scenario families in long form (scenario, metric, value)."""
+    from stockroute.operators.scenarios import scenario_summary
+    return scenario_summary(q_demand_spike(spark, sf_dir), q_supply_delay(spark, sf_dir),
+                            q_depot_failure(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- reports
+@register("F10_store_plan_kpis", PLAN_SQL + "\nSELECT Store, " + ", ".join([
+    r("sum(0.05 * lvl + CASE WHEN ord > 0 THEN 5000.0 ELSE 0.0 END)", "total_cost", 4),
+    r("sum(0.05 * lvl)", "holding_cost", 4),
+    r("sum(CASE WHEN ord > 0 THEN 5000.0 ELSE 0.0 END)", "ordering_cost", 4),
+    "count(CASE WHEN ord > 0 THEN 1 END) AS orders_placed",
+    r("avg(lvl)", "avg_inventory", 4),
+    r("avg(CASE WHEN ord > 0 THEN ord END)", "avg_order_size", 4)]) + " FROM up2 GROUP BY Store")
+def q_store_plan_kpis(spark, sf_dir):
+    """Per-store plan KPIs (fallback-policy plan)."""
+    from stockroute.operators.inventory import store_plan_kpis
+    return rounded(store_plan_kpis(fallback_plan(spark, sf_dir)), 4)
+
+
+@register("M2_cost_comparison", ORACLES["J2_lot_sizing_cost"].replace(
+    "SELECT Store, " + r("min(5000.0 * n_orders + 0.05 * (hold_r + hold_c))", "plan_cost", 2)
+    + "\nFROM cost WHERE feasible GROUP BY Store",
+    ",\npcs AS (SELECT Store, min(5000.0 * n_orders + 0.05 * (hold_r + hold_c)) AS plan_cost\n"
+    "        FROM cost WHERE feasible GROUP BY Store),\n"
+    "nv AS (SELECT sum(nc) AS naive_cost FROM (SELECT count(*) * 5000.0 + 0.05 * (count(*) * avg(d)"
+    " + 0.5 * sum(d)) AS nc FROM ser3 GROUP BY Store) z),\n"
+    "op AS (SELECT sum(plan_cost) AS optimised_cost FROM pcs)\n"
+    "SELECT " + ", ".join([r("naive_cost", digits=2), r("optimised_cost", digits=2),
+                           r("greatest(0.0, naive_cost - optimised_cost)", "savings", 2),
+                           r("CASE WHEN naive_cost > 0 THEN (naive_cost - optimised_cost) / naive_cost * 100"
+                             " ELSE 0.0 END", "savings_pct", 4)]) + " FROM nv, op"))
+def q_cost_comparison(spark, sf_dir):
+    """Naive versus optimal (Wagner-Whitin) inventory cost."""
+    from stockroute.operators.inventory import lot_size, naive_cost, savings
+    p = _params().inventory
+    series = demand_series_q(spark, sf_dir)
+    opt = lot_size(series, p).agg(F.sum("plan_cost")).scalar()
+    t = naive_cost(series, p).agg(F.sum("naive_cost").alias("naive_cost")) \
+        .withColumn("optimised_cost", opt)
+    sv = savings(F.col("naive_cost"), F.col("optimised_cost"))
+    return t.select(round_col("naive_cost", 2).alias("naive_cost"),
+                    round_col("optimised_cost", 2).alias("optimised_cost"),
+                    round_col(sv["savings_non_negative"], 2).alias("savings"),
+                    round_col(sv["savings_pct"], 4).alias("savings_pct"))
+
+
+@register("M4_history_vs_forecast", V.with_views("lags") + "," + SPLIT_SQL + """
+SELECT Store, Dept, Date, """ + r("Weekly_Sales", "value") + """, 'history' AS kind FROM history
+UNION ALL
+SELECT Store, Dept, Date, """ + r("Sales_RollingMean_4", "value") + """, 'forecast' AS kind
+FROM split WHERE split = 'val'""")
+def q_history_vs_forecast(spark, sf_dir):
+    """M4/H8: every series' history and (moving-average) forecast on one axis."""
+    from stockroute.operators.forecast import history_and_forecast
+    return rounded(history_and_forecast(history(spark, sf_dir), ma_predictions(spark, sf_dir)))
+
+
+@register("M3_distance_comparison")
+def q_distance_comparison(spark, sf_dir):
+    """Naive round trips versus routed fleet distance per plan."""
+    from stockroute.operators.routing import naive_distance, nearest_depot
+    from stockroute.plans.reports import distance_comparison
+    stops, depots = routing_inputs(spark, sf_dir)
+    out, _ = distance_comparison(naive_distance(nearest_depot(stops, depots)),
+                                 routes_q(spark, sf_dir))
+    return rounded(out, 4)
+
+
+@register("M6_fleet_summary")
+def q_fleet_summary(spark, sf_dir):
+    from stockroute.plans.reports import fleet_summary
+    return rounded(fleet_summary(routes_q(spark, sf_dir)), 4)
+
+
+def upload_table(spark, sf_dir):
+    """The single-table upload contract filled from the test tables."""
+    from stockroute.sources import testdata as TD
+    sales = TD.sales_panel(spark, sf_dir)
+    feats = TD.features_table(spark, sf_dir)
+    stores = TD.stores_dim(spark, sf_dir)
+    j = sales.join(stores, "Store", "left").join(feats, ["Store", "Date", "IsHoliday"], "left")
+    return j.select("Store", "Dept", "Date", "Weekly_Sales", "IsHoliday", "Temperature",
+                    "Fuel_Price", "CPI", "Unemployment", "Type", "Size",
+                    *[f"MarkDown{i}" for i in range(1, 6)])
+
+
+@register("M9_planning_run")
+def q_planning_run(spark, sf_dir):
+    """M9: the whole run over one uploaded table; returns the scenario summary."""
+    from stockroute.plans.runner import run_planning
+    res = run_planning(upload_table(spark, sf_dir), _params())
+    return res.scenarios
