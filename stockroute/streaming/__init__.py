@@ -1,0 +1,8 @@
+"""Streaming.
+
+The planning application has no streaming sources, watermarks, event-time
+windows or stateful operators: its "rolling" features are row windows over
+a batch panel (see ``operators.features.lag_features``).  Nothing is built
+here on purpose; the batch operators accept any DataFrame, so a caller can
+apply them per micro-batch through ``writeStream.foreachBatch`` if needed.
+"""
