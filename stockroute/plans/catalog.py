@@ -343,29 +343,49 @@ def routes_q(spark, sf_dir):
     return solve_routes(stops, depots, _params().routing)
 
 
-@register("K4_routes")
+TOUR_BASE = "WITH RECURSIVE " + V.ROUTING.strip() + "," + V.TOURS
+ROUTE_COLS = ["plan_id", "depot_idx", "Vehicle", "Stop_Order", "stop_id", "Location", "Lat", "Lon",
+              "Demand", "Cumulative_Load", "Distance_km", "Cumulative_Distance_km", "Is_Depot"]
+ROUTE_DOUBLES = {"Lat", "Lon", "Demand", "Cumulative_Load", "Distance_km",
+                 "Cumulative_Distance_km"}
+
+
+@register("K4_routes", TOUR_BASE + "\nSELECT " + ", ".join(
+    r(c, digits=4) if c in ROUTE_DOUBLES else c for c in ROUTE_COLS) + " FROM route_rows")
 def q_routes(spark, sf_dir):
     """K4-K6: capacity-limited nearest-neighbour tours for every (plan, depot)."""
     return rounded(routes_q(spark, sf_dir), 4)
 
 
-@register("K7_route_summary")
+@register("K7_route_summary", TOUR_BASE + """
+SELECT plan_id, depot_idx, Vehicle, max(Stop_Order) AS max_stop_order, """
+          + r("max(Cumulative_Distance_km)", "total_distance", 4) + ", "
+          + r("max(Cumulative_Load)", "total_load", 4)
+          + ", count(CASE WHEN NOT Is_Depot THEN 1 END) AS num_stops FROM route_rows GROUP BY 1, 2, 3")
 def q_route_summary(spark, sf_dir):
     from stockroute.operators.routing import route_summary
     return rounded(route_summary(routes_q(spark, sf_dir)), 4)
 
 
-@register("F7_fleet_distance")
+@register("F7_fleet_distance", TOUR_BASE + """,
+pv AS (SELECT plan_id, Vehicle, max(Cumulative_Distance_km) AS vkm, sum(Distance_km) AS legs
+       FROM route_rows GROUP BY 1, 2)
+SELECT plan_id, """ + r("sum(vkm)", "fleet_km", 4) + ", " + r("avg(legs)", "avg_vehicle_km", 4)
+          + ", count(*) AS vehicles_used FROM pv GROUP BY plan_id")
 def q_fleet_distance(spark, sf_dir):
     from stockroute.operators.routing import fleet_distance
     return rounded(fleet_distance(routes_q(spark, sf_dir)), 4)
 
 
-@register("K8_unserved_stops")
+@register("K8_unserved_stops", TOUR_BASE + """
+SELECT s.plan_id, s.stop_id, s.stop_name, """ + r("s.lat", "lat") + ", " + r("s.lon", "lon") + ", "
+          + r("s.demand", "demand") + """ FROM stops s
+WHERE NOT EXISTS (SELECT 1 FROM route_rows r WHERE NOT r.Is_Depot AND r.plan_id = s.plan_id
+                  AND r.stop_id = s.stop_id)""")
 def q_unserved(spark, sf_dir):
     from stockroute.operators.routing import unserved_stops
     stops, _ = routing_inputs(spark, sf_dir)
-    return rounded(unserved_stops(stops, routes_q(spark, sf_dir)), 4)
+    return rounded(unserved_stops(stops, routes_q(spark, sf_dir)))
 
 
 @register("K11_route_paths")
@@ -723,7 +743,17 @@ def q_history_vs_forecast(spark, sf_dir):
     return rounded(history_and_forecast(history(spark, sf_dir), ma_predictions(spark, sf_dir)))
 
 
-@register("M3_distance_comparison")
+@register("M3_distance_comparison", TOUR_BASE + """,
+nv AS (SELECT plan_id, 2 * sum(km) AS naive_km FROM ranked WHERE rk = 1 GROUP BY plan_id),
+fk AS (SELECT plan_id, sum(vkm) AS fleet_km FROM (
+         SELECT plan_id, Vehicle, max(Cumulative_Distance_km) AS vkm FROM route_rows GROUP BY 1, 2) z
+       GROUP BY plan_id),
+j AS (SELECT nv.plan_id, naive_km, coalesce(fleet_km, 0.0) AS fleet_km FROM nv LEFT JOIN fk
+      ON nv.plan_id = fk.plan_id)
+SELECT plan_id, """ + ", ".join([r("naive_km", digits=4), r("fleet_km", digits=4),
+                                 r("greatest(0.0, naive_km - fleet_km)", "saved_km", 4),
+                                 r("CASE WHEN naive_km > 0 THEN (naive_km - fleet_km) / naive_km * 100 "
+                                   "ELSE 0.0 END", "saved_pct", 4)]) + " FROM j")
 def q_distance_comparison(spark, sf_dir):
     """Naive round trips versus routed fleet distance per plan."""
     from stockroute.operators.routing import naive_distance, nearest_depot
@@ -734,7 +764,11 @@ def q_distance_comparison(spark, sf_dir):
     return rounded(out, 4)
 
 
-@register("M6_fleet_summary")
+@register("M6_fleet_summary", TOUR_BASE + """
+SELECT plan_id, Vehicle, max(Stop_Order) AS stops, """
+          + r("max(Cumulative_Distance_km)", "distance_km", 4) + ", "
+          + r("max(Cumulative_Load)", "load", 4)
+          + ", count(CASE WHEN NOT Is_Depot THEN 1 END) AS num_stops FROM route_rows GROUP BY 1, 2")
 def q_fleet_summary(spark, sf_dir):
     from stockroute.plans.reports import fleet_summary
     return rounded(fleet_summary(routes_q(spark, sf_dir)), 4)

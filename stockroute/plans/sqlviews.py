@@ -170,3 +170,54 @@ retail_clean AS (
          {hash_lat("coalesce(City, '') || '_' || coalesce(State, '')")} AS Latitude,
          {hash_lon("coalesce(City, '') || '_' || coalesce(State, '')")} AS Longitude
   FROM retail)"""
+
+
+def _hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    return (f"(2 * 6371.0 * asin(sqrt(pow(sin(radians({lat2} - {lat1}) / 2), 2)"
+            f" + cos(radians({lat1})) * cos(radians({lat2}))"
+            f" * pow(sin(radians({lon2} - {lon1}) / 2), 2))))")
+
+
+# Nearest-neighbour tours replayed by a recursive CTE: each step appends, per
+# (plan, depot), the nearest unvisited stop that still fits (ties -> lowest
+# stop id).  One vehicle per depot, the configuration of the registered
+# queries (5 vehicles over 5 depots).
+TOURS = f"""
+assigned AS (SELECT r.plan_id, r.stop_id, r.stop_name, r.lat, r.lon, r.demand, r.k AS depot_idx
+             FROM ranked r WHERE r.rk = 1),
+grp AS (SELECT DISTINCT a.plan_id, a.depot_idx, d.depot_name, d.depot_lat, d.depot_lon
+        FROM assigned a JOIN depots d ON a.depot_idx = d.depot_idx),
+tour(plan_id, depot_idx, step, lat, lon, load, visited, stop_id, stop_name, demand, km, cum) AS (
+  SELECT plan_id, depot_idx, 0, depot_lat, depot_lon, CAST(0 AS DOUBLE), CAST([] AS BIGINT[]),
+         CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE),
+         CAST(0 AS DOUBLE) FROM grp
+  UNION ALL
+  SELECT plan_id, depot_idx, step, lat, lon, load, visited, stop_id, stop_name, demand, km, cum FROM (
+    SELECT t.plan_id, t.depot_idx, t.step + 1 AS step, a.lat, a.lon, t.load + a.demand AS load,
+           list_append(t.visited, a.stop_id) AS visited, a.stop_id, a.stop_name, a.demand,
+           {_hav('t.lat', 't.lon', 'a.lat', 'a.lon')} AS km,
+           t.cum + {_hav('t.lat', 't.lon', 'a.lat', 'a.lon')} AS cum,
+           row_number() OVER (PARTITION BY t.plan_id, t.depot_idx
+                              ORDER BY {_hav('t.lat', 't.lon', 'a.lat', 'a.lon')}, a.stop_id) AS rn
+    FROM tour t JOIN assigned a ON a.plan_id = t.plan_id AND a.depot_idx = t.depot_idx
+    WHERE NOT list_contains(t.visited, a.stop_id) AND t.load + a.demand <= 50000000.0) x
+  WHERE rn = 1),
+served AS (SELECT * FROM tour WHERE step > 0),
+lastp AS (SELECT plan_id, depot_idx, max(step) AS ms, arg_max(lat, step) AS llat,
+                 arg_max(lon, step) AS llon, arg_max(load, step) AS lload, arg_max(cum, step) AS lcum
+          FROM served GROUP BY 1, 2),
+route_rows AS (
+  SELECT g.plan_id, g.depot_idx, printf('V%d_1', g.depot_idx + 1) AS Vehicle, 0 AS Stop_Order,
+         CAST(-1 AS BIGINT) AS stop_id, g.depot_name AS Location, g.depot_lat AS Lat,
+         g.depot_lon AS Lon, 0.0 AS Demand, 0.0 AS Cumulative_Load, 0.0 AS Distance_km,
+         0.0 AS Cumulative_Distance_km, true AS Is_Depot
+  FROM grp g JOIN lastp l ON g.plan_id = l.plan_id AND g.depot_idx = l.depot_idx
+  UNION ALL
+  SELECT plan_id, depot_idx, printf('V%d_1', depot_idx + 1), step, stop_id, stop_name, lat, lon,
+         demand, load, km, cum, false FROM served
+  UNION ALL
+  SELECT l.plan_id, l.depot_idx, printf('V%d_1', l.depot_idx + 1), l.ms + 1, CAST(-1 AS BIGINT),
+         g.depot_name || ' (return)', g.depot_lat, g.depot_lon, 0.0, l.lload,
+         {_hav('l.llat', 'l.llon', 'g.depot_lat', 'g.depot_lon')},
+         l.lcum + {_hav('l.llat', 'l.llon', 'g.depot_lat', 'g.depot_lon')}, true
+  FROM lastp l JOIN grp g ON g.plan_id = l.plan_id AND g.depot_idx = l.depot_idx)"""
