@@ -19,7 +19,7 @@ __all__ = [
     "bool_to_int", "code_map", "yes_flag", "hash_coordinates", "clamp_zero",
     "round2", "ceil_floor_zero", "haversine_km", "scale_when", "guarded_ratio",
     "pct_change", "fixed_cost", "delay_demand", "vehicle_id", "default_demand",
-    "non_negative_gap", "col_or_zero",
+    "non_negative_gap", "col_or_zero", "label",
 ]
 
 # --- fixed values -------------------------------------------------------------
@@ -191,6 +191,15 @@ def default_demand(demand, key, lo: int = 1000, hi: int = 10000) -> Column:
     return F.coalesce(_c(demand), seeded.cast("double"))
 
 
+def label(prefix: str, key, name) -> Column:
+    """C16: 'Store 7 — Denver, CO' when a name is known, else 'Store 7'."""
+    k = _c(key).cast("int").cast("string")
+    nm = _c(name)
+    return F.when(F.coalesce(F.length(nm), F.lit(0)) > 0,
+                  F.concat(F.lit(prefix + " "), k, F.lit(" \u2014 "), nm)) \
+        .otherwise(F.concat(F.lit(prefix + " "), k))
+
+
 def non_negative_gap(base, new) -> Column:
     """max(0, base - new)."""
     return F.greatest(F.lit(0.0), _c(base) - _c(new))

@@ -205,3 +205,14 @@ def history_and_forecast(history: DataFrame, predictions: DataFrame,
     f = predictions.select(*KEYS, "Date", F.col("Predicted_Weekly_Sales").alias("value"),
                            F.lit("forecast").alias("kind"))
     return h.unionByName(f)
+
+
+def forecast_stage(history: DataFrame, p: ForecastParams = ForecastParams(),
+                   recursive: bool = False):
+    """(model, metrics, validation, predictions, importances) for one history."""
+    frame = prepare_model_frame(history, p)
+    model = fit_model(frame, p)
+    metrics, validation = evaluate(model, frame, p)
+    preds = (forecast_recursive(model, history, p) if recursive
+             else forecast_direct(model, history, p))
+    return model, metrics, validation, preds, feature_importance(model, p)

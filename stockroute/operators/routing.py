@@ -283,7 +283,7 @@ def unserved_stops(stops: DataFrame, routes: DataFrame) -> DataFrame:
 
 
 def route_paths(routes: DataFrame) -> DataFrame:
-    """Ordered path per vehicle as an array and as GeoJSON text."""
+    """Ordered path per vehicle as an array, GeoJSON and WKT text."""
     pts = F.array_sort(F.collect_list(F.struct("Stop_Order", "Lat", "Lon", "Location",
                                                "Is_Depot")))
     g = routes.groupBy("plan_id", "depot_idx", "Vehicle").agg(pts.alias("path"))
@@ -292,7 +292,10 @@ def route_paths(routes: DataFrame) -> DataFrame:
                              F.struct(F.lit("LineString").alias("type"),
                                       coords.alias("coordinates")).alias("geometry"),
                              F.struct(F.col("Vehicle").alias("vehicle")).alias("properties")))
-    return g.withColumn("n_points", F.size("path")).withColumn("geojson", geo)
+    wkt = F.concat(F.lit("LINESTRING("), F.array_join(F.transform(
+        "path", lambda s: F.format_string("%.4f %.4f", s["Lon"], s["Lat"])), ", "), F.lit(")"))
+    return g.withColumn("n_points", F.size("path")).withColumn("geojson", geo) \
+            .withColumn("wkt", wkt)
 
 
 def distance_savings(naive: Column, fleet: Column) -> dict[str, Column]:

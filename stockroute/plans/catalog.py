@@ -388,11 +388,16 @@ def q_unserved(spark, sf_dir):
     return rounded(unserved_stops(stops, routes_q(spark, sf_dir)))
 
 
-@register("K11_route_paths")
+@register("K11_route_paths", TOUR_BASE + """
+SELECT plan_id, depot_idx, Vehicle, count(*) AS n_points,
+       'LINESTRING(' || string_agg(printf('%.4f %.4f', Lon, Lat), ', ' ORDER BY Stop_Order) || ')'
+         AS wkt
+FROM route_rows GROUP BY 1, 2, 3""")
 def q_route_paths(spark, sf_dir):
+    """Ordered path of every vehicle (WKT; GeoJSON is in the library)."""
     from stockroute.operators.routing import route_paths
-    return route_paths(routes_q(spark, sf_dir)).select("plan_id", "depot_idx", "Vehicle",
-                                                       "n_points", "geojson")
+    return route_paths(routes_q(spark, sf_dir)).select(
+        "plan_id", "depot_idx", "Vehicle", F.col("n_points").cast("long").alias("n_points"), "wkt")
 
 
 # ---------------------------------------------------------------- scenarios
@@ -474,7 +479,7 @@ per AS (SELECT c.plan_id, c.failed_depot, x.stop_id,
                min(CASE WHEN x.k <> c.failed_depot THEN x.km END) AS min_other,
                max(CASE WHEN x.k = c.failed_depot THEN x.km END) AS d_failed,
                min(x.km) AS best
-        FROM cases c JOIN sd x ON x.plan_id = c.plan_id GROUP BY 1, 2, 3),
+        FROM cases c JOIN sdist x ON x.plan_id = c.plan_id GROUP BY 1, 2, 3),
 fl AS (SELECT plan_id, failed_depot,
               CAST(count(CASE WHEN d_failed <= min_other THEN 1 END) AS BIGINT) AS reassigned,
               2 * sum(min_other) AS new_km, 2 * sum(best) AS base_km
@@ -667,8 +672,6 @@ def _long_sql(select_sql, key, cols, label):
 L4_SQL = (SPIKE_SQL + ",\nfl1 AS (" + L1_SELECT + ")"
           + DELAY_SQL[DELAY_SQL.index(",\npw AS"):] + ",\nfl2 AS (" + L2_SELECT + ")"
           + FAIL_SQL.replace("WITH ", ",\n", 1)[FAIL_SQL.replace("WITH ", ",\n", 1).index(",\nstops AS"):]
-          .replace("sd AS (\n  SELECT s.*", "sdd AS (\n  SELECT s.*").replace("FROM sd)", "FROM sdd)")
-          .replace("JOIN sd x", "JOIN sdd x")
           + ",\nfl3 AS (" + L3_SELECT.replace("FROM fl", "FROM fl_") + ")")
 L4_SQL = L4_SQL.replace("\nfl AS (SELECT plan_id, failed_depot,", "\nfl_ AS (SELECT plan_id, failed_depot,")
 L4_SQL = L4_SQL.replace("\nper AS (SELECT c.plan_id,", "\nperf AS (SELECT c.plan_id,").replace(
@@ -792,3 +795,32 @@ def q_planning_run(spark, sf_dir):
     from stockroute.plans.runner import run_planning
     res = run_planning(upload_table(spark, sf_dir), _params())
     return res.scenarios
+
+
+M1_SQL = ("WITH RECURSIVE " + INV_BASE[len("WITH "):] + """,
+up AS (SELECT Store, t AS Week, d, greatest(1.5 * ss, ss + cmax) - cum AS lvl, ss FROM ser3),
+up2 AS (SELECT *, (CASE WHEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss)
+                        > 1e-9 * greatest(1.0, abs(ss))
+                   THEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss)
+                   ELSE 0.0 END) AS ord FROM up),
+met AS (SELECT avg(abs(Weekly_Sales - Sales_RollingMean_4)) AS val_mae,
+               1 - sum((Weekly_Sales - Sales_RollingMean_4) * (Weekly_Sales - Sales_RollingMean_4))
+                   / (count(*) * var_pop(Weekly_Sales)) AS val_r2
+        FROM split WHERE split = 'val'),
+pc AS (SELECT coalesce(sum(0.05 * lvl + CASE WHEN ord > 0 THEN 5000.0 ELSE 0.0 END), 0.0) AS plan_cost
+       FROM up2),""" + V.ROUTING + "," + V.TOURS + """,
+fk AS (SELECT coalesce(sum(vkm), 0.0) AS fleet_km FROM (
+         SELECT plan_id, Vehicle, max(Cumulative_Distance_km) AS vkm FROM route_rows GROUP BY 1, 2) z)
+SELECT """ + ", ".join([r("val_mae", digits=4), r("val_r2", digits=4), r("plan_cost", digits=4),
+                       r("fleet_km", digits=4)]) + " FROM met, pc, fk")
+
+
+@register("M1_headline_kpis", M1_SQL)
+def q_headline_kpis(spark, sf_dir):
+    """M1: forecast MAE and R^2 (validation weeks), plan cost, fleet distance."""
+    from stockroute.operators.aggregates import regression_metrics
+    from stockroute.plans.reports import headline_kpis
+    val = lagged(spark, sf_dir).where(F.col("split") == "val")
+    metrics = regression_metrics(val, "Weekly_Sales", "Sales_RollingMean_4") \
+        .withColumn("split", F.lit("val"))
+    return rounded(headline_kpis(metrics, fallback_plan(spark, sf_dir), routes_q(spark, sf_dir)), 4)

@@ -20,8 +20,8 @@ def headline_kpis(metrics: DataFrame, plan: DataFrame, routes: DataFrame) -> Dat
     return (val.select(F.col("mae").alias("val_mae"), F.col("r2").alias("val_r2"))
             .withColumn("plan_cost", F.coalesce(plan.agg(F.sum("Total_Cost")).scalar(),
                                                 F.lit(0.0)))
-            .withColumn("fleet_km", F.coalesce(fleet_distance(routes, by=())
-                                               .select("fleet_km").scalar(), F.lit(0.0))))
+            .withColumn("fleet_km", F.coalesce(fleet_distance(routes)
+                                               .agg(F.sum("fleet_km")).scalar(), F.lit(0.0))))
 
 
 def cost_comparison(naive: DataFrame, plan: DataFrame) -> DataFrame:
@@ -78,6 +78,23 @@ def actual_vs_predicted(validation: DataFrame, store: int, dept: int) -> DataFra
     return validation.where((F.col("Store") == store) & (F.col("Dept") == dept)).orderBy("Date")
 
 
+def with_labels(df: DataFrame, store_names: DataFrame, dept_names: DataFrame) -> DataFrame:
+    """Store and department labels by broadcast lookup (constant dims)."""
+    from stockroute.functions.columns import label
+    out = df.join(F.broadcast(store_names), "Store", "left")
+    if "Dept" in df.columns:
+        out = out.join(F.broadcast(dept_names), "Dept", "left") \
+                 .withColumn("dept_label", label("Dept", F.col("Dept"), F.col("Dept_Name"))) \
+                 .drop("Dept_Name")
+    return out.withColumn("store_label", label("Store", F.col("Store"), F.col("Store_Name"))) \
+              .drop("Store_Name")
+
+
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """H4: head preview (the limit is the feature)."""
+    return df.limit(n)
+
+
 def top_k(df: DataFrame, col: str, k: int) -> DataFrame:
     """H3/H4: top-k rows by a column (the limit is the feature)."""
     return df.orderBy(F.col(col).desc()).limit(k)

@@ -142,14 +142,14 @@ depots AS (
   SELECT CAST(r_regionkey AS INTEGER) AS depot_idx, r_name || ' Depot' AS depot_name,
          {hash_lat("r_name")} AS depot_lat, {hash_lon("r_name")} AS depot_lon
   FROM region),
-sd AS (
+sdist AS (
   SELECT s.*, d.depot_idx AS k,
          2 * 6371.0 * asin(sqrt(pow(sin(radians(d.depot_lat - s.lat) / 2), 2)
            + cos(radians(s.lat)) * cos(radians(d.depot_lat))
              * pow(sin(radians(d.depot_lon - s.lon) / 2), 2))) AS km
   FROM stops s CROSS JOIN depots d),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY plan_id, stop_id ORDER BY km, k) AS rk FROM sd)"""
+  SELECT *, row_number() OVER (PARTITION BY plan_id, stop_id ORDER BY km, k) AS rk FROM sdist)"""
 
 
 RETAIL = f"""
