@@ -23,8 +23,9 @@ def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     all columns at once: (1) one pass counts values and takes approximate
     quantiles just around the median ranks (bounded sketch memory); (2) one
     pass counts exactly how many values fall below / inside those bounds;
-    (3) one pass fetches only the values inside the bounds, sorted.  When a
-    window is still too wide the narrowing repeats inside it.
+    (3) one pass sorts only the values inside the bounds and returns the two
+    order statistics.  When a window is still too wide the narrowing repeats
+    inside it.
     """
     base = df.select(*cols)
     n_all = base.agg(*[F.count(c).alias(c) for c in cols]).first()
@@ -75,18 +76,16 @@ def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
         if not progress:
             break
     if state:
-        parts = [base.where(window(c)).select(F.lit(c).alias("col"),
-                                             F.col(c).cast("double").alias("v"))
-                 for c in state]
-        fetched = parts[0]
-        for p in parts[1:]:
-            fetched = fetched.unionByName(p)
-        vals: dict[str, list[float]] = {c: [] for c in state}
-        for r in fetched.collect():
-            vals[r["col"]].append(r["v"])
+        # the k-th values are picked inside Spark from the sorted window
+        # (at most MEDIAN_WINDOW_ROWS values per column in the final buffer)
+        picks = []
         for c, st in state.items():
-            v = sorted(vals[c])
-            a, b = v[st["k1"] - st["below"]], v[st["k2"] - st["below"]]
+            arr = F.sort_array(F.collect_list(F.when(window(c), F.col(c).cast("double"))))
+            picks += [F.element_at(arr, st["k1"] - st["below"] + 1).alias(f"{c}__a"),
+                      F.element_at(arr, st["k2"] - st["below"] + 1).alias(f"{c}__b")]
+        got = base.agg(*picks).first()
+        for c, st in state.items():
+            a, b = got[f"{c}__a"], got[f"{c}__b"]
             out[c] = a + (b - a) * (st["pos"] - st["k1"])
     return out
 

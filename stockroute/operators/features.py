@@ -50,14 +50,10 @@ def add_coordinates(df: DataFrame, coords: DataFrame, key: str = "Store") -> Dat
                                {"Latitude": DEFAULT_LATLON[0], "Longitude": DEFAULT_LATLON[1]})
 
 
-def prepare_history(sales: DataFrame, stores: DataFrame, features: DataFrame,
-                    coords: DataFrame, type_default: int | None = None,
-                    impute: bool = True) -> DataFrame:
-    """Sales x stores x features with calendar parts, fills and codes.
-
-    Works for the train table and the scoring table (no Weekly_Sales).
-    Medians are taken over the joined rows, as in the file-based pipeline.
-    """
+def join_history(sales: DataFrame, stores: DataFrame, features: DataFrame,
+                 coords: DataFrame, type_default: int | None = None) -> DataFrame:
+    """I1/I2 without the median fill: sales x stores x features with calendar
+    parts, zero-filled markdowns, codes and coordinates (lazy, no job)."""
     merged = sales.join(broadcast_if_small(stores), "Store", "left")
     feats = features.select("Store", "Date", "IsHoliday",
                             *[c for c in features.columns if c not in ("Store", "Date", "IsHoliday")])
@@ -66,8 +62,6 @@ def prepare_history(sales: DataFrame, stores: DataFrame, features: DataFrame,
                                  if c in merged.columns})
     merged = merged.withColumns(calendar_parts(F.col("Date")))
     merged = merged.withColumns({c: fill_zero(c) for c in MARKDOWNS if c in merged.columns})
-    if impute:
-        merged = impute_median(merged, IMPUTED)
     merged = add_coordinates(merged, coords)
     return merged.withColumns({
         "IsHoliday": bool_to_int("IsHoliday"),
@@ -75,6 +69,20 @@ def prepare_history(sales: DataFrame, stores: DataFrame, features: DataFrame,
     })
 
 
+def prepare_history(sales: DataFrame, stores: DataFrame, features: DataFrame,
+                    coords: DataFrame, type_default: int | None = None,
+                    impute: bool = True) -> DataFrame:
+    """Sales x stores x features with calendar parts, fills and codes.
+
+    Works for the train table and the scoring table (no Weekly_Sales).
+    Medians are taken over the joined rows, as in the file-based pipeline.
+    Callers that materialise the result may persist ``join_history`` first
+    so the median passes and the final write share one computation.
+    """
+    merged = join_history(sales, stores, features, coords, type_default)
+    return impute_median(merged, IMPUTED) if impute else merged
+
+
 def engineer_features(df: DataFrame, coords: DataFrame, type_default: int = 1) -> DataFrame:
     """Single-table upload -> model features (unmapped Type -> 1,
     optional MarkDowns added as 0, medians over the upload)."""

@@ -51,11 +51,17 @@ def fit_model(frame: DataFrame, p: ForecastParams = ForecastParams(),
     """Gradient-boosted regression on the training rows."""
     cols = feature_columns(p)
     train = _assembled(frame.where(F.col("split") == "train"), cols) \
-        .select(*cols, F.col(label).alias("label")).persist(StorageLevel.MEMORY_AND_DISK)
+        .select(*cols, F.col(label).alias("label"))
+    # the learner runs a few jobs per tree level: one partition per core
+    # keeps per-task overhead low without a shuffle
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    if train.rdd.getNumPartitions() > cores:
+        train = train.coalesce(cores)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     gbt = GBTRegressor(featuresCol="features", labelCol="label", predictionCol="prediction",
                        maxIter=p.n_estimators, maxDepth=p.max_depth, stepSize=p.learning_rate,
                        subsamplingRate=p.subsample, minInstancesPerNode=p.min_leaf, seed=p.seed,
-                       maxBins=64)
+                       maxBins=32)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features",
                                             handleInvalid="keep"), gbt])
     try:
@@ -127,13 +133,18 @@ def _lag_from_tail(recent: Column, n: Column, first: Column, lag: int) -> Column
     return F.when(n - lag >= 0, F.try_element_at(recent, F.lit(-lag))).otherwise(first)
 
 
+def _last(arr: Column, k: int) -> Column:
+    """Last ``k`` elements (all of them when the array is shorter), like x[-k:]."""
+    return F.slice(arr, -F.least(F.size(arr), F.lit(k)), k)
+
+
 def _tail_mean(recent: Column, k: int) -> Column:
-    s = F.slice(recent, -k, k)
+    s = _last(recent, k)
     return F.aggregate(s, F.lit(0.0), lambda a, x: a + x) / F.size(s)
 
 
 def _tail_std(recent: Column, n: Column, k: int, population: bool) -> Column:
-    s = F.slice(recent, -k, k)
+    s = _last(recent, k)
     m = F.aggregate(s, F.lit(0.0), lambda a, x: a + x) / F.size(s)
     ss = F.aggregate(s, F.lit(0.0), lambda a, x: a + (x - m) * (x - m))
     denom = F.size(s) if population else F.size(s) - 1
@@ -169,10 +180,17 @@ def forecast_direct(model: PipelineModel, history: DataFrame,
 
 
 def forecast_recursive(model: PipelineModel, history: DataFrame,
-                       p: ForecastParams = ForecastParams(), checkpoint: bool = True) -> DataFrame:
-    """13 batched steps over all series; each prediction (clamped at 0)
-    is appended to the state array so later lags and rolling features see it.
-    Lineage is cut after every step with a reliable checkpoint."""
+                       p: ForecastParams = ForecastParams(),
+                       checkpoint_every: int = 8) -> DataFrame:
+    """Batched steps over all series; each prediction (clamped at 0) is
+    appended to the state array so later lags and rolling features see it.
+
+    Steps are narrow projections (no shuffle), so consecutive steps run in
+    the same tasks; every ``checkpoint_every`` steps the state is written
+    with a reliable checkpoint so long horizons keep a short lineage and a
+    lost executor only replays the steps since the last checkpoint.
+    """
+    checkpoint = checkpoint_every > 0
     if checkpoint:
         ensure_checkpoint_dir(history.sparkSession)
     tail = max(max(p.lags), 12)
@@ -186,11 +204,11 @@ def forecast_recursive(model: PipelineModel, history: DataFrame,
         pred = clamp_zero("_p")
         state = scored.select(
             *[c for c in base_cols if c not in ("recent", "n", "preds")],
-            F.slice(F.concat(F.col("recent"), F.array(pred)), -tail, tail).alias("recent"),
+            _last(F.concat(F.col("recent"), F.array(pred)), tail).alias("recent"),
             (F.col("n") + 1).alias("n"),
             F.concat(F.col("preds"), F.array(pred)).alias("preds"))
         state = state.select(*base_cols)
-        if checkpoint:
+        if checkpoint and w % checkpoint_every == 0 and w < p.horizon:
             state = state.checkpoint()
     out = state.select(*KEYS, "_last", F.posexplode("preds").alias("i", "p"))
     return out.select(*[F.col(c).cast("int") for c in KEYS],

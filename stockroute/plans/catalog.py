@@ -93,17 +93,26 @@ def shared(spark: SparkSession, key: tuple, build):
     k = (spark.sparkContext.applicationId,) + key
     if k not in _SHARED:
         ensure_checkpoint_dir(spark)
-        _SHARED[k] = build().checkpoint()
+        _SHARED[k] = build()
     return _SHARED[k]
 
 
-def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from stockroute.operators.features import prepare_history
+def _prepared_history(spark: SparkSession, sf_dir: str, type_default):
+    from pyspark import StorageLevel
+    from stockroute.operators.features import IMPUTED, impute_median, join_history
     from stockroute.sources import testdata as TD
     from stockroute.sources.schemas import store_coordinates
-    return shared(spark, ("history", sf_dir), lambda: prepare_history(
-        TD.sales_panel(spark, sf_dir), TD.stores_dim(spark, sf_dir),
-        TD.features_table(spark, sf_dir), store_coordinates(spark)))
+    joined = join_history(TD.sales_panel(spark, sf_dir), TD.stores_dim(spark, sf_dir),
+                          TD.features_table(spark, sf_dir), store_coordinates(spark),
+                          type_default).persist(StorageLevel.MEMORY_AND_DISK)
+    try:   # median passes and the checkpoint write share the persisted join
+        return impute_median(joined, IMPUTED).checkpoint()
+    finally:
+        joined.unpersist()
+
+
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared(spark, ("history", sf_dir), lambda: _prepared_history(spark, sf_dir, None))
 
 
 @register("I1_prepare_history",
@@ -585,13 +594,10 @@ _MODEL_CACHE: dict = {}
 
 
 def ml_history(spark, sf_dir):
-    """History for the model path: unmapped store types coded 1."""
-    from stockroute.operators.features import prepare_history
-    from stockroute.sources import testdata as TD
-    from stockroute.sources.schemas import store_coordinates
-    return shared(spark, ("ml_history", sf_dir), lambda: prepare_history(
-        TD.sales_panel(spark, sf_dir), TD.stores_dim(spark, sf_dir),
-        TD.features_table(spark, sf_dir), store_coordinates(spark), type_default=1))
+    """History for the model path: unmapped store types coded 1 (the same
+    prepared table with the runner's default; medians do not depend on it)."""
+    return history(spark, sf_dir).withColumn(
+        "Type_encoded", F.coalesce(F.col("Type_encoded"), F.lit(1)))
 
 
 def fitted(spark, sf_dir):
