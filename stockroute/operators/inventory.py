@@ -74,24 +74,25 @@ def lot_size(series: DataFrame, p: InventoryParams = InventoryParams()) -> DataF
                                            .otherwise(x - F.col("_D")[i - 1])))
     n = F.col("_n")
 
-    def block_hold(j, t):
-        # holding of an order placed in week j (1-based) covering weeks j..t
-        return F.aggregate(F.sequence(j, t), F.lit(0.0),
-                           lambda a, k: a + (k - j).cast("double") * F.element_at(n, k))
-
+    # f[t] = min over the week j that places the last order of
+    #   f[j-1] + K + h * H_j(t),  H_j(t) = sum_{k=j..t} (k-j) n_k,
+    # with a free step f[t-1] when n_t = 0.  The fold carries every H_j so
+    # each week costs O(T): H_j(t) = H_j(t-1) + (t-j) n_t.
     def step(acc, t):
-        prev = F.element_at(acc, t)                      # acc[0] is the empty prefix
-        cands = F.transform(
-            F.sequence(F.lit(1), t),
-            lambda j: F.struct((F.element_at(acc, j)["cost"] + K + h * block_hold(j, t))
-                               .alias("cost"), j.alias("start")))
-        free = F.struct(prev["cost"].alias("cost"), F.lit(0).alias("start"))
-        best = F.array_min(F.when(F.element_at(n, t) <= F.lit(0.0),
-                                  F.concat(F.array(free), cands)).otherwise(cands))
-        return F.concat(acc, F.array(best))
-
-    init = F.array(F.struct(F.lit(0.0).alias("cost"), F.lit(0).alias("start")))
-    out = out.withColumn("_f", F.aggregate(F.sequence(F.lit(1), F.col("T")), init, step))
+        f, hold = acc["f"], acc["h"]
+        nt = F.element_at(n, t)
+        hold2 = F.concat(F.transform(hold, lambda x, i: x + (t - i - 1).cast("double") * nt),
+                         F.array(F.lit(0.0)))
+        cands = F.transform(hold2, lambda x, i: F.struct(
+            (F.element_at(f, i + 1)["cost"] + K + h * x).alias("cost"), (i + 1).alias("start")))
+        free = F.struct(F.element_at(f, t)["cost"].alias("cost"), F.lit(0).alias("start"))
+        best = F.array_min(F.when(nt <= F.lit(0.0), F.concat(F.array(free), cands))
+                           .otherwise(cands))
+        return F.struct(F.concat(f, F.array(best)).alias("f"), hold2.alias("h"))
+
+    init = F.struct(F.array(F.struct(F.lit(0.0).alias("cost"), F.lit(0).alias("start"))).alias("f"),
+                    F.array().cast("array<double>").alias("h"))
+    out = out.withColumn("_f", F.aggregate(F.sequence(F.lit(1), F.col("T")), init, step)["f"])
 
     # backtrack: walk t = T..1, an order at `start` covers net demand start..t
     zeros = F.transform(d, lambda x: F.lit(0.0))

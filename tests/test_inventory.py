@@ -103,3 +103,17 @@ def test_naive_cost_and_short_series(spark):
     rows = {r.Store: r.naive_cost for r in naive_cost(fr, P).collect()}
     assert set(rows) == {0}
     assert rows[0] == pytest.approx(2 * 5000 + 0.05 * (2 * 200 + 0.5 * 400))
+
+
+def test_long_horizon_plan_is_feasible_and_cheaper(spark):
+    rng = np.random.default_rng(21)
+    series = [list(np.round(rng.uniform(0, 50000, 60), 2)) for _ in range(4)]
+    fr = _series_frame(spark, series)
+    planned = lot_size(fr, P)
+    rows = plan_rows(planned, P).toPandas()
+    safety = {r.Store: r.safety for r in planned.select("Store", "safety").collect()}
+    assert all((g.Inventory_Level >= safety[s] - 1e-6).all() for s, g in rows.groupby("Store"))
+    fb = plan_rows(order_up_to(fr), P, order_threshold=0.0).groupBy("Store") \
+        .agg(F.sum("Total_Cost").alias("c")).collect()
+    opt = rows.groupby("Store").Total_Cost.sum()
+    assert all(opt[r.Store] <= r.c + 1e-6 for r in fb)
