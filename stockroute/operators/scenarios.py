@@ -41,20 +41,26 @@ def demand_spike(pred: DataFrame, plan: DataFrame, factors=(1.2,), stores=None,
     plan cost by the demand ratio and the rush-order penalty; extra vehicles
     = max(0, ceil((f - 1) * vehicles)).
     """
-    per_store = pred.groupBy("Store").agg(F.avg(value).alias("m"))
+    per_store = pred.groupBy("Store").agg(F.avg(value).alias("m"), F.sum(value).alias("sm"),
+                                          F.count(value).alias("cm"))
     hit = F.lit(True) if stores is None else F.col("Store").isin(list(stores))
-    rows = per_store.select("Store", "m", hit.alias("hit"),
+    rows = per_store.select("Store", "m", "sm", "cm", hit.alias("hit"),
                             F.explode(_lit_array(factors)).alias("factor"))
-    rows = rows.withColumn("m_new", F.when(F.col("hit"), F.col("m") * F.col("factor"))
-                           .otherwise(F.col("m")))
+    scaled = lambda c: F.when(F.col("hit"), F.col(c) * F.col("factor")).otherwise(F.col(c))
+    rows = rows.withColumns({"m_new": scaled("m"), "sm_new": scaled("sm")})
+    # both means of the application: mean of per-store means (file-based
+    # scenarios) and the plain row mean (in-memory runner)
     agg = rows.groupBy("factor").agg(F.avg("m").alias("baseline_avg_demand"),
                                      F.avg("m_new").alias("new_avg_demand"),
+                                     (F.sum("sm") / F.sum("cm")).alias("baseline_row_avg_demand"),
+                                     (F.sum("sm_new") / F.sum("cm")).alias("new_row_avg_demand"),
                                      F.sum("m").alias("_sb"), F.sum("m_new").alias("_sn"))
     base_cost = F.coalesce(plan.agg(F.sum("Total_Cost")).scalar(), F.lit(0.0))
     ratio = F.col("_sn") / F.greatest(F.col("_sb"), F.lit(1.0))
     new_cost = F.col("baseline_inventory_cost") * ratio * F.lit(s.rush_penalty)
     return (agg.withColumn("baseline_inventory_cost", base_cost)
             .select("factor", "baseline_avg_demand", "new_avg_demand",
+                    "baseline_row_avg_demand", "new_row_avg_demand",
                     ((F.col("factor") - 1) * 100).alias("demand_increase_pct"),
                     "baseline_inventory_cost", new_cost.alias("new_inventory_cost"))
             .withColumns({

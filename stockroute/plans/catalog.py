@@ -425,18 +425,19 @@ up AS (SELECT Store, t AS Week, d, greatest(1.5 * ss, ss + cmax) - cum AS lvl, s
 up2 AS (SELECT *, (CASE WHEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss) > 1e-9 * greatest(1.0, abs(ss)) THEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss) ELSE 0.0 END) AS ord FROM up),
 bc AS (SELECT coalesce(sum(0.05 * lvl + CASE WHEN ord > 0 THEN 5000.0 ELSE 0.0 END), 0.0) AS base
        FROM up2),
-ps AS (SELECT Store, avg(p) AS m FROM pred GROUP BY Store)"""
+ps AS (SELECT Store, avg(p) AS m, sum(p) AS sm, count(p) AS cm FROM pred GROUP BY Store)"""
 
 SPIKE_SQL = PLAN_SQL + """,
 f AS (SELECT CAST(unnest([""" + ", ".join(str(x) for x in SPIKE_FACTORS) + """]) AS DOUBLE) AS factor),
 sp AS (SELECT factor, avg(m) AS b_avg, avg(m * factor) AS n_avg, sum(m) AS sb, sum(m * factor) AS sn,
-              any_value(base) AS base
+              sum(sm) / sum(cm) AS b_row, sum(sm * factor) / sum(cm) AS n_row, any_value(base) AS base
        FROM ps CROSS JOIN f CROSS JOIN bc GROUP BY factor),
 sp2 AS (SELECT *, base * (sn / greatest(sb, 1.0)) * 1.1 AS new_cost FROM sp)"""
 
 
 L1_SELECT = "SELECT " + ", ".join([
     r("factor", digits=4), r("b_avg", "baseline_avg_demand", 4), r("n_avg", "new_avg_demand", 4),
+    r("b_row", "baseline_row_avg_demand", 4), r("n_row", "new_row_avg_demand", 4),
     r("(factor - 1) * 100", "demand_increase_pct", 4), r("base", "baseline_inventory_cost", 4),
     r("new_cost", "new_inventory_cost", 4), r("new_cost - base", "cost_increase", 4),
     r("(new_cost / greatest(base, 1.0) - 1) * 100", "cost_increase_pct", 4),
@@ -660,7 +661,8 @@ def _as_double(select_sql: str, key: str, cols: list[str]) -> str:
     return f"SELECT {key}, {casts} FROM ({select_sql}) q"
 
 
-L1_COLS = ["baseline_avg_demand", "new_avg_demand", "demand_increase_pct", "baseline_inventory_cost",
+L1_COLS = ["baseline_avg_demand", "new_avg_demand", "baseline_row_avg_demand", "new_row_avg_demand",
+           "demand_increase_pct", "baseline_inventory_cost",
            "new_inventory_cost", "cost_increase", "cost_increase_pct", "additional_vehicles_needed"]
 L2_COLS = ["extra_safety_stock_total", "additional_holding_cost", "baseline_inventory_cost",
            "new_inventory_cost", "cost_increase", "cost_increase_pct", "stores_at_stockout_risk",
@@ -757,9 +759,15 @@ nv AS (SELECT plan_id, 2 * sum(km) AS naive_km FROM ranked WHERE rk = 1 GROUP BY
 fk AS (SELECT plan_id, sum(vkm) AS fleet_km FROM (
          SELECT plan_id, Vehicle, max(Cumulative_Distance_km) AS vkm FROM route_rows GROUP BY 1, 2) z
        GROUP BY plan_id),
-j AS (SELECT nv.plan_id, naive_km, coalesce(fleet_km, 0.0) AS fleet_km FROM nv LEFT JOIN fk
-      ON nv.plan_id = fk.plan_id)
+ns AS (SELECT k.plan_id, 2 * sum(k.km) AS naive_served_km FROM ranked k
+       WHERE k.rk = 1 AND EXISTS (SELECT 1 FROM route_rows r WHERE NOT r.Is_Depot
+                                  AND r.plan_id = k.plan_id AND r.stop_id = k.stop_id)
+       GROUP BY k.plan_id),
+j AS (SELECT nv.plan_id, naive_km, coalesce(fleet_km, 0.0) AS fleet_km,
+             coalesce(naive_served_km, 0.0) AS naive_served_km
+      FROM nv LEFT JOIN fk ON nv.plan_id = fk.plan_id LEFT JOIN ns ON nv.plan_id = ns.plan_id)
 SELECT plan_id, """ + ", ".join([r("naive_km", digits=4), r("fleet_km", digits=4),
+                                 r("naive_served_km", digits=4),
                                  r("greatest(0.0, naive_km - fleet_km)", "saved_km", 4),
                                  r("CASE WHEN naive_km > 0 THEN (naive_km - fleet_km) / naive_km * 100 "
                                    "ELSE 0.0 END", "saved_pct", 4)]) + " FROM j")
@@ -768,8 +776,7 @@ def q_distance_comparison(spark, sf_dir):
     from stockroute.operators.routing import naive_distance, nearest_depot
     from stockroute.plans.reports import distance_comparison
     stops, depots = routing_inputs(spark, sf_dir)
-    out, _ = distance_comparison(naive_distance(nearest_depot(stops, depots)),
-                                 routes_q(spark, sf_dir))
+    out, _ = distance_comparison(nearest_depot(stops, depots), routes_q(spark, sf_dir))
     return rounded(out, 4)
 
 

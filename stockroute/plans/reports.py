@@ -34,15 +34,24 @@ def cost_comparison(naive: DataFrame, plan: DataFrame) -> DataFrame:
                     sv["savings_pct"].alias("savings_pct"))
 
 
-def distance_comparison(naive: DataFrame, routes: DataFrame, by=("plan_id",)) -> DataFrame:
-    """Naive round trips versus routed fleet distance, and the
-    like-for-like naive distance over the served stops only."""
+def distance_comparison(assigned: DataFrame, routes: DataFrame, by=("plan_id",)):
+    """Naive round trips versus routed fleet distance per plan, plus
+    the like-for-like naive distance over the stops the routes served.
+
+    ``assigned`` is the output of ``routing.nearest_depot``.  Returns
+    (comparison, served stops).
+    """
+    from stockroute.operators.routing import naive_distance
     served = routes.where(~F.col("Is_Depot")).select(*by, "stop_id").distinct()
+    naive = naive_distance(assigned, by=by)
+    naive_served = (assigned.join(served, [*by, "stop_id"], "left_semi")
+                    .groupBy(*by).agg((2 * F.sum("depot_dist")).alias("naive_served_km")))
     fleet = fleet_distance(routes, by=by).select(*by, "fleet_km")
-    j = naive.join(fleet, list(by), "left").fillna({"fleet_km": 0.0})
+    j = (naive.join(fleet, list(by), "left").join(naive_served, list(by), "left")
+         .fillna({"fleet_km": 0.0, "naive_served_km": 0.0}))
     sv = distance_savings(F.col("naive_km"), F.col("fleet_km"))
-    out = j.select(*by, "naive_km", "fleet_km", sv["saved_km_non_negative"].alias("saved_km"),
-                   sv["saved_pct"].alias("saved_pct"))
+    out = j.select(*by, "naive_km", "fleet_km", "naive_served_km",
+                   sv["saved_km_non_negative"].alias("saved_km"), sv["saved_pct"].alias("saved_pct"))
     return out, served
 
 
