@@ -27,6 +27,20 @@ from stockroute.sources.schemas import ROUTE_SCHEMA
 DEPOT_ARRAY_MAX = 10_000
 
 
+def _ship_by_value() -> None:
+    """The tour builder runs in Python workers: pickle this module's functions
+    by value so workers need no installed copy of the package."""
+    import sys
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # noqa: BLE001 - older cloudpickle: fall back to by-reference
+        pass
+
+
+_ship_by_value()
+
+
 def pairwise_distances(a: DataFrame, b: DataFrame, key: str = "plan_id") -> DataFrame:
     """Distances between points of the same group (equi-join on the
     group key); used for audits of small groups, never by the solvers."""

@@ -115,10 +115,16 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared(spark, ("history", sf_dir), lambda: _prepared_history(spark, sf_dir, None))
 
 
+# Type_encoded is null for unmapped store types; it is presented as DOUBLE on
+# both sides so a nullable integer is not compared across differing
+# integer-with-null conventions of the two engines' client libraries.
 @register("I1_prepare_history",
-          V.with_views("merged") + f"\nSELECT {_sel(HISTORY_COLS, DOUBLE_HISTORY)} FROM history")
+          V.with_views("merged") + "\nSELECT "
+          + _sel(HISTORY_COLS[:-1], DOUBLE_HISTORY)
+          + ", CAST(Type_encoded AS DOUBLE) AS Type_encoded FROM history")
 def q_prepare_history(spark, sf_dir):
-    return rounded(history(spark, sf_dir).select(*HISTORY_COLS))
+    return rounded(history(spark, sf_dir).select(
+        *HISTORY_COLS[:-1], F.col("Type_encoded").cast("double").alias("Type_encoded")))
 
 
 @register("I5_lag_features",
