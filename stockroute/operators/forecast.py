@@ -27,6 +27,7 @@ from stockroute.operators.features import (
 from stockroute.session import ensure_checkpoint_dir
 
 KEYS = ["Store", "Dept"]
+ROWS_PER_FIT_PARTITION = 25_000
 
 
 def feature_columns(p: ForecastParams = ForecastParams()) -> list[str]:
@@ -52,11 +53,14 @@ def fit_model(frame: DataFrame, p: ForecastParams = ForecastParams(),
     cols = feature_columns(p)
     train = _assembled(frame.where(F.col("split") == "train"), cols) \
         .select(*cols, F.col(label).alias("label"))
-    # the learner runs a few jobs per tree level: one partition per core
-    # keeps per-task overhead low without a shuffle
+    # the learner runs a few small jobs per tree level; partitions are sized
+    # to the data (about ROWS_PER_FIT_PARTITION rows each, at most one per
+    # core) so small fits do not pay per-task overhead and large fits keep
+    # the whole cluster busy
     cores = frame.sparkSession.sparkContext.defaultParallelism
-    if train.rdd.getNumPartitions() > cores:
-        train = train.coalesce(cores)
+    want = max(1, min(cores, -(-train.count() // ROWS_PER_FIT_PARTITION)))
+    if train.rdd.getNumPartitions() > want:
+        train = train.coalesce(want)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     gbt = GBTRegressor(featuresCol="features", labelCol="label", predictionCol="prediction",
                        maxIter=p.n_estimators, maxDepth=p.max_depth, stepSize=p.learning_rate,
@@ -176,7 +180,7 @@ def forecast_direct(model: PipelineModel, history: DataFrame,
     rows = _future_calendar(rows, F.col("_last"), F.col("w")).drop("_last")
     scored = score(model, rows, p)
     return scored.select(*[F.col(c).cast("int") for c in KEYS], "Date",
-                         F.round(clamp_zero("prediction"), 2).alias("Predicted_Weekly_Sales"))
+                         F.bround(clamp_zero("prediction"), 2).alias("Predicted_Weekly_Sales"))
 
 
 def forecast_recursive(model: PipelineModel, history: DataFrame,
@@ -213,7 +217,7 @@ def forecast_recursive(model: PipelineModel, history: DataFrame,
     out = state.select(*KEYS, "_last", F.posexplode("preds").alias("i", "p"))
     return out.select(*[F.col(c).cast("int") for c in KEYS],
                       add_weeks(F.col("_last"), F.col("i") + 1).alias("Date"),
-                      F.round("p", 2).alias("Predicted_Weekly_Sales"))
+                      F.bround("p", 2).alias("Predicted_Weekly_Sales"))
 
 
 def history_and_forecast(history: DataFrame, predictions: DataFrame,
