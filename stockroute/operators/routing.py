@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from stockroute.config import RoutingParams
 from stockroute.functions.columns import EARTH_RADIUS_KM, haversine_km, vehicle_id
-from stockroute.operators.joins import row_count_at_most
+from stockroute.operators.joins import broadcast_if_small, row_count_at_most
 from stockroute.sources.schemas import ROUTE_SCHEMA
 
 DEPOT_ARRAY_MAX = 10_000
@@ -163,72 +163,110 @@ def _tours_local(tagged: DataFrame, n_vehicles: int, capacity: float) -> DataFra
     return tagged.groupBy("plan_id", "depot_idx").applyInPandas(fn, ROUTE_SCHEMA)
 
 
-def _tours_distributed(tagged: DataFrame, n_vehicles: int, capacity: float,
-                       checkpoint_every: int = 8) -> DataFrame:
-    """Same greedy rule for hot groups: one distributed arg-min per step over
-    all hot groups at once (partial aggregation splits each hot group over
-    many tasks); only one chosen row per group reaches the driver per step."""
+def _tours_distributed(tagged: DataFrame, n_vehicles: int, capacity: float) -> DataFrame:
+    """Same greedy rule for hot groups, fully distributed.
+
+    Per step, one arg-min over every hot group's open stops (partial
+    aggregation splits a hot group over many tasks).  The per-group state
+    (vehicle, position, load, distance), the step's candidates and the served
+    stops are small tables written each step to the shared checkpoint folder
+    (a reliable checkpoint would carry every earlier step's plan along); the
+    step's route rows are appended to a table in the same folder.  Only an
+    "any group still active" count reaches the driver.
+    """
+    import os
+    import uuid
+
+    from stockroute.session import ensure_checkpoint_dir
+
     spark = tagged.sparkSession
     keys = ["plan_id", "depot_idx"]
-    heads = {(int(r["plan_id"]), int(r["depot_idx"])): r for r in
-             tagged.groupBy(*keys).agg(F.first("depot_name").alias("depot_name"),
-                                       F.first("depot_lat").alias("depot_lat"),
-                                       F.first("depot_lon").alias("depot_lon")).collect()}
-    state = {g: dict(v=0, lat=h["depot_lat"], lon=h["depot_lon"], load=0.0, total=0.0,
-                     order=1, rows=[]) for g, h in heads.items()}
-    out_rows: list[tuple] = []
-    remaining = tagged.select(*keys, "stop_id", "stop_name", "lat", "lon", "demand")
-    active = set(state)
+    work = os.path.join(ensure_checkpoint_dir(spark), f"tours-{uuid.uuid4().hex}")
+    out_dir = os.path.join(work, "routes")
+
+    def written(df: DataFrame, name: str, i: int) -> DataFrame:
+        # a written table in the shared folder: survives executor loss and
+        # gives the next step a plain file scan instead of a growing plan
+        path = os.path.join(work, f"{name}-{i}")
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    cap = F.lit(float(capacity))
+    state = (tagged.groupBy(*keys)
+             .agg(F.first("depot_name").alias("depot_name"), F.first("depot_lat").alias("depot_lat"),
+                  F.first("depot_lon").alias("depot_lon"))
+             .withColumns({"v": F.lit(0), "c_lat": F.col("depot_lat"), "c_lon": F.col("depot_lon"),
+                           "load": F.lit(0.0), "total": F.lit(0.0), "ord": F.lit(1),
+                           "active": F.lit(True)}))
     step = 0
-    while active:
-        st = spark.createDataFrame(
-            [(g[0], g[1], float(state[g]["lat"]), float(state[g]["lon"]), float(state[g]["load"]))
-             for g in active], "plan_id long, depot_idx int, c_lat double, c_lon double, c_load double")
-        cand = (remaining.join(F.broadcast(st), keys)
-                .where(F.col("c_load") + F.col("demand") <= F.lit(float(capacity)))
+    state = written(state, "state", step)
+    # the hot groups' stops are written once; served stops go to a separate
+    # small table, so every step's plan has the same size (no growing lineage)
+    stops = written(tagged.select(*keys, "stop_id", "stop_name", "lat", "lon", "demand"),
+                    "stops", 0)
+    visited = spark.createDataFrame([], "plan_id long, depot_idx int, stop_id long")
+    wrote = False
+    while state.where("active").limit(1).count() > 0:
+        step += 1
+        act = state.where("active").select(*keys, "c_lat", "c_lon", "load")
+        cand = (stops.join(F.broadcast(act), keys)
+                .join(broadcast_if_small(visited), keys + ["stop_id"], "left_anti")
+                .where(F.col("load") + F.col("demand") <= cap)
                 .groupBy(*keys)
                 .agg(F.min(F.struct(haversine_km("c_lat", "c_lon", "lat", "lon").alias("km"),
-                                    F.col("stop_id").alias("stop_id"), "stop_name", "lat",
-                                    "lon", "demand")).alias("b")))
-        chosen = {(int(r["plan_id"]), int(r["depot_idx"])): r["b"] for r in cand.collect()}
-        taken = []
-        for g in list(active):
-            s, h = state[g], heads[g]
-            vid = f"V{g[1] + 1}_{s['v'] + 1}"
-            if g in chosen:
-                b = chosen[g]
-                if not s["rows"]:
-                    s["rows"].append((g[0], g[1], vid, 0, -1, h["depot_name"], h["depot_lat"],
-                                      h["depot_lon"], 0.0, 0.0, 0.0, 0.0, True))
-                s["load"] += b["demand"]
-                s["total"] += b["km"]
-                s["rows"].append((g[0], g[1], vid, s["order"], int(b["stop_id"]), b["stop_name"],
-                                  b["lat"], b["lon"], b["demand"], s["load"], b["km"],
-                                  s["total"], False))
-                s["lat"], s["lon"], s["order"] = b["lat"], b["lon"], s["order"] + 1
-                taken.append((g[0], g[1], int(b["stop_id"])))
-                continue
-            if s["rows"]:                          # close the tour with the return leg
-                back = float(_hav_np(s["lat"], s["lon"], h["depot_lat"], h["depot_lon"]))
-                s["total"] += back
-                s["rows"].append((g[0], g[1], vid, s["order"], -1,
-                                  f"{h['depot_name']} (return)", h["depot_lat"], h["depot_lon"],
-                                  0.0, s["load"], back, s["total"], True))
-                out_rows.extend(s["rows"])
-                still_open = True
-            else:
-                still_open = False                 # nothing fits an empty vehicle: done
-            s.update(v=s["v"] + 1, lat=h["depot_lat"], lon=h["depot_lon"], load=0.0, total=0.0,
-                     order=1, rows=[])
-            if not still_open or s["v"] >= n_vehicles:
-                active.discard(g)
-        if taken:
-            gone = spark.createDataFrame(taken, "plan_id long, depot_idx int, stop_id long")
-            remaining = remaining.join(F.broadcast(gone), keys + ["stop_id"], "left_anti")
-        step += 1
-        if step % checkpoint_every == 0:
-            remaining = remaining.checkpoint()
-    return spark.createDataFrame(out_rows, ROUTE_SCHEMA)
+                                    "stop_id", "stop_name", "lat", "lon", "demand")).alias("b")))
+        cand = written(cand, "cand", step)
+        nxt = state.join(cand, keys, "left")
+        has = F.col("active") & F.col("b").isNotNull()
+        closed = F.col("active") & F.col("b").isNull()
+        vid = vehicle_id(F.col("depot_idx"), F.col("v"))
+        zero = F.lit(0.0)
+        start_rows = nxt.where(has & (F.col("ord") == 1)).select(
+            *keys, vid.alias("Vehicle"), F.lit(0).alias("Stop_Order"),
+            F.lit(-1).cast("long").alias("stop_id"), F.col("depot_name").alias("Location"),
+            F.col("depot_lat").alias("Lat"), F.col("depot_lon").alias("Lon"), zero.alias("Demand"),
+            zero.alias("Cumulative_Load"), zero.alias("Distance_km"),
+            zero.alias("Cumulative_Distance_km"), F.lit(True).alias("Is_Depot"))
+        stop_rows = nxt.where(has).select(
+            *keys, vid.alias("Vehicle"), F.col("ord").alias("Stop_Order"),
+            F.col("b.stop_id").alias("stop_id"), F.col("b.stop_name").alias("Location"),
+            F.col("b.lat").alias("Lat"), F.col("b.lon").alias("Lon"), F.col("b.demand").alias("Demand"),
+            (F.col("load") + F.col("b.demand")).alias("Cumulative_Load"),
+            F.col("b.km").alias("Distance_km"),
+            (F.col("total") + F.col("b.km")).alias("Cumulative_Distance_km"),
+            F.lit(False).alias("Is_Depot"))
+        back = haversine_km("c_lat", "c_lon", "depot_lat", "depot_lon")
+        return_rows = nxt.where(closed & (F.col("ord") > 1)).select(
+            *keys, vid.alias("Vehicle"), F.col("ord").alias("Stop_Order"),
+            F.lit(-1).cast("long").alias("stop_id"),
+            F.concat(F.col("depot_name"), F.lit(" (return)")).alias("Location"),
+            F.col("depot_lat").alias("Lat"), F.col("depot_lon").alias("Lon"), zero.alias("Demand"),
+            F.col("load").alias("Cumulative_Load"), back.alias("Distance_km"),
+            (F.col("total") + back).alias("Cumulative_Distance_km"), F.lit(True).alias("Is_Depot"))
+        rows = start_rows.unionByName(stop_rows).unionByName(return_rows)
+        rows.select(*ROUTE_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(out_dir)
+
+        wrote = True
+        reopen = closed & (F.col("ord") > 1) & (F.col("v") + 1 < F.lit(n_vehicles))
+        state = nxt.select(
+            *keys, "depot_name", "depot_lat", "depot_lon",
+            F.when(closed, F.col("v") + 1).otherwise(F.col("v")).alias("v"),
+            F.when(has, F.col("b.lat")).when(closed, F.col("depot_lat"))
+            .otherwise(F.col("c_lat")).alias("c_lat"),
+            F.when(has, F.col("b.lon")).when(closed, F.col("depot_lon"))
+            .otherwise(F.col("c_lon")).alias("c_lon"),
+            F.when(has, F.col("load") + F.col("b.demand")).when(closed, zero)
+            .otherwise(F.col("load")).alias("load"),
+            F.when(has, F.col("total") + F.col("b.km")).when(closed, zero)
+            .otherwise(F.col("total")).alias("total"),
+            F.when(has, F.col("ord") + 1).when(closed, F.lit(1)).otherwise(F.col("ord")).alias("ord"),
+            (has | reopen).alias("active"))
+        state = written(state, "state", step)
+        visited = written(visited.unionByName(
+            cand.select(*keys, F.col("b.stop_id").alias("stop_id"))), "visited", step)
+    if not wrote:
+        return spark.createDataFrame([], ROUTE_SCHEMA)
+    return spark.read.schema(ROUTE_SCHEMA).parquet(out_dir)
 
 
 def solve_routes(stops: DataFrame, depots: DataFrame,
