@@ -24,11 +24,11 @@ def lookup_with_default(df: DataFrame, dim: DataFrame, key: str,
                         defaults: dict[str, object]) -> DataFrame:
     """Left lookup join on ``key`` with a default per value column.
 
-    ``dim`` is a constant or bounded dimension, so it is broadcast.
+    ``dim`` is broadcast when its size check passes, else joined by shuffle.
     """
     vals = [c for c in dim.columns if c != key]
     tmp = {c: f"__lk_{c}" for c in vals}
-    d = F.broadcast(dim.select(F.col(key), *[F.col(c).alias(tmp[c]) for c in vals]))
+    d = broadcast_if_small(dim.select(F.col(key), *[F.col(c).alias(tmp[c]) for c in vals]))
     out = df.join(d, key, "left")
     for c in vals:
         expr = F.col(tmp[c])

@@ -209,7 +209,7 @@ def _tours_distributed(tagged: DataFrame, n_vehicles: int, capacity: float) -> D
     while state.where("active").limit(1).count() > 0:
         step += 1
         act = state.where("active").select(*keys, "c_lat", "c_lon", "load")
-        cand = (stops.join(F.broadcast(act), keys)
+        cand = (stops.join(broadcast_if_small(act), keys)
                 .join(broadcast_if_small(visited), keys + ["stop_id"], "left_anti")
                 .where(F.col("load") + F.col("demand") <= cap)
                 .groupBy(*keys)

@@ -105,6 +105,42 @@ def supply_delay(pred: DataFrame, plan: DataFrame, delays=(7,),
                      / F.greatest(F.col("_n_plan"), F.lit(1))).alias("stockout_risk_pct")))
 
 
+def _nearest_two(stops: DataFrame, depots: DataFrame):
+    """Per stop: nearest depot distance, runner-up distance, and the depots at
+    the minimum distance (ties), as (distances, ties) frames.
+
+    Bounded depot tables travel as one array value; larger ones go through a
+    blocked equi-join (stops replicated per block of depots), exact either way.
+    """
+    from stockroute.operators.joins import row_count_at_most
+    from stockroute.operators.routing import DEPOT_ARRAY_MAX
+    from stockroute.functions.columns import haversine_km
+    if row_count_at_most(depots, DEPOT_ARRAY_MAX):
+        dd = depot_distances(stops, depots)
+        ties = dd.select("plan_id", "depot_dist", "second_dist",
+                         F.explode(F.filter("depot_km", lambda x: x["km"] <= F.col("depot_dist")))
+                         .alias("t"))
+        return dd, ties
+    blocks = -(-depots.count() // DEPOT_ARRAY_MAX)
+    keys = ["plan_id", "stop_id"]
+    d = depots.withColumn("_blk", F.pmod(F.col("depot_idx"), F.lit(blocks)))
+    s = stops.select(*keys, "lat", "lon").withColumn(
+        "_blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    pairs = s.join(d, "_blk").select(
+        *keys, F.col("depot_idx").alias("idx"),
+        haversine_km("lat", "lon", "depot_lat", "depot_lon").alias("km"))
+    best = pairs.groupBy(*keys).agg(F.min(F.struct("km", "idx")).alias("b"))
+    second = (pairs.join(best, keys).where(F.col("idx") != F.col("b.idx"))
+              .groupBy(*keys).agg(F.min("km").alias("second_dist")))
+    dd = (best.join(second, keys, "left")
+          .select(*keys, F.col("b.idx").alias("depot_idx"), F.col("b.km").alias("depot_dist"),
+                  "second_dist"))
+    ties = (pairs.join(dd, keys).where(F.col("km") <= F.col("depot_dist"))
+            .select("plan_id", "depot_dist", "second_dist",
+                    F.struct("km", "idx").alias("t")))
+    return dd, ties
+
+
 def depot_failure(stops: DataFrame, depots: DataFrame, routes: DataFrame | None = None,
                   failed=None, s: ScenarioParams = ScenarioParams()) -> DataFrame:
     """L3 per plan and failed depot: stores whose nearest depot fails, new
@@ -115,21 +151,23 @@ def depot_failure(stops: DataFrame, depots: DataFrame, routes: DataFrame | None
     (plan, nearest depot) gives every failure case.  Baseline = fleet
     distance of ``routes`` or, without routes, the round trips over all depots.
     """
-    dd = depot_distances(stops, depots)
+    dd, ties = _nearest_two(stops, depots)
     per_plan = dd.groupBy("plan_id").agg((2 * F.sum("depot_dist")).alias("rt_all"))
-    # stops whose distance to depot k is the minimum (ties included) -> reassigned
-    ties = dd.select("plan_id", "depot_dist", "second_dist",
-                     F.explode(F.filter("depot_km", lambda x: x["km"] <= F.col("depot_dist")))
-                     .alias("t"))
     per_k = ties.groupBy("plan_id", F.col("t.idx").alias("failed_depot")).agg(
         F.count("*").alias("stores_reassigned"),
         (2 * F.sum(F.coalesce(F.col("second_dist"), F.col("depot_dist"))
                    - F.col("depot_dist"))).alias("extra_km"))
-    ids = depots.agg(F.sort_array(F.collect_list("depot_idx"))).scalar()
+    if failed is not None:                   # explicit failure cases (small literal list)
+        ids = F.array(*[F.lit(int(k)) for k in failed])
+    else:                                    # every depot: bounded depot table only
+        from stockroute.operators.joins import row_count_at_most
+        from stockroute.operators.routing import DEPOT_ARRAY_MAX
+        if not row_count_at_most(depots, DEPOT_ARRAY_MAX):
+            raise ValueError("more than %d depots: pass failed=[...] to choose the failure "
+                             "cases" % DEPOT_ARRAY_MAX)
+        ids = depots.agg(F.sort_array(F.collect_list("depot_idx"))).scalar()
     cases = per_plan.withColumn("_ids", ids).select(
         "plan_id", "rt_all", F.explode("_ids").alias("failed_depot"))
-    if failed is not None:
-        cases = cases.where(F.col("failed_depot").isin(list(failed)))
     out = cases.join(per_k, ["plan_id", "failed_depot"], "left").select(
         "plan_id", "failed_depot",
         F.coalesce("stores_reassigned", F.lit(0)).alias("stores_reassigned"),

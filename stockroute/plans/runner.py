@@ -20,6 +20,7 @@ from stockroute.operators import inventory as INV
 from stockroute.operators import routing as RT
 from stockroute.operators import scenarios as SC
 from stockroute.operators.features import engineer_features
+from stockroute.operators.joins import broadcast_if_small
 from stockroute.operators.validate import validate_upload
 from stockroute.sources.schemas import depot_frame, store_coordinates, store_names
 
@@ -51,7 +52,7 @@ def stops_from_predictions(spark, predictions: DataFrame, default_demand: float)
     by city, with their 13-week demand (missing -> ``default_demand``)."""
     demand = predictions.groupBy("Store").agg(F.sum("Predicted_Weekly_Sales").alias("demand"))
     coords = store_coordinates(spark).join(store_names(spark), "Store")
-    return (demand.join(F.broadcast(coords), "Store")
+    return (demand.join(broadcast_if_small(coords), "Store")
             .select(F.lit(0).cast("long").alias("plan_id"), F.col("Store").cast("long").alias("stop_id"),
                     F.col("Store_Name").alias("stop_name"), F.col("Latitude").alias("lat"),
                     F.col("Longitude").alias("lon"),

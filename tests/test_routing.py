@@ -104,3 +104,18 @@ def test_stored_route_legs():
             (38.627, -90.1994, 750.35), (34.7465, -92.2896, 469.99), (39.8283, -98.5795, 792.64)]
     for (a, b, _), (c, d, leg) in zip(rows, rows[1:]):
         assert abs(R._hav_np(a, b, c, d) - leg) < 0.006
+
+
+def test_depot_failure_blocked_path_equals_array_path(spark, monkeypatch):
+    import stockroute.operators.routing as RR
+    stops = sample_stops(spark, default_demand=5000.0)
+    a = {r.failed_depot: (r.stores_reassigned, r.new_distance_km)
+         for r in depot_failure(stops, depot_frame(spark)).collect()}
+    monkeypatch.setattr(RR, "DEPOT_ARRAY_MAX", 1)
+    with pytest.raises(ValueError, match="pass failed"):
+        depot_failure(stops, depot_frame(spark))
+    b = {r.failed_depot: (r.stores_reassigned, r.new_distance_km)
+         for r in depot_failure(stops, depot_frame(spark), failed=[0, 1, 2]).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k][0] == b[k][0] and a[k][1] == pytest.approx(b[k][1])
