@@ -127,6 +127,35 @@ def q_prepare_history(spark, sf_dir):
         *HISTORY_COLS[:-1], F.col("Type_encoded").cast("double").alias("Type_encoded")))
 
 
+SCORING_SQL = (V.with_views("merged").replace(
+    "merged0 AS (\n  SELECT s.Store, s.Dept, s.Date, s.Weekly_Sales, s.IsHoliday,",
+    "scoring AS (SELECT Store, Dept, Date, IsHoliday FROM sales\n"
+    "            WHERE Date > (SELECT max(Date) FROM sales) - INTERVAL 91 DAY),\n"
+    "merged0 AS (\n  SELECT s.Store, s.Dept, s.Date, s.IsHoliday,")
+    .replace("FROM sales s LEFT JOIN stores st", "FROM scoring s LEFT JOIN stores st")
+    .replace("SELECT m.Store, m.Dept, m.Date, m.Weekly_Sales, CAST(m.IsHoliday AS INTEGER)",
+             "SELECT m.Store, m.Dept, m.Date, CAST(m.IsHoliday AS INTEGER)"))
+SCORING_COLS = [c for c in HISTORY_COLS if c != "Weekly_Sales"]
+
+
+@register("I2_prepare_scoring_set", SCORING_SQL + "\nSELECT "
+          + _sel(SCORING_COLS[:-1], DOUBLE_HISTORY)
+          + ", CAST(Type_encoded AS DOUBLE) AS Type_encoded FROM history")
+def q_prepare_scoring(spark, sf_dir):
+    """The scoring table (last 13 weeks, no target) prepared like the
+    history, imputed with its own medians."""
+    from stockroute.operators.features import prepare_history
+    from stockroute.sources import testdata as TD
+    from stockroute.sources.schemas import store_coordinates
+    panel = TD.sales_panel(spark, sf_dir)
+    cutoff = F.date_sub(panel.agg(F.max("Date")).scalar(), 91)
+    scoring = panel.where(F.col("Date") > cutoff).drop("Weekly_Sales")
+    out = prepare_history(scoring, TD.stores_dim(spark, sf_dir), TD.features_table(spark, sf_dir),
+                          store_coordinates(spark))
+    return rounded(out.select(*SCORING_COLS[:-1],
+                              F.col("Type_encoded").cast("double").alias("Type_encoded")))
+
+
 @register("I5_lag_features",
           V.with_views("lags") + "\nSELECT Store, Dept, Date, "
           + _sel(["Weekly_Sales"] + LAG_COLS[:-1], set(LAG_COLS) | {"Weekly_Sales"})
