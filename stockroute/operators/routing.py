@@ -41,18 +41,6 @@ def _ship_by_value() -> None:
 _ship_by_value()
 
 
-def pairwise_distances(a: DataFrame, b: DataFrame, key: str = "plan_id") -> DataFrame:
-    """Distances between points of the same group (equi-join on the
-    group key); used for audits of small groups, never by the solvers."""
-    x = a.select(key, F.col("stop_id").alias("a_id"), F.col("lat").alias("a_lat"),
-                 F.col("lon").alias("a_lon"))
-    y = b.select(key, F.col("stop_id").alias("b_id"), F.col("lat").alias("b_lat"),
-                 F.col("lon").alias("b_lon"))
-    return (x.join(y, key).where(F.col("a_id") != F.col("b_id"))
-            .select(key, "a_id", "b_id", haversine_km("a_lat", "a_lon", "b_lat", "b_lon")
-                    .alias("km")))
-
-
 def _depot_array(depots: DataFrame) -> Column:
     return depots.agg(F.sort_array(F.collect_list(F.struct(
         F.col("depot_idx").alias("idx"), F.col("depot_lat").alias("lat"),
@@ -358,7 +346,7 @@ def distance_savings(naive: Column, fleet: Column) -> dict[str, Column]:
             "saved_km_non_negative": F.greatest(F.lit(0.0), sv)}
 
 
-__all__ = ["pairwise_distances", "depot_distances", "nearest_depot", "naive_distance",
+__all__ = ["depot_distances", "nearest_depot", "naive_distance",
            "vehicles_per_depot", "solve_routes", "route_summary", "fleet_distance",
            "unserved_stops", "route_paths", "distance_savings", "route_legs_audit",
            "running_totals", "vehicle_id"]

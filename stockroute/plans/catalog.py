@@ -904,3 +904,70 @@ def q_headline_kpis(spark, sf_dir):
     metrics = regression_metrics(val, "Weekly_Sales", "Sales_RollingMean_4") \
         .withColumn("split", F.lit("val"))
     return rounded(headline_kpis(metrics, fallback_plan(spark, sf_dir), routes_q(spark, sf_dir)), 4)
+
+
+# ---------------------------------------------------------------- upload path, audits, labels
+UPLOAD_FEATURE_COLS = ["Store", "Dept", "Date", "Weekly_Sales", "IsHoliday", "Temperature",
+                       "Fuel_Price", "CPI", "Unemployment", "Type", "Size",
+                       "MarkDown1", "MarkDown2", "MarkDown3", "MarkDown4", "MarkDown5",
+                       "Year", "Month", "Week", "DayOfYear", "Quarter", "Type_encoded",
+                       "Latitude", "Longitude"]
+UPLOAD_DOUBLES = {"Weekly_Sales", "Temperature", "Fuel_Price", "CPI", "Unemployment",
+                  "MarkDown1", "MarkDown2", "MarkDown3", "MarkDown4", "MarkDown5",
+                  "Latitude", "Longitude"}
+
+
+@register("I3_engineer_features", V.with_views("merged").replace(
+    "CAST(CASE m.Type WHEN 'A' THEN 0 WHEN 'B' THEN 1 WHEN 'C' THEN 2 END AS INTEGER)",
+    "CAST(coalesce(CASE m.Type WHEN 'A' THEN 0 WHEN 'B' THEN 1 WHEN 'C' THEN 2 END, 1) AS INTEGER)")
+    + "\nSELECT " + _sel(UPLOAD_FEATURE_COLS, UPLOAD_DOUBLES) + " FROM history")
+def q_engineer_features(spark, sf_dir):
+    """The single-table upload path (unmapped type -> 1, optional
+    markdowns -> 0, medians over the upload)."""
+    from stockroute.operators.features import engineer_features
+    from stockroute.sources.schemas import store_coordinates
+    out = engineer_features(upload_table(spark, sf_dir), store_coordinates(spark))
+    return rounded(out.select(*UPLOAD_FEATURE_COLS))
+
+
+@register("G5_route_running_totals", TOUR_BASE + """
+SELECT plan_id, Vehicle, Stop_Order, """ + ", ".join([
+    r("coalesce(" + V._hav("lag(Lat) OVER w", "lag(Lon) OVER w", "Lat", "Lon") + ", 0.0)",
+      "leg_check", 4),
+    r("sum(Demand) OVER (w ROWS UNBOUNDED PRECEDING)", "load_check", 4),
+    r("sum(Distance_km) OVER (w ROWS UNBOUNDED PRECEDING)", "distance_check", 4)])
+    + " FROM route_rows WINDOW w AS (PARTITION BY plan_id, Vehicle ORDER BY Stop_Order)")
+def q_route_running_totals(spark, sf_dir):
+    """Legs recomputed from the previous stop and running load and
+    distance along every route (audit columns for the tours)."""
+    from stockroute.operators.routing import route_legs_audit, running_totals
+    audited = running_totals(route_legs_audit(routes_q(spark, sf_dir)))
+    return rounded(audited.select("plan_id", "Vehicle", "Stop_Order", "leg_check", "load_check",
+                                  "distance_check"), 4)
+
+
+def _names_values(d: dict) -> str:
+    return ", ".join(f"({k}, '{v.replace(chr(39), chr(39) * 2)}')" for k, v in sorted(d.items()))
+
+
+@register("C16_series_labels", V.with_views("panel") + ",\nsn(Store, Store_Name) AS (VALUES "
+          + _names_values(__import__("stockroute.sources.schemas", fromlist=["x"]).STORE_NAMES)
+          + "),\ndn(Dept, Dept_Name) AS (VALUES "
+          + _names_values(__import__("stockroute.sources.schemas", fromlist=["x"]).DEPT_NAMES)
+          + """)
+SELECT DISTINCT s.Store, s.Dept,
+       CASE WHEN coalesce(length(sn.Store_Name), 0) > 0
+            THEN 'Store ' || CAST(s.Store AS VARCHAR) || ' — ' || sn.Store_Name
+            ELSE 'Store ' || CAST(s.Store AS VARCHAR) END AS store_label,
+       CASE WHEN coalesce(length(dn.Dept_Name), 0) > 0
+            THEN 'Dept ' || CAST(s.Dept AS VARCHAR) || ' — ' || dn.Dept_Name
+            ELSE 'Dept ' || CAST(s.Dept AS VARCHAR) END AS dept_label
+FROM sales s LEFT JOIN sn ON s.Store = sn.Store LEFT JOIN dn ON s.Dept = dn.Dept""")
+def q_series_labels(spark, sf_dir):
+    """Display labels of every series (store and department names)."""
+    from stockroute.plans.reports import with_labels
+    from stockroute.sources import testdata as TD
+    from stockroute.sources.schemas import dept_names, store_names
+    keys = TD.sales_panel(spark, sf_dir).select("Store", "Dept").distinct()
+    return with_labels(keys, store_names(spark), dept_names(spark)).select(
+        "Store", "Dept", "store_label", "dept_label")
