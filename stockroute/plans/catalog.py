@@ -971,3 +971,14 @@ def q_series_labels(spark, sf_dir):
     keys = TD.sales_panel(spark, sf_dir).select("Store", "Dept").distinct()
     return with_labels(keys, store_names(spark), dept_names(spark)).select(
         "Store", "Dept", "store_label", "dept_label")
+
+
+@register("M8_actual_vs_predicted", V.with_views("lags") + "," + SPLIT_SQL + """
+SELECT Store, Dept, Date, """ + r("Weekly_Sales") + ", " + r("Sales_RollingMean_4", "Predicted_Sales")
+          + " FROM split WHERE split = 'val'")
+def q_actual_vs_predicted(spark, sf_dir):
+    """Actual versus (moving-average) predicted sales of every series
+    over the validation weeks; the dashboard filters one series of it."""
+    val = lagged(spark, sf_dir).where(F.col("split") == "val")
+    return rounded(val.select("Store", "Dept", "Date", "Weekly_Sales",
+                              F.col("Sales_RollingMean_4").alias("Predicted_Sales")))
