@@ -982,3 +982,51 @@ def q_actual_vs_predicted(spark, sf_dir):
     val = lagged(spark, sf_dir).where(F.col("split") == "val")
     return rounded(val.select("Store", "Dept", "Date", "Weekly_Sales",
                               F.col("Sales_RollingMean_4").alias("Predicted_Sales")))
+
+
+FUTURE_FEATURE_COLS = ["Store", "Dept", "Date", "Year", "Month", "Week", "DayOfYear", "Quarter",
+                       "Sales_Lag_1", "Sales_Lag_2", "Sales_Lag_4", "Sales_Lag_8", "Sales_Lag_12",
+                       "Sales_RollingMean_4", "Sales_RollingMean_12", "Sales_RollingStd_4"]
+
+
+@register("I11_forecast_features", V.with_views("merged") + """,
+rk AS (SELECT Store, Dept, Date, Weekly_Sales,
+              row_number() OVER (PARTITION BY Store, Dept ORDER BY Date DESC) AS rd,
+              count(*) OVER (PARTITION BY Store, Dept) AS n,
+              first_value(Weekly_Sales) OVER (PARTITION BY Store, Dept ORDER BY Date) AS first_v
+       FROM history),
+st AS (SELECT Store, Dept, any_value(n) AS n, any_value(first_v) AS first_v,
+              max(CASE WHEN rd = 1 THEN Weekly_Sales END) AS l1,
+              max(CASE WHEN rd = 2 THEN Weekly_Sales END) AS l2,
+              max(CASE WHEN rd = 4 THEN Weekly_Sales END) AS l4,
+              max(CASE WHEN rd = 8 THEN Weekly_Sales END) AS l8,
+              max(CASE WHEN rd = 12 THEN Weekly_Sales END) AS l12,
+              avg(CASE WHEN rd <= 4 THEN Weekly_Sales END) AS m4,
+              avg(CASE WHEN rd <= 12 THEN Weekly_Sales END) AS m12,
+              stddev_pop(CASE WHEN rd <= 4 THEN Weekly_Sales END) AS s4
+       FROM rk GROUP BY Store, Dept HAVING any_value(n) >= 13),
+fut AS (SELECT st.*, CAST((SELECT max(Date) FROM history) + CAST(7 * w.w AS INTEGER) AS DATE) AS Date
+        FROM st CROSS JOIN (SELECT unnest(range(1, 14)) AS w) w)
+SELECT Store, Dept, Date, CAST(year(Date) AS INTEGER) AS Year, CAST(month(Date) AS INTEGER) AS Month,
+       CAST(weekofyear(Date) AS INTEGER) AS Week, CAST(dayofyear(Date) AS INTEGER) AS DayOfYear,
+       CAST(quarter(Date) AS INTEGER) AS Quarter, """ + ", ".join([
+    r("CASE WHEN n - 1 >= 0 THEN l1 ELSE first_v END", "Sales_Lag_1"),
+    r("CASE WHEN n - 2 >= 0 THEN l2 ELSE first_v END", "Sales_Lag_2"),
+    r("CASE WHEN n - 4 >= 0 THEN l4 ELSE first_v END", "Sales_Lag_4"),
+    r("CASE WHEN n - 8 >= 0 THEN l8 ELSE first_v END", "Sales_Lag_8"),
+    r("CASE WHEN n - 12 >= 0 THEN l12 ELSE first_v END", "Sales_Lag_12"),
+    r("m4", "Sales_RollingMean_4"), r("m12", "Sales_RollingMean_12"),
+    r("CASE WHEN n >= 4 THEN s4 ELSE 0.0 END", "Sales_RollingStd_4", 4)]) + " FROM fut")
+def q_forecast_features(spark, sf_dir):
+    """I11 inputs (G7/G8/E6/C4): per eligible series and future week, the
+    lags taken from the sales tail (first value when too short), trailing
+    means and population std, and the future week's calendar parts."""
+    from stockroute.operators.forecast import _future_calendar, _step_features, series_state
+    p = _params().forecast
+    hist = history(spark, sf_dir)
+    last_date = hist.agg(F.max("Date")).scalar()
+    st = _step_features(series_state(hist, p), p)
+    rows = st.withColumn("w", F.explode(F.sequence(F.lit(1), F.lit(p.horizon)))) \
+        .withColumn("_last", last_date)
+    rows = _future_calendar(rows, F.col("_last"), F.col("w"))
+    return rounded(rows.select(*FUTURE_FEATURE_COLS), Sales_RollingStd_4=4)
