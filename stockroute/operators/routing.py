@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from stockroute.config import RoutingParams
 from stockroute.functions.columns import EARTH_RADIUS_KM, haversine_km, vehicle_id
-from stockroute.operators.joins import broadcast_if_small, row_count_at_most
+from stockroute.operators.joins import row_count_at_most
 from stockroute.sources.schemas import ROUTE_SCHEMA
 
 DEPOT_ARRAY_MAX = 10_000
@@ -151,7 +151,8 @@ def _tours_local(tagged: DataFrame, n_vehicles: int, capacity: float) -> DataFra
     return tagged.groupBy("plan_id", "depot_idx").applyInPandas(fn, ROUTE_SCHEMA)
 
 
-def _tours_distributed(tagged: DataFrame, n_vehicles: int, capacity: float) -> DataFrame:
+def _tours_distributed(tagged: DataFrame, n_vehicles: int, capacity: float,
+                       n_groups: int | None = None) -> DataFrame:
     """Same greedy rule for hot groups, fully distributed.
 
     Per step, one arg-min over every hot group's open stops (partial
@@ -194,11 +195,17 @@ def _tours_distributed(tagged: DataFrame, n_vehicles: int, capacity: float) -> D
                     "stops", 0)
     visited = spark.createDataFrame([], "plan_id long, depot_idx int, stop_id long")
     wrote = False
+    from stockroute.operators.joins import BROADCAST_MAX_ROWS
+    if n_groups is None:
+        n_groups = state.count()
+    served_bound = 0          # visited grows by at most one stop per group and step
     while state.where("active").limit(1).count() > 0:
         step += 1
         act = state.where("active").select(*keys, "c_lat", "c_lon", "load")
-        cand = (stops.join(broadcast_if_small(act), keys)
-                .join(broadcast_if_small(visited), keys + ["stop_id"], "left_anti")
+        act = F.broadcast(act) if n_groups <= BROADCAST_MAX_ROWS else act
+        seen = F.broadcast(visited) if served_bound <= BROADCAST_MAX_ROWS else visited
+        cand = (stops.join(act, keys)
+                .join(seen, keys + ["stop_id"], "left_anti")
                 .where(F.col("load") + F.col("demand") <= cap)
                 .groupBy(*keys)
                 .agg(F.min(F.struct(haversine_km("c_lat", "c_lon", "lat", "lon").alias("km"),
@@ -250,6 +257,7 @@ def _tours_distributed(tagged: DataFrame, n_vehicles: int, capacity: float) -> D
             F.when(has, F.col("ord") + 1).when(closed, F.lit(1)).otherwise(F.col("ord")).alias("ord"),
             (has | reopen).alias("active"))
         state = written(state, "state", step)
+        served_bound += n_groups
         visited = written(visited.unionByName(
             cand.select(*keys, F.col("b.stop_id").alias("stop_id"))), "visited", step)
     if not wrote:
@@ -273,11 +281,12 @@ def solve_routes(stops: DataFrame, depots: DataFrame,
     hot = sizes.where(F.col("count") > p.local_group_limit).select("plan_id", "depot_idx")
     if hot.limit(1).count() == 0:
         return _tours_local(tagged, nv, p.capacity)
-    hot = F.broadcast(hot) if row_count_at_most(hot, 100_000) else hot
+    n_hot = hot.count()
+    hot = F.broadcast(hot) if n_hot <= 100_000 else hot
     small = tagged.join(hot, ["plan_id", "depot_idx"], "left_anti")
     big = tagged.join(hot, ["plan_id", "depot_idx"], "left_semi")
     return _tours_local(small, nv, p.capacity).unionByName(
-        _tours_distributed(big, nv, p.capacity))
+        _tours_distributed(big, nv, p.capacity, n_hot))
 
 
 def route_legs_audit(routes: DataFrame) -> DataFrame:
