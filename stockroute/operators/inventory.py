@@ -146,6 +146,47 @@ def order_up_to(series: DataFrame) -> DataFrame:
     return out.withColumn("orders", orders).drop("_C")
 
 
+def order_up_to_capped(series: DataFrame, max_order: float) -> DataFrame:
+    """J3 with the order cap: order_t = min(cap, max(0, d_t + safety - inv_{t-1})),
+    a sequential fold over the demand array (O(T)); ``feasible`` is false when
+    the cap let a level fall below the safety stock."""
+    cap = F.lit(float(max_order))
+    eps = F.lit(1e-9) * F.greatest(F.lit(1.0), F.abs(F.col("safety")))
+
+    def step(acc, d):
+        raw = d + F.col("safety") - acc["inv"]
+        o = F.least(cap, F.when(raw > eps, raw).otherwise(F.lit(0.0)))
+        inv = acc["inv"] + o - d
+        return F.struct(inv.alias("inv"), F.concat(acc["o"], F.array(o)).alias("o"),
+                        F.concat(acc["l"], F.array(inv)).alias("l"))
+
+    init = F.struct(F.col("initial").alias("inv"), F.array().cast("array<double>").alias("o"),
+                    F.array().cast("array<double>").alias("l"))
+    fold = F.aggregate("demand", init, step)
+    out = series.withColumn("_fold", fold)
+    return (out.withColumn("orders", F.col("_fold.o")).withColumn("levels", F.col("_fold.l"))
+            .withColumn("feasible", F.array_min("levels") >= F.col("safety") - eps)
+            .drop("_fold"))
+
+
+def plan_with_cap(series: DataFrame, p: InventoryParams = InventoryParams()) -> DataFrame:
+    """J2 where it is exact (no single order above ``max_order``), else the
+    capped order-up-to policy; ``method`` and ``feasible`` tell which."""
+    ww = lot_size(series, p)
+    capped = order_up_to_capped(series, p.max_order).select(
+        *[c for c in series.columns], F.col("orders").alias("_co"), F.col("levels").alias("_cl"),
+        F.col("feasible").alias("_cf"))
+    keys = [c for c in series.columns if c not in ("demand", "T", "safety", "initial")]
+    j = ww.join(capped.select(*keys, "_co", "_cl", "_cf"), keys)
+    return j.select(
+        *series.columns,
+        F.when(F.col("exact"), F.col("orders")).otherwise(F.col("_co")).alias("orders"),
+        F.when(F.col("exact"), F.col("levels")).otherwise(F.col("_cl")).alias("levels"),
+        F.when(F.col("exact"), F.lit("optimal")).otherwise(F.lit("capped_order_up_to"))
+        .alias("method"),
+        F.when(F.col("exact"), F.lit(True)).otherwise(F.col("_cf")).alias("feasible"))
+
+
 def plan_rows(planned: DataFrame, p: InventoryParams = InventoryParams(), keys=("Store",),
               order_threshold: float = 0.01, rounded: bool = False) -> DataFrame:
     """One row per (store, week) with period costs.
@@ -177,9 +218,10 @@ def plan_rows(planned: DataFrame, p: InventoryParams = InventoryParams(), keys=(
 
 def optimise_inventory(pred: DataFrame, p: InventoryParams = InventoryParams(),
                        rounded: bool = False) -> DataFrame:
-    """All-store plan from predictions (F1 -> D5 -> J2 -> J4)."""
+    """All-store plan from predictions (F1 -> D5 -> J2 -> J4); series
+    whose optimal plan would break the order cap get the capped policy."""
     series = demand_series(store_week_demand(pred), p)
-    return plan_rows(lot_size(series, p), p, rounded=rounded)
+    return plan_rows(plan_with_cap(series, p), p, rounded=rounded)
 
 
 def naive_cost(series: DataFrame, p: InventoryParams = InventoryParams(),

@@ -78,7 +78,7 @@ def run_planning(upload: DataFrame, params: PlanningParams = PlanningParams(),
     preds = preds.checkpoint()
     _describe(spark, "inventory", progress)
     series = INV.demand_series(INV.store_week_demand(preds), params.inventory)
-    plan = INV.plan_rows(INV.lot_size(series, params.inventory), params.inventory)
+    plan = INV.plan_rows(INV.plan_with_cap(series, params.inventory), params.inventory)
     naive = INV.naive_cost(series, params.inventory)
     _describe(spark, "routing", progress)
     depots = depot_frame(spark, params.routing.depots)

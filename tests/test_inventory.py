@@ -117,3 +117,15 @@ def test_long_horizon_plan_is_feasible_and_cheaper(spark):
         .agg(F.sum("Total_Cost").alias("c")).collect()
     opt = rows.groupby("Store").Total_Cost.sum()
     assert all(opt[r.Store] <= r.c + 1e-6 for r in fb)
+
+
+def test_cap_binding_series_get_capped_policy(spark):
+    from dataclasses import replace
+    from stockroute.operators.inventory import plan_with_cap
+    p = replace(P, max_order=30000.0)
+    series = [[10000.0, 10000.0, 10000.0], [40000.0, 90000.0, 20000.0]]
+    planned = {r.Store: r for r in plan_with_cap(_series_frame(spark, series), p).collect()}
+    assert planned[0].method == "optimal" and planned[0].feasible
+    assert planned[1].method == "capped_order_up_to"
+    assert max(planned[1].orders) <= 30000.0 + 1e-9
+    assert planned[1].feasible is False            # 90000 in one week cannot be met under the cap
