@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stockroute.config import InventoryParams, RoutingParams, ScenarioParams
 from stockroute.functions.columns import ceil_floor_zero, delay_demand, pct_change, scale_when
-from stockroute.operators.routing import depot_distances, fleet_distance, naive_distance
+from stockroute.operators.routing import depot_distances, fleet_distance
 
 
 def _lit_array(values, typ="double"):
