@@ -81,6 +81,7 @@ def _sel(cols, doubles) -> str:
 
 # ---------------------------------------------------------------- history
 _SHARED: dict = {}
+HISTORY_ROWS_PER_PARTITION = 250_000
 
 
 def shared(spark: SparkSession, key: tuple, build):
@@ -106,7 +107,12 @@ def _prepared_history(spark: SparkSession, sf_dir: str, type_default):
                           TD.features_table(spark, sf_dir), store_coordinates(spark),
                           type_default).persist(StorageLevel.MEMORY_AND_DISK)
     try:   # median passes and the checkpoint write share the persisted join
-        return impute_median(joined, IMPUTED).checkpoint()
+        rows = joined.count()
+        # sized to the data (the checkpoint path is not coalesced by AQE, so
+        # a default session would otherwise write 200 tiny partitions) and
+        # hash-partitioned by series so each partition holds whole series
+        parts = max(1, -(-rows // HISTORY_ROWS_PER_PARTITION))
+        return impute_median(joined, IMPUTED).repartition(parts, "Store", "Dept").checkpoint()
     finally:
         joined.unpersist()
 
