@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from stockroute.config import RoutingParams
 from stockroute.functions.columns import EARTH_RADIUS_KM, haversine_km, vehicle_id
-from stockroute.operators.joins import row_count_at_most
+from stockroute.operators.joins import BROADCAST_MAX_ROWS, row_count_at_most
 from stockroute.sources.schemas import ROUTE_SCHEMA
 
 DEPOT_ARRAY_MAX = 10_000
@@ -195,7 +195,6 @@ def _tours_distributed(tagged: DataFrame, n_vehicles: int, capacity: float,
                     "stops", 0)
     visited = spark.createDataFrame([], "plan_id long, depot_idx int, stop_id long")
     wrote = False
-    from stockroute.operators.joins import BROADCAST_MAX_ROWS
     if n_groups is None:
         n_groups = state.count()
     served_bound = 0          # visited grows by at most one stop per group and step
