@@ -157,3 +157,21 @@ FROM fit LEFT JOIN reach r ON r.u = host || chr(10) || path
 def op4(spark, sf_dir):
     from stockroute.llm.redirects import judge
     return judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+# ------------------------------------------------------------- 5: toxicity
+@register("op5_toxicity_nnpu")
+def op5(spark, sf_dir):
+    from stockroute.llm import toxicity as tx
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = tx.fit(docs, table(spark, sf_dir, "labels"))
+    return tx.score(docs, model, ["doc_id"]).select(
+        "doc_id", tx.held_out(F.col("doc_id")).alias("held_out"), F.col("pu_score").alias("score"),
+        (F.col("pu_score") >= tx.THRESHOLD).cast("int").alias("predicted"))
+
+
+# ------------------------------------------------------------- 6: packing
+@register("op6_bestfit_packing")
+def op6(spark, sf_dir):
+    from stockroute.llm.packing import pack_documents
+    return pack_documents(table(spark, sf_dir, "documents"))
