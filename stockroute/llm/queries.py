@@ -175,3 +175,54 @@ def op5(spark, sf_dir):
 def op6(spark, sf_dir):
     from stockroute.llm.packing import pack_documents
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------- 8: fingerprints
+MERKLE_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+         coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id NULLS FIRST),
+                  first_value(coalesce(text, '')) OVER (ORDER BY doc_id NULLS FIRST)) AS next_text
+  FROM documents),
+texts AS (
+  SELECT doc_id, n, 0 AS which, text AS t FROM docs
+  UNION ALL SELECT doc_id, n, 1, substr(text, 1, n - n // 2) || substr(next_text, 1, n // 2) FROM docs
+  UNION ALL SELECT doc_id, n, 2, next_text FROM docs),
+levels AS (
+  SELECT doc_id, n, which, t,
+    list_transform(regexp_extract_all(t, '(?s).*?\n\n|(?s).+'), lambda s:
+      list_transform(regexp_extract_all(s, '[^\n]*\n|[^\n]+'), lambda p:
+        list_transform(CASE WHEN length(p) < 320 THEN regexp_extract_all(p, '{short}')
+                            ELSE regexp_extract_all(p, '{long}') END, lambda c: md5(c)))) AS lv
+  FROM texts),
+prints AS (
+  SELECT doc_id, n, which, t,
+    sha256(array_to_string(list_transform(lv, lambda s: md5(array_to_string(
+      list_transform(s, lambda p: md5(array_to_string(p, ''))), ''))), '')) AS root,
+    list_transform(flatten(flatten(lv)), lambda d: substr(d, 1, 10)) AS leaves
+  FROM levels)
+SELECT a.doc_id, a.n AS n_chars, sha256(e.t) AS edited_sha256,
+  a.root || ':' || array_to_string(a.leaves, '') AS fingerprint,
+  e.root || ':' || array_to_string(e.leaves, '') AS edited_fingerprint,
+  {near_e} AS near_edited, {near_x} AS near_next
+FROM prints a JOIN prints e ON a.doc_id = e.doc_id AND a.which = 0 AND e.which = 1
+JOIN prints x ON a.doc_id = x.doc_id AND x.which = 2
+"""
+
+
+def _near(b: str) -> str:
+    n = f"(len(list_distinct(a.leaves)) + len(list_distinct({b}.leaves)))"
+    return (f"CASE WHEN a.root = {b}.root THEN 1.0::DOUBLE WHEN {n} = 0 THEN 0.0::DOUBLE"
+            f" ELSE 2.0::DOUBLE * len(list_intersect(a.leaves, {b}.leaves)) / {n} END")
+
+
+def _merkle_sql() -> str:
+    from stockroute.llm import merkle as mk
+    return (MERKLE_SQL.replace("{short}", mk.SHORT_CLAUSE).replace("{long}", mk.LONG_CLAUSE)
+            .replace("{near_e}", _near("e")).replace("{near_x}", _near("x")))
+
+
+@register("op8_merkle_fingerprints", _merkle_sql())
+def op8(spark, sf_dir):
+    from stockroute.llm.merkle import compare
+    return compare(table(spark, sf_dir, "documents"))

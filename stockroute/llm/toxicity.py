@@ -123,9 +123,15 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_unlabelled: int = 9000,
-        max_features: int = 4096, min_z: float = 4.0, min_texts: int = 3) -> Model:
+        max_features: int = 4096, min_z: float = 4.0, min_texts: int = 3,
+        min_precision: float = 0.6, prior_share: float = 0.95) -> Model:
     """Fit on confirmed toxic texts plus unlabelled ones, held-out rows aside.
 
+    A feature is used if it is more frequent among the positives (``min_z``)
+    and if, with the prior, at least ``min_precision`` of the unlabelled texts
+    that hold it should be toxic.  The risk uses ``prior_share`` of the labelled
+    share of toxic rows, as some of those show no sign of it.
+
     Without a toxic training row, or without any text, the model has no
     features and scores every text the prior (0 without labels).
     """
@@ -149,8 +155,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_unlabe
         F.sum("p").alias("p"), F.sum("u").alias("u"))
     share = (F.col("p") + F.col("u")) / (n_p + n_u)
     z = (F.col("p") / n_p - F.col("u") / n_u) / F.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u))
+    precision = prior * F.col("p") / n_p / ((F.col("u") + F.sqrt("u") + 1) / n_u)
     best = (counts.where((F.col("p") >= min_texts) & (share < 1)).withColumn("z", z)
-            .where(F.col("z") >= min_z).orderBy(F.desc("z"), "f").limit(max_features).select("f").collect())
+            .where((F.col("z") >= min_z) & (precision >= min_precision)).orderBy(F.desc("z"), "f").limit(max_features).select("f").collect())
     keys = np.sort(np.array([r["f"] for r in best], np.int64).view(np.uint64))
     if not len(keys):
         return none
@@ -168,7 +175,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_unlabe
 
     got = sample.mapInArrow(rows, "positive boolean, at array<int>").collect()
     weights, bias = nnpu_fit([np.array(r["at"], np.int64) for r in got],
-                             np.array([r["positive"] for r in got], bool), len(keys), prior)
+                             np.array([r["positive"] for r in got], bool), len(keys),
+                             prior * prior_share)
     return Model(keys, weights, bias)
 
 
