@@ -264,3 +264,12 @@ def _merkle_sql() -> str:
 def op8(spark, sf_dir):
     from stockroute.llm.merkle import compare
     return compare(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------- 7: substring dedup
+@register("op7_suffix_dedup")
+def op7(spark, sf_dir):
+    from stockroute.llm.suffixtrees import remove_repeats
+    out = remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("sf_n_words").alias("n_words"), F.col("sf_n_removed").alias("n_removed"),
+                      F.sha2("sf_kept", 256).alias("kept_sha256"))
