@@ -273,3 +273,10 @@ def op7(spark, sf_dir):
     out = remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.col("sf_n_words").alias("n_words"), F.col("sf_n_removed").alias("n_removed"),
                       F.sha2("sf_kept", 256).alias("kept_sha256"))
+
+
+# ------------------------------------------------------------- 10: n-gram Jaccard join
+@register("op10_ngram_jaccard_join")
+def op10(spark, sf_dir):
+    from stockroute.llm.prefixjoin import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
