@@ -280,3 +280,10 @@ def op7(spark, sf_dir):
 def op10(spark, sf_dir):
     from stockroute.llm.prefixjoin import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+# ------------------------------------------------------------- 9: language-model scores
+@register("op9_katz_scores")
+def op9(spark, sf_dir):
+    from stockroute.llm.katz import score
+    return score(table(spark, sf_dir, "documents"))
