@@ -57,11 +57,14 @@ def fingerprint(root_: Column, leaves_: Column) -> Column:
 
 
 def likeness(root_a: Column, leaves_a: Column, root_b: Column, leaves_b: Column) -> Column:
-    """1 for equal roots, else the share of distinct clauses in common (Dice)."""
+    """1 for equal roots, else the larger of two shares: of distinct clauses in
+    common (Dice), and of places with the same clause."""
     n = F.size(F.array_distinct(leaves_a)) + F.size(F.array_distinct(leaves_b))
     common = F.size(F.array_intersect(leaves_a, leaves_b))
+    in_place = F.size(F.filter(F.zip_with(leaves_a, leaves_b, lambda x, y: x == y), lambda same: same))
     return (F.when(root_a == root_b, F.lit(1.0)).when(n == 0, F.lit(0.0))
-            .otherwise(F.lit(2.0) * common / n))
+            .otherwise(F.greatest(F.lit(2.0) * common / n,
+                                  F.lit(1.0) * in_place / F.greatest(F.size(leaves_a), F.size(leaves_b)))))
 
 
 def _splits(keys: DataFrame, rows_per_bucket: int) -> list[int]:

@@ -309,9 +309,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
                      .mapInArrow(_verify(percent), "u long, v long"), "join-links")
 
     lone = F.lit(LEAST)
-    leaders = F.struct("copies", -F.col("cid"))
-    lead = members.groupBy("gid").agg(F.max(leaders).alias("l")).select("gid", (-F.col("l.col2")).alias("lead"))
-    lead = stage(lead, "join-leads")
+    most = F.struct((-F.col("copies")).alias("few"), "cid")
+    lead = stage(members.groupBy("gid").agg(F.min(most).alias("l")).select("gid", F.col("l.cid").alias("lead")),
+                 "join-leads")
     # first round: leading groups of each list; leading classes of both sides
     first = (postings(groups.withColumn("comp", lone), F.slice("prefix", 1, LEAD_PLACES))
              .mapInArrow(_by_lists(_leader_pairs(percent, LEADERS), list_rows), "ga long, gb long").distinct())

@@ -251,7 +251,9 @@ JOIN prints x ON a.doc_id = x.doc_id AND x.which = 2
 def _near(b: str) -> str:
     n = f"(len(list_distinct(a.leaves)) + len(list_distinct({b}.leaves)))"
     return (f"CASE WHEN a.root = {b}.root THEN 1.0::DOUBLE WHEN {n} = 0 THEN 0.0::DOUBLE"
-            f" ELSE 2.0::DOUBLE * len(list_intersect(a.leaves, {b}.leaves)) / {n} END")
+            f" ELSE greatest(2.0::DOUBLE * len(list_intersect(a.leaves, {b}.leaves)) / {n},"
+            f" 1.0::DOUBLE * len(list_filter(list_zip(a.leaves, {b}.leaves), lambda p: coalesce(p[1] = p[2], false)))"
+            f" / greatest(len(a.leaves), len({b}.leaves))) END")
 
 
 def _merkle_sql() -> str:

@@ -248,8 +248,8 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, seed: int = SEED_WORDS,
 def _strip(keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lo, cut = _list_column(b["lo"])
-            hi, _ = _list_column(b["hi"])
+            lo, cut = _list_column(b["sf_lo"])
+            hi, _ = _list_column(b["sf_hi"])
             texts, words, removed = [], [], []
             for w in ws.scan(b["sf_text"]):
                 first, last = w.first, w.first + w.docs
@@ -292,12 +292,13 @@ def remove_repeats(docs: DataFrame, keep: list[str] | None = None, width: int =
     spans = repeated_spans(docs.select(key.alias("doc_id"), docs["text"].alias("text")),
                            width, seed, heavy, run_windows)
     spans = stage(spans.groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("s"))
-                  .select(F.col("doc_id").alias("sf_id"), F.col("s.lo").alias("lo"), F.col("s.hi").alias("hi")),
+                  .select(F.col("doc_id").alias("sf_id"), F.col("s.lo").alias("sf_lo"), F.col("s.hi").alias("sf_hi")),
                   "suffix-spans")
     src = docs.select(*[docs[c] for c in keep], docs["text"].alias("sf_text"), key.alias("sf_key"))
     none = F.array().cast("array<int>")
     joined = src.join(spans, F.col("sf_key") == F.col("sf_id"), "left").select(
-        *[src[c] for c in keep], "sf_text", F.coalesce("lo", none).alias("lo"), F.coalesce("hi", none).alias("hi"))
+        *[src[c] for c in keep], "sf_text", F.coalesce("sf_lo", none).alias("sf_lo"),
+        F.coalesce("sf_hi", none).alias("sf_hi"))
     schema = (docs.select(*[docs[c] for c in keep]).schema.add("sf_kept", "string")
               .add("sf_n_words", "long").add("sf_n_removed", "long"))
     return joined.mapInArrow(_strip(keep), schema)
