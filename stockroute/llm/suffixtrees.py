@@ -7,13 +7,16 @@ length:
 1.  Of its runs of ``seed`` words (8) the window's anchor is the one with the
     least hash, so equal windows have equal anchors.  An anchor met once can't
     start a repeat; only the others go on.
-2.  Windows that share an anchor form one group.  Groups are sent by anchor to
-    partitions and taken in memory-sized runs of whole groups; their suffixes
-    are sorted by words, and neighbours that agree in ``width`` words lie below
-    one deep internal node of the group's subtree.
-3.  An anchor with more than ``heavy`` places is too long a group: its windows
-    are filed under all their words, which makes each group one deep node.
-    Such nodes are found by a distributed minimum, whatever their size.
+2.  The consecutive windows of one anchor travel as one stretch of words.  Of
+    equal stretches only the earliest goes on; the others are repeats whole.
+3.  Stretches that share an anchor form one group.  Groups are sent by anchor
+    to partitions and taken in memory-sized runs of whole groups; their
+    suffixes are sorted by words, and neighbours that agree in ``width`` words
+    lie below one deep internal node of the group's subtree.
+4.  An anchor with more than ``heavy`` different stretches is too long a group:
+    its windows are filed under all their words, which makes each group one
+    deep node.  Such nodes are found by a distributed minimum, whatever their
+    size.
 
 Of the leaves below a deep node the earliest (least doc_id, then place) stays;
 the words of the other windows are removed.  Texts with the same words as an
@@ -79,7 +82,8 @@ def _outline(width: int, seed: int):
 
 
 _OUTLINE = "doc_id long, n_words long, key0 long, key1 long, anchor array<long>, place array<int>"
-_FILED = "heavy boolean, k0 long, k1 long, doc_id long, start int, windows int, words binary"
+_STRETCH = "k0 long, c0 long, c1 long, doc_id long, start int, windows int, words binary"
+_WINDOWS = "k0 long, k1 long, doc_id long, start int"
 
 
 def _list_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -89,52 +93,59 @@ def _list_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (flat.to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(n)]).astype(np.int64))
 
 
-def _file_windows(width: int, seed: int):
-    """Windows with a shared anchor: a row each under all their words if it is
-    heavy, else a row a document and anchor with the words of its windows."""
+def _stretches(width: int, seed: int):
+    """A row for the windows of each document and shared anchor, with their words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             doc_ids = b["doc_id"].to_numpy(zero_copy_only=False).astype(np.int64)
-            places, p_cut = _list_column(b["places"])       # 2 * place + heavy
+            places, p_cut = _list_column(b["places"])
             for w in ws.scan(b["text"]):
                 h, first, last = w.hashes, w.first, w.first + w.docs
-                start, anchor, g = window_anchors(h, w.bounds, width, seed)
-                kind = np.zeros(len(h) + 1, np.int8)        # 0: met once, 1: shared, 2: heavy
+                s, a, g = window_anchors(h, w.bounds, width, seed)
+                shared = np.zeros(len(h) + 1, bool)
                 own = places[p_cut[first]:p_cut[last]].astype(np.int64)
-                base = np.repeat(w.bounds[:-1], np.diff(p_cut[first:last + 1]))
-                kind[base + (own >> 1)] = 1 + (own & 1)
-                of = kind[anchor]
-                doc = w.doc_of_word()
-                # heavy: the key is made of both halves of the window
-                s = start[of == 2]
-                if len(s):
-                    k0, k1 = ws.grams(h, width), ws.grams(h[::-1], width)[::-1]
-                    d = doc[s]
-                    yield _filed(True, k0[s], k1[s], doc_ids[first + d], s - w.bounds[d],
-                                 np.ones(len(s), np.int32), None)
-                keep = of == 1
-                s, a = start[keep], anchor[keep]
-                if len(s):
-                    head = np.flatnonzero(np.diff(a, prepend=-1) != 0)
-                    n = np.diff(np.append(head, len(s)))
-                    s, a = s[head], a[head]
-                    flat = h[ws.ranges(s, n + width - 1)].tobytes()
-                    cut = np.concatenate([[0], np.cumsum(8 * (n + width - 1))]).astype(np.int32)
-                    words = pa.Array.from_buffers(pa.binary(), len(s),
-                                                  [None, pa.py_buffer(cut), pa.py_buffer(flat)])
-                    d = doc[s]
-                    yield _filed(False, g[a], np.zeros(len(s), np.uint64), doc_ids[first + d],
-                                 s - w.bounds[d], n.astype(np.int32), words)
+                shared[np.repeat(w.bounds[:-1], np.diff(p_cut[first:last + 1])) + own] = True
+                s, a = s[shared[a]], a[shared[a]]
+                if not len(s):
+                    continue
+                head = np.flatnonzero(np.diff(a, prepend=-1) != 0)
+                n = np.diff(np.append(head, len(s)))
+                s, a = s[head], a[head]
+                flat = h[ws.ranges(s, n + width - 1)]
+                cut = np.concatenate([[0], np.cumsum(n + width - 1)])
+                c0, c1 = ws.sequence_keys(flat, cut)
+                d = w.doc_of_word()[s]
+                yield pa.record_batch(
+                    [pa.array(g[a].view(np.int64)), pa.array(c0.view(np.int64)), pa.array(c1.view(np.int64)),
+                     pa.array(doc_ids[first + d]), pa.array((s - w.bounds[d]).astype(np.int32)),
+                     pa.array(n.astype(np.int32)),
+                     pa.Array.from_buffers(pa.binary(), len(s), [None, pa.py_buffer((8 * cut).astype(np.int32)),
+                                                                 pa.py_buffer(flat.tobytes())])],
+                    names=["k0", "c0", "c1", "doc_id", "start", "windows", "words"])
     return run
 
 
-def _filed(heavy, k0, k1, doc_id, start, windows, words) -> pa.RecordBatch:
-    n = len(k0)
-    return pa.record_batch(
-        [pa.array(np.full(n, heavy)), pa.array(k0.view(np.int64)), pa.array(k1.view(np.int64)),
-         pa.array(doc_id), pa.array(start.astype(np.int32)), pa.array(windows),
-         words if words is not None else pa.nulls(n, pa.binary())],
-        names=["heavy", "k0", "k1", "doc_id", "start", "windows", "words"])
+def _expand(t: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All words of the stretches, and each window's place in them, document and start."""
+    n = t["windows"].to_numpy().astype(np.int64)
+    words = np.frombuffer(b"".join(t["words"].to_pylist()), np.uint64)
+    at = ws.ranges(np.concatenate([[0], np.cumsum(n + width - 1)[:-1]]), n)
+    return (words, at, np.repeat(t["doc_id"].to_numpy(), n),
+            ws.ranges(t["start"].to_numpy().astype(np.int64), n))
+
+
+def _windows(width: int):
+    """A row a window, under two keys of all its words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            words, at, doc, start = _expand(pa.Table.from_batches([b]), width)
+            k0, k1 = ws.grams(words, width), ws.grams(words[::-1], width)[::-1]
+            yield pa.record_batch([pa.array(k0[at].view(np.int64)), pa.array(k1[at].view(np.int64)),
+                                   pa.array(doc), pa.array(start.astype(np.int32))],
+                                  names=["k0", "k1", "doc_id", "start"])
+    return run
 
 
 def repeated_leaves(words: np.ndarray, at: np.ndarray, doc: np.ndarray, start: np.ndarray,
@@ -163,12 +174,7 @@ def repeated_leaves(words: np.ndarray, at: np.ndarray, doc: np.ndarray, start: n
 def _subtrees(width: int, run_windows: int):
     """Spans of repeated words from rows sorted by prefix, in runs of whole groups."""
     def solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        n = t["windows"].to_numpy().astype(np.int64)
-        words = np.frombuffer(b"".join(t["words"].to_pylist()), np.uint64)
-        base = np.concatenate([[0], np.cumsum(n + width - 1)[:-1]])
-        at = ws.ranges(base, n)
-        doc = np.repeat(t["doc_id"].to_numpy(), n)
-        start = ws.ranges(t["start"].to_numpy().astype(np.int64), n)
+        words, at, doc, start = _expand(t, width)
         again = repeated_leaves(words, at, doc, start, width)
         if again.any():
             yield _spans(doc[again], start[again], width)
@@ -221,28 +227,36 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, seed: int = SEED_WORDS,
                   .select("doc_id", F.explode(F.arrays_zip("anchor", "place")).alias("a"))
                   .select("doc_id", F.col("a.anchor").alias("anchor"), F.col("a.place").alias("place")),
                   "suffix-anchors")
-    shared = stage(fresh.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-                   .select("anchor", (F.col("n") > heavy).cast("int").alias("heavy")), "suffix-shared")
-    places = (fresh.join(shared, "anchor")
-              .select("doc_id", (F.col("place") * 2 + F.col("heavy")).alias("p"))
-              .groupBy("doc_id").agg(F.collect_set("p").alias("places")))
-    places = stage(places, "suffix-places")
+    shared = stage(fresh.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"),
+                   "suffix-shared")
+    places = stage(fresh.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("place").alias("places")),
+                   "suffix-places")
     filed = stage(docs.join(places, "doc_id").select("doc_id", "text", "places")
-                  .mapInArrow(_file_windows(width, seed), _FILED), "suffix-windows")
-    light = filed.where(~F.col("heavy"))
-    size = light.agg(F.sum(F.length("words") + 40)).first()[0] or 0
+                  .mapInArrow(_stretches(width, seed), _STRETCH), "suffix-stretches")
+    same = ["k0", "c0", "c1"]
+    lead = stage(filed.groupBy(*same).agg(F.min(F.struct("doc_id", "start", "windows", "words")).alias("m"))
+                 .select(*same, "m.*"), "suffix-leads")
+    equal = (filed.select(*same, "doc_id", "start", "windows")
+             .join(lead.select(*same, F.col("doc_id").alias("l_doc"), F.col("start").alias("l_start")), same)
+             .where((F.col("doc_id") != F.col("l_doc")) | (F.col("start") != F.col("l_start")))
+             .select("doc_id", F.col("start").alias("lo"), (F.col("start") + F.col("windows") + (width - 1)).alias("hi")))
+    big = stage(lead.groupBy("k0").agg(F.count("*").alias("n")).where(F.col("n") > heavy)
+                .select("k0", F.lit(True).alias("big")), "suffix-heavy")
+    lead = lead.join(big, "k0", "left")
+    light = lead.where(F.col("big").isNull()).select("k0", "doc_id", "start", "windows", "words")
+    size = filed.agg(F.sum(F.length("words") + 40)).first()[0] or 0
     n = max(1, int(size // PARTITION_BYTES) + 1,
             int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) if size > (1 << 20) else 1)
-    trees = (light.select("k0", "doc_id", "start", "windows", "words").repartition(n, "k0")
-             .sortWithinPartitions("k0")
+    trees = (light.repartition(n, "k0").sortWithinPartitions("k0")
              .mapInArrow(_subtrees(width, run_windows), "doc_id long, lo int, hi int"))
-    deep = filed.where("heavy").select("k0", "k1", "doc_id", "start")
+    deep = stage(lead.where("big").select("doc_id", "start", "windows", "words")
+                 .mapInArrow(_windows(width), _WINDOWS), "suffix-windows")
     earliest = stage(deep.groupBy("k0", "k1").agg(F.min(F.struct("doc_id", "start")).alias("e"),
                                                   F.count("*").alias("n")).where("n > 1").drop("n"), "suffix-deep")
     later = (deep.join(earliest, ["k0", "k1"])
              .where(F.struct("doc_id", "start") != F.col("e"))
              .select("doc_id", F.col("start").alias("lo"), (F.col("start") + width).alias("hi")))
-    return copies.unionByName(trees).unionByName(later)
+    return copies.unionByName(equal).unionByName(trees).unionByName(later)
 
 
 def _strip(keep: list[str]):
