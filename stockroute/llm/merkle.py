@@ -1,8 +1,8 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and clauses.
 
 A text is cut into sections (up to a blank line), paragraphs (lines) and
-clauses (up to punctuation, at most eight words; two in short paragraphs); the
-parts of a level join up to the text again.  A clause's digest is its md5, a
+clauses (up to punctuation, at most three words); the parts of a level join up
+to the text again.  A clause's digest is its md5, a
 paragraph's and a section's the md5 of its children's digests, the root the
 sha256 of the sections'.  Equal roots mean equal texts; otherwise the branches
 whose digests differ tell where the texts do.
@@ -18,10 +18,8 @@ from pyspark.sql import functions as F
 SECTION = r"(?s).*?\n\n|(?s).+"
 PARAGRAPH = r"[^\n]*\n|[^\n]+"
 _GAP, _INK = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
-_CLAUSE = _GAP + "*(?:" + _INK + r"*[^\x20\x09-\x0D.!?,;:]" + _GAP + "+){0,%d}" + _INK + "+" + _GAP + "*|" + _GAP + "+"
-LONG_CLAUSE, SHORT_CLAUSE = _CLAUSE % 7, _CLAUSE % 1
-SHORT_PARAGRAPH = 320       # characters
-LEAF_DIGITS = 10            # of a clause's digest in the fingerprint
+CLAUSE = _GAP + "*(?:" + _INK + r"*[^\x20\x09-\x0D.!?,;:]" + _GAP + "+){0,2}" + _INK + "+" + _GAP + "*|" + _GAP + "+"
+LEAF_DIGITS = 8             # of a clause's digest in the fingerprint
 LEAST = -(1 << 63)
 
 
@@ -31,9 +29,7 @@ def _parts(text: Column, pattern: str) -> Column:
 
 def tree(text: Column) -> Column:
     """Clause digests by section and paragraph: array<array<array<string>>>."""
-    def clauses(p: Column) -> Column:
-        parts = F.when(F.length(p) < SHORT_PARAGRAPH, _parts(p, SHORT_CLAUSE)).otherwise(_parts(p, LONG_CLAUSE))
-        return F.transform(parts, F.md5)
+    clauses = lambda p: F.transform(_parts(p, CLAUSE), lambda c: F.md5(c))
     return F.transform(_parts(text, SECTION), lambda s: F.transform(_parts(s, PARAGRAPH), clauses))
 
 

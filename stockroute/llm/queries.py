@@ -230,14 +230,13 @@ levels AS (
   SELECT doc_id, n, which, t,
     list_transform(regexp_extract_all(t, '(?s).*?\n\n|(?s).+'), lambda s:
       list_transform(regexp_extract_all(s, '[^\n]*\n|[^\n]+'), lambda p:
-        list_transform(CASE WHEN length(p) < 320 THEN regexp_extract_all(p, '{short}')
-                            ELSE regexp_extract_all(p, '{long}') END, lambda c: md5(c)))) AS lv
+        list_transform(regexp_extract_all(p, '{clause}'), lambda c: md5(c)))) AS lv
   FROM texts),
 prints AS (
   SELECT doc_id, n, which, t,
     sha256(array_to_string(list_transform(lv, lambda s: md5(array_to_string(
       list_transform(s, lambda p: md5(array_to_string(p, ''))), ''))), '')) AS root,
-    list_transform(flatten(flatten(lv)), lambda d: substr(d, 1, 10)) AS leaves
+    list_transform(flatten(flatten(lv)), lambda d: substr(d, 1, 8)) AS leaves
   FROM levels)
 SELECT a.doc_id, a.n AS n_chars, sha256(e.t) AS edited_sha256,
   a.root || ':' || array_to_string(a.leaves, '') AS fingerprint,
@@ -258,7 +257,7 @@ def _near(b: str) -> str:
 
 def _merkle_sql() -> str:
     from stockroute.llm import merkle as mk
-    return (MERKLE_SQL.replace("{short}", mk.SHORT_CLAUSE).replace("{long}", mk.LONG_CLAUSE)
+    return (MERKLE_SQL.replace("{clause}", mk.CLAUSE)
             .replace("{near_e}", _near("e")).replace("{near_x}", _near("x")))
 
 
