@@ -6,88 +6,61 @@ aggregate before the shuffle; hot keys never reach one task as raw rows.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# rows a median refinement may bring to the driver in its last step
-MEDIAN_WINDOW_ROWS = 200_000
+# equal-width buckets a median pass counts; the driver sees at most that many
+# rows a column and pass, whatever the distribution
+MEDIAN_BUCKETS = 1024
 
 
 def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     """exact (interpolated) medians of several columns, distributed.
 
-    The global ``median`` aggregate keeps every distinct value of a column in
-    one final buffer, which does not survive billions of rows.  Instead, for
-    all columns at once: (1) one pass counts values and takes approximate
-    quantiles just around the median ranks (bounded sketch memory); (2) one
-    pass counts exactly how many values fall below / inside those bounds;
-    (3) one pass sorts only the values inside the bounds and returns the two
-    order statistics.  When a window is still too wide the narrowing repeats
-    inside it.
+    Every pass counts, for all open columns at once, the values of the range
+    that holds the two middle ranks in equal-width buckets, with each bucket's
+    least and greatest value.  If the ranks fall into two buckets the values
+    are known; otherwise their bucket is the next range.  A range ends at one
+    value at the latest, so ties of any number need no more than their count.
     """
-    base = df.select(*cols)
-    n_all = base.agg(*[F.count(c).alias(c) for c in cols]).first()
-    state = {}
+    base = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    if not cols:
+        return {}
+    stats = base.agg(*[f(c).alias(f"{c}__{f.__name__}") for c in cols for f in (F.count, F.min, F.max)]).first()
+    out: dict[str, float | None] = {c: None for c in cols}
+    open_cols = {}
     for c in cols:
-        n = int(n_all[c])
+        n = int(stats[f"{c}__count"])
         if n:
-            pos = (n - 1) * 0.5
-            state[c] = dict(n=n, pos=pos, k1=int(math.floor(pos)), k2=int(math.ceil(pos)),
-                            below=0, lo=None, hi=None, width=n)
-    out: dict[str, float | None] = {c: None for c in cols}
-
-    def window(c):
-        st = state[c]
-        cond = F.col(c).isNotNull()
-        if st["lo"] is not None:
-            cond = cond & (F.col(c) >= st["lo"]) & (F.col(c) <= st["hi"])
-        return cond
-
-    for _ in range(8):
-        wide = [c for c in state if state[c]["width"] > MEDIAN_WINDOW_ROWS]
-        if not wide:
-            break
-        qs = []
-        for c in wide:
-            st = state[c]
-            acc = min(1_000_000, max(10_000, int(4 * st["width"] / MEDIAN_WINDOW_ROWS) + 1))
-            eps = 2.0 / acc
-            r1 = (st["k1"] - st["below"]) / max(st["width"] - 1, 1)
-            r2 = (st["k2"] - st["below"]) / max(st["width"] - 1, 1)
-            qs.append(F.percentile_approx(F.when(window(c), F.col(c)),
-                                          [max(0.0, r1 - eps), min(1.0, r2 + eps)], acc).alias(c))
-        q = base.agg(*qs).first()
-        cnts = []
-        for c in wide:
-            lo, hi = float(q[c][0]), float(q[c][1])
-            cnts += [F.count(F.when(window(c) & (F.col(c) < lo), 1)).alias(f"{c}__lt"),
-                     F.count(F.when(window(c) & (F.col(c) <= hi), 1)).alias(f"{c}__le")]
-        cnt = base.agg(*cnts).first()
-        progress = False
-        for c in wide:
-            st = state[c]
-            lo, hi = float(q[c][0]), float(q[c][1])
-            lt, le = st["below"] + int(cnt[f"{c}__lt"]), st["below"] + int(cnt[f"{c}__le"])
-            if lt <= st["k1"] and st["k2"] < le and (le - lt) < st["width"]:
-                st.update(below=lt, lo=lo, hi=hi, width=le - lt)
-                progress = True
-        if not progress:
-            break
-    if state:
-        # the k-th values are picked inside Spark from the sorted window
-        # (at most MEDIAN_WINDOW_ROWS values per column in the final buffer)
-        picks = []
-        for c, st in state.items():
-            arr = F.sort_array(F.collect_list(F.when(window(c), F.col(c).cast("double"))))
-            picks += [F.element_at(arr, st["k1"] - st["below"] + 1).alias(f"{c}__a"),
-                      F.element_at(arr, st["k2"] - st["below"] + 1).alias(f"{c}__b")]
-        got = base.agg(*picks).first()
-        for c, st in state.items():
-            a, b = got[f"{c}__a"], got[f"{c}__b"]
-            out[c] = a + (b - a) * (st["pos"] - st["k1"])
-    return out
+            open_cols[c] = dict(k1=(n - 1) // 2, k2=n // 2, lo=stats[f"{c}__min"], hi=stats[f"{c}__max"])
+    while True:
+        for c in [c for c, s in open_cols.items() if s["lo"] == s["hi"]]:
+            out[c] = open_cols.pop(c)["lo"]
+        if not open_cols:
+            return out
+        parts = []
+        for c, s in open_cols.items():
+            x, lo, hi = F.col(c), F.lit(s["lo"]), F.lit(s["hi"])
+            place = F.least(F.floor((x - lo) / (hi - lo) * MEDIAN_BUCKETS), F.lit(MEDIAN_BUCKETS - 1))
+            parts.append(F.when((x >= lo) & (x <= hi), F.struct(
+                F.lit(c).alias("c"), place.cast("int").alias("b"), x.alias("x"))))
+        rows = (base.select(F.explode(F.array(*parts)).alias("v")).where("v is not null")
+                .groupBy("v.c", "v.b").agg(F.count("*").alias("n"), F.min("v.x").alias("lo"),
+                                           F.max("v.x").alias("hi")).collect())
+        for c in list(open_cols):
+            s, below = open_cols[c], 0
+            first = last = None
+            for r in sorted((r for r in rows if r["c"] == c), key=lambda r: r["b"]):
+                if first is None and s["k1"] < below + r["n"]:
+                    first, start = r, below
+                if last is None and s["k2"] < below + r["n"]:
+                    last = r
+                below += r["n"]
+            if first["b"] != last["b"]:
+                out[c] = (first["hi"] + last["lo"]) / 2
+                del open_cols[c]
+            else:
+                s.update(k1=s["k1"] - start, k2=s["k2"] - start, lo=first["lo"], hi=first["hi"])
 
 
 def regression_metrics(df: DataFrame, label: str, pred: str,
@@ -112,20 +85,24 @@ def histogram(df: DataFrame, col: str, bins: int = 100,
               lo: float | None = None, hi: float | None = None) -> DataFrame:
     """equal-width histogram (bin index, bounds, count).
 
-    Bounds default to the data min/max, taken by a scalar subquery so the
-    plan stays one job without a cross join.
+    Bounds default to the data min/max, taken by one scalar subquery so the
+    plan stays one job without a cross join; with bounds, values outside them
+    are not counted.
     """
     c = F.col(col)
-    mn = F.lit(lo) if lo is not None else df.agg(F.min(c)).scalar()
-    mx = F.lit(hi) if hi is not None else df.agg(F.max(c)).scalar()
-    width = (mx - mn) / F.lit(float(bins))
-    b = F.least(F.floor((c - mn) / width), F.lit(bins - 1)).cast("int")
-    sel = df.where(c.isNotNull())
+    ends = df.agg(F.struct(F.min(c).alias("lo"), F.max(c).alias("hi"))).scalar() if lo is None or hi is None else None
+    mn = F.lit(float(lo)) if lo is not None else ends["lo"].cast("double")
+    mx = F.lit(float(hi)) if hi is not None else ends["hi"].cast("double")
+    # a constant column gets a range of 1 around its value
+    mn, mx = (F.when(mn == mx, mn - 0.5).otherwise(mn), F.when(mn == mx, mx + 0.5).otherwise(mx))
+    sel = df.where(c.isNotNull()).select(c.cast("double").alias("x"), mn.alias("lo"), mx.alias("hi"))
     if lo is not None or hi is not None:
-        sel = sel.where((c >= mn) & (c <= mx))
-    return (sel.groupBy(b.alias("bin")).agg(F.count("*").alias("n"))
-            .select("bin", (mn + F.col("bin") * width).alias("bin_lo"),
-                    (mn + (F.col("bin") + 1) * width).alias("bin_hi"), "n"))
+        sel = sel.where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")))
+    width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
+    b = F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
+    return (sel.groupBy(b.alias("bin"), "lo", "hi").agg(F.count("*").alias("n"))
+            .select("bin", (F.col("lo") + F.col("bin") * width).alias("bin_lo"),
+                    (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_hi"), "n"))
 
 
 def two_way_counts(df: DataFrame, row: str, col: str) -> DataFrame:
@@ -155,8 +132,3 @@ def last_row(df: DataFrame, keys: list[str], order_col: str, cols: list[str]) ->
     """the last row of each series as columns (max_by on the order)."""
     s = F.max_by(F.struct(*cols), F.col(order_col)).alias("_last")
     return df.groupBy(*keys).agg(s).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in cols])
-
-
-def argmin_struct(dist: Column, idx: Column) -> Column:
-    """min over struct(dist, idx) -> nearest with ties to the lowest idx."""
-    return F.min(F.struct(dist.alias("dist"), idx.alias("idx")))

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockroute.functions.columns import (
-    DEFAULT_LATLON, SHIP_MODE_CODES, SHIP_MODE_DEFAULT, TYPE_CODES, add_weeks,
+    DEFAULT_LATLON, SHIP_MODE_CODES, SHIP_MODE_DEFAULT, TYPE_CODES,
     bool_to_int, calendar_parts, code_map, fill_zero, hash_coordinates, lead_time_days,
     optional_zero, yes_flag)
 from stockroute.operators.aggregates import exact_medians
-from stockroute.operators.joins import broadcast_if_small, lookup_with_default
+from stockroute.operators.joins import lookup_with_default
 
 MARKDOWNS = [f"MarkDown{i}" for i in range(1, 6)]
 IMPUTED = ["CPI", "Unemployment", "Temperature", "Fuel_Price"]
@@ -54,7 +54,7 @@ def join_history(sales: DataFrame, stores: DataFrame, features: DataFrame,
                  coords: DataFrame, type_default: int | None = None) -> DataFrame:
     """I1/I2 without the median fill: sales x stores x features with calendar
     parts, zero-filled markdowns, codes and coordinates (lazy, no job)."""
-    merged = sales.join(broadcast_if_small(stores), "Store", "left")
+    merged = sales.join(stores, "Store", "left")
     feats = features.select("Store", "Date", "IsHoliday",
                             *[c for c in features.columns if c not in ("Store", "Date", "IsHoliday")])
     merged = merged.join(feats, ["Store", "Date", "IsHoliday"], "left")
@@ -100,18 +100,21 @@ def engineer_features(df: DataFrame, coords: DataFrame, type_default: int = 1) -
 
 
 def prepare_orders(df: DataFrame) -> DataFrame:
-    """I4: lead time, returned flag, ship-mode code, synthetic coordinates."""
-    lat, lon = hash_coordinates(F.coalesce(F.col("City"), F.lit("")),
-                                F.coalesce(F.col("State"), F.lit("")))
-    return df.withColumns({
+    """I4: lead time, returned flag, ship-mode code, synthetic coordinates
+    (worked out once for each city and state)."""
+    places = df.select(F.coalesce("City", F.lit("")).alias("_city"),
+                       F.coalesce("State", F.lit("")).alias("_state")).distinct()
+    lat, lon = hash_coordinates(F.col("_city"), F.col("_state"))
+    places = places.withColumns({"Latitude": lat, "Longitude": lon})
+    placed = df.join(places, (F.coalesce(df["City"], F.lit("")) == places["_city"])
+                     & (F.coalesce(df["State"], F.lit("")) == places["_state"])).drop("_city", "_state")
+    return placed.withColumns({
         "Order Date": F.to_date("Order Date"),
         "Ship Date": F.to_date("Ship Date"),
     }).withColumns({
         "Lead_Time_Days": lead_time_days("Ship Date", "Order Date"),
         "Returned": yes_flag(F.coalesce(F.col("Returned"), F.lit("No"))),
         "Ship_Mode_encoded": code_map(F.col("Ship Mode"), SHIP_MODE_CODES, SHIP_MODE_DEFAULT),
-        "Latitude": lat,
-        "Longitude": lon,
     })
 
 
@@ -142,8 +145,3 @@ def time_split(df: DataFrame, test_weeks: int = 13, date_col: str = "Date") -> D
     cutoff = F.date_sub(df.agg(F.max(date_col)).scalar(), 7 * test_weeks)
     return df.withColumn("split", F.when(F.col(date_col) <= cutoff, F.lit("train"))
                          .otherwise(F.lit("val")))
-
-
-def future_dates(last_date: F.Column, horizon: int) -> F.Column:
-    """Array of the next ``horizon`` weekly dates."""
-    return F.transform(F.sequence(F.lit(1), F.lit(horizon)), lambda w: add_weeks(last_date, w))

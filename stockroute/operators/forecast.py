@@ -24,7 +24,7 @@ from stockroute.functions.columns import add_weeks, calendar_parts, clamp_zero
 from stockroute.operators.aggregates import regression_metrics
 from stockroute.operators.features import (
     FEATURES_BASIC, FEATURES_FULL, lag_features, lag_names, model_rows, time_split)
-from stockroute.session import ensure_checkpoint_dir
+from stockroute.session import ensure_checkpoint_dir, shared_table
 
 KEYS = ["Store", "Dept"]
 ROWS_PER_FIT_PARTITION = 25_000
@@ -53,15 +53,10 @@ def fit_model(frame: DataFrame, p: ForecastParams = ForecastParams(),
     cols = feature_columns(p)
     train = _assembled(frame.where(F.col("split") == "train"), cols) \
         .select(*cols, F.col(label).alias("label"))
-    # the learner runs a few small jobs per tree level; partitions are sized
-    # to the data (about ROWS_PER_FIT_PARTITION rows each, at most one per
-    # core) so small fits do not pay per-task overhead and large fits keep
-    # the whole cluster busy
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    want = max(1, min(cores, -(-train.count() // ROWS_PER_FIT_PARTITION)))
-    if train.rdd.getNumPartitions() > want:
-        train = train.coalesce(want)
+    # evaluated once; then dealt evenly, with no more partitions than the rows
+    # need (the learner runs a few small jobs per tree level) and no upper bound
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    parts = max(1, -(-train.count() // ROWS_PER_FIT_PARTITION))
     gbt = GBTRegressor(featuresCol="features", labelCol="label", predictionCol="prediction",
                        maxIter=p.n_estimators, maxDepth=p.max_depth, stepSize=p.learning_rate,
                        subsamplingRate=p.subsample, minInstancesPerNode=p.min_leaf, seed=p.seed,
@@ -69,33 +64,44 @@ def fit_model(frame: DataFrame, p: ForecastParams = ForecastParams(),
     pipe = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features",
                                             handleInvalid="keep"), gbt])
     try:
-        return pipe.fit(train)
+        return pipe.fit(train.repartition(parts))
     finally:
         train.unpersist()
 
 
-def score(model: PipelineModel, df: DataFrame, p: ForecastParams = ForecastParams(),
+def score(model: PipelineModel | Column, df: DataFrame, p: ForecastParams = ForecastParams(),
           out: str = "prediction") -> DataFrame:
-    """I8: batch scoring; input columns are kept (E9 pairing without a join)."""
+    """I8: batch scoring; input columns are kept (E9 pairing without a join).
+
+    ``model`` is a fitted pipeline, or a Column over the features: a rule such
+    as a moving average, for which every later step is the same.
+    """
     cols = feature_columns(p)
     keep = [c for c in df.columns if c not in cols]
-    scored = model.transform(_assembled(df, cols)).drop("features")
+    ready = _assembled(df, cols)
+    if isinstance(model, Column):
+        return ready.select(*keep, *cols, model.cast("double").alias(out))
+    scored = model.transform(ready).drop("features")
     return scored.withColumnRenamed("prediction", out).select(*keep, *cols, out)
 
 
-def evaluate(model: PipelineModel, frame: DataFrame, p: ForecastParams = ForecastParams(),
+def evaluate(model: PipelineModel | Column, frame: DataFrame, p: ForecastParams = ForecastParams(),
              label: str = "Weekly_Sales") -> tuple[DataFrame, DataFrame]:
-    """(metrics per split, validation predictions)."""
-    scored = score(model, frame, p)
+    """(metrics per split, validation predictions); rows are scored once."""
+    # the columns by name: Store and Dept are features too, and then doubles
+    scored = shared_table(score(model, frame, p).select(
+        *[F.col(c).cast("int") for c in KEYS], "Date", label, "prediction", "split"), "scored")
     metrics = regression_metrics(scored, label, "prediction", by=["split"])
     validation = scored.where(F.col("split") == "val").select(
         *KEYS, "Date", label, F.col("prediction").alias("Predicted_Sales"))
     return metrics, validation
 
 
-def feature_importance(model: PipelineModel, p: ForecastParams = ForecastParams()) -> DataFrame:
-    """(feature, importance) rows from the fitted trees."""
+def feature_importance(model: PipelineModel | Column, p: ForecastParams = ForecastParams()) -> DataFrame:
+    """(feature, importance) rows from the fitted trees; none for a rule."""
     from pyspark.sql import SparkSession
+    if isinstance(model, Column):
+        return SparkSession.getActiveSession().createDataFrame([], "feature string, importance double")
     imp = model.stages[-1].featureImportances.toArray().tolist()
     session = SparkSession.getActiveSession()
     return session.createDataFrame(list(zip(feature_columns(p), [float(x) for x in imp])),
@@ -169,7 +175,7 @@ def _future_calendar(df: DataFrame, last_date: Column, w: Column) -> DataFrame:
     return df.withColumn("Date", d).withColumns(calendar_parts(F.col("Date")))
 
 
-def forecast_direct(model: PipelineModel, history: DataFrame,
+def forecast_direct(model: PipelineModel | Column, history: DataFrame,
                     p: ForecastParams = ForecastParams()) -> DataFrame:
     """13 weeks per series with the lag features frozen at the last
     observation (the file-based pipeline's behaviour)."""
@@ -183,7 +189,7 @@ def forecast_direct(model: PipelineModel, history: DataFrame,
                          F.bround(clamp_zero("prediction"), 2).alias("Predicted_Weekly_Sales"))
 
 
-def forecast_recursive(model: PipelineModel, history: DataFrame,
+def forecast_recursive(model: PipelineModel | Column, history: DataFrame,
                        p: ForecastParams = ForecastParams(),
                        checkpoint_every: int = 8) -> DataFrame:
     """Batched steps over all series; each prediction (clamped at 0) is
@@ -230,10 +236,11 @@ def history_and_forecast(history: DataFrame, predictions: DataFrame,
 
 
 def forecast_stage(history: DataFrame, p: ForecastParams = ForecastParams(),
-                   recursive: bool = False):
-    """(model, metrics, validation, predictions, importances) for one history."""
+                   recursive: bool = False, predictor: Column | None = None):
+    """(model, metrics, validation, predictions, importances) for one history;
+    with ``predictor`` that rule stands in for the fitted model."""
     frame = prepare_model_frame(history, p)
-    model = fit_model(frame, p)
+    model = fit_model(frame, p) if predictor is None else predictor
     metrics, validation = evaluate(model, frame, p)
     preds = (forecast_recursive(model, history, p) if recursive
              else forecast_direct(model, history, p))

@@ -9,14 +9,16 @@ O_t must cover D_t = max(0, max_{k<=t} C_k - z0).  The net demands
 n_t = D_t - D_{t-1} >= 0 turn the programme into uncapacitated lot sizing,
 which the Wagner-Whitin recursion solves exactly; it runs here as Spark
 higher-order functions over one array per store (the horizon bounds the
-array), so no Python runs in the tasks.  The order-up-to-safety fallback
-has the closed form inv_t = max(inv_0, safety + max_{j<=t} C_j) - C_t,
-computed with running windows.
+array).  Where that optimum would break the order cap, the capacitated
+problem is solved exactly by a small recursion per store.  The
+order-up-to-safety fallback has the closed form
+inv_t = max(inv_0, safety + max_{j<=t} C_j) - C_t, by array folds too.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockroute.config import InventoryParams
@@ -146,45 +148,82 @@ def order_up_to(series: DataFrame) -> DataFrame:
     return out.withColumn("orders", orders).drop("_C")
 
 
-def order_up_to_capped(series: DataFrame, max_order: float) -> DataFrame:
-    """J3 with the order cap: order_t = min(cap, max(0, d_t + safety - inv_{t-1})),
-    a sequential fold over the demand array (O(T)); ``feasible`` is false when
-    the cap let a level fall below the safety stock."""
-    cap = F.lit(float(max_order))
-    eps = F.lit(1e-9) * F.greatest(F.lit(1.0), F.abs(F.col("safety")))
+def capped_orders(demand, safety: float, initial: float, cap: float, holding: float,
+                  ordering: float) -> list[float] | None:
+    """J2 with a binding cap: the cheapest orders of at most ``cap`` a week, or
+    None if no plan keeps the safety stock.
 
-    def step(acc, d):
-        raw = d + F.col("safety") - acc["inv"]
-        o = F.least(cap, F.when(raw > eps, raw).otherwise(F.lit(0.0)))
-        inv = acc["inv"] + o - d
-        return F.struct(inv.alias("inv"), F.concat(acc["o"], F.array(o)).alias("o"),
-                        F.concat(acc["l"], F.array(inv)).alias("l"))
-
-    init = F.struct(F.col("initial").alias("inv"), F.array().cast("array<double>").alias("o"),
-                    F.array().cast("array<double>").alias("l"))
-    fold = F.aggregate("demand", init, step)
-    out = series.withColumn("_fold", fold)
-    return (out.withColumn("orders", F.col("_fold.o")).withColumn("levels", F.col("_fold.l"))
-            .withColumn("feasible", F.array_min("levels") >= F.col("safety") - eps)
-            .drop("_fold"))
-
-
-def plan_with_cap(series: DataFrame, p: InventoryParams = InventoryParams()) -> DataFrame:
-    """J2 where it is exact (no single order above ``max_order``), else the
-    capped order-up-to policy; ``method`` and ``feasible`` tell which."""
-    ww = lot_size(series, p)
-    capped = order_up_to_capped(series, p.max_order).select(
-        *[c for c in series.columns], F.col("orders").alias("_co"), F.col("levels").alias("_cl"),
-        F.col("feasible").alias("_cf"))
-    keys = [c for c in series.columns if c not in ("demand", "T", "safety", "initial")]
-    j = ww.join(capped.select(*keys, "_co", "_cl", "_cf"), keys)
-    return j.select(
-        *series.columns,
-        F.when(F.col("exact"), F.col("orders")).otherwise(F.col("_co")).alias("orders"),
-        F.when(F.col("exact"), F.col("levels")).otherwise(F.col("_cl")).alias("levels"),
-        F.when(F.col("exact"), F.lit("optimal")).otherwise(F.lit("capped_order_up_to"))
-        .alias("method"),
-        F.when(F.col("exact"), F.lit(True)).otherwise(F.col("_cf")).alias("feasible"))
+    With O_t the cumulative orders and D_t what they must cover, the least O
+    for given order weeks follows backwards: O_{t-1} = max(D_{t-1}, O_t - cap)
+    after an order in week t, else O_{t-1} = O_t.  So O_t is always some D_k
+    less m caps, and the recursion runs over (k, m): O(T^2) states a week.
+    """
+    need, total = [0.0], 0.0
+    for d in demand:
+        total += d
+        need.append(max(need[-1], total - (initial - safety)))
+    t_max = len(need) - 1
+    level = lambda s: need[s[0]] - s[1] * cap
+    best = {(t_max, 0): (0.0, None)}            # state -> (cost of the later weeks, later orders)
+    for t in range(t_max, 0, -1):
+        before: dict = {}
+        for state, (cost, later) in best.items():
+            here, (k, m) = level(state), state
+            cost += holding * here
+            ordered = (t - 1, 0) if need[t - 1] >= here - cap else (k, m + 1)
+            steps = [(state if here > need[t - 1] else (t - 1, 0), cost)]
+            if here > need[t - 1]:
+                steps.append((ordered, cost + ordering))
+            for nxt, c in steps:
+                if nxt not in before or c < before[nxt][0]:
+                    before[nxt] = (c, ((t, here - level(nxt)), later))
+        best = before
+    done = [(c, later) for state, (c, later) in best.items() if level(state) <= 0]
+    if not done:
+        return None
+    orders, later = [0.0] * t_max, min(done, key=lambda x: x[0])[1]
+    while later:
+        (t, quantity), later = later
+        orders[t - 1] = max(0.0, quantity)
+    return orders
+
+
+def _capped_column(p: InventoryParams, cap: Column):
+    """Orders of ``capped_orders`` for the rows of a batch; null without a demand array."""
+    @F.pandas_udf("array<double>")
+    def solve(demand: pd.Series, safety: pd.Series, initial: pd.Series, limit: pd.Series) -> pd.Series:
+        return pd.Series([None if d is None else capped_orders(list(d), s, i, c, p.holding_cost, p.ordering_cost)
+                          for d, s, i, c in zip(demand, safety, initial, limit)], dtype=object)
+    return solve(F.when(~F.col("exact"), F.col("demand")), F.col("safety"), F.col("initial"), cap)
+
+
+def plan_with_cap(series: DataFrame, p: InventoryParams = InventoryParams(),
+                  cap: Column | None = None) -> DataFrame:
+    """The cheapest plan with no order above the cap (``max_order``, or a
+    column of its own per series); ``method`` tells how it was found.
+
+    ``optimal``: lot sizing, its orders within the cap; ``optimal_capped``: the
+    capacitated recursion; ``order_up_to``: no plan within the cap keeps the
+    safety stock, so the uncapped fallback policy is used (``feasible`` false).
+    """
+    cap = F.lit(float(p.max_order)) if cap is None else cap.cast("double")
+    keep = series.columns
+    ww = lot_size(series, p).withColumn("exact", F.array_max("orders") <= cap)
+    ww = ww.withColumn("_capped", _capped_column(p, cap))
+    both = order_up_to(ww.select(*keep, "exact", "_capped", F.col("orders").alias("_ww"),
+                                 F.col("levels").alias("_wl")))
+    running = lambda arr: _prefix_sums(arr)
+    capped_levels = F.transform(
+        F.arrays_zip(running(F.col("_capped")).alias("o"), running(F.col("demand")).alias("c")),
+        lambda x: F.col("initial") + x["o"] - x["c"])
+    found = F.col("_capped").isNotNull()
+    return both.select(
+        *keep,
+        F.when(F.col("exact"), F.col("_ww")).when(found, F.col("_capped")).otherwise(F.col("orders")).alias("orders"),
+        F.when(F.col("exact"), F.col("_wl")).when(found, capped_levels).otherwise(F.col("levels")).alias("levels"),
+        F.when(F.col("exact"), F.lit("optimal")).when(found, F.lit("optimal_capped"))
+        .otherwise(F.lit("order_up_to")).alias("method"),
+        (F.col("exact") | found).alias("feasible"))
 
 
 def plan_rows(planned: DataFrame, p: InventoryParams = InventoryParams(), keys=("Store",),
@@ -193,11 +232,13 @@ def plan_rows(planned: DataFrame, p: InventoryParams = InventoryParams(), keys=(
 
     ``order_threshold`` is 0.01 for the optimised plan and 0 for the fallback
     policy, as in the application.  ``rounded`` rounds each row to 2 decimals
-    like the application's stored plan.
+    like the application's stored plan.  ``method`` and ``feasible`` of
+    ``plan_with_cap`` are kept.
     """
+    told = [c for c in ("method", "feasible") if c in planned.columns]
     z = F.arrays_zip(F.col("demand").alias("Demand"), F.col("orders").alias("Optimal_Order"),
                      F.col("levels").alias("Inventory_Level"))
-    rows = planned.select(*keys, F.posexplode(z).alias("pos", "r"))
+    rows = planned.select(*keys, *told, F.posexplode(z).alias("pos", "r"))
     h = F.lit(float(p.holding_cost))
     K = F.lit(float(p.ordering_cost))
     order = F.col("r.Optimal_Order")
@@ -207,8 +248,8 @@ def plan_rows(planned: DataFrame, p: InventoryParams = InventoryParams(), keys=(
         *keys, (F.col("pos") + 1).alias("Week"),
         F.col("r.Demand").alias("Demand"), order.alias("Optimal_Order"),
         F.col("r.Inventory_Level").alias("Inventory_Level"),
-        (h * F.col("r.Inventory_Level")).alias("Holding_Cost"), oc.alias("Ordering_Cost"))
-    out = out.withColumn("Total_Cost", F.col("Holding_Cost") + F.col("Ordering_Cost"))
+        (h * F.col("r.Inventory_Level")).alias("Holding_Cost"), oc.alias("Ordering_Cost"),
+        (h * F.col("r.Inventory_Level") + oc).alias("Total_Cost"), *told)
     if rounded:
         out = out.withColumns({c: F.bround(c, 2) for c in (
             "Demand", "Optimal_Order", "Inventory_Level", "Holding_Cost", "Ordering_Cost",
@@ -218,8 +259,7 @@ def plan_rows(planned: DataFrame, p: InventoryParams = InventoryParams(), keys=(
 
 def optimise_inventory(pred: DataFrame, p: InventoryParams = InventoryParams(),
                        rounded: bool = False) -> DataFrame:
-    """All-store plan from predictions (F1 -> D5 -> J2 -> J4); series
-    whose optimal plan would break the order cap get the capped policy."""
+    """All-store plan from predictions (F1 -> D5 -> J2 -> J4)."""
     series = demand_series(store_week_demand(pred), p)
     return plan_rows(plan_with_cap(series, p), p, rounded=rounded)
 
@@ -257,11 +297,3 @@ def store_plan_kpis(plan: DataFrame) -> DataFrame:
         F.count(F.when(F.col("Optimal_Order") > 0, 1)).alias("orders_placed"),
         F.avg("Inventory_Level").alias("avg_inventory"),
         F.avg(F.when(F.col("Optimal_Order") > 0, F.col("Optimal_Order"))).alias("avg_order_size"))
-
-
-def window_balance_check(plan: DataFrame, initial: DataFrame) -> DataFrame:
-    """Recompute levels by a running sum (audit of the balance equation)."""
-    w = Window.partitionBy("Store").orderBy("Week").rowsBetween(Window.unboundedPreceding, 0)
-    return (plan.join(initial.select("Store", "initial"), "Store")
-            .withColumn("level_check", F.col("initial")
-                        + F.sum(F.col("Optimal_Order") - F.col("Demand")).over(w)))

@@ -1,34 +1,25 @@
-"""Join helpers (section E): size-checked broadcast, lookups with defaults."""
+"""Join helpers (section E): row-count checks, lookups with defaults."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# a dimension is broadcast only when it is proven to have at most this many rows
-BROADCAST_MAX_ROWS = 2_000_000
-
-
 def row_count_at_most(df: DataFrame, limit: int) -> bool:
     """True when ``df`` has at most ``limit`` rows (reads at most limit+1)."""
     return df.limit(limit + 1).count() <= limit
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only behind a row-count check; otherwise leave the
-    choice to the planner and AQE (shuffle join, runtime re-plan)."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
 def lookup_with_default(df: DataFrame, dim: DataFrame, key: str,
                         defaults: dict[str, object]) -> DataFrame:
     """Left lookup join on ``key`` with a default per value column.
 
-    ``dim`` is broadcast when its size check passes, else joined by shuffle.
+    Whether ``dim`` is broadcast is left to the planner, which goes by its size
+    in bytes, at run time too.
     """
     vals = [c for c in dim.columns if c != key]
     tmp = {c: f"__lk_{c}" for c in vals}
-    d = broadcast_if_small(dim.select(F.col(key), *[F.col(c).alias(tmp[c]) for c in vals]))
+    d = dim.select(F.col(key), *[F.col(c).alias(tmp[c]) for c in vals])
     out = df.join(d, key, "left")
     for c in vals:
         expr = F.col(tmp[c])

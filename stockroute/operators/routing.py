@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from stockroute.config import RoutingParams
 from stockroute.functions.columns import EARTH_RADIUS_KM, haversine_km, vehicle_id
-from stockroute.operators.joins import BROADCAST_MAX_ROWS, row_count_at_most
+from stockroute.operators.joins import row_count_at_most
 from stockroute.sources.schemas import ROUTE_SCHEMA
 
 DEPOT_ARRAY_MAX = 10_000
@@ -64,7 +64,7 @@ def depot_distances(stops: DataFrame, depots: DataFrame) -> DataFrame:
     return out.withColumns({
         "depot_idx": F.col("depot_km")[0]["idx"],
         "depot_dist": F.col("depot_km")[0]["km"],
-        "second_dist": F.col("depot_km")[1]["km"],
+        "second_dist": F.get(F.col("depot_km"), 1)["km"],      # null with one depot
     })
 
 
@@ -81,9 +81,13 @@ def nearest_depot(stops: DataFrame, depots: DataFrame,
         "_c", F.struct(haversine_km("lat", "lon", "depot_lat", "depot_lon").alias("km"),
                        F.col("depot_idx").alias("idx")))
     keys = [c for c in stops.columns]
+    # the two nearest of each block meet in one last minimum a stop
     best = j.groupBy(*keys).agg(F.min("_c").alias("_b"))
-    return best.select(*keys, F.col("_b.idx").alias("depot_idx"),
-                       F.col("_b.km").alias("depot_dist"))
+    second = (j.select("plan_id", "stop_id", "_c").join(best.select("plan_id", "stop_id", "_b"), ["plan_id", "stop_id"])
+              .where(F.col("_c.idx") != F.col("_b.idx"))
+              .groupBy("plan_id", "stop_id").agg(F.min("_c.km").alias("second_dist")))
+    return (best.join(second, ["plan_id", "stop_id"], "left")
+            .select(*keys, F.col("_b.idx").alias("depot_idx"), F.col("_b.km").alias("depot_dist"), "second_dist"))
 
 
 def naive_distance(assigned: DataFrame, by=("plan_id",)) -> DataFrame:
@@ -151,8 +155,7 @@ def _tours_local(tagged: DataFrame, n_vehicles: int, capacity: float) -> DataFra
     return tagged.groupBy("plan_id", "depot_idx").applyInPandas(fn, ROUTE_SCHEMA)
 
 
-def _tours_distributed(tagged: DataFrame, n_vehicles: int, capacity: float,
-                       n_groups: int | None = None) -> DataFrame:
+def _tours_distributed(tagged: DataFrame, n_vehicles: int, capacity: float) -> DataFrame:
     """Same greedy rule for hot groups, fully distributed.
 
     Per step, one arg-min over every hot group's open stops (partial
@@ -195,16 +198,11 @@ def _tours_distributed(tagged: DataFrame, n_vehicles: int, capacity: float,
                     "stops", 0)
     visited = spark.createDataFrame([], "plan_id long, depot_idx int, stop_id long")
     wrote = False
-    if n_groups is None:
-        n_groups = state.count()
-    served_bound = 0          # visited grows by at most one stop per group and step
     while state.where("active").limit(1).count() > 0:
         step += 1
         act = state.where("active").select(*keys, "c_lat", "c_lon", "load")
-        act = F.broadcast(act) if n_groups <= BROADCAST_MAX_ROWS else act
-        seen = F.broadcast(visited) if served_bound <= BROADCAST_MAX_ROWS else visited
         cand = (stops.join(act, keys)
-                .join(seen, keys + ["stop_id"], "left_anti")
+                .join(visited, keys + ["stop_id"], "left_anti")
                 .where(F.col("load") + F.col("demand") <= cap)
                 .groupBy(*keys)
                 .agg(F.min(F.struct(haversine_km("c_lat", "c_lon", "lat", "lon").alias("km"),
@@ -256,7 +254,6 @@ def _tours_distributed(tagged: DataFrame, n_vehicles: int, capacity: float,
             F.when(has, F.col("ord") + 1).when(closed, F.lit(1)).otherwise(F.col("ord")).alias("ord"),
             (has | reopen).alias("active"))
         state = written(state, "state", step)
-        served_bound += n_groups
         visited = written(visited.unionByName(
             cand.select(*keys, F.col("b.stop_id").alias("stop_id"))), "visited", step)
     if not wrote:
@@ -273,19 +270,15 @@ def solve_routes(stops: DataFrame, depots: DataFrame,
     n_depots = depots.count()
     nv = vehicles_per_depot(p.num_vehicles, n_depots)
     assigned = nearest_depot(stops, depots)
-    tagged = assigned.join(F.broadcast(depots.select("depot_idx", "depot_name", "depot_lat",
-                                                     "depot_lon"))
-                           if n_depots <= DEPOT_ARRAY_MAX else depots, "depot_idx")
+    tagged = assigned.join(depots.select("depot_idx", "depot_name", "depot_lat", "depot_lon"), "depot_idx")
     sizes = tagged.groupBy("plan_id", "depot_idx").count()
     hot = sizes.where(F.col("count") > p.local_group_limit).select("plan_id", "depot_idx")
     if hot.limit(1).count() == 0:
         return _tours_local(tagged, nv, p.capacity)
-    n_hot = hot.count()
-    hot = F.broadcast(hot) if n_hot <= 100_000 else hot
     small = tagged.join(hot, ["plan_id", "depot_idx"], "left_anti")
     big = tagged.join(hot, ["plan_id", "depot_idx"], "left_semi")
     return _tours_local(small, nv, p.capacity).unionByName(
-        _tours_distributed(big, nv, p.capacity, n_hot))
+        _tours_distributed(big, nv, p.capacity))
 
 
 def route_legs_audit(routes: DataFrame) -> DataFrame:

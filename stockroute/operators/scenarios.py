@@ -15,6 +15,9 @@ from stockroute.functions.columns import ceil_floor_zero, delay_demand, pct_chan
 from stockroute.operators.routing import depot_distances, fleet_distance
 
 
+PLAN_BLOCKS = 16
+
+
 def _lit_array(values, typ="double"):
     return F.array(*[F.lit(v).cast(typ) for v in values])
 
@@ -76,7 +79,8 @@ def supply_delay(pred: DataFrame, plan: DataFrame, delays=(7,),
                  inv: InventoryParams = InventoryParams(),
                  value: str = "Predicted_Weekly_Sales") -> DataFrame:
     """L2 for every delay in ``delays``: extra safety stock, extra holding
-    cost and stores whose lowest planned level is below the extra need."""
+    cost and stores whose lowest planned level is below the extra need.
+    Without a planned store there is no row (``scenario_errors`` has one)."""
     avg_week = pred.groupBy("Store").agg(F.avg(value).alias("w"))
     min_level = plan.groupBy("Store").agg(F.min("Inventory_Level").alias("min_level"))
     per = (min_level.join(avg_week, "Store", "full")
@@ -90,6 +94,7 @@ def supply_delay(pred: DataFrame, plan: DataFrame, delays=(7,),
     base_cost = F.coalesce(plan.agg(F.sum("Total_Cost")).scalar(), F.lit(0.0))
     add = (F.coalesce(F.col("extra_safety_stock_total"), F.lit(0.0)) * F.lit(inv.holding_cost)
            * F.col("delay_days") / F.lit(7.0))
+    agg = agg.where(F.col("_n_plan") > 0)      # no planned store: an error record instead
     return (agg.withColumn("baseline_inventory_cost", base_cost)
             .withColumn("additional_holding_cost", add)
             .withColumn("new_inventory_cost", F.col("baseline_inventory_cost")
@@ -159,15 +164,13 @@ def depot_failure(stops: DataFrame, depots: DataFrame, routes: DataFrame | None
                    - F.col("depot_dist"))).alias("extra_km"))
     if failed is not None:                   # explicit failure cases (small literal list)
         ids = F.array(*[F.lit(int(k)) for k in failed])
-    else:                                    # every depot: bounded depot table only
-        from stockroute.operators.joins import row_count_at_most
-        from stockroute.operators.routing import DEPOT_ARRAY_MAX
-        if not row_count_at_most(depots, DEPOT_ARRAY_MAX):
-            raise ValueError("more than %d depots: pass failed=[...] to choose the failure "
-                             "cases" % DEPOT_ARRAY_MAX)
-        ids = depots.agg(F.sort_array(F.collect_list("depot_idx"))).scalar()
-    cases = per_plan.withColumn("_ids", ids).select(
-        "plan_id", "rt_all", F.explode("_ids").alias("failed_depot"))
+        cases = per_plan.withColumn("_ids", ids).select(
+            "plan_id", "rt_all", F.explode("_ids").alias("failed_depot"))
+    else:                                    # every depot of every plan, met in blocks of plans
+        spread = per_plan.withColumn("_b", F.pmod(F.hash("plan_id"), F.lit(PLAN_BLOCKS)))
+        cases = spread.join(depots.select(
+            F.col("depot_idx").alias("failed_depot"),
+            F.explode(F.sequence(F.lit(0), F.lit(PLAN_BLOCKS - 1))).alias("_b")), "_b").drop("_b")
     out = cases.join(per_k, ["plan_id", "failed_depot"], "left").select(
         "plan_id", "failed_depot",
         F.coalesce("stores_reassigned", F.lit(0)).alias("stores_reassigned"),
@@ -187,12 +190,18 @@ def depot_failure(stops: DataFrame, depots: DataFrame, routes: DataFrame | None
     })
 
 
-def invalid_depot_record(spark, failed: int, n_depots: int) -> DataFrame | None:
-    """L3 guard: an out-of-range depot index yields an error record."""
-    if 0 <= failed < n_depots:
-        return None
-    return spark.createDataFrame([("Warehouse Failure", "error", "Invalid depot index")],
-                                 "scenario string, metric string, message string")
+def scenario_errors(plan: DataFrame, depots: DataFrame, failed=()) -> DataFrame:
+    """D9/L3 guards: (scenario, metric, message) for an empty plan and for every
+    failed depot that is not among the depots; no rows if all is well."""
+    spark = plan.sparkSession
+    none = plan.agg(F.count("*").alias("n")).where("n = 0").select(
+        F.lit("Supply Delay").alias("scenario"), F.lit("error").alias("metric"),
+        F.lit("the inventory plan is empty").alias("message"))
+    asked = spark.createDataFrame([(int(k),) for k in failed], "depot_idx int")
+    gone = asked.join(depots.select("depot_idx"), "depot_idx", "left_anti").select(
+        F.format_string("Warehouse Failure %d", "depot_idx").alias("scenario"), F.lit("error").alias("metric"),
+        F.lit("no such depot").alias("message"))
+    return none.unionByName(gone)
 
 
 def to_long(df: DataFrame, scenario: str, key: str | None = None) -> DataFrame:

@@ -19,7 +19,7 @@ def validate_upload(df: DataFrame, min_rows: int = MIN_UPLOAD_ROWS) -> tuple[boo
     """B1/B2: (ok, message). The row check reads at most ``min_rows`` rows."""
     missing = missing_columns(df)
     if missing:
-        return False, f"Missing required columns: {', '.join(missing)}"
+        return False, f"columns not found: {', '.join(missing)}"
     if df.limit(min_rows).count() < min_rows:
-        return False, f"Dataset too small. Need at least {min_rows} rows for meaningful analysis."
+        return False, f"fewer than {min_rows} rows"
     return True, ""

@@ -88,12 +88,11 @@ def actual_vs_predicted(validation: DataFrame, store: int, dept: int) -> DataFra
 
 
 def with_labels(df: DataFrame, store_names: DataFrame, dept_names: DataFrame) -> DataFrame:
-    """Store and department labels by broadcast lookup (constant dims)."""
+    """Store and department labels by lookup (constant dims)."""
     from stockroute.functions.columns import label
-    from stockroute.operators.joins import broadcast_if_small
-    out = df.join(broadcast_if_small(store_names), "Store", "left")
+    out = df.join(store_names, "Store", "left")
     if "Dept" in df.columns:
-        out = out.join(broadcast_if_small(dept_names), "Dept", "left") \
+        out = out.join(dept_names, "Dept", "left") \
                  .withColumn("dept_label", label("Dept", F.col("Dept"), F.col("Dept_Name"))) \
                  .drop("Dept_Name")
     return out.withColumn("store_label", label("Store", F.col("Store"), F.col("Store_Name"))) \

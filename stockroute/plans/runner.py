@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockroute.config import PlanningParams
@@ -19,9 +19,10 @@ from stockroute.operators import forecast as FC
 from stockroute.operators import inventory as INV
 from stockroute.operators import routing as RT
 from stockroute.operators import scenarios as SC
-from stockroute.operators.features import engineer_features
-from stockroute.operators.joins import broadcast_if_small
+from stockroute.operators.features import add_coordinates, engineer_features
+from stockroute.operators.joins import lookup_with_default
 from stockroute.operators.validate import validate_upload
+from stockroute.session import shared_table
 from stockroute.sources.schemas import depot_frame, store_coordinates, store_names
 
 
@@ -39,6 +40,8 @@ class Results:
     naive_distance: DataFrame
     scenarios: DataFrame
     history: DataFrame
+    scenario_errors: DataFrame
+    spike_routes: DataFrame
 
 
 def _describe(spark, text: str, progress=None) -> None:
@@ -48,48 +51,48 @@ def _describe(spark, text: str, progress=None) -> None:
 
 
 def stops_from_predictions(spark, predictions: DataFrame, default_demand: float) -> DataFrame:
-    """Stops of the run: the sample stores present in the predictions, named
-    by city, with their 13-week demand (missing -> ``default_demand``)."""
+    """Stops of the run: every store of the predictions with its 13-week demand
+    (missing -> ``default_demand``), named by city (else ``Store N``), at its
+    coordinates (else the default ones)."""
     demand = predictions.groupBy("Store").agg(F.sum("Predicted_Weekly_Sales").alias("demand"))
-    coords = store_coordinates(spark).join(store_names(spark), "Store")
-    return (demand.join(broadcast_if_small(coords), "Store")
-            .select(F.lit(0).cast("long").alias("plan_id"), F.col("Store").cast("long").alias("stop_id"),
-                    F.col("Store_Name").alias("stop_name"), F.col("Latitude").alias("lat"),
-                    F.col("Longitude").alias("lon"),
-                    F.coalesce("demand", F.lit(float(default_demand))).alias("demand")))
+    named = lookup_with_default(add_coordinates(demand, store_coordinates(spark)), store_names(spark), "Store", {})
+    return named.select(
+        F.lit(0).cast("long").alias("plan_id"), F.col("Store").cast("long").alias("stop_id"),
+        F.coalesce("Store_Name", F.concat(F.lit("Store "), F.col("Store").cast("string"))).alias("stop_name"),
+        F.col("Latitude").alias("lat"), F.col("Longitude").alias("lon"),
+        F.coalesce("demand", F.lit(float(default_demand))).alias("demand"))
 
 
 def run_planning(upload: DataFrame, params: PlanningParams = PlanningParams(),
-                 progress=None, recursive: bool = True) -> Results:
+                 progress=None, recursive: bool = True, predictor: Column | None = None) -> Results:
+    """The whole run; with ``predictor`` (a Column over the features) that rule
+    stands in for the fitted trees."""
     spark = upload.sparkSession
     ok, msg = validate_upload(upload)
     if not ok:
         raise ValueError(msg)
     fp = params.forecast
     _describe(spark, "features", progress)
-    hist = engineer_features(upload, store_coordinates(spark)).checkpoint()
+    hist = shared_table(engineer_features(upload, store_coordinates(spark)), "history")
     _describe(spark, "forecast model", progress)
-    frame = FC.prepare_model_frame(hist, fp)
-    model = FC.fit_model(frame, fp)
-    metrics, validation = FC.evaluate(model, frame, fp)
+    model, metrics, validation, preds, importance = FC.forecast_stage(hist, fp, recursive, predictor)
     _describe(spark, "forecast", progress)
-    preds = (FC.forecast_recursive(model, hist, fp) if recursive
-             else FC.forecast_direct(model, hist, fp))
-    preds = preds.checkpoint()
+    preds = shared_table(preds, "predictions")
     _describe(spark, "inventory", progress)
     series = INV.demand_series(INV.store_week_demand(preds), params.inventory)
-    plan = INV.plan_rows(INV.plan_with_cap(series, params.inventory), params.inventory)
+    plan = shared_table(INV.plan_rows(INV.plan_with_cap(series, params.inventory), params.inventory), "plan")
     naive = INV.naive_cost(series, params.inventory)
     _describe(spark, "routing", progress)
     depots = depot_frame(spark, params.routing.depots)
     stops = stops_from_predictions(spark, preds, params.routing.default_demand)
-    routes = RT.solve_routes(stops, depots, params.routing)
+    routes = shared_table(RT.solve_routes(stops, depots, params.routing), "routes")
     naive_km = RT.naive_distance(RT.nearest_depot(stops, depots))
     _describe(spark, "scenarios", progress)
     s = params.scenario
     spike = SC.demand_spike(preds, plan, (s.spike_factor,), None, s, params.routing)
     delay = SC.supply_delay(preds, plan, (s.delay_days,), params.inventory)
     fail = SC.depot_failure(stops, depots, routes, (s.failed_depot,), s)
-    summary = SC.scenario_summary(spike, delay, fail)
-    return Results(model, metrics, FC.feature_importance(model, fp), validation, preds, plan,
-                   naive, routes, naive_km, summary, hist)
+    return Results(model, metrics, importance, validation, preds, plan, naive, routes, naive_km,
+                   SC.scenario_summary(spike, delay, fail), hist,
+                   SC.scenario_errors(plan, depots, (s.failed_depot,)),
+                   SC.scaled_routes(routes, s.spike_factor))

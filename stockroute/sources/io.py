@@ -7,11 +7,10 @@ nothing is funnelled through the driver.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.ml.regression import GBTRegressionModel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,9 +55,11 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType,
         return spark.createDataFrame([], schema)
 
 
-def read_json_records(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A4: stored metrics / scenario records (JSON lines or one multi-line doc)."""
-    reader = spark.read.option("multiLine", True)
+def read_json_records(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                      multi_line: bool = False) -> DataFrame:
+    """A4: stored metrics / scenario records: JSON lines, or with ``multi_line``
+    files that hold one document each."""
+    reader = spark.read.option("multiLine", multi_line)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
@@ -81,14 +82,19 @@ def write_json_records(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def save_model(model, path: str) -> None:
-    """Spark ML persistence (replaces a pickled model)."""
+def save_model(model: PipelineModel, path: str) -> None:
+    """Spark ML persistence of what ``fit_model`` returns."""
     model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> GBTRegressionModel:
-    """Load a fitted gradient-boosted model."""
-    return GBTRegressionModel.load(path)
+def load_model(path: str) -> PipelineModel:
+    """A saved pipeline; ``model_features`` tells its inputs in order."""
+    return PipelineModel.load(path)
+
+
+def model_features(model: PipelineModel) -> list[str]:
+    """The feature order a fitted pipeline was trained with."""
+    return list(model.stages[0].getInputCols())
 
 
 @dataclass
@@ -98,31 +104,36 @@ class StoredResults:
     inventory_plan: DataFrame
     routes: DataFrame
     scenarios: DataFrame
-    metrics: DataFrame | None = None
+    metrics: DataFrame
+    validation: DataFrame
+    feature_importance: DataFrame
+    naive_cost: DataFrame
+    naive_distance: DataFrame
     history: DataFrame | None = None
-
-
-def load_results(spark: SparkSession, root: str) -> StoredResults:
-    """Read a results folder written by ``save_results``; absent parts are empty."""
-    def p(name):
-        return os.path.join(root, name)
-    return StoredResults(
-        predictions=read_optional(spark, p("predictions"), S.PREDICTION_SCHEMA),
-        inventory_plan=read_optional(spark, p("inventory_plan"), S.PLAN_SCHEMA),
-        routes=read_optional(spark, p("routes"), S.ROUTE_SCHEMA),
-        scenarios=read_optional(spark, p("scenarios"), S.SCENARIO_SCHEMA),
-        metrics=read_optional(spark, p("metrics"),
-                              T.StructType([T.StructField("metric", T.StringType()),
-                                            T.StructField("value", T.DoubleType())])),
-    )
+    model: PipelineModel | None = None
 
 
 def save_results(results, root: str) -> None:
-    """Persist the tables of a planning run under one folder."""
-    for name in ("predictions", "inventory_plan", "routes", "scenarios", "metrics"):
+    """Persist the tables of a planning run, and its model, under one folder."""
+    for name, schema in S.RESULT_TABLES.items():
         df = getattr(results, name, None)
         if df is not None:
-            write_table(df, os.path.join(root, name))
+            write_table(df.select(*[F.col(f.name).cast(f.dataType) for f in schema]), f"{root}/{name}")
+    if getattr(results, "history", None) is not None:
+        write_table(results.history, f"{root}/history")
+    if getattr(results, "model", None) is not None:
+        save_model(results.model, f"{root}/model")
+
+
+def load_results(spark: SparkSession, root: str, with_model: bool = False) -> StoredResults:
+    """Read a results folder written by ``save_results``; absent tables are empty."""
+    tables = {name: read_optional(spark, f"{root}/{name}", schema) for name, schema in S.RESULT_TABLES.items()}
+    try:
+        history = spark.read.parquet(f"{root}/history")
+    except AnalysisException:
+        history = None
+    return StoredResults(**tables, history=history,
+                         model=load_model(f"{root}/model") if with_model else None)
 
 
 def to_json_text(df: DataFrame) -> DataFrame:

@@ -69,6 +69,8 @@ PLAN_SCHEMA = T.StructType([
     T.StructField("Holding_Cost", T.DoubleType()),
     T.StructField("Ordering_Cost", T.DoubleType()),
     T.StructField("Total_Cost", T.DoubleType()),
+    T.StructField("method", T.StringType()),
+    T.StructField("feasible", T.BooleanType()),
 ])
 
 ROUTE_SCHEMA = T.StructType([
@@ -109,6 +111,46 @@ SCENARIO_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType()),
 ])
 
+METRICS_SCHEMA = T.StructType([
+    T.StructField("split", T.StringType()),
+    T.StructField("n", T.LongType()),
+    T.StructField("mae", T.DoubleType()),
+    T.StructField("rmse", T.DoubleType()),
+    T.StructField("r2", T.DoubleType()),
+])
+
+VALIDATION_SCHEMA = T.StructType([
+    T.StructField("Store", T.IntegerType()),
+    T.StructField("Dept", T.IntegerType()),
+    T.StructField("Date", T.DateType()),
+    T.StructField("Weekly_Sales", T.DoubleType()),
+    T.StructField("Predicted_Sales", T.DoubleType()),
+])
+
+IMPORTANCE_SCHEMA = T.StructType([
+    T.StructField("feature", T.StringType()),
+    T.StructField("importance", T.DoubleType()),
+])
+
+NAIVE_COST_SCHEMA = T.StructType([
+    T.StructField("Store", T.IntegerType()),
+    T.StructField("naive_cost", T.DoubleType()),
+])
+
+NAIVE_DISTANCE_SCHEMA = T.StructType([
+    T.StructField("plan_id", T.LongType()),
+    T.StructField("naive_km", T.DoubleType()),
+    T.StructField("n_stops", T.LongType()),
+])
+
+# the tables of a planning run as they are saved and read again
+RESULT_TABLES = {
+    "predictions": PREDICTION_SCHEMA, "inventory_plan": PLAN_SCHEMA, "routes": ROUTE_SCHEMA,
+    "scenarios": SCENARIO_SCHEMA, "metrics": METRICS_SCHEMA, "validation": VALIDATION_SCHEMA,
+    "feature_importance": IMPORTANCE_SCHEMA, "naive_cost": NAIVE_COST_SCHEMA,
+    "naive_distance": NAIVE_DISTANCE_SCHEMA,
+}
+
 # --- fixed values: coordinates of the 45 sample stores (Store: lat, lon) -------
 STORE_COORDINATES = {
     1: (33.4484, -112.0740), 2: (34.0522, -118.2437), 3: (41.8781, -87.6298),

@@ -119,13 +119,44 @@ def test_long_horizon_plan_is_feasible_and_cheaper(spark):
     assert all(opt[r.Store] <= r.c + 1e-6 for r in fb)
 
 
-def test_cap_binding_series_get_capped_policy(spark):
+def test_cap_binding_series_are_planned_exactly(spark):
     from dataclasses import replace
     from stockroute.operators.inventory import plan_with_cap
     p = replace(P, max_order=30000.0)
-    series = [[10000.0, 10000.0, 10000.0], [40000.0, 90000.0, 20000.0]]
+    series = [[10000.0, 10000.0, 10000.0], [40000.0, 90000.0, 20000.0], [10000.0, 10000.0, 10000.0, 50000.0]]
     planned = {r.Store: r for r in plan_with_cap(_series_frame(spark, series), p).collect()}
     assert planned[0].method == "optimal" and planned[0].feasible
-    assert planned[1].method == "capped_order_up_to"
-    assert max(planned[1].orders) <= 30000.0 + 1e-9
-    assert planned[1].feasible is False            # 90000 in one week cannot be met under the cap
+    # 90000 in one week can't be met within the cap: the uncapped policy, and it says so
+    assert planned[1].method == "order_up_to" and planned[1].feasible is False
+    assert max(planned[1].orders) > 30000.0
+    assert planned[2].method == "optimal_capped" and planned[2].feasible
+    assert max(planned[2].orders) <= 30000.0 and min(planned[2].levels) >= planned[2].safety - 1e-6
+
+
+def test_capped_orders_equal_enumeration():
+    from itertools import product
+    from stockroute.operators.inventory import capped_orders
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        n = int(rng.integers(2, 8))
+        demand = np.round(rng.uniform(0, 100, n), 1).tolist()
+        cap, initial, safety = float(rng.uniform(30, 130)), 30.0, 20.0
+        need = [0.0]
+        for t in range(n):
+            need.append(max(need[-1], sum(demand[:t + 1]) - (initial - safety)))
+        best = None
+        for pick in product((0, 1), repeat=n):
+            level, cost = need[n], 0.0
+            for t in range(n, 0, -1):
+                cost += 0.5 * level
+                before = max(need[t - 1], level - cap) if pick[t - 1] else level
+                cost += 20.0 * (before < level)
+                level = before
+            if level <= 0 and (best is None or cost < best):
+                best = cost
+        got = capped_orders(demand, safety, initial, cap, 0.5, 20.0)
+        assert (got is None) == (best is None)
+        if got is not None:
+            total = np.cumsum(got)
+            assert max(got) <= cap + 1e-9 and (total >= np.array(need[1:]) - 1e-9).all()
+            assert 0.5 * total.sum() + 20.0 * sum(q > 1e-9 for q in got) == pytest.approx(best)

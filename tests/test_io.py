@@ -39,7 +39,7 @@ def test_optional_source_and_results_bundle(spark):
     d = _tmp()
     missing = io.read_optional(spark, os.path.join(d, "nope"), S.PLAN_SCHEMA)
     assert missing.count() == 0 and missing.schema == S.PLAN_SCHEMA
-    plan = spark.createDataFrame([(1, 1, 10.0, 5.0, 20.0, 1.0, 5000.0, 5001.0)], S.PLAN_SCHEMA)
+    plan = spark.createDataFrame([(1, 1, 10.0, 5.0, 20.0, 1.0, 5000.0, 5001.0, "optimal", True)], S.PLAN_SCHEMA)
     io.write_table(plan, os.path.join(d, "inventory_plan"))
     res = io.load_results(spark, d)
     assert res.inventory_plan.count() == 1 and res.routes.count() == 0
@@ -49,10 +49,11 @@ def test_json_records_and_model_persistence(spark):
     from stockroute.config import ForecastParams
     from stockroute.operators.forecast import feature_columns, fit_model
     d = _tmp()
-    recs = spark.createDataFrame([("Demand Spike", "cost_increase", 1.5)], S.SCENARIO_SCHEMA)
+    recs = spark.createDataFrame([("Demand Spike", "cost_increase", 1.5), ("Demand Spike", "x", None),
+                                  ("Supply Delay", "y", 2.0)], S.SCENARIO_SCHEMA).coalesce(1)
     io.write_json_records(recs, os.path.join(d, "scen"))
     back = io.read_json_records(spark, os.path.join(d, "scen"), S.SCENARIO_SCHEMA)
-    assert back.first().value == 1.5
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, recs.collect()), key=repr)
     assert io.to_json_text(recs).first().json.startswith('{"scenario"')
     p = ForecastParams(n_estimators=2, max_depth=2)
     cols = feature_columns(p)
@@ -60,6 +61,6 @@ def test_json_records_and_model_persistence(spark):
                                   (F.col("id") * 3.0).alias("Weekly_Sales"),
                                   F.lit("train").alias("split"))
     model = fit_model(rows, p)
-    io.save_model(model.stages[-1], os.path.join(d, "model"))
+    io.save_model(model, os.path.join(d, "model"))
     loaded = io.load_model(os.path.join(d, "model"))
-    assert loaded.getNumTrees == 2
+    assert loaded.stages[-1].getNumTrees == 2 and io.model_features(loaded) == cols

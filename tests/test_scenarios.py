@@ -2,14 +2,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockroute.operators.scenarios import (
-    demand_spike, invalid_depot_record, scaled_predictions, scaled_routes, supply_delay)
-from stockroute.sources.schemas import PLAN_SCHEMA
+    demand_spike, depot_failure, scaled_predictions, scaled_routes, scenario_errors, supply_delay)
+from stockroute.sources.schemas import DEPOT_SCHEMA, PLAN_SCHEMA, STOP_SCHEMA
 
 PLAN_COST = 33875202.53
 
 
 def _plan(spark, rows):
-    return spark.createDataFrame(rows, PLAN_SCHEMA)
+    return spark.createDataFrame([(*r, "optimal", True) for r in rows], PLAN_SCHEMA)
 
 
 def test_spike_golden(spark):
@@ -47,5 +47,26 @@ def test_scaling_helpers_and_guard(spark):
     routes = spark.createDataFrame([(5.0, 7.0)], "Demand double, Cumulative_Load double")
     r = scaled_routes(routes, 2.0).first()
     assert (r.Demand, r.Cumulative_Load) == (10.0, 14.0)
-    assert invalid_depot_record(spark, 1, 3) is None
-    assert invalid_depot_record(spark, 5, 3).first().message == "Invalid depot index"
+
+
+def _depots(spark, n):
+    return spark.createDataFrame([(i, f"D{i}", 30 + (i * 37 % 1000) / 50, -100 + (i * 91 % 997) / 20) for i in range(n)], DEPOT_SCHEMA)
+
+
+def test_error_records(spark):
+    depots = _depots(spark, 3)
+    full, empty = _plan(spark, [(1, 1, 0.0, 0.0, 1.0, 0.0, 0.0, 1.0)]), _plan(spark, [])
+    assert scenario_errors(full, depots, (0, 2)).count() == 0
+    got = sorted(r.scenario for r in scenario_errors(empty, depots, (1, 5)).collect())
+    assert got == ["Supply Delay", "Warehouse Failure 5"]
+    pred = spark.createDataFrame([(1, 1, 5.0)], "Store int, Dept int, Predicted_Weekly_Sales double")
+    assert supply_delay(pred, empty, (7,)).count() == 0
+
+
+def test_failure_with_one_and_with_many_depots(spark):
+    stops = spark.createDataFrame([(0, i, f"S{i}", 31.0 + i, -95.0 - i, 1.0) for i in range(5)], STOP_SCHEMA)
+    one = depot_failure(stops, _depots(spark, 1)).collect()
+    assert len(one) == 1 and one[0].stores_reassigned == 5
+    many = depot_failure(stops, _depots(spark, 12_000))
+    assert many.count() == 12_000
+    assert many.agg(F.sum("stores_reassigned")).first()[0] >= 5
