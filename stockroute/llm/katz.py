@@ -38,8 +38,9 @@ from stockroute.llm.staging import stage
 TOP = 5                     # counts up to this are discounted by Good-Turing
 KEEP = 0.999                # of larger counts
 HEAVY_PARTS = 512
-CHUNK_TOKENS = 3_000_000    # packed at a time by a task
-BUCKET_TOKENS = 4_000_000
+CHUNK_TOKENS = 2_000_000    # packed at a time by a task
+BUCKET_TOKENS = 2_500_000
+ENTRY_RUN = 500_000
 START, END = np.uint64(1), np.uint64(2)
 LEAST = -(1 << 63)
 
@@ -269,12 +270,14 @@ def _solve(uni: Unigrams, pairs: Lookup):
         blobs = [_load(x.as_buffer()) for c in group["payload"].chunks for x in c]
         cat = lambda name: np.concatenate([b[name] for b in blobs])
         shift = np.cumsum([0] + [len(b["uid"]) for b in blobs[:-1]])
-        doc = np.concatenate([b["doc"].astype(np.int64) + s for b, s in zip(blobs, shift)])
-        times, train = cat("times").astype(np.int64), cat("train")
+        doc = np.concatenate([b["doc"].astype(np.int32) + np.int32(s) for b, s in zip(blobs, shift)])
+        times, train = cat("times"), cat("train")
         word = np.repeat(cat("word"), cat("pairs"))
         history, entries = cat("history"), cat("entries")
-        pair = np.repeat(np.arange(len(word)), entries)
-        mine = np.bincount(pair, times * train[doc], len(word)).astype(np.int64)
+        uid, doc_id = cat("uid"), cat("doc_id")
+        del blobs
+        stop = np.cumsum(entries)
+        mine = np.add.reduceat(times * train[doc], stop - entries, dtype=np.int64)
         # the same pair from several blobs
         order = np.lexsort((history, word))
         head = _heads(word[order], history[order])
@@ -303,16 +306,28 @@ def _solve(uni: Unigrams, pairs: Lookup):
         log_r = np.where(r > TOP, np.log10(np.maximum(r, 1)), 0.0) + np.where(r == 0, np.log10(p), 0.0)
         log_r -= np.where((c > 0) & (word != END), np.log10(np.maximum(c, 1)), 0.0)
         base = np.log10((c + 1) / (uni.n + uni.types + 1))
-        e = of[pair]
+        e = np.repeat(of.astype(np.int32), entries)
         m = len(train)
-        total = lambda v: np.bincount(doc, times * v[e], m)
-        d_cols = {f"k{k}": total(r == k).astype(np.int64) for k in range(1, TOP + 1)}
-        of_doc = _sums(0, id=cat("uid"), doc_id=cat("doc_id"), n=np.bincount(doc, times, m).astype(np.int64),
-                       **d_cols, k6=total(r > TOP).astype(np.int64), big=total(c > 0).astype(np.int64),
-                       f1=total(log_r), f2=total(base))
-        miss = np.flatnonzero(r[e] == 0)
-        of_miss = _sums(2, id=cat("uid")[doc[miss]], big=history[e[miss]].view(np.int64), n=times[miss])
-        return pa.concat_tables([of_doc, of_history, of_miss])
+        counts = np.zeros((TOP + 3, m), np.int64)       # tokens by r from 1 to 5, above, known, all
+        sums = np.zeros((2, m))
+        kinds = np.minimum(r, TOP + 1).astype(np.int8)
+        misses = []
+        for z in range(0, len(e), ENTRY_RUN):           # bounded temporaries
+            d, t, u = doc[z:z + ENTRY_RUN], times[z:z + ENTRY_RUN], e[z:z + ENTRY_RUN]
+            kind = kinds[u]
+            for k in range(1, TOP + 2):
+                at = kind == k
+                counts[k - 1] += np.bincount(d[at], t[at], m).astype(np.int64)
+            at = (c > 0)[u]
+            counts[TOP + 1] += np.bincount(d[at], t[at], m).astype(np.int64)
+            counts[TOP + 2] += np.bincount(d, t, m).astype(np.int64)
+            sums[0] += np.bincount(d, t * log_r[u], m)
+            sums[1] += np.bincount(d, t * base[u], m)
+            at = np.flatnonzero(kind == 0)
+            misses.append(_sums(2, id=uid[d[at]], big=history[u[at]].view(np.int64), n=t[at].astype(np.int64)))
+        of_doc = _sums(0, id=uid, doc_id=doc_id, n=counts[TOP + 2], big=counts[TOP + 1], k6=counts[TOP],
+                       **{f"k{k}": counts[k - 1] for k in range(1, TOP + 1)}, f1=sums[0], f2=sums[1])
+        return pa.concat_tables([of_doc, of_history, *misses])
     return run
 
 
