@@ -7,11 +7,12 @@ their first n - ceil(t n) + 1 (the prefix).
 
 1.  Equal sets are one class; classes of equal size and prefix are one group.
 2.  Groups meet in the lists of their prefix shingles.  In a first round each
-    list only pairs its leading groups with the others by their first few
+    list only pairs its leading group with the others by their first few
     shingles; the links found join the bulk of large near-copy families.
 3.  In the second round every list pairs all its groups whose components still
-    differ, under the size and position filters, so no link between different
-    components can be missed.
+    differ, under the size and position filters and a lower bound on the
+    difference of their sets (a histogram of 16 bytes travels along), so no link
+    between different components can be missed.
 4.  Group pairs are expanded to class pairs, pruned by an exact lower bound on
     the difference of the sets, and verified on the whole sets.
 
@@ -22,6 +23,7 @@ components are exact.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +38,9 @@ SHINGLE = 3
 PERCENT = 90
 FREQUENT = 1 << 16          # shingles with a place of their own at the end of the order
 CHUNK_SHINGLES = 4_000_000  # counted at a time for that
-LEADERS = 2                 # groups that a list pairs with all others in the first round
-LEAD_PLACES = 4             # shingles a group takes part with in the first round
+LEAD_PLACES = 3             # shingles a group takes part with in the first round
 BUCKETS = 64                # of the histogram that bounds the difference of two sets
+COARSE = 16                 # of the one that travels with the lists
 LIST_ROWS = 400_000
 LEAST = -(1 << 63)
 
@@ -114,7 +116,8 @@ def prefix_sizes(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
 
 
-_SKETCH = "doc_id long, n long, s0 long, s1 long, p0 long, prefix array<long>, histogram binary"
+_SKETCH = ("doc_id long, n long, s0 long, s1 long, p0 long, prefix array<long>, histogram binary, "
+           "q0 long, q1 long")
 
 
 def _sketch(order: Order, percent: int):
@@ -134,6 +137,8 @@ def _sketch(order: Order, percent: int):
                 p_end = cut[:-1] + p
                 hist = np.bincount(doc * BUCKETS + (ws.mix(key) % np.uint64(BUCKETS)).astype(np.int64),
                                    minlength=w.docs * BUCKETS)
+                coarse = hist.reshape(-1, COARSE, BUCKETS // COARSE).sum(axis=2)
+                coarse = np.minimum(coarse, 255).astype(np.uint8).view(np.int64)
                 hist = np.minimum(hist, 255).astype(np.uint8).tobytes()
                 yield pa.record_batch(
                     [b["doc_id"].slice(w.first, w.docs), pa.array(n),
@@ -141,27 +146,52 @@ def _sketch(order: Order, percent: int):
                      pa.array((total[0][p_end] - total[0][cut[:-1]]).view(np.int64)),
                      pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(p)]).astype(np.int32)),
                                               pa.array(key[places].view(np.int64))),
-                     pa.array([hist[i:i + BUCKETS] for i in range(0, len(hist), BUCKETS)], pa.binary())],
-                    names=["doc_id", "n", "s0", "s1", "p0", "prefix", "histogram"])
+                     pa.array([hist[i:i + BUCKETS] for i in range(0, len(hist), BUCKETS)], pa.binary()),
+                     pa.array(coarse[:, 0]), pa.array(coarse[:, 1])],
+                    names=["doc_id", "n", "s0", "s1", "p0", "prefix", "histogram", "q0", "q1"])
     return run
 
 
-def _may_link(n_a, n_b, pos_a, pos_b, percent: int):
-    """Size and position filter for groups that share the shingles at these places."""
-    need = -(-percent * (n_a + n_b) // (100 + percent))
-    return ((100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
-            & (np.minimum(n_a - pos_a, n_b - pos_b) >= need))
-
-
-def _by_lists(pairs, limit: int):
+@dataclass
+class Lists:
+    """Rows of whole lists in order: a group's place in the list of one shingle."""
+    token: np.ndarray
+    gid: np.ndarray
+    n: np.ndarray
+    pos: np.ndarray
+    tag: np.ndarray         # first round: copies; second: component, or LEAST
+    coarse: np.ndarray      # histogram of the group's set
+    single: np.ndarray      # whether the group has one set only
+
+    def may_link(self, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+        """Size, position and difference filters for rows of one list."""
+        a, b = self.n[i], self.n[j]
+        need = -(-percent * (a + b) // (100 + percent))
+        ok = ((self.gid[i] != self.gid[j]) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+              & (np.minimum(a - self.pos[i], b - self.pos[j]) >= need))
+        at = np.flatnonzero(ok)
+        apart = np.abs(self.coarse[i[at]] - self.coarse[j[at]]).sum(axis=1, dtype=np.int64)
+        apart[~(self.single[i[at]] & self.single[j[at]])] = 0
+        both = a[at] + b[at]
+        ok[at] = 100 * (both - apart) >= percent * (both + apart)
+        return ok
+
+
+def _by_lists(pairs, order: str, limit: int):
     """Apply ``pairs`` to rows sorted by token, in runs of whole lists."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            a, b = pairs(*[t[c].to_numpy() for c in ("token", "gid", "n", "pos", "weight", "comp")])
+            c = {k: t[k].to_numpy() for k in ("token", "gid", "np", "tag")}
+            at = np.lexsort((c["gid"], -c["tag"], c["token"]) if order == "tag" else (c["np"], c["token"]))
+            q = np.ascontiguousarray(np.stack([t["q0"].to_numpy(), t["q1"].to_numpy()], axis=1)[at])
+            size = c["np"][at]
+            lists = Lists(c["token"][at], c["gid"][at], size >> 32, (size & 0xFFFFFFFF) >> 1,
+                          c["tag"][at], q.view(np.uint8).astype(np.int16), (size & 1) == 0)
+            a, b = pairs(lists)
             if len(a):
                 low, high = np.minimum(a, b), np.maximum(a, b)
-                order = np.lexsort((high, low))
-                low, high = low[order], high[order]
+                at = np.lexsort((high, low))
+                low, high = low[at], high[at]
                 new = np.ones(len(low), bool)
                 new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
                 yield pa.record_batch([pa.array(low[new]), pa.array(high[new])], names=["ga", "gb"])
@@ -182,41 +212,34 @@ def _by_lists(pairs, limit: int):
     return run
 
 
-def _leader_pairs(percent: int, leaders: int):
-    def pairs(token, gid, n, pos, weight, comp):
-        order = np.lexsort((gid, -weight, token))
-        token, gid, n, pos = token[order], gid[order], n[order], pos[order]
-        head = np.maximum.accumulate(np.where(np.diff(token, prepend=token[0] - 1) != 0, np.arange(len(token)), 0))
-        out_a, out_b = [], []
-        for k in range(leaders):
-            other = np.flatnonzero(np.arange(len(token)) > head + k)
-            lead = head[other] + k
-            ok = _may_link(n[lead], n[other], pos[lead], pos[other], percent) & (gid[lead] != gid[other])
-            out_a.append(gid[lead[ok]])
-            out_b.append(gid[other[ok]])
-        return np.concatenate(out_a), np.concatenate(out_b)
+def _leader_pairs(percent: int):
+    """The group of most copies of each list with all others."""
+    def pairs(x: Lists):
+        new = np.ones(len(x.token), bool)
+        new[1:] = x.token[1:] != x.token[:-1]
+        lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+        other = np.flatnonzero(~new)
+        other = other[x.may_link(lead[other], other, percent)]
+        return x.gid[lead[other]], x.gid[other]
     return pairs
 
 
 def _open_pairs(percent: int):
-    """Pairs of one list whose components differ; a comp of null (least) differs from all."""
-    def pairs(token, gid, n, pos, weight, comp):
-        order = np.lexsort((n, token))
-        token, gid, n, pos, comp = token[order], gid[order], n[order], pos[order], comp[order]
-        i = np.arange(len(token))
-        out_a, out_b, lag = [], [], 1
+    """Pairs of one list whose components differ; a tag of LEAST differs from all."""
+    def pairs(x: Lists):
+        i = np.arange(len(x.token))
+        out_a, out_b, lag = [x.gid[:0]], [x.gid[:0]], 1
         while len(i):
-            i = i[i + lag < len(token)]
+            i = i[i + lag < len(x.token)]
             j = i + lag
-            near = (token[i] == token[j]) & (100 * n[i] >= percent * n[j])
+            near = (x.token[i] == x.token[j]) & (100 * x.n[i] >= percent * x.n[j])
             i = i[near]                     # sizes rise, so a failed one is done with
-            j = i + lag
-            ok = ((comp[i] != comp[j]) | (comp[i] == LEAST)) & (gid[i] != gid[j])
-            ok &= _may_link(n[i], n[j], pos[i], pos[j], percent)
-            out_a.append(gid[i[ok]])
-            out_b.append(gid[j[ok]])
+            apart = i[(x.tag[i] != x.tag[i + lag]) | (x.tag[i] == LEAST)]
+            apart = apart[x.may_link(apart, apart + lag, percent)]
+            out_a.append(x.gid[apart])
+            out_b.append(x.gid[apart + lag])
             lag += 1
-        return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (gid[:0], gid[:0])
+        return np.concatenate(out_a), np.concatenate(out_b)
     return pairs
 
 
@@ -280,20 +303,24 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
     sketch = stage(src.mapInArrow(_sketch(order, percent), _SKETCH), "join-sketch")
     same = ["s0", "s1", "n"]
     one = sketch.where("n > 0")
-    classes = stage(one.groupBy(*same).agg(F.min(F.struct("doc_id", "p0", "prefix", "histogram")).alias("m"),
+    classes = stage(one.groupBy(*same).agg(F.min(F.struct("doc_id", "p0", "prefix", "histogram", "q0", "q1")).alias("m"),
                                            F.count("*").alias("copies"))
-                    .select(*same, F.col("m.doc_id").alias("cid"), "m.p0", "m.prefix", "m.histogram", "copies"),
+                    .select(*same, F.col("m.doc_id").alias("cid"), "m.p0", "m.prefix", "m.histogram", "m.q0", "m.q1",
+                            "copies"),
                     "join-classes")
-    groups = (classes.groupBy("n", "p0").agg(F.min(F.struct("cid", "prefix")).alias("m"),
+    groups = (classes.groupBy("n", "p0").agg(F.min(F.struct("cid", "prefix", "q0", "q1")).alias("m"),
                                              F.max("copies").alias("weight"), F.count("*").alias("members"))
-              .select("n", "p0", F.col("m.cid").alias("gid"), "m.prefix", "weight", "members"))
+              .select("n", "p0", F.col("m.cid").alias("gid"), "m.prefix", "weight", "members",
+                      "m.q0", "m.q1"))
     groups = stage(groups, "join-groups")
     members = stage(classes.join(groups.select("n", "p0", "gid"), ["n", "p0"])
                     .select("cid", "gid", "n", "copies", "histogram"), "join-members")
 
-    def postings(of: DataFrame, places) -> DataFrame:
-        rows = of.select("gid", "n", "weight", "comp", F.posexplode(places).alias("pos", "token"))
-        return (rows.select("token", "gid", "n", F.col("pos").cast("long").alias("pos"), "weight", "comp")
+    def postings(of: DataFrame, places, tag) -> DataFrame:
+        rows = of.select("gid", "n", "members", tag.alias("tag"), "q0", "q1", F.posexplode(places).alias("pos", "token"))
+        # size, place, and whether the group has several sets (and so no histogram of its own)
+        packed = F.shiftleft("n", 32) + F.col("pos") * 2 + (F.col("members") > 1).cast("long")
+        return (rows.select("token", "gid", packed.alias("np"), "tag", "q0", "q1")
                 .repartition("token").sortWithinPartitions("token"))
 
     def links(pairs: DataFrame) -> DataFrame:
@@ -313,8 +340,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
     lead = stage(members.groupBy("gid").agg(F.min(most).alias("l")).select("gid", F.col("l.cid").alias("lead")),
                  "join-leads")
     # first round: leading groups of each list; leading classes of both sides
-    first = (postings(groups.withColumn("comp", lone), F.slice("prefix", 1, LEAD_PLACES))
-             .mapInArrow(_by_lists(_leader_pairs(percent, LEADERS), list_rows), "ga long, gb long").distinct())
+    first = (postings(groups, F.slice("prefix", 1, LEAD_PLACES), F.col("weight"))
+             .mapInArrow(_by_lists(_leader_pairs(percent), "tag", list_rows), "ga long, gb long").distinct())
     first = stage(first, "join-first")
     m = members.select("gid", "cid")
     inside = m.join(lead, "gid").select(F.col("lead").alias("a"), F.col("cid").alias("b"))
@@ -327,8 +354,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
     # second round: whatever could still join two components
     state = known.groupBy("gid").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     state = state.select("gid", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(lone).alias("comp"))
-    second = (postings(groups.join(state, "gid"), F.col("prefix"))
-              .mapInArrow(_by_lists(_open_pairs(percent), list_rows), "ga long, gb long").distinct())
+    second = (postings(groups.join(state, "gid"), F.col("prefix"), F.col("comp"))
+              .mapInArrow(_by_lists(_open_pairs(percent), "size", list_rows), "ga long, gb long").distinct())
     second = stage(second, "join-second")
     k = known.select(F.col("gid").alias("g"), "cid", "component")
     wide = (second.join(k.select(F.col("g").alias("ga"), F.col("cid").alias("a"), F.col("component").alias("ca")), "ga")
