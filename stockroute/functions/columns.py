@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "EARTH_RADIUS_KM", "DEFAULT_LATLON", "TYPE_CODES", "SHIP_MODE_CODES",
-    "HOLIDAY_WEEKS", "to_date_col", "calendar_parts", "iso_week",
+    "HOLIDAY_WEEKS", "calendar_parts",
     "add_weeks", "date_text", "lead_time_days", "fill_zero", "optional_zero",
     "bool_to_int", "code_map", "yes_flag", "hash_coordinates", "clamp_zero",
     "round2", "ceil_floor_zero", "haversine_km", "scale_when", "guarded_ratio",
     "pct_change", "fixed_cost", "delay_demand", "vehicle_id", "default_demand",
-    "non_negative_gap", "col_or_zero", "label",
+    "label",
 ]
 
 # --- fixed values -------------------------------------------------------------
@@ -39,16 +39,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def to_date_col(c) -> Column:
-    """Parse to DateType (strings, timestamps or dates)."""
-    return F.to_date(_c(c))
-
-
-def iso_week(d) -> Column:
-    """ISO-8601 week number (2012-01-01 -> 52)."""
-    return F.weekofyear(_c(d))
-
-
 def calendar_parts(d) -> dict[str, Column]:
     """Year, Month, Week (ISO), DayOfYear, Quarter of a date."""
     d = _c(d)
@@ -89,11 +79,6 @@ def optional_zero(columns: list[str], name: str) -> Column:
     return F.lit(0.0)
 
 
-def col_or_zero(columns: list[str], name: str) -> Column:
-    """A feature that may be absent becomes 0."""
-    return F.col(name) if name in columns else F.lit(0.0)
-
-
 def bool_to_int(c) -> Column:
     """C11: boolean -> 0/1."""
     return _c(c).cast("int")
@@ -198,8 +183,3 @@ def label(prefix: str, key, name) -> Column:
     return F.when(F.coalesce(F.length(nm), F.lit(0)) > 0,
                   F.concat(F.lit(prefix + " "), k, F.lit(" \u2014 "), nm)) \
         .otherwise(F.concat(F.lit(prefix + " "), k))
-
-
-def non_negative_gap(base, new) -> Column:
-    """max(0, base - new)."""
-    return F.greatest(F.lit(0.0), _c(base) - _c(new))

@@ -6,7 +6,7 @@ aggregate before the shuffle; hot keys never reach one task as raw rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # equal-width buckets a median pass counts; the driver sees at most that many
@@ -110,25 +110,15 @@ def two_way_counts(df: DataFrame, row: str, col: str) -> DataFrame:
     return df.groupBy(row, col).agg(F.count("*").alias("n"))
 
 
-def count_if(cond: Column) -> Column:
-    """conditional count."""
-    return F.count(F.when(cond, 1))
-
-
-def profile(df: DataFrame, keys: tuple[str, str] = ("Store", "Dept")) -> DataFrame:
-    """Rows, distinct stores, distinct departments."""
-    return df.agg(F.count("*").alias("n_rows"),
-                  F.count_distinct(keys[0]).alias("n_stores"),
-                  F.count_distinct(keys[1]).alias("n_depts"))
-
-
-def period(df: DataFrame, date_col: str = "Date") -> DataFrame:
-    """first date, last date and row count."""
-    return df.agg(F.min(date_col).alias("first_date"), F.max(date_col).alias("last_date"),
-                  F.count("*").alias("n_rows"))
+def profile(df: DataFrame, keys: tuple[str, str] = ("Store", "Dept"), date_col: str = "Date") -> DataFrame:
+    """Rows, distinct stores and departments, first and last date."""
+    return df.agg(F.count("*").alias("n_rows"), F.count_distinct(keys[0]).alias("n_stores"),
+                  F.count_distinct(keys[1]).alias("n_depts"),
+                  F.min(date_col).alias("first_date"), F.max(date_col).alias("last_date"))
 
 
 def last_row(df: DataFrame, keys: list[str], order_col: str, cols: list[str]) -> DataFrame:
-    """the last row of each series as columns (max_by on the order)."""
+    """the last row of each series as columns (max_by on the order), and its length."""
     s = F.max_by(F.struct(*cols), F.col(order_col)).alias("_last")
-    return df.groupBy(*keys).agg(s).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in cols])
+    return df.groupBy(*keys).agg(s, F.count("*").alias("n_weeks")).select(
+        *keys, *[F.col(f"_last.{c}").alias(c) for c in cols], "n_weeks")

@@ -218,7 +218,11 @@ def forecast_recursive(model: PipelineModel | Column, history: DataFrame,
             (F.col("n") + 1).alias("n"),
             F.concat(F.col("preds"), F.array(pred)).alias("preds"))
         state = state.select(*base_cols)
-        if checkpoint and w % checkpoint_every == 0 and w < p.horizon:
+        if isinstance(model, Column) and w < p.horizon:
+            # a rule's expression would be nested into the next step's: the
+            # state is written after each step
+            state = shared_table(state, "forecast-state")
+        elif checkpoint and w % checkpoint_every == 0 and w < p.horizon:
             state = state.checkpoint()
     out = state.select(*KEYS, "_last", F.posexplode("preds").alias("i", "p"))
     return out.select(*[F.col(c).cast("int") for c in KEYS],

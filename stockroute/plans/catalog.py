@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockroute.plans import sqlviews as V
-from stockroute.session import ensure_checkpoint_dir
+from stockroute.session import ensure_checkpoint_dir, shared_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,9 +86,10 @@ _SHARED: dict = {}
 def shared(spark: SparkSession, key: tuple, build):
     """A prepared table reused by several queries of one session.
 
-    It is written once with a reliable ``checkpoint()`` into the folder named
-    by ``spark.checkpoint.dir``: later queries read that copy, and a lost
-    executor does not force the joins and medians to be recomputed.
+    It is written once as Parquet below the folder named by
+    ``spark.checkpoint.dir``: later queries scan the columns they need of that
+    copy, and a lost executor does not force it to be recomputed.  ``forget``
+    drops the handles.
     """
     k = (spark.sparkContext.applicationId,) + key
     if k not in _SHARED:
@@ -97,6 +98,12 @@ def shared(spark: SparkSession, key: tuple, build):
     return _SHARED[k]
 
 
+def forget() -> None:
+    """Drop the prepared tables and models of this process."""
+    _SHARED.clear()
+    _MODEL_CACHE.clear()
+
+
 def _prepared_history(spark: SparkSession, sf_dir: str, type_default):
     from pyspark import StorageLevel
     from stockroute.operators.features import IMPUTED, impute_median, join_history
@@ -106,7 +113,7 @@ def _prepared_history(spark: SparkSession, sf_dir: str, type_default):
                           TD.features_table(spark, sf_dir), store_coordinates(spark),
                           type_default).persist(StorageLevel.MEMORY_AND_DISK)
     try:   # median passes and the checkpoint write share the persisted join
-        return impute_median(joined, IMPUTED).checkpoint()
+        return shared_table(impute_median(joined, IMPUTED), "history")
     finally:
         joined.unpersist()
 
@@ -168,8 +175,10 @@ def q_lag_features(spark, sf_dir):
 
 
 def lagged(spark, sf_dir):
+    """Lagged complete rows with their split, written once (the windows run once)."""
     from stockroute.operators.features import lag_features, model_rows, time_split
-    return time_split(model_rows(lag_features(history(spark, sf_dir))))
+    return shared(spark, ("lagged", sf_dir), lambda: shared_table(time_split(shared_table(
+        model_rows(lag_features(history(spark, sf_dir))), "lagged")), "split"))
 
 
 SPLIT_SQL = """
@@ -211,9 +220,6 @@ def q_forecast_metrics(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- inventory
-PARAMS = None
-
-
 def _params():
     from stockroute.config import PlanningParams
     return PlanningParams()
@@ -323,7 +329,7 @@ SELECT Store, Week, """ + ", ".join([
     r("Demand", digits=2), r("ord", "Optimal_Order", 2), r("lvl", "Inventory_Level", 2),
     r("0.05 * lvl", "Holding_Cost", 2),
     r("CASE WHEN ord > 0.01 THEN CAST(5000 AS DOUBLE) ELSE 0.0 END", "Ordering_Cost", 2),
-    r("0.05 * lvl + CASE WHEN ord > 0.01 THEN CAST(5000 AS DOUBLE) ELSE 0.0 END", "Total_Cost", 2)]) + " FROM pl2"
+    r("0.05 * lvl + CASE WHEN ord > 0.01 THEN CAST(5000 AS DOUBLE) ELSE 0.0 END", "Total_Cost", 2)]) + ", 'optimal' AS method, true AS feasible FROM pl2"
 
 
 @register("J5_inventory_plan", J5_SQL)
@@ -343,49 +349,6 @@ def q_naive_cost(spark, sf_dir):
     return rounded(naive_cost(demand_series_q(spark, sf_dir), _params().inventory))
 
 
-@register("F9_plan_summary", INV_BASE + """,
-up AS (SELECT Store, t AS Week, d, greatest(1.5 * ss, ss + cmax) - cum AS lvl, ss FROM ser3),
-up2 AS (SELECT *, (CASE WHEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss) > 1e-9 * greatest(1.0, abs(ss)) THEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss) ELSE 0.0 END) AS ord
-        FROM up)
-SELECT """ + r("sum(0.05 * lvl + CASE WHEN ord > 0 THEN 5000.0 ELSE 0.0 END)", "total_cost", 4)
-          + ", count(CASE WHEN ord > 0 THEN 1 END) AS orders_placed, "
-          + r("avg(lvl)", "avg_inventory", 4) + " FROM up2")
-def q_plan_summary(spark, sf_dir):
-    """F9 over the fallback-policy plan."""
-    from stockroute.operators.inventory import order_up_to, plan_rows, plan_summary
-    p = _params().inventory
-    plan = plan_rows(order_up_to(demand_series_q(spark, sf_dir)), p, order_threshold=0.0)
-    return rounded(plan_summary(plan), 4)
-
-
-@register("J7_savings", INV_BASE + """,
-ser4 AS (SELECT *, greatest(cmax - 0.5 * ss, 0.0) AS req FROM ser3),
-up AS (SELECT Store, t, d, greatest(1.5 * ss, ss + cmax) - cum AS lvl, ss FROM ser3),
-up2 AS (SELECT *, (CASE WHEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY t), 1.5 * ss) > 1e-9 * greatest(1.0, abs(ss)) THEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY t), 1.5 * ss) ELSE 0.0 END) AS ord
-        FROM up),
-pc AS (SELECT sum(0.05 * lvl + CASE WHEN ord > 0 THEN 5000.0 ELSE 0.0 END) AS plan_total FROM up2),
-nc AS (SELECT sum(n_cost) AS naive_total FROM (
-         SELECT count(*) * 5000.0 + 0.05 * (count(*) * avg(d) + 0.5 * sum(d)) AS n_cost
-         FROM ser3 GROUP BY Store) z)
-SELECT """ + ", ".join([r("naive_total", digits=4), r("plan_total", digits=4),
-                       r("naive_total - plan_total", "savings", 4),
-                       r("CASE WHEN naive_total > 0 THEN (naive_total - plan_total) / naive_total * 100 ELSE 0 END",
-                         "savings_pct", 4)]) + " FROM pc, nc")
-def q_savings(spark, sf_dir):
-    """J7 for the fallback-policy plan against the naive policy."""
-    from stockroute.operators.inventory import (
-        naive_cost, order_up_to, plan_rows, plan_summary, savings)
-    p = _params().inventory
-    series = demand_series_q(spark, sf_dir)
-    plan_total = plan_summary(plan_rows(order_up_to(series), p, order_threshold=0.0)) \
-        .select(F.col("total_cost").alias("plan_total"))
-    naive_total = naive_cost(series, p).agg(F.sum("naive_cost").alias("naive_total"))
-    both = naive_total.select("naive_total", plan_total.scalar().alias("plan_total"))
-    sv = savings(F.col("naive_total"), F.col("plan_total"))
-    return rounded(both.select("naive_total", "plan_total", sv["savings"].alias("savings"),
-                               sv["savings_pct"].alias("savings_pct")), 4)
-
-
 # ---------------------------------------------------------------- routing
 def routing_inputs(spark, sf_dir):
     from stockroute.sources import testdata as TD
@@ -487,13 +450,66 @@ def fallback_plan(spark, sf_dir):
                      order_threshold=0.0)
 
 
-PLAN_SQL = INV_BASE + """,
+def optimal_plan(spark, sf_dir):
+    """J5's plan: what the application's reports and scenarios are computed on."""
+    from stockroute.operators.inventory import optimise_inventory
+    return optimise_inventory(ma_predictions(spark, sf_dir), _params().inventory)
+
+
+FALLBACK_CTES = """
 up AS (SELECT Store, t AS Week, d, greatest(1.5 * ss, ss + cmax) - cum AS lvl, ss FROM ser3),
-up2 AS (SELECT *, (CASE WHEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss) > 1e-9 * greatest(1.0, abs(ss)) THEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss) ELSE 0.0 END) AS ord FROM up),
+up2 AS (SELECT *, (CASE WHEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss) > 1e-9 * greatest(1.0, abs(ss)) THEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss) ELSE 0.0 END) AS ord FROM up)"""
+OPTIMAL_CTES = (J5_SQL[len(INV_BASE) + 1:J5_SQL.index("\nSELECT Store, Week, ")]
+                + ",\nup2 AS (SELECT Store, Week, Demand AS d, ss, lvl, ord FROM pl2)")
+
+PLAN_SQL = INV_BASE + "," + FALLBACK_CTES + """,
 bc AS (SELECT coalesce(sum(0.05 * lvl + CASE WHEN ord > 0 THEN 5000.0 ELSE 0.0 END), 0.0) AS base
        FROM up2),
 ps AS (SELECT Store, avg(p) AS m, sum(p) AS sm, count(p) AS cm FROM pred GROUP BY Store)"""
 
+
+def register_plans(name: str, sql: str):
+    """Register a report for the optimal plan, and as ``<name>_fallback`` for the
+    fallback policy's; ``sql`` is written for the latter."""
+    def deco(fn):
+        register(name, sql.replace(FALLBACK_CTES, OPTIMAL_CTES))(
+            lambda spark, sf_dir: fn(spark, sf_dir, optimal_plan(spark, sf_dir)))
+        register(name + "_fallback", sql)(
+            lambda spark, sf_dir: fn(spark, sf_dir, fallback_plan(spark, sf_dir)))
+        return fn
+    return deco
+
+
+@register_plans("F9_plan_summary", PLAN_SQL + """
+SELECT """ + r("sum(0.05 * lvl + CASE WHEN ord > 0 THEN 5000.0 ELSE 0.0 END)", "total_cost", 2)
+                + ", count(CASE WHEN ord > 0 THEN 1 END) AS orders_placed, "
+                + r("avg(lvl)", "avg_inventory", 2) + " FROM up2")
+def q_plan_summary(spark, sf_dir, plan):
+    from stockroute.operators.inventory import plan_summary
+    return rounded(plan_summary(plan), 2)
+
+
+@register_plans("J7_savings", PLAN_SQL + """,
+pc AS (SELECT sum(0.05 * lvl + CASE WHEN ord > 0 THEN 5000.0 ELSE 0.0 END) AS plan_total FROM up2),
+nc AS (SELECT sum(n_cost) AS naive_total FROM (
+         SELECT count(*) * 5000.0 + 0.05 * (count(*) * avg(d) + 0.5 * sum(d)) AS n_cost
+         FROM ser3 GROUP BY Store) z)
+SELECT """ + ", ".join([r("naive_total", digits=2), r("plan_total", digits=2),
+                       r("naive_total - plan_total", "savings", 2),
+                       r("CASE WHEN naive_total > 0 THEN (naive_total - plan_total) / naive_total * 100 ELSE 0 END",
+                         "savings_pct", 4)]) + " FROM pc, nc")
+def q_savings(spark, sf_dir, plan):
+    """J7 against the naive policy."""
+    from stockroute.operators.inventory import naive_cost, plan_summary, savings
+    plan_total = plan_summary(plan).select(F.col("total_cost").alias("plan_total"))
+    naive_total = naive_cost(demand_series_q(spark, sf_dir), _params().inventory).agg(
+        F.sum("naive_cost").alias("naive_total"))
+    both = naive_total.select("naive_total", plan_total.scalar().alias("plan_total"))
+    sv = savings(F.col("naive_total"), F.col("plan_total"))
+    return rounded(both.select("naive_total", "plan_total", sv["savings"].alias("savings"),
+                               sv["savings_pct"].alias("savings_pct")), 2, savings_pct=4)
+
+
 SPIKE_SQL = PLAN_SQL + """,
 f AS (SELECT CAST(unnest([""" + ", ".join(str(x) for x in SPIKE_FACTORS) + """]) AS DOUBLE) AS factor),
 sp AS (SELECT factor, avg(m) AS b_avg, avg(m * factor) AS n_avg, sum(m) AS sb, sum(m * factor) AS sn,
@@ -511,12 +527,12 @@ L1_SELECT = "SELECT " + ", ".join([
     "CAST(greatest(0, ceil((factor - 1) * 5.0)) AS INTEGER) AS additional_vehicles_needed"]) + " FROM sp2"
 
 
-@register("L1_demand_spike", SPIKE_SQL + "\n" + L1_SELECT)
-def q_demand_spike(spark, sf_dir):
+@register_plans("L1_demand_spike", SPIKE_SQL + "\n" + L1_SELECT)
+def q_demand_spike(spark, sf_dir, plan):
     from stockroute.operators.scenarios import demand_spike
     p = _params()
-    return rounded(demand_spike(ma_predictions(spark, sf_dir), fallback_plan(spark, sf_dir),
-                                SPIKE_FACTORS, None, p.scenario, p.routing), 4)
+    return rounded(demand_spike(ma_predictions(spark, sf_dir), plan, SPIKE_FACTORS, None, p.scenario,
+                                p.routing), 4)
 
 
 DELAY_SQL = PLAN_SQL + """,
@@ -542,11 +558,10 @@ L2_SELECT = "SELECT delay_days, " + ", ".join([
     r("risk * 100.0 / greatest(nplan, 1)", "stockout_risk_pct", 4)]) + " FROM agg2"
 
 
-@register("L2_supply_delay", DELAY_SQL + "\n" + L2_SELECT)
-def q_supply_delay(spark, sf_dir):
+@register_plans("L2_supply_delay", DELAY_SQL + "\n" + L2_SELECT)
+def q_supply_delay(spark, sf_dir, plan):
     from stockroute.operators.scenarios import supply_delay
-    return rounded(supply_delay(ma_predictions(spark, sf_dir), fallback_plan(spark, sf_dir),
-                                DELAYS, _params().inventory), 4)
+    return rounded(supply_delay(ma_predictions(spark, sf_dir), plan, DELAYS, _params().inventory), 4)
 
 
 FAIL_SQL = ROUTE_BASE + """,
@@ -635,10 +650,8 @@ SELECT count(*) AS n_rows, count(DISTINCT Store) AS n_stores, count(DISTINCT Dep
 def q_upload_profile(spark, sf_dir):
     """Rows, distinct stores and departments, period."""
     from stockroute.sources import testdata as TD
-    panel = TD.sales_panel(spark, sf_dir)
-    return panel.agg(F.count("*").alias("n_rows"), F.count_distinct("Store").alias("n_stores"),
-                     F.count_distinct("Dept").alias("n_depts"), F.min("Date").alias("first_date"),
-                     F.max("Date").alias("last_date"))
+    from stockroute.operators.aggregates import profile
+    return profile(TD.sales_panel(spark, sf_dir))
 
 
 @register("F14_last_row_per_series", V.with_views("panel") + """,
@@ -650,11 +663,10 @@ def q_last_row(spark, sf_dir):
     """Last observation and length of every series."""
     from stockroute.sources import testdata as TD
     panel = TD.sales_panel(spark, sf_dir)
-    last = panel.groupBy("Store", "Dept").agg(
-        F.max_by(F.struct("Date", "Weekly_Sales"), "Date").alias("l"),
-        F.count("*").alias("n_weeks"))
-    return rounded(last.select("Store", "Dept", F.col("l.Date").alias("last_date"),
-                               F.col("l.Weekly_Sales").alias("last_sales"), "n_weeks"))
+    from stockroute.operators.aggregates import last_row
+    last = last_row(panel, ["Store", "Dept"], "Date", ["Date", "Weekly_Sales"])
+    return rounded(last.select("Store", "Dept", F.col("Date").alias("last_date"),
+                               F.col("Weekly_Sales").alias("last_sales"), "n_weeks"))
 
 
 # ---------------------------------------------------------------- model forecasts
@@ -718,11 +730,6 @@ def q_forecast_recursive(spark, sf_dir):
     return forecast_recursive(model, ml_history(spark, sf_dir), _params().forecast)
 
 
-def _unpivot(select_sql: str, key: str, label: str) -> str:
-    return (f"SELECT {label} AS scenario, metric, value FROM (UNPIVOT (SELECT * REPLACE () FROM ("
-            f"{select_sql}) q0) ON COLUMNS(* EXCLUDE ({key})) INTO NAME metric VALUE value) u")
-
-
 def _as_double(select_sql: str, key: str, cols: list[str]) -> str:
     casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
     return f"SELECT {key}, {casts} FROM ({select_sql}) q"
@@ -761,26 +768,26 @@ L4_SQL += ("\n" + _long_sql("SELECT * FROM fl1", "factor", L1_COLS,
                "'Warehouse Failure ' || case_id"))
 
 
-@register("L4_scenario_summary", L4_SQL)
-def q_scenario_summary(spark, sf_dir):
+@register_plans("L4_scenario_summary", L4_SQL)
+def q_scenario_summary(spark, sf_dir, plan):
     """L4: the three scenario families in long form (scenario, metric, value)."""
     from stockroute.operators.scenarios import scenario_summary
-    return scenario_summary(q_demand_spike(spark, sf_dir), q_supply_delay(spark, sf_dir),
+    return scenario_summary(q_demand_spike(spark, sf_dir, plan), q_supply_delay(spark, sf_dir, plan),
                             q_depot_failure(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- reports
-@register("F10_store_plan_kpis", PLAN_SQL + "\nSELECT Store, " + ", ".join([
+@register_plans("F10_store_plan_kpis", PLAN_SQL + "\nSELECT Store, " + ", ".join([
     r("sum(0.05 * lvl + CASE WHEN ord > 0 THEN 5000.0 ELSE 0.0 END)", "total_cost", 4),
     r("sum(0.05 * lvl)", "holding_cost", 4),
     r("sum(CASE WHEN ord > 0 THEN 5000.0 ELSE 0.0 END)", "ordering_cost", 4),
     "count(CASE WHEN ord > 0 THEN 1 END) AS orders_placed",
     r("avg(lvl)", "avg_inventory", 4),
     r("avg(CASE WHEN ord > 0 THEN ord END)", "avg_order_size", 4)]) + " FROM up2 GROUP BY Store")
-def q_store_plan_kpis(spark, sf_dir):
-    """Per-store plan KPIs (fallback-policy plan)."""
+def q_store_plan_kpis(spark, sf_dir, plan):
+    """Per-store plan KPIs."""
     from stockroute.operators.inventory import store_plan_kpis
-    return rounded(store_plan_kpis(fallback_plan(spark, sf_dir)), 4)
+    return rounded(store_plan_kpis(plan), 4)
 
 
 @register("M2_cost_comparison", ORACLES["J2_lot_sizing_cost"].replace(
@@ -797,17 +804,10 @@ def q_store_plan_kpis(spark, sf_dir):
                              " ELSE 0.0 END", "savings_pct", 4)]) + " FROM nv, op"))
 def q_cost_comparison(spark, sf_dir):
     """Naive versus optimal (Wagner-Whitin) inventory cost."""
-    from stockroute.operators.inventory import lot_size, naive_cost, savings
-    p = _params().inventory
-    series = demand_series_q(spark, sf_dir)
-    opt = lot_size(series, p).agg(F.sum("plan_cost")).scalar()
-    t = naive_cost(series, p).agg(F.sum("naive_cost").alias("naive_cost")) \
-        .withColumn("optimised_cost", opt)
-    sv = savings(F.col("naive_cost"), F.col("optimised_cost"))
-    return t.select(round_col("naive_cost", 2).alias("naive_cost"),
-                    round_col("optimised_cost", 2).alias("optimised_cost"),
-                    round_col(sv["savings_non_negative"], 2).alias("savings"),
-                    round_col(sv["savings_pct"], 4).alias("savings_pct"))
+    from stockroute.operators.inventory import naive_cost
+    from stockroute.plans.reports import cost_comparison
+    naive = naive_cost(demand_series_q(spark, sf_dir), _params().inventory)
+    return rounded(cost_comparison(naive, optimal_plan(spark, sf_dir)), 2, savings_pct=4)
 
 
 @register("M4_history_vs_forecast", V.with_views("lags") + "," + SPLIT_SQL + """
@@ -843,7 +843,8 @@ def q_distance_comparison(spark, sf_dir):
     from stockroute.operators.routing import naive_distance, nearest_depot
     from stockroute.plans.reports import distance_comparison
     stops, depots = routing_inputs(spark, sf_dir)
-    out, _ = distance_comparison(nearest_depot(stops, depots), routes_q(spark, sf_dir))
+    routes = shared_table(routes_q(spark, sf_dir), "routes")      # read twice below
+    out, _ = distance_comparison(nearest_depot(stops, depots), routes)
     return rounded(out, 4)
 
 
@@ -877,12 +878,7 @@ def q_planning_run(spark, sf_dir):
     return res.scenarios
 
 
-M1_SQL = ("WITH RECURSIVE " + INV_BASE[len("WITH "):] + """,
-up AS (SELECT Store, t AS Week, d, greatest(1.5 * ss, ss + cmax) - cum AS lvl, ss FROM ser3),
-up2 AS (SELECT *, (CASE WHEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss)
-                        > 1e-9 * greatest(1.0, abs(ss))
-                   THEN d + ss - coalesce(lag(lvl) OVER (PARTITION BY Store ORDER BY Week), 1.5 * ss)
-                   ELSE 0.0 END) AS ord FROM up),
+M1_SQL = ("WITH RECURSIVE " + INV_BASE[len("WITH "):] + "," + FALLBACK_CTES + """,
 met AS (SELECT avg(abs(Weekly_Sales - Sales_RollingMean_4)) AS val_mae,
                1 - sum((Weekly_Sales - Sales_RollingMean_4) * (Weekly_Sales - Sales_RollingMean_4))
                    / (count(*) * var_pop(Weekly_Sales)) AS val_r2
@@ -895,15 +891,15 @@ SELECT """ + ", ".join([r("val_mae", digits=4), r("val_r2", digits=4), r("plan_c
                        r("fleet_km", digits=4)]) + " FROM met, pc, fk")
 
 
-@register("M1_headline_kpis", M1_SQL)
-def q_headline_kpis(spark, sf_dir):
+@register_plans("M1_headline_kpis", M1_SQL)
+def q_headline_kpis(spark, sf_dir, plan):
     """M1: forecast MAE and R^2 (validation weeks), plan cost, fleet distance."""
     from stockroute.operators.aggregates import regression_metrics
     from stockroute.plans.reports import headline_kpis
     val = lagged(spark, sf_dir).where(F.col("split") == "val")
     metrics = regression_metrics(val, "Weekly_Sales", "Sales_RollingMean_4") \
         .withColumn("split", F.lit("val"))
-    return rounded(headline_kpis(metrics, fallback_plan(spark, sf_dir), routes_q(spark, sf_dir)), 4)
+    return rounded(headline_kpis(metrics, plan, routes_q(spark, sf_dir)), 4)
 
 
 # ---------------------------------------------------------------- upload path, audits, labels
