@@ -39,15 +39,20 @@ def main() -> None:
                           app="stockroute-bench")
     # warm-up: JVM, Python workers, parquet footers
     spark.read.parquet(os.path.join(sf_dir, "region.parquet")).count()
-    times = {}
-    for name in HEADLINE:
+
+
+    def once(name: str) -> float:
         t0 = time.time()
-        df = catalog.QUERIES[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t0, 3)
+        catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return round(time.time() - t0, 3)
+
+    # cold: the first query that needs a prepared table (the history, the lagged
+    # rows, the fitted model) pays for it; warm: all of them are there
+    times = {name: once(name) for name in HEADLINE}
+    warm = {name: once(name) for name in HEADLINE}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf}))
+                      "unit": "sec", "queries": times, "warm": warm, "sf": sf}))
 
 
 if __name__ == "__main__":
