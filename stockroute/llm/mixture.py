@@ -94,6 +94,8 @@ def decide(rows: DataFrame, sizes: DataFrame, goals: DataFrame) -> DataFrame:
             .where((F.col("before") < F.col("extra")) & (F.col("before") + F.col("words") >= F.col("extra")))
             .groupBy(F.col("source").alias("l_source"))
             .agg(F.min("bucket").alias("l_bucket"), F.min("before").alias("l_before")))
+    # written, so that their size is known when they meet the documents
+    last = stage(last, "mix-last")
     keys = sizes.join(last, sizes["source"].eqNullSafe(last["l_source"])
                       & (_bucket(sizes["u"]) == last["l_bucket"]))
     keys = keys.groupBy("l_source", "l_before", "u").agg(F.sum("size").alias("k_size"))
@@ -101,6 +103,7 @@ def decide(rows: DataFrame, sizes: DataFrame, goals: DataFrame) -> DataFrame:
     keys = keys.select(
         F.col("l_source").alias("k_source"), F.col("u").alias("k_u"), "k_size",
         (F.col("l_before") + F.coalesce(F.sum("k_size").over(inner), F.lit(0))).alias("k_before"))
+    keys = stage(keys, "mix-keys")
     out = _with_need(rows, goals)
     out = out.join(last, out["source"].eqNullSafe(last["l_source"]), "left")
     out = out.join(keys, out["source"].eqNullSafe(keys["k_source"]) & (out["u"] == keys["k_u"]), "left")
