@@ -1,14 +1,10 @@
-"""Join helpers (section E): row-count checks, lookups with defaults."""
+"""Join helpers (section E): lookups with defaults."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-def row_count_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows (reads at most limit+1)."""
-    return df.limit(limit + 1).count() <= limit
-
 
 def lookup_with_default(df: DataFrame, dim: DataFrame, key: str,
                         defaults: dict[str, object]) -> DataFrame:

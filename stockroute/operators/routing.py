@@ -1,11 +1,10 @@
 """Routing (K1-K11): nearest-depot assignment, naive round trips and
 capacity-limited nearest-neighbour tours, keyed by (plan_id, depot).
 
-* Depot candidates: the depot table is bounded by configuration; after a
-  row-count check it travels as one array value (a scalar subquery), so each
-  stop computes its distances to every depot inside one projection - no
-  join, no shuffle.  Above the bound the depots are split into blocks and
-  the stops replicated per block through an equi-join.
+* Depot candidates: after a row-count check the depot table travels as one
+  array value (a scalar subquery), so each stop computes its distances to
+  every depot inside one projection - no join, no shuffle.  Above the bound
+  stops meet the depots of the grid cells around them, with growing cells.
 * Tours are sequential inside one (plan, depot) group.  Groups up to
   ``local_group_limit`` stops are solved by ``applyInPandas`` (NumPy, O(n)
   memory per step); larger groups run the same greedy rule as a distributed
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 
 from stockroute.config import RoutingParams
 from stockroute.functions.columns import EARTH_RADIUS_KM, haversine_km, vehicle_id
-from stockroute.operators.joins import row_count_at_most
+from stockroute.session import shared_table
 from stockroute.sources.schemas import ROUTE_SCHEMA
 
 DEPOT_ARRAY_MAX = 10_000
@@ -47,47 +46,85 @@ def _depot_array(depots: DataFrame) -> Column:
         F.col("depot_lon").alias("lon"))))).scalar()
 
 
-def depot_distances(stops: DataFrame, depots: DataFrame) -> DataFrame:
-    """Per stop, the array of (km, idx) to every depot plus the
-    nearest depot (ties -> lowest index) and the runner-up distance.
+def depot_distances(stops: DataFrame, depots: DataFrame, max_array: int | None = None) -> DataFrame:
+    """The nearest depot of every stop (ties -> lowest index), its
+    distance, that of the runner-up (null with one depot), and ``depot_km``, the
+    sorted (km, idx) of the depots looked at - all those as near as the
+    runner-up at least.
 
-    ``depots`` must pass the size check (``DEPOT_ARRAY_MAX``); use
-    ``nearest_depot`` for any size.
+    Small depot tables travel as one array value; larger ones are searched by
+    cells.  Both ways give the same columns and the same nearest two.
     """
-    # the scalar subquery is materialised as a column first: subqueries may
-    # not sit inside a lambda
-    stops = stops.withColumn("_depots", _depot_array(depots))
-    dists = F.transform(F.col("_depots"), lambda d: F.struct(
-        haversine_km(F.col("lat"), F.col("lon"), d["lat"], d["lon"]).alias("km"),
-        d["idx"].alias("idx")))
-    out = stops.withColumn("depot_km", F.array_sort(dists)).drop("_depots")
+    max_array = DEPOT_ARRAY_MAX if max_array is None else max_array
+    if depots.limit(max_array + 1).count() <= max_array:
+        # the scalar subquery is materialised as a column first: subqueries may
+        # not sit inside a lambda
+        stops = stops.withColumn("_depots", _depot_array(depots))
+        dists = F.transform(F.col("_depots"), lambda d: F.struct(
+            haversine_km(F.col("lat"), F.col("lon"), d["lat"], d["lon"]).alias("km"),
+            d["idx"].alias("idx")))
+        out = stops.withColumn("depot_km", F.array_sort(dists)).drop("_depots")
+    else:
+        out = _near_depots_by_cell(stops, depots)
     return out.withColumns({
-        "depot_idx": F.col("depot_km")[0]["idx"],
-        "depot_dist": F.col("depot_km")[0]["km"],
-        "second_dist": F.get(F.col("depot_km"), 1)["km"],      # null with one depot
+        "depot_idx": F.get(F.col("depot_km"), 0)["idx"],
+        "depot_dist": F.get(F.col("depot_km"), 0)["km"],
+        "second_dist": F.get(F.col("depot_km"), 1)["km"],
     })
 
 
+def _near_depots_by_cell(stops: DataFrame, depots: DataFrame) -> DataFrame:
+    """Stops with the sorted (km, idx) of the depots in the 3 x 3 cells around them.
+
+    Cells start at about four depots each and double in size.  A stop is done
+    once its second candidate is no farther than anything outside its cells can
+    be; the few left at the coarsest grid look at all depots.
+    """
+    box = depots.agg(F.count("*").alias("n"), *[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max)
+                                               for c in ("depot_lat", "depot_lon")]).first()
+    area = (max(box["max_depot_lat"] - box["min_depot_lat"], 0.01)
+            * max(box["max_depot_lon"] - box["min_depot_lon"], 0.01))
+    around = max(4, min(36_000, int(360 / (4 * area / box["n"]) ** 0.5)))    # cells round the globe
+    keys = ["plan_id", "stop_id"]
+    found = F.struct(haversine_km("lat", "lon", "depot_lat", "depot_lon").alias("km"), F.col("depot_idx").alias("idx"))
+    left, done = stops, []
+    while True:
+        size = 360.0 / around
+        row, col = (lambda c: F.floor(F.col(c) / size)), (lambda c: F.floor((F.col(c) + 180) / size))
+        here = depots.select("depot_idx", "depot_lat", "depot_lon", row("depot_lat").alias("_r"),
+                             F.pmod(col("depot_lon"), F.lit(around)).alias("_c"))
+        if around >= 4:
+            cells = F.array(*[F.struct((row("lat") + i).alias("_r"), F.pmod(col("lon") + j, F.lit(around)).alias("_c"))
+                              for i in (-1, 0, 1) for j in (-1, 0, 1)])
+            pairs = (left.select(*keys, "lat", "lon", F.explode(cells).alias("_x"))
+                     .select(*keys, "lat", "lon", "_x.*").join(here, ["_r", "_c"]))
+        else:       # what no grid could settle meets all depots, in blocks of them
+            blocks = max(1, -(-box["n"] // DEPOT_ARRAY_MAX))
+            pairs = (left.select(*keys, "lat", "lon", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_b"))
+                     .join(here.withColumn("_b", F.pmod("depot_idx", F.lit(blocks))), "_b"))
+        near = pairs.groupBy(*keys).agg(F.array_sort(F.collect_list(found)).alias("depot_km"))
+        joined = shared_table(left.join(near, keys, "left"), "near-depots")
+        angle = F.radians(F.lit(min(size, 90.0)))
+        reach = F.lit(EARTH_RADIUS_KM) * F.least(angle, F.asin(F.cos(F.radians("lat")) * F.sin(angle)))
+        settled = F.coalesce(F.get(F.col("depot_km"), 1)["km"] <= reach, F.lit(False))
+        if around < 4:
+            done.append(joined)
+            break
+        done.append(joined.where(settled))
+        left = joined.where(~settled).drop("depot_km")
+        if left.isEmpty():
+            break
+        around //= 2
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out
+
+
 def nearest_depot(stops: DataFrame, depots: DataFrame,
-                  max_array: int = DEPOT_ARRAY_MAX) -> DataFrame:
+                  max_array: int | None = None) -> DataFrame:
     """K2: nearest depot per stop for any depot-table size (exact)."""
-    if row_count_at_most(depots, max_array):
-        return depot_distances(stops, depots).drop("depot_km")
-    n = depots.count()
-    blocks = -(-n // max_array)
-    d = depots.withColumn("_blk", F.pmod(F.col("depot_idx"), F.lit(blocks)))
-    s = stops.withColumn("_blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    j = s.join(d, "_blk").withColumn(
-        "_c", F.struct(haversine_km("lat", "lon", "depot_lat", "depot_lon").alias("km"),
-                       F.col("depot_idx").alias("idx")))
-    keys = [c for c in stops.columns]
-    # the two nearest of each block meet in one last minimum a stop
-    best = j.groupBy(*keys).agg(F.min("_c").alias("_b"))
-    second = (j.select("plan_id", "stop_id", "_c").join(best.select("plan_id", "stop_id", "_b"), ["plan_id", "stop_id"])
-              .where(F.col("_c.idx") != F.col("_b.idx"))
-              .groupBy("plan_id", "stop_id").agg(F.min("_c.km").alias("second_dist")))
-    return (best.join(second, ["plan_id", "stop_id"], "left")
-            .select(*keys, F.col("_b.idx").alias("depot_idx"), F.col("_b.km").alias("depot_dist"), "second_dist"))
+    return depot_distances(stops, depots, max_array).drop("depot_km")
 
 
 def naive_distance(assigned: DataFrame, by=("plan_id",)) -> DataFrame:

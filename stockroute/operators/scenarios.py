@@ -112,37 +112,11 @@ def supply_delay(pred: DataFrame, plan: DataFrame, delays=(7,),
 
 def _nearest_two(stops: DataFrame, depots: DataFrame):
     """Per stop: nearest depot distance, runner-up distance, and the depots at
-    the minimum distance (ties), as (distances, ties) frames.
-
-    Bounded depot tables travel as one array value; larger ones go through a
-    blocked equi-join (stops replicated per block of depots), exact either way.
-    """
-    from stockroute.operators.joins import row_count_at_most
-    from stockroute.operators.routing import DEPOT_ARRAY_MAX
-    from stockroute.functions.columns import haversine_km
-    if row_count_at_most(depots, DEPOT_ARRAY_MAX):
-        dd = depot_distances(stops, depots)
-        ties = dd.select("plan_id", "depot_dist", "second_dist",
-                         F.explode(F.filter("depot_km", lambda x: x["km"] <= F.col("depot_dist")))
-                         .alias("t"))
-        return dd, ties
-    blocks = -(-depots.count() // DEPOT_ARRAY_MAX)
-    keys = ["plan_id", "stop_id"]
-    d = depots.withColumn("_blk", F.pmod(F.col("depot_idx"), F.lit(blocks)))
-    s = stops.select(*keys, "lat", "lon").withColumn(
-        "_blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    pairs = s.join(d, "_blk").select(
-        *keys, F.col("depot_idx").alias("idx"),
-        haversine_km("lat", "lon", "depot_lat", "depot_lon").alias("km"))
-    best = pairs.groupBy(*keys).agg(F.min(F.struct("km", "idx")).alias("b"))
-    second = (pairs.join(best, keys).where(F.col("idx") != F.col("b.idx"))
-              .groupBy(*keys).agg(F.min("km").alias("second_dist")))
-    dd = (best.join(second, keys, "left")
-          .select(*keys, F.col("b.idx").alias("depot_idx"), F.col("b.km").alias("depot_dist"),
-                  "second_dist"))
-    ties = (pairs.join(dd, keys).where(F.col("km") <= F.col("depot_dist"))
-            .select("plan_id", "depot_dist", "second_dist",
-                    F.struct("km", "idx").alias("t")))
+    the minimum distance (ties), as (distances, ties) frames."""
+    dd = depot_distances(stops, depots)
+    ties = dd.select("plan_id", "depot_dist", "second_dist",
+                     F.explode(F.filter("depot_km", lambda x: x["km"] <= F.col("depot_dist")))
+                     .alias("t"))
     return dd, ties
 
 

@@ -1,3 +1,4 @@
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -112,10 +113,26 @@ def test_depot_failure_blocked_path_equals_array_path(spark, monkeypatch):
     a = {r.failed_depot: (r.stores_reassigned, r.new_distance_km)
          for r in depot_failure(stops, depot_frame(spark)).collect()}
     monkeypatch.setattr(RR, "DEPOT_ARRAY_MAX", 1)
-    with pytest.raises(ValueError, match="pass failed"):
-        depot_failure(stops, depot_frame(spark))
     b = {r.failed_depot: (r.stores_reassigned, r.new_distance_km)
-         for r in depot_failure(stops, depot_frame(spark), failed=[0, 1, 2]).collect()}
+         for r in depot_failure(stops, depot_frame(spark)).collect()}
     assert a.keys() == b.keys()
     for k in a:
         assert a[k][0] == b[k][0] and a[k][1] == pytest.approx(b[k][1])
+
+
+def test_nearest_of_many_depots_equals_brute_force(spark):
+    """25,000 depots, some stops far from any: the cell search is exact."""
+    rng = np.random.default_rng(12)
+    lat, lon = rng.uniform(25, 48, 25_000), rng.uniform(-124, -71, 25_000)
+    depots = spark.createDataFrame([(i, f"D{i}", float(a), float(o)) for i, (a, o) in enumerate(zip(lat, lon))],
+                                   "depot_idx int, depot_name string, depot_lat double, depot_lon double")
+    at = [*zip(rng.uniform(25, 48, 60), rng.uniform(-124, -71, 60)), (-33.0, 151.0), (89.9, 10.0), (60.0, 179.99)]
+    stops = spark.createDataFrame([(0, i, f"S{i}", float(a), float(o), 1.0) for i, (a, o) in enumerate(at)],
+                                  "plan_id long, stop_id long, stop_name string, lat double, lon double, demand double")
+    got = {r.stop_id: r for r in R.nearest_depot(stops, depots).collect()}
+    assert len(got) == len(at)
+    for i, (a, o) in enumerate(at):
+        km = R._hav_np(a, o, lat, lon)
+        first, second = np.sort(km)[:2]
+        assert got[i].depot_idx == int(np.argmin(km))
+        assert abs(got[i].depot_dist - first) < 1e-6 and abs(got[i].second_dist - second) < 1e-6
