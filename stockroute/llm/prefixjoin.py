@@ -11,8 +11,9 @@ their first n - ceil(t n) + 1 (the prefix).
     shingles; the links found join the bulk of large near-copy families.
 3.  In the second round every list pairs all its groups whose components still
     differ, under the size and position filters and a lower bound on the
-    difference of their sets (a histogram of 16 bytes travels along), so no link
-    between different components can be missed.
+    difference of their sets (parities of 256 buckets travel along: two sets
+    differ in at least as many shingles as in parities), so no link between
+    different components can be missed.
 4.  Group pairs are expanded to class pairs, pruned by an exact lower bound on
     the difference of the sets, and verified on the whole sets.
 
@@ -40,7 +41,8 @@ FREQUENT = 1 << 16          # shingles with a place of their own at the end of t
 CHUNK_SHINGLES = 4_000_000  # counted at a time for that
 LEAD_PLACES = 3             # shingles a group takes part with in the first round
 BUCKETS = 64                # of the histogram that bounds the difference of two sets
-COARSE = 16                 # of the one that travels with the lists
+PARITIES = 256              # bits that travel with the lists
+_Q = [f"q{k}" for k in range(PARITIES // 64)]
 LIST_ROWS = 400_000
 LEAST = -(1 << 63)
 
@@ -117,7 +119,7 @@ def prefix_sizes(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 _SKETCH = ("doc_id long, n long, s0 long, s1 long, p0 long, prefix array<long>, histogram binary, "
-           "q0 long, q1 long")
+           + ", ".join(f"{q} long" for q in _Q))
 
 
 def _sketch(order: Order, percent: int):
@@ -137,8 +139,10 @@ def _sketch(order: Order, percent: int):
                 p_end = cut[:-1] + p
                 hist = np.bincount(doc * BUCKETS + (ws.mix(key) % np.uint64(BUCKETS)).astype(np.int64),
                                    minlength=w.docs * BUCKETS)
-                coarse = hist.reshape(-1, COARSE, BUCKETS // COARSE).sum(axis=2)
-                coarse = np.minimum(coarse, 255).astype(np.uint8).view(np.int64)
+                odd = np.bincount(doc * PARITIES + (ws.mix(key ^ np.uint64(0x9216D5D98979FB1B))
+                                                    % np.uint64(PARITIES)).astype(np.int64),
+                                  minlength=w.docs * PARITIES) & 1
+                odd = np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(w.docs, -1)
                 hist = np.minimum(hist, 255).astype(np.uint8).tobytes()
                 yield pa.record_batch(
                     [b["doc_id"].slice(w.first, w.docs), pa.array(n),
@@ -147,8 +151,8 @@ def _sketch(order: Order, percent: int):
                      pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(p)]).astype(np.int32)),
                                               pa.array(key[places].view(np.int64))),
                      pa.array([hist[i:i + BUCKETS] for i in range(0, len(hist), BUCKETS)], pa.binary()),
-                     pa.array(coarse[:, 0]), pa.array(coarse[:, 1])],
-                    names=["doc_id", "n", "s0", "s1", "p0", "prefix", "histogram", "q0", "q1"])
+                     *[pa.array(np.ascontiguousarray(odd[:, k])) for k in range(len(_Q))]],
+                    names=["doc_id", "n", "s0", "s1", "p0", "prefix", "histogram", *_Q])
     return run
 
 
@@ -160,7 +164,7 @@ class Lists:
     n: np.ndarray
     pos: np.ndarray
     tag: np.ndarray         # first round: copies; second: component, or LEAST
-    coarse: np.ndarray      # histogram of the group's set
+    odd: np.ndarray         # parities of the group's set
     single: np.ndarray      # whether the group has one set only
 
     def may_link(self, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
@@ -170,7 +174,7 @@ class Lists:
         ok = ((self.gid[i] != self.gid[j]) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
               & (np.minimum(a - self.pos[i], b - self.pos[j]) >= need))
         at = np.flatnonzero(ok)
-        apart = np.abs(self.coarse[i[at]] - self.coarse[j[at]]).sum(axis=1, dtype=np.int64)
+        apart = np.bitwise_count(self.odd[i[at]] ^ self.odd[j[at]]).sum(axis=1, dtype=np.int64)
         apart[~(self.single[i[at]] & self.single[j[at]])] = 0
         both = a[at] + b[at]
         ok[at] = 100 * (both - apart) >= percent * (both + apart)
@@ -183,10 +187,10 @@ def _by_lists(pairs, order: str, limit: int):
         def solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
             c = {k: t[k].to_numpy() for k in ("token", "gid", "np", "tag")}
             at = np.lexsort((c["gid"], -c["tag"], c["token"]) if order == "tag" else (c["np"], c["token"]))
-            q = np.ascontiguousarray(np.stack([t["q0"].to_numpy(), t["q1"].to_numpy()], axis=1)[at])
+            odd = np.stack([t[q].to_numpy() for q in _Q], axis=1)[at].view(np.uint64)
             size = c["np"][at]
             lists = Lists(c["token"][at], c["gid"][at], size >> 32, (size & 0xFFFFFFFF) >> 1,
-                          c["tag"][at], q.view(np.uint8).astype(np.int16), (size & 1) == 0)
+                          c["tag"][at], odd, (size & 1) == 0)
             a, b = pairs(lists)
             if len(a):
                 low, high = np.minimum(a, b), np.maximum(a, b)
@@ -303,24 +307,24 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
     sketch = stage(src.mapInArrow(_sketch(order, percent), _SKETCH), "join-sketch")
     same = ["s0", "s1", "n"]
     one = sketch.where("n > 0")
-    classes = stage(one.groupBy(*same).agg(F.min(F.struct("doc_id", "p0", "prefix", "histogram", "q0", "q1")).alias("m"),
+    classes = stage(one.groupBy(*same).agg(F.min(F.struct("doc_id", "p0", "prefix", "histogram", *_Q)).alias("m"),
                                            F.count("*").alias("copies"))
-                    .select(*same, F.col("m.doc_id").alias("cid"), "m.p0", "m.prefix", "m.histogram", "m.q0", "m.q1",
-                            "copies"),
+                    .select(*same, F.col("m.doc_id").alias("cid"), "m.p0", "m.prefix", "m.histogram",
+                            *[f"m.{q}" for q in _Q], "copies"),
                     "join-classes")
-    groups = (classes.groupBy("n", "p0").agg(F.min(F.struct("cid", "prefix", "q0", "q1")).alias("m"),
+    groups = (classes.groupBy("n", "p0").agg(F.min(F.struct("cid", "prefix", *_Q)).alias("m"),
                                              F.max("copies").alias("weight"), F.count("*").alias("members"))
               .select("n", "p0", F.col("m.cid").alias("gid"), "m.prefix", "weight", "members",
-                      "m.q0", "m.q1"))
+                      *[f"m.{q}" for q in _Q]))
     groups = stage(groups, "join-groups")
     members = stage(classes.join(groups.select("n", "p0", "gid"), ["n", "p0"])
                     .select("cid", "gid", "n", "copies", "histogram"), "join-members")
 
     def postings(of: DataFrame, places, tag) -> DataFrame:
-        rows = of.select("gid", "n", "members", tag.alias("tag"), "q0", "q1", F.posexplode(places).alias("pos", "token"))
+        rows = of.select("gid", "n", "members", tag.alias("tag"), *_Q, F.posexplode(places).alias("pos", "token"))
         # size, place, and whether the group has several sets (and so no histogram of its own)
         packed = F.shiftleft("n", 32) + F.col("pos") * 2 + (F.col("members") > 1).cast("long")
-        return (rows.select("token", "gid", packed.alias("np"), "tag", "q0", "q1")
+        return (rows.select("token", "gid", packed.alias("np"), "tag", *_Q)
                 .repartition("token").sortWithinPartitions("token"))
 
     def links(pairs: DataFrame) -> DataFrame:
@@ -328,7 +332,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
         close = stage(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                       .distinct().join(side("a"), "a").join(side("b"), "b")
                       .mapInArrow(_histogram_fits(percent), "a long, b long"), "join-close")
-        needed = stage(close.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "join-needed")
+        needed = stage(close.select(F.col("a").alias("cid")).unionByName(close.select(F.col("b").alias("cid"))).distinct(),
+                       "join-needed")
         texts = src.join(needed, src["doc_id"] == needed["cid"]).select("doc_id", "text").dropDuplicates(["doc_id"])
         sets = stage(texts.mapInArrow(_sets(order), "cid long, keys binary"), "join-sets")
         return stage(close.join(sets.select(F.col("cid").alias("a"), F.col("keys").alias("ka")), "a")
