@@ -38,8 +38,8 @@ from stockroute.llm.staging import stage
 TOP = 5                     # counts up to this are discounted by Good-Turing
 KEEP = 0.999                # of larger counts
 HEAVY_PARTS = 512
-CHUNK_TOKENS = 2_000_000    # packed at a time by a task
-BUCKET_TOKENS = 2_500_000
+CHUNK_TOKENS = 1_000_000    # packed at a time by a task
+BUCKET_TOKENS = 1_600_000
 ENTRY_RUN = 500_000
 START, END = np.uint64(1), np.uint64(2)
 LEAST = -(1 << 63)

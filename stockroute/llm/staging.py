@@ -11,6 +11,8 @@ from stockroute.session import ensure_checkpoint_dir
 #: Spark drops the shuffle files of a finished write when this is on, so the
 #: disk need of an operator is that of its largest phase, not of their sum.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows of whole texts are long: smaller batches bound the memory of both sides.
+_BATCH, _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "2000"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -21,12 +23,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEANUP, "false")
+    before = spark.conf.get(_CLEANUP, "false"), spark.conf.get(_BATCH, "10000")
     spark.conf.set(_CLEANUP, "true")
+    spark.conf.set(_BATCH, _BATCH_ROWS)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        spark.conf.set(_CLEANUP, before[0])
+        spark.conf.set(_BATCH, before[1])
     return spark.read.schema(df.schema).parquet(path)
 
 
