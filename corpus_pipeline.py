@@ -14,6 +14,9 @@ from stockroute.llm import mixture, packing, prefixjoin, suffixtrees
 from stockroute.llm import toxicity as tox
 from stockroute.llm.staging import stage, table
 
+#: Near copies of the pipeline: a Jaccard similarity of 0.8 on five-word shingles.
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
+
 #: A classifier and the near-duplicate join are beyond SQL; the pipeline is
 #: tested against a brute-force version.
 ORACLE_SQL = None
@@ -28,7 +31,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least doc_id of each group of near copies."""
-    found = prefixjoin.near_duplicates(docs)
+    found = prefixjoin.near_duplicates(docs, percent=NEAR_PERCENT, shingle=NEAR_SHINGLE)
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(first, docs["doc_id"].eqNullSafe(first["kept_id"]), "left_semi")

@@ -1,7 +1,7 @@
 """Grouped prefix join: exact Jaccard links between documents of word n-grams.
 
-A document is its set of distinct shingles (three lower-cased words; a shorter
-text is one shingle of all its words).  Sets are put in one global order, rare
+A document is its set of distinct shingles (three lower-cased words by default;
+a shorter text is one shingle of all its words).  Sets are put in one global order, rare
 shingles first, and any two sets of similarity t or more share a shingle within
 their first n - ceil(t n) + 1 (the prefix).
 
@@ -70,7 +70,7 @@ def _distinct(doc: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return doc[new], key[new]
 
 
-def _frequent(chunk: int):
+def _frequent(chunk: int, shingle: int):
     """Shingles that several documents of a chunk hold, with their number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -82,7 +82,7 @@ def _frequent(chunk: int):
                                    names=["key", "n"])
         for b in batches:
             for w in ws.scan(b["text"], lower=True):
-                g = _distinct(*shingle_rows(w))[1]
+                g = _distinct(*shingle_rows(w, shingle))[1]
                 held.append(g)
                 size += len(g)
                 if size >= chunk:
@@ -122,11 +122,11 @@ _SKETCH = ("doc_id long, n long, s0 long, s1 long, p0 long, prefix array<long>,
            + ", ".join(f"{q} long" for q in _Q))
 
 
-def _sketch(order: Order, percent: int):
+def _sketch(order: Order, percent: int, shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for w in ws.scan(b["text"], lower=True):
-                doc, g = shingle_rows(w)
+                doc, g = shingle_rows(w, shingle)
                 doc, key = _distinct(doc, order.rank(g))
                 cut = np.searchsorted(doc, np.arange(w.docs + 1))
                 n = np.diff(cut)
@@ -262,11 +262,11 @@ def _histogram_fits(percent: int):
     return run
 
 
-def _sets(order: Order):
+def _sets(order: Order, shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for w in ws.scan(b["text"], lower=True):
-                doc, g = shingle_rows(w)
+                doc, g = shingle_rows(w, shingle)
                 doc, key = _distinct(doc, order.rank(g))
                 cut = np.searchsorted(doc, np.arange(w.docs + 1))
                 raw = key.tobytes()
@@ -291,7 +291,7 @@ def _verify(percent: int):
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FREQUENT,
-                    chunk: int = CHUNK_SHINGLES, list_rows: int = LIST_ROWS) -> DataFrame:
+                    chunk: int = CHUNK_SHINGLES, list_rows: int = LIST_ROWS, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, class_id, component_id for every document.
 
     class_id is the least doc_id with an equal set, component_id the least that
@@ -301,10 +301,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
     """
     src = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(LEAST)).alias("doc_id"),
                       docs["text"].alias("text"))
-    top = (src.mapInArrow(_frequent(chunk), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    top = (src.mapInArrow(_frequent(chunk, shingle), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "key").limit(frequent).toPandas())
     order = Order(top["key"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64))
-    sketch = stage(src.mapInArrow(_sketch(order, percent), _SKETCH), "join-sketch")
+    sketch = stage(src.mapInArrow(_sketch(order, percent, shingle), _SKETCH), "join-sketch")
     same = ["s0", "s1", "n"]
     one = sketch.where("n > 0")
     classes = stage(one.groupBy(*same).agg(F.min(F.struct("doc_id", "p0", "prefix", "histogram", *_Q)).alias("m"),
@@ -335,7 +335,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
         needed = stage(close.select(F.col("a").alias("cid")).unionByName(close.select(F.col("b").alias("cid"))).distinct(),
                        "join-needed")
         texts = src.join(needed, src["doc_id"] == needed["cid"]).select("doc_id", "text").dropDuplicates(["doc_id"])
-        sets = stage(texts.mapInArrow(_sets(order), "cid long, keys binary"), "join-sets")
+        sets = stage(texts.mapInArrow(_sets(order, shingle), "cid long, keys binary"), "join-sets")
         return stage(close.join(sets.select(F.col("cid").alias("a"), F.col("keys").alias("ka")), "a")
                      .join(sets.select(F.col("cid").alias("b"), F.col("keys").alias("kb")), "b")
                      .mapInArrow(_verify(percent), "u long, v long"), "join-links")
