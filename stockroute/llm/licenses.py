@@ -9,7 +9,9 @@ its neighbours hold most of the same run, a match is hardly ever lost.
 Candidates are verified by exact containment.
 
 Windows are only cut where a match can be: each template has anchor words, such
-that too few of its shingles for a match are without one.
+that too few of its shingles for a match are without one, and a text of fewer
+words than a match needs has none.  A template of under five words is a single
+shingle of all its words.
 
 Only built-in functions are used.
 """
@@ -17,6 +19,10 @@ Only built-in functions are used.
 from __future__ import annotations
 
 import math
+import re
+from collections import Counter
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +32,7 @@ from stockroute.llm.staging import stage
 SHINGLE = 5
 MIN_CONTAINMENT = 0.8
 BANDS = 16
+LONG = 60                   # words from which a template counts as a whole licence
 WORD = r"[^\x20\x09-\x0D.,;:()\"'<>]+(?:[.,;:'][^\x20\x09-\x0D.,;:()\"'<>]+)*"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -45,46 +52,112 @@ TEMPLATES = [
     ("MIT-permission", "Permission is hereby granted, free of charge, to any person obtaining a copy of "
                        "this software and associated documentation files"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("Apache-2.0-released", "Released under the Apache License, Version 2.0"),
+    ("MIT-licensed", "Licensed under the MIT License"),
+    ("MIT-project", "This project is licensed under the MIT License"),
+    ("ISC-licensed", "Licensed under the ISC License"),
+    ("BSD-2-Clause-licensed", "Licensed under the BSD 2-Clause License"),
+    ("BSD-3-Clause-licensed", "Licensed under the BSD 3-Clause License"),
+    ("BSD-style", "Use of this source code is governed by a BSD-style license"),
+    ("GPL-licensed", "Licensed under the GNU General Public License"),
+    ("LGPL-licensed", "Licensed under the GNU Lesser General Public License"),
+    ("LGPL-header", "This library is free software; you can redistribute it and/or modify it under the "
+                    "terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("AGPL-licensed", "Licensed under the GNU Affero General Public License"),
+    ("AGPL-header", "This program is free software: you can redistribute it and/or modify it under the "
+                    "terms of the GNU Affero General Public License as published by the Free Software Foundation"),
+    ("MPL-2.0-licensed", "Licensed under the Mozilla Public License, Version 2.0"),
+    ("CC-BY-4.0-licensed", "Licensed under CC BY 4.0"),
+    ("CC-BY-SA-4.0-licensed", "Licensed under CC BY-SA 4.0"),
+    ("CC-BY-SA-4.0-notice", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
+                            "International License"),
+    ("CC-BY-NC-4.0-notice", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
+                            "International License"),
+    ("CC0-1.0-notice", "To the extent possible under law, the author has waived all copyright and related or "
+                       "neighboring rights to this work"),
+    *[(f"{path.stem}-text", path.read_text(encoding="utf-8"))
+      for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))],
 ]
 
+# Under five words: a match is the whole run of words.
+SHORT_TEMPLATES = [
+    ("All-rights-reserved", "All rights reserved"),
+    ("Apache-2.0-name", "Apache License 2.0"),
+    ("BSD-2-Clause-name", "BSD 2-Clause License"),
+    ("BSD-3-Clause-name", "BSD 3-Clause License"),
+    ("CC-BY-4.0-name", "CC BY 4.0"),
+    ("CC-BY-NC-4.0-name", "CC BY-NC 4.0"),
+    ("CC-BY-SA-4.0-name", "CC BY-SA 4.0"),
+    ("CC0-1.0-name", "CC0 1.0 Universal"),
+    ("ISC-name", "ISC License"),
+    ("MIT-name", "MIT License"),
+]
+ALL_TEMPLATES = TEMPLATES + SHORT_TEMPLATES
+
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0))
 
 
-def shingles(tokens: Column) -> Column:
-    """Distinct runs of five words; none for fewer words."""
-    n = F.size(tokens) - (SHINGLE - 1)
+def shingles(tokens: Column, k: int | Column = SHINGLE) -> Column:
+    """Distinct runs of k words; none for fewer words."""
+    k = F.lit(k) if isinstance(k, int) else k
+    n = F.size(tokens) - (k - 1)
     return F.when(n > 0, F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: F.array_join(F.slice(tokens, i, SHINGLE), " ")))).otherwise(F.array().cast("array<string>"))
+        # word by word, as a slice would copy the whole array each time
+        lambda i: F.concat_ws(" ", *[F.when(F.lit(j) < k, F.get(tokens, i + (j - 1))) for j in range(SHINGLE)])))).otherwise(F.array().cast("array<string>"))
 
 
 def template_words(text: str) -> list[str]:
-    import re
-    return re.findall(WORD, text.lower())
+    return re.findall(WORD, text.translate(str.maketrans(UPPER, LOWER)))
 
 
-def anchors(text: str) -> list[str]:
-    """Longest words first, until the shingles without any can't make a match."""
+def _shape(text: str) -> tuple[int, int, int, int]:
+    """Words, step of the windows, words of a shingle, and the least words of a text with a match."""
     w = template_words(text)
-    runs = {tuple(w[i:i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)}
-    need, chosen = math.ceil(MIN_CONTAINMENT * len(runs)), []
-    for word in sorted(set(w), key=lambda x: (-len(x), x)):
-        if sum(not set(r) & set(chosen) for r in runs) < need:
-            break
+    k = min(SHINGLE, len(w))
+    runs = {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}
+    return len(w), max(1, len(w) // 4), k, math.ceil(MIN_CONTAINMENT * len(runs)) + k - 1
+
+
+@lru_cache(maxsize=1000)
+def _anchors(text: str) -> tuple[str, ...]:
+    w = template_words(text)
+    k = min(SHINGLE, len(w))
+    bare = [frozenset(r) for r in {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}]
+    need, chosen = math.ceil(MIN_CONTAINMENT * len(bare)), []
+    left = sorted(set(w), key=lambda x: (-len(x), x))
+    while len(bare) >= need:
+        word = left[0]
+        if len(w) > LONG:       # few words do it: the ones of most shingles first
+            of = Counter(x for r in bare for x in r if len(x) >= 7)
+            word = max(sorted(of), key=of.get, default=word)
+        left.remove(word)
         chosen.append(word)
-    return chosen
+        bare = [r for r in bare if word not in r]
+    return tuple(chosen)
+
+
+def anchors(text: str) -> list[str]:
+    """Longest words first, until the shingles without any can't make a match.
+
+    Whole licences take the words of seven letters or more that most shingles hold.
+    """
+    return list(_anchors(text))
 
 
 def template_table(spark: SparkSession, templates: list[tuple[str, str]] | None = None) -> DataFrame:
-    """license, n (words), step, t_shingles, t_anchors; templates of under five words are left out."""
-    rows = [(name, text, anchors(text)) for name, text in templates or TEMPLATES
-            if len(template_words(text)) >= SHINGLE]
-    t = spark.createDataFrame(rows, "license string, text string, t_anchors array<string>")
-    return t.select("license", F.size(words(F.col("text"))).alias("n"),
-                    F.greatest(F.lit(1), F.floor(F.size(words(F.col("text"))) / 4)).cast("int").alias("step"),
-                    shingles(words(F.col("text"))).alias("t_shingles"), "t_anchors")
+    """license, n (words), step, k, t_shingles, t_anchors; a template of under five words is one shingle."""
+    rows = []
+    for name, text in templates or ALL_TEMPLATES:
+        n, step, k, _ = _shape(text)
+        if n:
+            w = template_words(text)
+            runs = dict.fromkeys(" ".join(w[i:i + k]) for i in range(n - k + 1))
+            rows.append((name, n, step, k, list(runs), anchors(text)))
+    return spark.createDataFrame(rows, "license string, n int, step int, k int, t_shingles array<string>, "
+                                       "t_anchors array<string>")
 
 
 def hashes(parts: Column) -> Column:
@@ -106,32 +179,50 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> Dat
     document; whole texts are scanned.
     """
     spark = docs.sparkSession
-    table = template_table(spark, templates)
-    known = sorted({a for _, text in templates or TEMPLATES for a in anchors(text)})
-    if not known:
+    # windows of one length and step are one class, cut about the anchors of its templates
+    classes: dict[tuple[int, int, int], tuple[int, set[str]]] = {}
+    for _, text in templates or ALL_TEMPLATES:
+        n, s, k, least = _shape(text)
+        if n:
+            low, marks = classes.get((n, s, k), (least, set()))
+            classes[n, s, k] = min(low, least), marks | set(anchors(text))
+    if not classes:
         return spark.createDataFrame([], "doc_id long, license string, containment double, first_word int")
-    import re
-    hint = "(?i)" + "|".join(re.escape(a) for a in known)
-    d = docs.select(docs["doc_id"], docs["text"].alias("text")).where(F.col("text").rlike(hint))
+    table = template_table(spark, templates)
+    # long templates only matter to texts that could hold them: of that many words, and a space between them
+    hint = F.lit(False)
+    for low, high in ((0, 40), (40, 400), (400, 1 << 30)):
+        part = [(least, marks) for least, marks in classes.values() if low <= least < high]
+        if part:
+            known = sorted(set().union(*[marks for _, marks in part]))
+            fits = F.length("text") >= 2 * min(least for least, _ in part) - 1
+            known = [a for a in known if not any(a != b and a.startswith(b) for b in known)]
+            # only where a word can begin, which spares most places of a text the list of anchors
+            hint = hint | (fits & F.col("text").rlike(
+                r"(?i)(?:^|[\x20\x09-\x0D.,;:()\"'<>])(?:" + "|".join(re.escape(a) for a in known) + ")"))
+    d = docs.select(docs["doc_id"], docs["text"].alias("text")).where(hint)
     # written, as each part below refers to the words more than once
     d = stage(d.select("doc_id", words(F.col("text")).alias("w")), "license-words")
-    # the classes of window: few, and all of them go with each anchor's place
-    classes = sorted({(len(template_words(t)), max(1, len(template_words(t)) // 4))
-                      for _, t in templates or TEMPLATES if len(template_words(t)) >= SHINGLE})
-    kinds = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(s).alias("s")) for n, s in classes])
-    marks = F.array(*[F.lit(a) for a in known])
-    places = F.filter(F.sequence(F.lit(0), F.size("w") - 1),
-                      lambda i: F.array_contains(marks, F.get(F.col("w"), i)))
-    d = d.where(F.size("w") >= SHINGLE).withColumn("places", places).where(F.size("places") > 0)
-    starts = F.array_distinct(F.flatten(F.transform("places", lambda p: F.flatten(F.transform(kinds, lambda k: F.transform(
-        F.sequence(F.floor(F.greatest(p - k["n"], F.lit(0)) / k["s"]).cast("int"),
-                   F.floor(p / k["s"]).cast("int")),
-        lambda i: F.struct(k["n"].alias("n"), (i * k["s"]).alias("start"), k["s"].alias("s"))))))))
+
+    def windows(n: int, s: int, k: int, least: int, marks: set[str]) -> Column:
+        """The windows of a class that hold an anchor, by their starts."""
+        held = F.array(*[F.lit(a) for a in sorted(marks)])
+        places = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.array_contains(held, F.get(F.col("w"), i)))
+        begins = F.array_distinct(F.flatten(F.transform(places, lambda p: F.sequence(
+            F.floor(F.greatest(p - n, F.lit(0)) / s).cast("int"), F.floor(p / s).cast("int")))))
+        return F.when(F.size("w") >= least, F.transform(begins, lambda i: F.struct(
+            F.lit(n).alias("n"), F.lit(k).alias("k"), (i * s).alias("start"), F.lit(s).alias("s")))).otherwise(
+                F.array().cast("array<struct<n:int,k:int,start:int,s:int>>"))
+
+    starts = F.concat(*[windows(*key, least, marks) for key, (least, marks) in sorted(classes.items())])
     v = d.select("doc_id", "w", F.explode(starts).alias("c"))
-    v = v.select("doc_id", F.col("c.n").alias("n"), F.col("c.start").alias("start"),
-                 F.slice(F.col("w"), F.col("c.start") + 1, F.col("c.n") + F.col("c.s")).alias("win"))
-    v = v.select("doc_id", "n", "start", shingles(F.col("win")).alias("sh"))
-    v = v.select("*", hashes(F.col("sh")).alias("hashed")).where(F.size("sh") > 0)
+    v = v.where(F.size("w") - F.col("c.start") >= F.col("c.k"))
+    v = v.select("doc_id", F.col("c.n").alias("n"), F.col("c.k").alias("k"), F.col("c.start").alias("start"),
+                 F.transform(F.sequence(F.col("c.start"), F.least(F.col("c.start") + F.col("c.n") + F.col("c.s"),
+                                                                  F.size("w")) - 1),
+                             lambda i: F.get(F.col("w"), i)).alias("win"))
+    v = v.select("doc_id", "n", "start", shingles(F.col("win"), F.col("k")).alias("sh"))
+    v = v.select("*", hashes(F.col("sh")).alias("hashed"))
     # the templates' bands: BANDS rows a template
     t_bands = table.select("license", "n", "t_shingles", F.explode(bands(hashes(F.col("t_shingles")))).alias("b"))
     t_bands = F.broadcast(t_bands.select("license", "n", "t_shingles", "b.band", "b.low"))
