@@ -289,3 +289,10 @@ def op10(spark, sf_dir):
 def op9(spark, sf_dir):
     from stockroute.llm.katz import score
     return score(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------- 11: conversation structure repair
+@register("op11_conversation_repair")
+def op11(spark, sf_dir):
+    from stockroute.llm.conversations import damaged, repair_report
+    return repair_report(damaged(table(spark, sf_dir, "conversations")))

@@ -6,12 +6,12 @@ import pytest
 import __spark_entry__ as entry
 from stockroute.llm import queries
 
-TABLES = ("documents", "embeddings", "pages", "labels")
+TABLES = ("documents", "embeddings", "pages", "labels", "conversations")
 
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names
 
