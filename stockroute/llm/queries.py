@@ -296,3 +296,27 @@ def op9(spark, sf_dir):
 def op11(spark, sf_dir):
     from stockroute.llm.conversations import damaged, repair_report
     return repair_report(damaged(table(spark, sf_dir, "conversations")))
+
+
+# ------------------------------------------------------------- 12: WARC
+WARC_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS n, h, min(page_id) OVER (PARTITION BY h) AS first_id, sha1(h) AS x FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST((CAST('0x' || substr(x, CAST(i // 4 * 5 + 1 AS INTEGER), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31
+                AS INTEGER) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM d
+"""
+
+
+@register("op12_warc_archive", WARC_SQL)
+def op12(spark, sf_dir):
+    from stockroute.llm.warc import read_records, write_archive
+    archive = write_archive(table(spark, sf_dir, "pages"), least_bytes=0)
+    return read_records(spark, archive).select(
+        "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest",
+        "record_type", "refers_to")
