@@ -320,3 +320,10 @@ def op12(spark, sf_dir):
     return read_records(spark, archive).select(
         "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest",
         "record_type", "refers_to")
+
+
+# ------------------------------------------------------------- 13: spelling variants
+@register("op13_spelling_variants")
+def op13(spark, sf_dir):
+    from stockroute.llm.spelling import variants
+    return variants(table(spark, sf_dir, "documents"))
