@@ -52,9 +52,10 @@ class RoutingParams:
     capacity: float = DEFAULT_VEHICLE_CAPACITY
     depots: tuple = DEFAULT_DEPOTS
     default_demand: float = 5000.0
-    # groups (plan, depot) with more stops than this are routed by the
-    # distributed step-wise solver instead of one Python task
+    # groups (plan, depot) with more stops than this are routed by leases of at
+    # most so many stops around each vehicle, instead of in one Python task
     local_group_limit: int = 50_000
+    lease: int = 20_000
 
 
 @dataclass(frozen=True)

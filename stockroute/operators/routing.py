@@ -1,130 +1,61 @@
-"""Routing (K1-K11): nearest-depot assignment, naive round trips and
-capacity-limited nearest-neighbour tours, keyed by (plan_id, depot).
+"""Routing (K1-K11): nearest-depot assignment, neighbour lists, naive round trips
+and capacity-limited nearest-neighbour tours, keyed by (plan_id, depot).
 
-* Depot candidates: after a row-count check the depot table travels as one
-  array value (a scalar subquery), so each stop computes its distances to
-  every depot inside one projection - no join, no shuffle.  Above the bound
-  stops meet the depots of the grid cells around them, with growing cells.
+* Nearest depots and nearest stops are exact k-nearest joins by cells
+  (``nearest``), for any number of depots and stops.
 * Tours are sequential inside one (plan, depot) group.  Groups up to
-  ``local_group_limit`` stops are solved by ``applyInPandas`` (NumPy, O(n)
-  memory per step); larger groups run the same greedy rule as a distributed
-  arg-min per step, so no task ever holds a hot group.
+  ``local_group_limit`` stops are solved by ``applyInPandas``; larger groups walk
+  the same greedy rule through leases of the stops around each vehicle
+  (``tours``), so no task ever holds a hot group.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockroute.config import RoutingParams
-from stockroute.functions.columns import EARTH_RADIUS_KM, haversine_km, vehicle_id
-from stockroute.session import shared_table
-from stockroute.sources.schemas import ROUTE_SCHEMA
+from stockroute.functions.columns import haversine_km, vehicle_id
+from stockroute.operators.nearest import nearest
+from stockroute.operators.tours import tours_leased, tours_local
 
-DEPOT_ARRAY_MAX = 10_000
 
-
-def _ship_by_value() -> None:
-    """The tour builder runs in Python workers: pickle this module's functions
-    by value so workers need no installed copy of the package."""
-    import sys
-    try:
-        from pyspark import cloudpickle
-        cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    except Exception:  # noqa: BLE001 - older cloudpickle: fall back to by-reference
-        pass
-
-
-_ship_by_value()
-
-
-def _depot_array(depots: DataFrame) -> Column:
-    return depots.agg(F.sort_array(F.collect_list(F.struct(
-        F.col("depot_idx").alias("idx"), F.col("depot_lat").alias("lat"),
-        F.col("depot_lon").alias("lon"))))).scalar()
-
-
-def depot_distances(stops: DataFrame, depots: DataFrame, max_array: int | None = None) -> DataFrame:
+def depot_distances(stops: DataFrame, depots: DataFrame, few: int | None = None) -> DataFrame:
     """The nearest depot of every stop (ties -> lowest index), its
     distance, that of the runner-up (null with one depot), and ``depot_km``, the
-    sorted (km, idx) of the depots looked at - all those as near as the
-    runner-up at least.
+    (km, id, place) of all depots as near as the runner-up in that order.
 
-    Small depot tables travel as one array value; larger ones are searched by
-    cells.  Both ways give the same columns and the same nearest two.
+    One path for any number of depots (``nearest.nearest``): cells of the map are
+    split until each has few candidate depots, so a stop measures those alone; up to
+    ``few`` depots the whole map is one cell and the depots travel as one value.
+    Depots at one place share ``place`` (their lowest index), at most two are listed.
     """
-    max_array = DEPOT_ARRAY_MAX if max_array is None else max_array
-    if depots.limit(max_array + 1).count() <= max_array:
-        # the scalar subquery is materialised as a column first: subqueries may
-        # not sit inside a lambda
-        stops = stops.withColumn("_depots", _depot_array(depots))
-        dists = F.transform(F.col("_depots"), lambda d: F.struct(
-            haversine_km(F.col("lat"), F.col("lon"), d["lat"], d["lon"]).alias("km"),
-            d["idx"].alias("idx")))
-        out = stops.withColumn("depot_km", F.array_sort(dists)).drop("_depots")
-    else:
-        out = _near_depots_by_cell(stops, depots)
-    return out.withColumns({
-        "depot_idx": F.get(F.col("depot_km"), 0)["idx"],
+    found = nearest(stops, depots, 2, point_lat="depot_lat", point_lon="depot_lon", ident="depot_idx", few=few)
+    return found.withColumnRenamed("near", "depot_km").withColumns({
+        "depot_idx": F.get(F.col("depot_km"), 0)["id"],
         "depot_dist": F.get(F.col("depot_km"), 0)["km"],
         "second_dist": F.get(F.col("depot_km"), 1)["km"],
     })
 
 
-def _near_depots_by_cell(stops: DataFrame, depots: DataFrame) -> DataFrame:
-    """Stops with the sorted (km, idx) of the depots in the 3 x 3 cells around them.
+def nearest_depot(stops: DataFrame, depots: DataFrame, few: int | None = None) -> DataFrame:
+    """K2: nearest depot per stop for any depot-table size (exact)."""
+    return depot_distances(stops, depots, few).drop("depot_km")
+
 
-    Cells start at about four depots each and double in size.  A stop is done
-    once its second candidate is no farther than anything outside its cells can
-    be; the few left at the coarsest grid look at all depots.
+def stop_neighbours(stops: DataFrame, k: int = 5, few: int | None = None) -> DataFrame:
+    """The ``k`` nearest other stops of every stop in its plan, as rows
+    (plan_id, stop_id, rank from 1, neighbour_id, km); ties go to the lower id.
+
+    Stands in for the all-pairs matrix: output grows with the stops, not with
+    their square.  A stop of a plan with fewer others has fewer rows.
     """
-    box = depots.agg(F.count("*").alias("n"), *[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max)
-                                               for c in ("depot_lat", "depot_lon")]).first()
-    area = (max(box["max_depot_lat"] - box["min_depot_lat"], 0.01)
-            * max(box["max_depot_lon"] - box["min_depot_lon"], 0.01))
-    around = max(4, min(36_000, int(360 / (4 * area / box["n"]) ** 0.5)))    # cells round the globe
-    keys = ["plan_id", "stop_id"]
-    found = F.struct(haversine_km("lat", "lon", "depot_lat", "depot_lon").alias("km"), F.col("depot_idx").alias("idx"))
-    left, done = stops, []
-    while True:
-        size = 360.0 / around
-        row, col = (lambda c: F.floor(F.col(c) / size)), (lambda c: F.floor((F.col(c) + 180) / size))
-        here = depots.select("depot_idx", "depot_lat", "depot_lon", row("depot_lat").alias("_r"),
-                             F.pmod(col("depot_lon"), F.lit(around)).alias("_c"))
-        if around >= 4:
-            cells = F.array(*[F.struct((row("lat") + i).alias("_r"), F.pmod(col("lon") + j, F.lit(around)).alias("_c"))
-                              for i in (-1, 0, 1) for j in (-1, 0, 1)])
-            pairs = (left.select(*keys, "lat", "lon", F.explode(cells).alias("_x"))
-                     .select(*keys, "lat", "lon", "_x.*").join(here, ["_r", "_c"]))
-        else:       # what no grid could settle meets all depots, in blocks of them
-            blocks = max(1, -(-box["n"] // DEPOT_ARRAY_MAX))
-            pairs = (left.select(*keys, "lat", "lon", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_b"))
-                     .join(here.withColumn("_b", F.pmod("depot_idx", F.lit(blocks))), "_b"))
-        near = pairs.groupBy(*keys).agg(F.array_sort(F.collect_list(found)).alias("depot_km"))
-        joined = shared_table(left.join(near, keys, "left"), "near-depots")
-        angle = F.radians(F.lit(min(size, 90.0)))
-        reach = F.lit(EARTH_RADIUS_KM) * F.least(angle, F.asin(F.cos(F.radians("lat")) * F.sin(angle)))
-        settled = F.coalesce(F.get(F.col("depot_km"), 1)["km"] <= reach, F.lit(False))
-        if around < 4:
-            done.append(joined)
-            break
-        done.append(joined.where(settled))
-        left = joined.where(~settled).drop("depot_km")
-        if left.isEmpty():
-            break
-        around //= 2
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
-
-
-def nearest_depot(stops: DataFrame, depots: DataFrame,
-                  max_array: int | None = None) -> DataFrame:
-    """K2: nearest depot per stop for any depot-table size (exact)."""
-    return depot_distances(stops, depots, max_array).drop("depot_km")
+    ids = stops.select("plan_id", F.col("stop_id").alias("id"), "lat", "lon")
+    others = F.slice(F.filter("near", lambda x: x["id"] != F.col("id")), 1, k)
+    met = nearest(ids, ids, k + 1, ["plan_id"], few=few).select("plan_id", F.col("id").alias("stop_id"),
+                                                                F.posexplode(others))
+    return met.select("plan_id", "stop_id", (F.col("pos") + 1).alias("rank"),
+                      F.col("col.id").alias("neighbour_id"), F.col("col.km").alias("km"))
 
 
 def naive_distance(assigned: DataFrame, by=("plan_id",)) -> DataFrame:
@@ -138,166 +69,6 @@ def vehicles_per_depot(num_vehicles: int, n_depots: int) -> int:
     return max(1, num_vehicles // max(n_depots, 1))
 
 
-# ----------------------------------------------------------------- tours
-def _hav_np(lat1, lon1, lat2, lon2):
-    p1, p2 = np.radians(lat1), np.radians(lat2)
-    a = (np.sin(np.radians(lat2 - lat1) / 2) ** 2
-         + np.cos(p1) * np.cos(p2) * np.sin(np.radians(lon2 - lon1) / 2) ** 2)
-    return 2 * EARTH_RADIUS_KM * np.arcsin(np.sqrt(a))
-
-
-def _tour_group(pdf: pd.DataFrame, n_vehicles: int, capacity: float) -> pd.DataFrame:
-    """K4/K5 for one (plan, depot) group: greedy nearest feasible stop, ties to
-    the lowest stop id; a vehicle that serves nobody emits no rows."""
-    pdf = pdf.sort_values("stop_id", kind="stable").reset_index(drop=True)
-    plan, didx = int(pdf["plan_id"].iat[0]), int(pdf["depot_idx"].iat[0])
-    dname = str(pdf["depot_name"].iat[0])
-    dlat, dlon = float(pdf["depot_lat"].iat[0]), float(pdf["depot_lon"].iat[0])
-    lat, lon = pdf["lat"].to_numpy(float), pdf["lon"].to_numpy(float)
-    dem = pdf["demand"].to_numpy(float)
-    ids, names = pdf["stop_id"].to_numpy(np.int64), pdf["stop_name"].astype(str).to_numpy()
-    open_ = np.ones(len(pdf), dtype=bool)
-    rows = []
-    for v in range(n_vehicles):
-        if not open_.any():
-            break
-        vid = f"V{didx + 1}_{v + 1}"
-        clat, clon, load, total, order = dlat, dlon, 0.0, 0.0, 1
-        served = [(plan, didx, vid, 0, -1, dname, dlat, dlon, 0.0, 0.0, 0.0, 0.0, True)]
-        while True:
-            ok = open_ & (load + dem <= capacity)
-            if not ok.any():
-                break
-            d = _hav_np(clat, clon, lat, lon)
-            d = np.where(ok, d, np.inf)
-            k = int(np.argmin(d))
-            open_[k] = False
-            load += dem[k]
-            total += d[k]
-            served.append((plan, didx, vid, order, int(ids[k]), names[k], lat[k], lon[k],
-                           dem[k], load, float(d[k]), total, False))
-            clat, clon, order = lat[k], lon[k], order + 1
-        if len(served) > 1:
-            back = float(_hav_np(clat, clon, dlat, dlon))
-            total += back
-            served.append((plan, didx, vid, order, -1, f"{dname} (return)", dlat, dlon, 0.0,
-                           load, back, total, True))
-            rows.extend(served)
-    return pd.DataFrame(rows, columns=ROUTE_SCHEMA.fieldNames())
-
-
-def _tours_local(tagged: DataFrame, n_vehicles: int, capacity: float) -> DataFrame:
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _tour_group(pdf, n_vehicles, capacity)
-    return tagged.groupBy("plan_id", "depot_idx").applyInPandas(fn, ROUTE_SCHEMA)
-
-
-def _tours_distributed(tagged: DataFrame, n_vehicles: int, capacity: float) -> DataFrame:
-    """Same greedy rule for hot groups, fully distributed.
-
-    Per step, one arg-min over every hot group's open stops (partial
-    aggregation splits a hot group over many tasks).  The per-group state
-    (vehicle, position, load, distance), the step's candidates and the served
-    stops are small tables written each step to the shared checkpoint folder
-    (a reliable checkpoint would carry every earlier step's plan along); the
-    step's route rows are appended to a table in the same folder.  Only an
-    "any group still active" count reaches the driver.
-    """
-    import os
-    import uuid
-
-    from stockroute.session import ensure_checkpoint_dir
-
-    spark = tagged.sparkSession
-    keys = ["plan_id", "depot_idx"]
-    work = os.path.join(ensure_checkpoint_dir(spark), f"tours-{uuid.uuid4().hex}")
-    out_dir = os.path.join(work, "routes")
-
-    def written(df: DataFrame, name: str, i: int) -> DataFrame:
-        # a written table in the shared folder: survives executor loss and
-        # gives the next step a plain file scan instead of a growing plan
-        path = os.path.join(work, f"{name}-{i}")
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-
-    cap = F.lit(float(capacity))
-    state = (tagged.groupBy(*keys)
-             .agg(F.first("depot_name").alias("depot_name"), F.first("depot_lat").alias("depot_lat"),
-                  F.first("depot_lon").alias("depot_lon"))
-             .withColumns({"v": F.lit(0), "c_lat": F.col("depot_lat"), "c_lon": F.col("depot_lon"),
-                           "load": F.lit(0.0), "total": F.lit(0.0), "ord": F.lit(1),
-                           "active": F.lit(True)}))
-    step = 0
-    state = written(state, "state", step)
-    # the hot groups' stops are written once; served stops go to a separate
-    # small table, so every step's plan has the same size (no growing lineage)
-    stops = written(tagged.select(*keys, "stop_id", "stop_name", "lat", "lon", "demand"),
-                    "stops", 0)
-    visited = spark.createDataFrame([], "plan_id long, depot_idx int, stop_id long")
-    wrote = False
-    while state.where("active").limit(1).count() > 0:
-        step += 1
-        act = state.where("active").select(*keys, "c_lat", "c_lon", "load")
-        cand = (stops.join(act, keys)
-                .join(visited, keys + ["stop_id"], "left_anti")
-                .where(F.col("load") + F.col("demand") <= cap)
-                .groupBy(*keys)
-                .agg(F.min(F.struct(haversine_km("c_lat", "c_lon", "lat", "lon").alias("km"),
-                                    "stop_id", "stop_name", "lat", "lon", "demand")).alias("b")))
-        cand = written(cand, "cand", step)
-        nxt = state.join(cand, keys, "left")
-        has = F.col("active") & F.col("b").isNotNull()
-        closed = F.col("active") & F.col("b").isNull()
-        vid = vehicle_id(F.col("depot_idx"), F.col("v"))
-        zero = F.lit(0.0)
-        start_rows = nxt.where(has & (F.col("ord") == 1)).select(
-            *keys, vid.alias("Vehicle"), F.lit(0).alias("Stop_Order"),
-            F.lit(-1).cast("long").alias("stop_id"), F.col("depot_name").alias("Location"),
-            F.col("depot_lat").alias("Lat"), F.col("depot_lon").alias("Lon"), zero.alias("Demand"),
-            zero.alias("Cumulative_Load"), zero.alias("Distance_km"),
-            zero.alias("Cumulative_Distance_km"), F.lit(True).alias("Is_Depot"))
-        stop_rows = nxt.where(has).select(
-            *keys, vid.alias("Vehicle"), F.col("ord").alias("Stop_Order"),
-            F.col("b.stop_id").alias("stop_id"), F.col("b.stop_name").alias("Location"),
-            F.col("b.lat").alias("Lat"), F.col("b.lon").alias("Lon"), F.col("b.demand").alias("Demand"),
-            (F.col("load") + F.col("b.demand")).alias("Cumulative_Load"),
-            F.col("b.km").alias("Distance_km"),
-            (F.col("total") + F.col("b.km")).alias("Cumulative_Distance_km"),
-            F.lit(False).alias("Is_Depot"))
-        back = haversine_km("c_lat", "c_lon", "depot_lat", "depot_lon")
-        return_rows = nxt.where(closed & (F.col("ord") > 1)).select(
-            *keys, vid.alias("Vehicle"), F.col("ord").alias("Stop_Order"),
-            F.lit(-1).cast("long").alias("stop_id"),
-            F.concat(F.col("depot_name"), F.lit(" (return)")).alias("Location"),
-            F.col("depot_lat").alias("Lat"), F.col("depot_lon").alias("Lon"), zero.alias("Demand"),
-            F.col("load").alias("Cumulative_Load"), back.alias("Distance_km"),
-            (F.col("total") + back).alias("Cumulative_Distance_km"), F.lit(True).alias("Is_Depot"))
-        rows = start_rows.unionByName(stop_rows).unionByName(return_rows)
-        rows.select(*ROUTE_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(out_dir)
-
-        wrote = True
-        reopen = closed & (F.col("ord") > 1) & (F.col("v") + 1 < F.lit(n_vehicles))
-        state = nxt.select(
-            *keys, "depot_name", "depot_lat", "depot_lon",
-            F.when(closed, F.col("v") + 1).otherwise(F.col("v")).alias("v"),
-            F.when(has, F.col("b.lat")).when(closed, F.col("depot_lat"))
-            .otherwise(F.col("c_lat")).alias("c_lat"),
-            F.when(has, F.col("b.lon")).when(closed, F.col("depot_lon"))
-            .otherwise(F.col("c_lon")).alias("c_lon"),
-            F.when(has, F.col("load") + F.col("b.demand")).when(closed, zero)
-            .otherwise(F.col("load")).alias("load"),
-            F.when(has, F.col("total") + F.col("b.km")).when(closed, zero)
-            .otherwise(F.col("total")).alias("total"),
-            F.when(has, F.col("ord") + 1).when(closed, F.lit(1)).otherwise(F.col("ord")).alias("ord"),
-            (has | reopen).alias("active"))
-        state = written(state, "state", step)
-        visited = written(visited.unionByName(
-            cand.select(*keys, F.col("b.stop_id").alias("stop_id"))), "visited", step)
-    if not wrote:
-        return spark.createDataFrame([], ROUTE_SCHEMA)
-    return spark.read.schema(ROUTE_SCHEMA).parquet(out_dir)
-
-
 def solve_routes(stops: DataFrame, depots: DataFrame,
                  p: RoutingParams = RoutingParams()) -> DataFrame:
     """K6: nearest-depot assignment then tours per (plan, depot) group.
@@ -310,12 +81,11 @@ def solve_routes(stops: DataFrame, depots: DataFrame,
     tagged = assigned.join(depots.select("depot_idx", "depot_name", "depot_lat", "depot_lon"), "depot_idx")
     sizes = tagged.groupBy("plan_id", "depot_idx").count()
     hot = sizes.where(F.col("count") > p.local_group_limit).select("plan_id", "depot_idx")
-    if hot.limit(1).count() == 0:
-        return _tours_local(tagged, nv, p.capacity)
+    if hot.isEmpty():
+        return tours_local(tagged, nv, p.capacity)
     small = tagged.join(hot, ["plan_id", "depot_idx"], "left_anti")
     big = tagged.join(hot, ["plan_id", "depot_idx"], "left_semi")
-    return _tours_local(small, nv, p.capacity).unionByName(
-        _tours_distributed(big, nv, p.capacity))
+    return tours_local(small, nv, p.capacity).unionByName(tours_leased(big, nv, p.capacity, p.lease))
 
 
 def route_legs_audit(routes: DataFrame) -> DataFrame:
@@ -384,7 +154,7 @@ def distance_savings(naive: Column, fleet: Column) -> dict[str, Column]:
             "saved_km_non_negative": F.greatest(F.lit(0.0), sv)}
 
 
-__all__ = ["depot_distances", "nearest_depot", "naive_distance",
+__all__ = ["depot_distances", "nearest_depot", "stop_neighbours", "naive_distance",
            "vehicles_per_depot", "solve_routes", "route_summary", "fleet_distance",
            "unserved_stops", "route_paths", "distance_savings", "route_legs_audit",
            "running_totals", "vehicle_id"]

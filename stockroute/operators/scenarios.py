@@ -111,12 +111,11 @@ def supply_delay(pred: DataFrame, plan: DataFrame, delays=(7,),
 
 
 def _nearest_two(stops: DataFrame, depots: DataFrame):
-    """Per stop: nearest depot distance, runner-up distance, and the depots at
-    the minimum distance (ties), as (distances, ties) frames."""
+    """Per stop: nearest depot distance and runner-up distance; and the places of
+    the depots at the minimum distance (ties), as (distances, ties) frames."""
     dd = depot_distances(stops, depots)
-    ties = dd.select("plan_id", "depot_dist", "second_dist",
-                     F.explode(F.filter("depot_km", lambda x: x["km"] <= F.col("depot_dist")))
-                     .alias("t"))
+    at = F.transform(F.filter("depot_km", lambda x: x["km"] <= F.col("depot_dist")), lambda x: x["place"])
+    ties = dd.select("plan_id", "depot_dist", "second_dist", F.explode(F.array_distinct(at)).alias("place"))
     return dd, ties
 
 
@@ -132,10 +131,14 @@ def depot_failure(stops: DataFrame, depots: DataFrame, routes: DataFrame | None
     """
     dd, ties = _nearest_two(stops, depots)
     per_plan = dd.groupBy("plan_id").agg((2 * F.sum("depot_dist")).alias("rt_all"))
-    per_k = ties.groupBy("plan_id", F.col("t.idx").alias("failed_depot")).agg(
+    per_place = ties.groupBy("plan_id", "place").agg(
         F.count("*").alias("stores_reassigned"),
         (2 * F.sum(F.coalesce(F.col("second_dist"), F.col("depot_dist"))
                    - F.col("depot_dist"))).alias("extra_km"))
+    # depots at one place share its stops
+    spots = depots.groupBy("depot_lat", "depot_lon").agg(F.min("depot_idx").alias("place"))
+    at = depots.join(spots, ["depot_lat", "depot_lon"]).select("place", F.col("depot_idx").alias("failed_depot"))
+    per_k = per_place.join(at, "place").drop("place")
     if failed is not None:                   # explicit failure cases (small literal list)
         ids = F.array(*[F.lit(int(k)) for k in failed])
         cases = per_plan.withColumn("_ids", ids).select(

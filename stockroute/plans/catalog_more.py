@@ -458,12 +458,12 @@ SELECT plan_id, depot_idx, printf('V%d_%d', depot_idx + 1, v + 1) AS Vehicle, or
         + " FROM tour WHERE stop_id IS NOT NULL"
 
 
-def _multi_vehicle(spark, sf_dir, limit: int) -> DataFrame:
+def _multi_vehicle(spark, sf_dir, limit: int, lease: int = 20_000) -> DataFrame:
     from stockroute.operators.routing import nearest_depot, solve_routes
     stops, depots = C.routing_inputs(spark, sf_dir)
     groups = nearest_depot(stops, depots).groupBy("plan_id", "depot_idx").agg(F.sum("demand").alias("d"))
     cap = groups.agg(F.sum("d") / F.count("*")).first()[0] * LOAD_SHARE
-    p = replace(C._params().routing, num_vehicles=VEHICLES, capacity=cap, local_group_limit=limit)
+    p = replace(C._params().routing, num_vehicles=VEHICLES, capacity=cap, local_group_limit=limit, lease=lease)
     routes = solve_routes(stops, depots, p)
     return rounded(routes.where(~F.col("Is_Depot")).select(
         "plan_id", "depot_idx", "Vehicle", "Stop_Order", "stop_id", "Cumulative_Load", "Distance_km",
@@ -474,3 +474,44 @@ def _multi_vehicle(spark, sf_dir, limit: int) -> DataFrame:
 def q_multi_vehicle(spark, sf_dir):
     """K3/K4: three vehicles a depot, each opened when the last one is full."""
     return _multi_vehicle(spark, sf_dir, C._params().routing.local_group_limit)
+
+
+@register("K4_hot_groups", _multi_vehicle_sql())
+def q_hot_groups(spark, sf_dir):
+    """K4: the same tours with every group walked by leases of 16 stops."""
+    return _multi_vehicle(spark, sf_dir, 0, lease=16)
+
+
+# ---------------------------------------------------------------- nearest stops and depots
+@register("K1_nearest_stops", "WITH " + V.ROUTING.strip() + """,
+pairs AS (SELECT a.plan_id, a.stop_id, b.stop_id AS neighbour_id, """ + V._hav("a.lat", "a.lon", "b.lat", "b.lon") + """ AS km
+          FROM stops a JOIN stops b ON a.plan_id = b.plan_id AND a.stop_id <> b.stop_id),
+nearest AS (SELECT *, row_number() OVER (PARTITION BY plan_id, stop_id ORDER BY km, neighbour_id) AS rk FROM pairs)
+SELECT plan_id, stop_id, CAST(rk AS INTEGER) AS rank, neighbour_id, """ + r("km", digits=4) + " FROM nearest WHERE rk <= 5")
+def q_nearest_stops(spark, sf_dir):
+    """The five nearest other stops of every stop in its plan."""
+    from stockroute.operators.routing import stop_neighbours
+    stops, _ = C.routing_inputs(spark, sf_dir)
+    return rounded(stop_neighbours(stops, 5), 4)
+
+
+@register("K2_many_depots", "WITH " + V.ROUTING.strip() + """,
+sites AS (SELECT c_custkey AS site_id, """ + V.hash_lat("c_name || '_' || CAST(c_nationkey AS VARCHAR)") + " AS s_lat, "
+          + V.hash_lon("c_name || '_' || CAST(c_nationkey AS VARCHAR)") + """ AS s_lon FROM customer),
+far AS (SELECT s.plan_id, s.stop_id, site_id, """ + V._hav("s.lat", "s.lon", "s_lat", "s_lon") + """ AS km FROM stops s CROSS JOIN sites),
+two AS (SELECT *, row_number() OVER (PARTITION BY plan_id, stop_id ORDER BY km, site_id) AS rk FROM far)
+SELECT plan_id, stop_id, min(CASE WHEN rk = 1 THEN site_id END) AS depot_idx, """
+          + r("min(CASE WHEN rk = 1 THEN km END)", "depot_km", 4) + ", " + r("min(CASE WHEN rk = 2 THEN km END)", "second_km", 4)
+          + " FROM two WHERE rk <= 2 GROUP BY 1, 2")
+def q_many_depots(spark, sf_dir):
+    """E5/K2: every customer a depot - more depots than stops, searched by cells."""
+    from stockroute.functions.columns import hash_coordinates
+    from stockroute.operators.routing import depot_distances
+    from stockroute.sources import testdata as TD
+    stops, _ = C.routing_inputs(spark, sf_dir)
+    lat, lon = hash_coordinates(F.col("c_name"), F.col("c_nationkey"))
+    sites = TD.table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey").select(
+        F.col("c_custkey").alias("depot_idx"), lat.alias("depot_lat"), lon.alias("depot_lon"))
+    return depot_distances(stops, sites).select(
+        "plan_id", "stop_id", "depot_idx", round_col("depot_dist", 4).alias("depot_km"),
+        round_col("second_dist", 4).alias("second_km"))

@@ -1,10 +1,14 @@
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from stockroute.config import RoutingParams
+from stockroute.operators import nearest as NR
 from stockroute.operators import routing as R
+from stockroute.operators import tours
 from stockroute.operators.scenarios import depot_failure
 from stockroute.sources.schemas import depot_frame, sample_stops
 
@@ -22,7 +26,7 @@ def test_nearest_depot_block_join_equals_array(spark):
     stops = sample_stops(spark, default_demand=5000.0)
     a = {r.stop_id: (r.depot_idx, r.depot_dist) for r in R.nearest_depot(stops, depot_frame(spark)).collect()}
     b = {r.stop_id: (r.depot_idx, r.depot_dist)
-         for r in R.nearest_depot(stops, depot_frame(spark), max_array=1).collect()}
+         for r in R.nearest_depot(stops, depot_frame(spark), few=1).collect()}
     assert a.keys() == b.keys()
     for k in a:
         assert a[k][0] == b[k][0] and a[k][1] == pytest.approx(b[k][1])
@@ -50,20 +54,71 @@ def _check_tours(routes: pd.DataFrame, stops: pd.DataFrame, cap: float):
     return served
 
 
-def test_tours_local_and_distributed_agree(spark):
+def _same_routes(a: pd.DataFrame, b: pd.DataFrame):
+    key = ["plan_id", "depot_idx", "Vehicle", "Stop_Order"]
+    a, b = (x.sort_values(key).reset_index(drop=True) for x in (a, b))
+    assert a[[*key, "stop_id", "Location", "Is_Depot"]].equals(b[[*key, "stop_id", "Location", "Is_Depot"]])
+    for c in ("Demand", "Cumulative_Load", "Distance_km", "Cumulative_Distance_km"):
+        assert (a[c] - b[c]).abs().max() < 1e-9
+    return a
+
+
+def test_tours_local_and_leased_agree(spark):
     stops = sample_stops(spark)                     # seeded default demands
     depots = depot_frame(spark)
     p = RoutingParams(num_vehicles=6, capacity=60000.0)
     local = R.solve_routes(stops, depots, p).toPandas()
-    dist = R.solve_routes(stops, depots, RoutingParams(num_vehicles=6, capacity=60000.0,
-                                                       local_group_limit=0)).toPandas()
-    key = ["Vehicle", "Stop_Order"]
-    a, b = local.sort_values(key).reset_index(drop=True), dist.sort_values(key).reset_index(drop=True)
-    assert list(a.Location) == list(b.Location)
-    assert (a.Distance_km - b.Distance_km).abs().max() < 1e-9
+    for lease in (5, 1000):
+        leased = R.solve_routes(stops, depots, replace(p, local_group_limit=0, lease=lease)).toPandas()
+        a = _same_routes(local, leased)
     _check_tours(a, stops.toPandas(), 60000.0)
 
 
+def _hot_groups(spark, n):
+    """Clusters, far stops, many stops at one place, repeated demands that don't fit, two plans."""
+    rng = np.random.default_rng(3)
+    kind = rng.random(n)
+    lat = np.where(kind < .4, rng.uniform(25, 48, n), 40 + rng.normal(0, .05, n))
+    lon = np.where(kind < .4, rng.uniform(-124, -71, n), -95 + rng.normal(0, .05, n))
+    lat[:n // 5], lon[:n // 5] = 33.0, -101.0
+    demand = np.where(rng.random(n) < .05, 1e12, rng.integers(1, 50, n).astype(float))
+    rows = [(i % 2, i, f"S{i}", float(lat[i]), float(lon[i]), float(demand[i])) for i in range(n)]
+    return spark.createDataFrame(rows, "plan_id long, stop_id long, stop_name string, lat double, lon double, "
+                                       "demand double").repartition(4)
+
+
+def test_leases_of_hot_groups_take_few_rounds(spark, monkeypatch):
+    """Same routes as one task, with far fewer rounds than stops."""
+    stops, rounds = _hot_groups(spark, 2400), []
+    p = RoutingParams(num_vehicles=6, capacity=9000.0)
+    local = R.solve_routes(stops, depot_frame(spark), p).toPandas()
+    picked = tours._picked
+    monkeypatch.setattr(tours, "_picked", lambda *a: rounds.append(1) or picked(*a))
+    leased = R.solve_routes(stops, depot_frame(spark), replace(p, local_group_limit=0, lease=400)).toPandas()
+    _same_routes(local, leased)
+    longest = local[~local.Is_Depot].groupby(["plan_id", "depot_idx"]).size().max()
+    assert len(rounds) < longest / 10, (len(rounds), longest)
+
+
+def test_field_finds_what_a_plain_search_finds():
+    rng = np.random.default_rng(4)
+    n = 3000
+    lat, lon = rng.uniform(-60, 60, n).round(1), rng.uniform(-180, 180, n).round(1)
+    demand, ids = rng.integers(1, 30, n).astype(float), rng.permutation(n)
+    field, open_, at, load = tours.Field(lat, lon, demand, ids), np.ones(n, bool), (0.0, 0.0), 0.0
+    for _ in range(n):
+        ok = open_ & (load + demand <= 30.0)
+        k, km = field.nearest(*at, load, 30.0)
+        if not ok.any():
+            assert k == -1
+            break
+        d = np.where(ok, tours.hav_np(*at, lat, lon), np.inf)
+        assert km == d.min() and ids[k] == ids[d == d.min()].min()
+        field.take(k)
+        open_[k], at, load = False, (lat[k], lon[k]), (load + demand[k]) % 25
+    assert not open_.all()
+
+
 def test_tour_greedy_rule_brute_force(spark):
     """Every chosen stop is the nearest feasible unvisited stop of its depot."""
     stops = sample_stops(spark)
@@ -78,7 +133,7 @@ def test_tour_greedy_rule_brute_force(spark):
         pool = [s for s in assign.index if assign.loc[s, "depot_idx"] == didx]
         lat, lon, load = g.Lat.iloc[0], g.Lon.iloc[0], 0.0
         for _, row in g.iloc[1:-1].iterrows():
-            cands = [(R._hav_np(lat, lon, sp.loc[s, "lat"], sp.loc[s, "lon"]), s) for s in pool
+            cands = [(tours.hav_np(lat, lon, sp.loc[s, "lat"], sp.loc[s, "lon"]), s) for s in pool
                      if s not in served and load + sp.loc[s, "demand"] <= 30000.0]
             best = min(cands)
             assert best[1] == row.stop_id
@@ -104,18 +159,21 @@ def test_stored_route_legs():
     rows = [(39.8283, -98.5795, 0.0), (41.2565, -95.9345, 274.16), (44.9778, -93.265, 467.02),
             (38.627, -90.1994, 750.35), (34.7465, -92.2896, 469.99), (39.8283, -98.5795, 792.64)]
     for (a, b, _), (c, d, leg) in zip(rows, rows[1:]):
-        assert abs(R._hav_np(a, b, c, d) - leg) < 0.006
+        assert abs(tours.hav_np(a, b, c, d) - leg) < 0.006
 
 
-def test_depot_failure_blocked_path_equals_array_path(spark, monkeypatch):
-    import stockroute.operators.routing as RR
+def test_depot_failure_by_cells_equals_one_cell(spark, monkeypatch):
     stops = sample_stops(spark, default_demand=5000.0)
-    a = {r.failed_depot: (r.stores_reassigned, r.new_distance_km)
-         for r in depot_failure(stops, depot_frame(spark)).collect()}
-    monkeypatch.setattr(RR, "DEPOT_ARRAY_MAX", 1)
-    b = {r.failed_depot: (r.stores_reassigned, r.new_distance_km)
-         for r in depot_failure(stops, depot_frame(spark)).collect()}
-    assert a.keys() == b.keys()
+    # two more depots at the place of the first one
+    twins = [(i, f"D{i}", 39.8283, -98.5795) for i in (7, 9)]
+    depots = depot_frame(spark).unionByName(spark.createDataFrame(twins, depot_frame(spark).schema))
+    failure = lambda: {r.failed_depot: (r.stores_reassigned, r.new_distance_km)
+                       for r in depot_failure(stops, depots).collect()}
+    a = failure()
+    monkeypatch.setattr(NR, "FEW", 1)
+    b = failure()
+    assert a.keys() == b.keys() == {0, 1, 2, 7, 9}
+    assert {a[i] for i in (0, 7, 9)} == {a[0]} and a[0][0] == 10
     for k in a:
         assert a[k][0] == b[k][0] and a[k][1] == pytest.approx(b[k][1])
 
@@ -132,7 +190,46 @@ def test_nearest_of_many_depots_equals_brute_force(spark):
     got = {r.stop_id: r for r in R.nearest_depot(stops, depots).collect()}
     assert len(got) == len(at)
     for i, (a, o) in enumerate(at):
-        km = R._hav_np(a, o, lat, lon)
+        km = tours.hav_np(a, o, lat, lon)
         first, second = np.sort(km)[:2]
         assert got[i].depot_idx == int(np.argmin(km))
         assert abs(got[i].depot_dist - first) < 1e-6 and abs(got[i].second_dist - second) < 1e-6
+
+
+def _plain_neighbours(rows, k):
+    out = {}
+    for g, i, a, o in rows:
+        mates = [(float(tours.hav_np(a, o, b, p)), j) for h, j, b, p in rows if h == g and j != i]
+        out[(g, i)] = sorted(mates)[:k]
+    return out
+
+
+@pytest.mark.parametrize("few", [None, 4])
+def test_neighbours_equal_plain_search(spark, few):
+    rng = np.random.default_rng(6)
+    spots = [*zip(rng.uniform(25, 48, 60), rng.uniform(-124, -71, 60)), *zip(rng.normal(40, .02, 60), rng.normal(-95, .02, 60)),
+             *[(10.0, 179.9), (10.0, -179.9), (89.9, 0.0), (89.9, 179.0), (-33.0, 151.0)], *[(33.0, -101.0)] * 30]
+    rows = [(i % 2, i, float(a), float(o)) for i, (a, o) in enumerate(spots)] + [(5, 900, 1.0, 1.0), (6, 901, 2.0, 2.0), (6, 902, 2.0, 2.0)]
+    odd = [(0, 950, None, 1.0), (0, 951, 95.0, 1.0), (0, 952, float("nan"), 1.0)]
+    stops = spark.createDataFrame([*rows, *odd], "plan_id int, stop_id int, lat double, lon double")
+    got = {}
+    for r in R.stop_neighbours(stops, 3, few).collect():
+        got.setdefault((r.plan_id, r.stop_id), []).append((r["rank"], r.km, r.neighbour_id))
+    want = _plain_neighbours(rows, 3)
+    assert got.keys() == {key for key, mates in want.items() if mates}
+    for key, mates in got.items():
+        mates.sort()
+        assert [m[0] for m in mates] == list(range(1, len(want[key]) + 1))
+        assert np.allclose([m[1] for m in mates], [w[0] for w in want[key]], atol=1e-9)
+        # ids may differ only where distances tie but for rounding
+        for (_, km, j), (wkm, wj) in zip(mates, want[key]):
+            assert j == wj or abs(km - wkm) < 1e-9 and km > 0
+
+
+def test_no_points_and_no_queries(spark):
+    none = spark.createDataFrame([], "plan_id int, stop_id int, lat double, lon double")
+    one = spark.createDataFrame([(1, 1, 2.0, 3.0)], none.schema)
+    points = none.withColumnRenamed("stop_id", "id")
+    assert [r.near for r in NR.nearest(one, points, 2).collect()] == [None]
+    assert NR.nearest(none, one.withColumnRenamed("stop_id", "id"), 2).collect() == []
+    assert R.stop_neighbours(one).collect() == []
