@@ -6,61 +6,135 @@ aggregate before the shuffle; hot keys never reach one task as raw rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# equal-width buckets a median pass counts; the driver sees at most that many
-# rows a column and pass, whatever the distribution
-MEDIAN_BUCKETS = 1024
+# rank error of the sketch as a share of the rows (Spark's percentile_approx)
+SKETCH = 10_000
+# shares of a range at which a sketch is asked: evenly, and close around the middle
+SHARES = sorted({0.5 - 4 / SKETCH, 0.5 + 4 / SKETCH, *(i / 64 for i in range(65))})
+# distinct values of a bracket that may be counted on the driver
+BRACKET_VALUES = 200_000
+
+
+def _middle(a: float, b: float) -> float | None:
+    if a == b:
+        return a
+    mean = (a + b) / 2
+    if math.isinf(mean) and not math.isinf(a) and not math.isinf(b):
+        mean = a / 2 + b / 2
+    return None if math.isnan(mean) else mean
+
+
+def _sketched(base: DataFrame, ranges: dict[str, tuple]) -> dict[str, dict]:
+    """For each column's range: the rows of the column, those below the range and in it,
+    the values at SHARES of it, the rows at its ends and the values next to them."""
+    aggs = []
+    for v, (lo, hi) in ranges.items():
+        x = F.col(v)
+        over = F.lit(True) if lo is None else x >= lo
+        held = over & (F.lit(True) if hi is None else x <= hi)
+        aggs += [F.count(x).alias(f"{v}_all"), F.count(F.when(~over, x)).alias(f"{v}_below"),
+                 F.count(F.when(held, x)).alias(f"{v}_in"),
+                 F.percentile_approx(F.when(held, x), list(SHARES), SKETCH).alias(f"{v}_cuts")]
+        if lo is not None:
+            aggs += [F.count(F.when(x == lo, x)).alias(f"{v}_low"),
+                     F.min(F.when(held & (x > lo), x)).alias(f"{v}_up")]
+        if hi is not None:
+            aggs += [F.count(F.when(x == hi, x)).alias(f"{v}_high"),
+                     F.max(F.when(held & (x < hi), x)).alias(f"{v}_down")]
+    row = base.agg(*aggs).first().asDict()
+    return {v: {k[len(v) + 1:]: x for k, x in row.items() if k.startswith(f"{v}_")} for v in ranges}
+
+
+def _narrowed(range_: tuple, got: dict) -> tuple[tuple, float, float | None, bool]:
+    """The next range of a column, how many rows it may hold, and its median if that is known."""
+    (lo, hi), held = range_, got["in"]
+    first, last = (got["all"] - 1) // 2 - got["below"], got["all"] // 2 - got["below"]
+
+    def at(rank: int) -> float | None:
+        """The value of a rank that lies at an end of the range, or next to one."""
+        if lo is not None and 0 <= rank <= got["low"]:
+            return lo if rank < got["low"] else got["up"]
+        back = held - 1 - rank
+        if hi is not None and 0 <= back <= got["high"]:
+            return hi if back < got["high"] else got["down"]
+        return None
+
+    a, b = at(first), at(last)
+    if a is not None and b is not None:
+        return range_, 0, _middle(a, b), True
+    error = 2 * held / SKETCH + 1
+    below = [i for i, s in enumerate(SHARES) if s * held + error <= first]
+    above = [i for i, s in enumerate(SHARES) if s * held - error >= last]
+    left = ((SHARES[above[0]] if above else 1) - (SHARES[below[-1]] if below else 0)) * held + 2 * error
+    span = (got["cuts"][below[-1]] if below else lo, got["cuts"][above[0]] if above else hi)
+    if span == range_ and None in span:             # no more than a few values
+        return span, 0, None, False
+    if span == range_:                              # ties at both ends, and the ranks between them
+        span = (math.nextafter(lo, math.inf), math.nextafter(hi, -math.inf))
+    return span, left, None, False
 
 
 def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     """exact (interpolated) medians of several columns, distributed.
 
-    Every pass counts, for all open columns at once, the values of the range
-    that holds the two middle ranks in equal-width buckets, with each bucket's
-    least and greatest value.  If the ranks fall into two buckets the values
-    are known; otherwise their bucket is the next range.  A range ends at one
-    value at the latest, so ties of any number need no more than their count.
+    One pass sketches all columns (mergeable, with a bounded rank error) and so
+    brackets the two middle ranks; the next counts the values below and inside the
+    brackets, each value once, and reads the medians off.  Where a bracket may still
+    hold more than ``BRACKET_VALUES`` values it is sketched again first.  Ranks that a
+    bracket turns out to miss are searched beside it, so the result is exact whatever
+    the sketch says.
+
+    Works on any distribution: ties, infinite and very wide columns alike.  NaN counts
+    as missing; a column without values has no median, nor has one whose middle values
+    are minus and plus infinity.
     """
-    base = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    if not cols:
-        return {}
-    stats = base.agg(*[f(c).alias(f"{c}__{f.__name__}") for c in cols for f in (F.count, F.min, F.max)]).first()
+    names = {f"v{i}": c for i, c in enumerate(cols)}
+    base = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(v) for v, c in names.items()])
     out: dict[str, float | None] = {c: None for c in cols}
-    open_cols = {}
-    for c in cols:
-        n = int(stats[f"{c}__count"])
-        if n:
-            open_cols[c] = dict(k1=(n - 1) // 2, k2=n // 2, lo=stats[f"{c}__min"], hi=stats[f"{c}__max"])
-    while True:
-        for c in [c for c, s in open_cols.items() if s["lo"] == s["hi"]]:
-            out[c] = open_cols.pop(c)["lo"]
-        if not open_cols:
-            return out
-        parts = []
-        for c, s in open_cols.items():
-            x, lo, hi = F.col(c), F.lit(s["lo"]), F.lit(s["hi"])
-            place = F.least(F.floor((x - lo) / (hi - lo) * MEDIAN_BUCKETS), F.lit(MEDIAN_BUCKETS - 1))
-            parts.append(F.when((x >= lo) & (x <= hi), F.struct(
-                F.lit(c).alias("c"), place.cast("int").alias("b"), x.alias("x"))))
-        rows = (base.select(F.explode(F.array(*parts)).alias("v")).where("v is not null")
-                .groupBy("v.c", "v.b").agg(F.count("*").alias("n"), F.min("v.x").alias("lo"),
-                                           F.max("v.x").alias("hi")).collect())
-        for c in list(open_cols):
-            s, below = open_cols[c], 0
-            first = last = None
-            for r in sorted((r for r in rows if r["c"] == c), key=lambda r: r["b"]):
-                if first is None and s["k1"] < below + r["n"]:
-                    first, start = r, below
-                if last is None and s["k2"] < below + r["n"]:
-                    last = r
-                below += r["n"]
-            if first["b"] != last["b"]:
-                out[c] = (first["hi"] + last["lo"]) / 2
-                del open_cols[c]
-            else:
-                s.update(k1=s["k1"] - start, k2=s["k2"] - start, lo=first["lo"], hi=first["hi"])
+    rough = {v: (None, None) for v in names}
+    ready: dict[str, tuple] = {}
+    while rough or ready:
+        if rough:
+            for v, got in _sketched(base, rough).items():
+                if not got["all"]:
+                    del rough[v]
+                    continue
+                span, left, median, known = _narrowed(rough[v], got)
+                if known:
+                    out[names[v]] = median
+                    del rough[v]
+                elif left <= BRACKET_VALUES or span[0] is not None and span[0] == span[1]:
+                    del rough[v]
+                    ready[v] = span
+                else:
+                    rough[v] = span
+            continue
+        kinds = []
+        for v, (lo, hi) in ready.items():
+            x = F.col(v)
+            kind = (F.when(F.lit(False) if lo is None else x < lo, -1)
+                    .when(F.lit(False) if hi is None else x > hi, 1).otherwise(0))
+            kinds.append(F.when(x.isNotNull(), F.struct(F.lit(v).alias("v"), kind.alias("kind"),
+                                                        F.when(kind == 0, x).alias("x"))))
+        counts = (base.select(F.explode(F.array(*kinds)).alias("r")).where("r is not null")
+                  .groupBy("r.v", "r.kind", "r.x").agg(F.count("*").alias("n")).collect())
+        for v, (lo, hi) in list(ready.items()):
+            own = [r for r in counts if r["v"] == v]
+            n, below = sum(r["n"] for r in own), sum(r["n"] for r in own if r["kind"] < 0)
+            ranks, found, at = ((n - 1) // 2, n // 2), {}, below
+            for value, k in sorted((r["x"], r["n"]) for r in own if r["kind"] == 0):
+                found |= {rank: value for rank in ranks if at <= rank < at + k}
+                at += k
+            del ready[v]
+            if all(rank in found for rank in ranks):
+                out[names[v]] = _middle(found[ranks[0]], found[ranks[1]])
+            else:                           # the sketch was wrong: look on the side that it left out
+                rough[v] = (None if ranks[0] < below else lo, None if ranks[1] >= at else hi)
+    return out
 
 
 def regression_metrics(df: DataFrame, label: str, pred: str,

@@ -7,17 +7,16 @@ inv_t = inv_{t-1} + order_t - d_t,  inv_t >= safety,  inv_0 = 1.5 * safety.
 With C_t the cumulative demand and z0 = inv_0 - safety, the cumulative orders
 O_t must cover D_t = max(0, max_{k<=t} C_k - z0).  The net demands
 n_t = D_t - D_{t-1} >= 0 turn the programme into uncapacitated lot sizing,
-which the Wagner-Whitin recursion solves exactly; it runs here as Spark
-higher-order functions over one array per store (the horizon bounds the
-array).  Where that optimum would break the order cap, the capacitated
-problem is solved exactly by a small recursion per store.  The
+which the Wagner-Whitin recursion solves exactly; it runs here on a convex
+hull of lines, as Spark higher-order functions over one array per store (the
+horizon bounds the array).  Where that optimum would break the order cap, the
+capacitated problem is solved exactly by a fold over undominated states.  The
 order-up-to-safety fallback has the closed form
 inv_t = max(inv_0, safety + max_{j<=t} C_j) - C_t, by array folds too.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,17 +47,42 @@ def demand_series(store_demand: DataFrame, p: InventoryParams = InventoryParams(
             .withColumn("initial", F.col("safety") * F.lit(p.initial_factor))
 
 
+def _running(arr: Column, start: Column, merge) -> Column:
+    """Array of the fold's values after each element: one step an element."""
+    return F.aggregate(arr, F.struct(start.alias("now"), F.array().cast("array<double>").alias("all")),
+                       lambda a, x: F.struct(merge(a["now"], x).alias("now"),
+                                             F.concat(a["all"], F.array(merge(a["now"], x))).alias("all")))["all"]
+
+
 def _prefix_sums(arr: Column) -> Column:
-    return F.transform(arr, lambda x, i: F.aggregate(F.slice(arr, 1, i + 1), F.lit(0.0),
-                                                     lambda a, y: a + y))
+    return _running(arr, F.lit(0.0), lambda a, x: a + x)
 
 
 def _prefix_max(arr: Column) -> Column:
-    return F.transform(arr, lambda x, i: F.array_max(F.slice(arr, 1, i + 1)))
+    return _running(arr, F.lit(float("-inf")), lambda a, x: F.greatest(a, x))
+
+
+def _total(arr: Column) -> Column:
+    return F.aggregate(arr, F.lit(0.0), lambda a, x: a + x)
+
+
+def _to_cover(series: DataFrame) -> DataFrame:
+    """``_C``, the cumulative demand, and ``_D``, the cumulative orders it calls for."""
+    out = series.withColumn("_C", _prefix_sums(F.col("demand")))
+    z0 = F.col("initial") - F.col("safety")
+    return out.withColumn("_D", F.transform(_prefix_max(F.col("_C")), lambda c: F.greatest(c - z0, F.lit(0.0))))
+
+
+def _levels(orders: Column) -> Column:
+    return F.transform(F.arrays_zip(_prefix_sums(orders).alias("o"), F.col("_C").alias("c")),
+                       lambda x: F.col("initial") + x["o"] - x["c"])
+
+
+_HULL = "array<struct<start:int,cost:double,since:double>>"
 
 
 def lot_size(series: DataFrame, p: InventoryParams = InventoryParams()) -> DataFrame:
-    """Exact minimum-cost order plan per store (Wagner-Whitin).
+    """Exact minimum-cost order plan per store (Wagner-Whitin on a convex hull).
 
     Returns the series row with an ``orders`` array, ``levels`` array and an
     ``exact`` flag that is false when a single order would exceed
@@ -66,64 +90,70 @@ def lot_size(series: DataFrame, p: InventoryParams = InventoryParams()) -> DataF
     optimum, flagged for review).
     """
     h, K = F.lit(float(p.holding_cost)), F.lit(float(p.ordering_cost))
-    d = F.col("demand")
-    z0 = F.col("initial") - F.col("safety")
-    C = _prefix_sums(d)
-    out = series.withColumn("_C", C)
-    req = F.transform(_prefix_max(F.col("_C")), lambda c: F.greatest(c - z0, F.lit(0.0)))
-    out = out.withColumn("_D", req)
-    out = out.withColumn("_n", F.transform("_D", lambda x, i: F.when(i == 0, x)
-                                           .otherwise(x - F.col("_D")[i - 1])))
-    n = F.col("_n")
-
-    # f[t] = min over the week j that places the last order of
-    #   f[j-1] + K + h * H_j(t),  H_j(t) = sum_{k=j..t} (k-j) n_k,
-    # with a free step f[t-1] when n_t = 0.  The fold carries every H_j so
-    # each week costs O(T): H_j(t) = H_j(t-1) + (t-j) n_t.
-    def step(acc, t):
-        f, hold = acc["f"], acc["h"]
-        nt = F.element_at(n, t)
-        hold2 = F.concat(F.transform(hold, lambda x, i: x + (t - i - 1).cast("double") * nt),
-                         F.array(F.lit(0.0)))
-        cands = F.transform(hold2, lambda x, i: F.struct(
-            (F.element_at(f, i + 1)["cost"] + K + h * x).alias("cost"), (i + 1).alias("start")))
-        free = F.struct(F.element_at(f, t)["cost"].alias("cost"), F.lit(0).alias("start"))
-        best = F.array_min(F.when(nt <= F.lit(0.0), F.concat(F.array(free), cands))
-                           .otherwise(cands))
-        return F.struct(F.concat(f, F.array(best)).alias("f"), hold2.alias("h"))
-
-    init = F.struct(F.array(F.struct(F.lit(0.0).alias("cost"), F.lit(0).alias("start"))).alias("f"),
-                    F.array().cast("array<double>").alias("h"))
-    out = out.withColumn("_f", F.aggregate(F.sequence(F.lit(1), F.col("T")), init, step)["f"])
-
-    # backtrack: walk t = T..1, an order at `start` covers net demand start..t
-    zeros = F.transform(d, lambda x: F.lit(0.0))
-    bt0 = F.struct(F.col("T").alias("t"), zeros.alias("o"))
-
-    def back(st, i):
-        cell = F.element_at(F.col("_f"), i + 1)
-        j = cell["start"]
-        q = F.aggregate(F.slice(n, F.greatest(j, F.lit(1)), i - j + 1), F.lit(0.0),
-                        lambda a, x: a + x)
-        placed = F.transform(st["o"], lambda x, k: F.when(k + 1 == j, q).otherwise(x))
-        active = st["t"] == i
+    out = _to_cover(series)
+    # weeks with their net demand, and the running sums of net demand (N, ``need``) and of
+    # week x net demand (M, ``moment``)
+    net = F.transform("_D", lambda x, i: F.when(i == 0, x).otherwise(x - F.element_at(F.col("_D"), i)))
+    out = out.withColumn("_n", net)
+    moment = F.transform("_n", lambda x, i: x * (i + 1))
+    out = out.withColumn("_w", F.transform(
+        F.arrays_zip(F.col("_n").alias("net"), F.col("_D").alias("need"), _prefix_sums(moment).alias("moment")),
+        lambda x, i: F.struct((i + 1).alias("t"), x["net"].alias("net"), x["need"].alias("need"), x["moment"].alias("moment"))))
+
+    # The plan up to week t whose last order comes in week j costs
+    #   f[j-1] + K + h sum_{k=j..t} (k-j) n_k = K + h M_t + (b_j - h j N_t),
+    #   b_j = f[j-1] - h M_{j-1} + h j N_{j-1}.
+    # So each start week is a line in N_t.  N never falls and later lines are steeper,
+    # so the hull of lines is a queue: ``since`` is the N from which a line is the
+    # cheapest; a new line drops those that it undercuts where they begin, and lines
+    # before the cheapest one at N_t are never needed again.  A week without net demand
+    # is free.
+    value = lambda line, x: line["cost"] - h * line["start"] * x
+
+    def step(acc, w):
+        line = F.struct(w["t"].cast("int").alias("start"), (
+            acc["f"] - h * acc["moment"] + h * w["t"] * acc["need"]).alias("cost"))
+        kept = F.filter(acc["hull"], lambda s: value(line, F.greatest(s["since"], acc["need"]))
+                        > value(s, F.greatest(s["since"], acc["need"])))
+        last = F.try_element_at(kept, F.lit(-1))
+        since = F.when(last.isNull(), acc["need"]).otherwise(
+            F.greatest((line["cost"] - last["cost"]) / (h * (line["start"] - last["start"])), acc["need"]))
+        added = F.concat(kept, F.array(F.struct(line["start"], line["cost"], since.alias("since"))).cast(_HULL))
+        later = F.filter(added, lambda s: s["since"] > w["need"])
+        queue = F.slice(added, F.greatest(F.size(added) - F.size(later), F.lit(1)), F.size(later) + 1)
+        best = F.element_at(queue, 1)
+        ordered = K + h * w["moment"] + value(best, w["need"])
+        free = (w["net"] <= 0) & (acc["f"] <= ordered)
+        return F.struct(F.when(free, acc["f"]).otherwise(ordered).alias("f"), w["need"].alias("need"), w["moment"].alias("moment"),
+                        queue.alias("hull"), F.concat(acc["from"], F.array(
+                            F.when(free, F.lit(0)).otherwise(best["start"]))).alias("from"))
+
+    init = F.struct(F.lit(0.0).alias("f"), F.lit(0.0).alias("need"), F.lit(0.0).alias("moment"),
+                    F.array().cast(_HULL).alias("hull"), F.array().cast("array<int>").alias("from"))
+    out = out.withColumn("_from", F.aggregate("_w", init, step)["from"])
+
+    # back from the last week: an order in week j covers the net demand up to the week
+    # it was reached from; one step a week
+    def back(st, w):
+        start = F.element_at(F.col("_from"), w["t"])
+        reached = st["t"] == w["t"]
+        quantity = w["need"] - F.when(start > 1, F.element_at(F.col("_D"), F.greatest(start - 1, F.lit(1)))).otherwise(F.lit(0.0))
+        j = F.when(reached, start).otherwise(st["j"])
+        q = F.when(reached, quantity).otherwise(st["q"])
         return F.struct(
-            F.when(active, F.when(j == 0, i - 1).otherwise(j - 1)).otherwise(st["t"]).alias("t"),
-            F.when(active & (j > 0), placed).otherwise(st["o"]).alias("o"))
-
-    plan = F.aggregate(F.reverse(F.sequence(F.lit(1), F.col("T"))), bt0, back)
-    out = out.withColumn("orders", plan["o"])
-    levels = F.transform(F.col("orders"), lambda o, i: F.col("initial") + F.aggregate(
-        F.slice(F.col("orders"), 1, i + 1), F.lit(0.0), lambda a, x: a + x)
-        - F.element_at(F.col("_C"), i + 1))
-    out = out.withColumn("levels", levels) \
-             .withColumn("plan_cost", F.element_at(F.col("_f"), -1)["cost"]
-                         + h * F.aggregate(F.transform(F.col("_D"), lambda x, i:
-                                                       F.col("initial") + x
-                                                       - F.element_at(F.col("_C"), i + 1)),
-                                           F.lit(0.0), lambda a, x: a + x)) \
-             .withColumn("exact", F.array_max("orders") <= F.lit(float(p.max_order)))
-    return out.drop("_C", "_D", "_n", "_f")
+            F.when(reached, F.when(start == 0, w["t"] - 1).otherwise(start - 1)).otherwise(st["t"]).alias("t"),
+            j.alias("j"), q.alias("q"),
+            F.concat(st["o"], F.array(F.when(j == w["t"], q).otherwise(F.lit(0.0)))).alias("o"))
+
+    start = F.struct(F.col("T").alias("t"), F.lit(0).alias("j"), F.lit(0.0).alias("q"),
+                     F.array().cast("array<double>").alias("o"))
+    out = out.withColumn("orders", F.reverse(F.aggregate(F.reverse("_w"), start, back)["o"]))
+    out = out.withColumn("levels", _levels(F.col("orders")))
+    placed = F.size(F.filter(F.array_distinct(F.filter("_from", lambda j: j > 0)), lambda j: F.element_at(
+        F.col("orders"), j) > 0))
+    return (out.withColumn("plan_cost", h * _total(F.col("levels")) + K * placed)
+            .withColumn("exact", F.array_max("orders") <= F.lit(float(p.max_order)))
+            .drop("_C", "_D", "_n", "_w", "_from"))
 
 
 def order_up_to(series: DataFrame) -> DataFrame:
@@ -148,53 +178,45 @@ def order_up_to(series: DataFrame) -> DataFrame:
     return out.withColumn("orders", orders).drop("_C")
 
 
-def capped_orders(demand, safety: float, initial: float, cap: float, holding: float,
-                  ordering: float) -> list[float] | None:
-    """J2 with a binding cap: the cheapest orders of at most ``cap`` a week, or
-    None if no plan keeps the safety stock.
+_STATES = "array<struct<level:double,cost:double,orders:array<double>>>"
+
+
+def _capped_orders(p: InventoryParams, cap: Column) -> Column:
+    """J2 with a binding cap: the cheapest orders of at most ``cap`` a week (from ``_D``),
+    or null if no plan keeps the safety stock.
 
-    With O_t the cumulative orders and D_t what they must cover, the least O
-    for given order weeks follows backwards: O_{t-1} = max(D_{t-1}, O_t - cap)
-    after an order in week t, else O_{t-1} = O_t.  So O_t is always some D_k
-    less m caps, and the recursion runs over (k, m): O(T^2) states a week.
+    The weeks are folded from the last one back.  A state is a cumulative order level
+    before which everything is still open, with the cost and the orders of the weeks
+    behind it.  An order in week t leaves max(D_{t-1}, level - cap), no order leaves the
+    level.  What is left to pay never falls with the level, so a state that another one
+    undercuts in level and cost is dropped; the few others are kept by rising level.
     """
-    need, total = [0.0], 0.0
-    for d in demand:
-        total += d
-        need.append(max(need[-1], total - (initial - safety)))
-    t_max = len(need) - 1
-    level = lambda s: need[s[0]] - s[1] * cap
-    best = {(t_max, 0): (0.0, None)}            # state -> (cost of the later weeks, later orders)
-    for t in range(t_max, 0, -1):
-        before: dict = {}
-        for state, (cost, later) in best.items():
-            here, (k, m) = level(state), state
-            cost += holding * here
-            ordered = (t - 1, 0) if need[t - 1] >= here - cap else (k, m + 1)
-            steps = [(state if here > need[t - 1] else (t - 1, 0), cost)]
-            if here > need[t - 1]:
-                steps.append((ordered, cost + ordering))
-            for nxt, c in steps:
-                if nxt not in before or c < before[nxt][0]:
-                    before[nxt] = (c, ((t, here - level(nxt)), later))
-        best = before
-    done = [(c, later) for state, (c, later) in best.items() if level(state) <= 0]
-    if not done:
-        return None
-    orders, later = [0.0] * t_max, min(done, key=lambda x: x[0])[1]
-    while later:
-        (t, quantity), later = later
-        orders[t - 1] = max(0.0, quantity)
-    return orders
-
-
-def _capped_column(p: InventoryParams, cap: Column):
-    """Orders of ``capped_orders`` for the rows of a batch; null without a demand array."""
-    @F.pandas_udf("array<double>")
-    def solve(demand: pd.Series, safety: pd.Series, initial: pd.Series, limit: pd.Series) -> pd.Series:
-        return pd.Series([None if d is None else capped_orders(list(d), s, i, c, p.holding_cost, p.ordering_cost)
-                          for d, s, i, c in zip(demand, safety, initial, limit)], dtype=object)
-    return solve(F.when(~F.col("exact"), F.col("demand")), F.col("safety"), F.col("initial"), cap)
+    h, K = F.lit(float(p.holding_cost)), F.lit(float(p.ordering_cost))
+    need = F.col("_D")
+
+    def step(states, t):
+        before = F.when(t > 1, F.element_at(need, F.greatest(t - 1, F.lit(1)))).otherwise(F.lit(0.0))
+
+        def ways(s):
+            held = s["cost"] + h * s["level"]
+            lower = F.greatest(before, s["level"] - cap)
+            rest = F.struct(F.greatest(s["level"], before).alias("level"), held.alias("cost"),
+                            F.concat(F.array(F.lit(0.0)), s["orders"]).alias("orders"))
+            order = F.struct(lower.alias("level"), (held + K).alias("cost"),
+                             F.concat(F.array(s["level"] - lower), s["orders"]).alias("orders"))
+            return F.when(s["level"] > before, F.array(rest, order)).otherwise(F.array(rest)).cast(_STATES)
+
+        both = F.array_sort(F.flatten(F.transform(states, ways)))
+        return F.aggregate(both, F.array().cast(_STATES), lambda kept, s: F.when(
+            (F.size(kept) == 0) | (s["cost"] < F.try_element_at(kept, F.lit(-1))["cost"]), F.concat(kept, F.array(s)))
+            .otherwise(kept))
+
+    end = F.array(F.struct(F.element_at(need, -1).alias("level"), F.lit(0.0).alias("cost"),
+                           F.array().cast("array<double>").alias("orders"))).cast(_STATES)
+    states = F.aggregate(F.reverse(F.sequence(F.lit(1), F.size(need))), end, step)
+    # the first state is the lowest one, and only level 0 is paid off
+    lowest = F.get(states, 0)
+    return F.when(lowest["level"] <= 0, lowest["orders"])
 
 
 def plan_with_cap(series: DataFrame, p: InventoryParams = InventoryParams(),
@@ -208,19 +230,17 @@ def plan_with_cap(series: DataFrame, p: InventoryParams = InventoryParams(),
     """
     cap = F.lit(float(p.max_order)) if cap is None else cap.cast("double")
     keep = series.columns
-    ww = lot_size(series, p).withColumn("exact", F.array_max("orders") <= cap)
-    ww = ww.withColumn("_capped", _capped_column(p, cap))
-    both = order_up_to(ww.select(*keep, "exact", "_capped", F.col("orders").alias("_ww"),
+    ww = _to_cover(lot_size(series, p).withColumn("exact", F.array_max("orders") <= cap))
+    ww = ww.withColumn("_capped", F.when(~F.col("exact"), _capped_orders(p, cap)))
+    ww = ww.withColumn("_capped_levels", F.when(F.col("_capped").isNotNull(), _levels(F.col("_capped"))))
+    both = order_up_to(ww.select(*keep, "exact", "_capped", "_capped_levels", F.col("orders").alias("_ww"),
                                  F.col("levels").alias("_wl")))
-    running = lambda arr: _prefix_sums(arr)
-    capped_levels = F.transform(
-        F.arrays_zip(running(F.col("_capped")).alias("o"), running(F.col("demand")).alias("c")),
-        lambda x: F.col("initial") + x["o"] - x["c"])
     found = F.col("_capped").isNotNull()
     return both.select(
         *keep,
         F.when(F.col("exact"), F.col("_ww")).when(found, F.col("_capped")).otherwise(F.col("orders")).alias("orders"),
-        F.when(F.col("exact"), F.col("_wl")).when(found, capped_levels).otherwise(F.col("levels")).alias("levels"),
+        F.when(F.col("exact"), F.col("_wl")).when(found, F.col("_capped_levels")).otherwise(F.col("levels"))
+        .alias("levels"),
         F.when(F.col("exact"), F.lit("optimal")).when(found, F.lit("optimal_capped"))
         .otherwise(F.lit("order_up_to")).alias("method"),
         (F.col("exact") | found).alias("feasible"))

@@ -55,7 +55,7 @@ def test_exact_median_refinement(spark, monkeypatch):
     rng = np.random.default_rng(7)
     vals = rng.normal(size=5001).tolist() + [None] * 10
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    monkeypatch.setattr(A, "MEDIAN_BUCKETS", 4)             # many passes
+    monkeypatch.setattr(A, "BRACKET_VALUES", 4)             # several sketches
     got = A.exact_medians(df, ["x"])["x"]
     assert got == float(np.median([v for v in vals if v is not None]))
     df2 = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,)], "x double")
@@ -63,16 +63,16 @@ def test_exact_median_refinement(spark, monkeypatch):
 
 
 def test_median_of_ties_collects_a_few_counts_only(spark, monkeypatch):
-    """Nine in ten values are equal: no pass may return more rows than buckets."""
+    """Nine in ten values are equal: no pass may return more rows than a bracket may hold."""
     vals = [5.0] * 18000 + np.random.default_rng(1).uniform(0, 10, 2000).tolist()
     df = spark.createDataFrame([(v, v * 2, 1e9 * (i % 2)) for i, v in enumerate(vals)], "x double, y double, z double")
-    monkeypatch.setattr(A, "MEDIAN_BUCKETS", 8)
+    monkeypatch.setattr(A, "BRACKET_VALUES", 8)
     collected = []
     collect = type(df).collect
     monkeypatch.setattr(type(df), "collect", lambda self: collected.append(r := collect(self)) or r)
     got = A.exact_medians(df, ["x", "y", "z"])
     assert got == {"x": 5.0, "y": 10.0, "z": 5e8}
-    assert max(map(len, collected)) <= 3 * 8
+    assert max(map(len, collected)) <= 3 * (8 + 2)
 
 
 def test_histogram_of_a_constant(spark):

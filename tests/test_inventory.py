@@ -133,30 +133,78 @@ def test_cap_binding_series_are_planned_exactly(spark):
     assert max(planned[2].orders) <= 30000.0 and min(planned[2].levels) >= planned[2].safety - 1e-6
 
 
-def test_capped_orders_equal_enumeration():
+def _capped_enumeration(demand, safety, initial, cap, holding, ordering):
+    """Cheapest h x (cumulative orders) + K x (orders) within the cap over all sets of order weeks."""
     from itertools import product
-    from stockroute.operators.inventory import capped_orders
+    need = [0.0]
+    for t in range(len(demand)):
+        need.append(max(need[-1], sum(demand[:t + 1]) - (initial - safety)))
+    best = None
+    for pick in product((0, 1), repeat=len(demand)):
+        level, cost = need[-1], 0.0
+        for t in range(len(demand), 0, -1):
+            cost += holding * level
+            before = max(need[t - 1], level - cap) if pick[t - 1] else level
+            cost += ordering * (before < level)
+            level = before
+        if level <= 0 and (best is None or cost < best):
+            best = cost
+    return need, best
+
+
+def test_capped_plans_equal_enumeration(spark):
+    from dataclasses import replace
+    from stockroute.operators.inventory import plan_with_cap
     rng = np.random.default_rng(8)
-    for _ in range(60):
+    p, series, caps = replace(P, holding_cost=0.5, ordering_cost=20.0), [], []
+    for _ in range(80):
         n = int(rng.integers(2, 8))
-        demand = np.round(rng.uniform(0, 100, n), 1).tolist()
-        cap, initial, safety = float(rng.uniform(30, 130)), 30.0, 20.0
-        need = [0.0]
-        for t in range(n):
-            need.append(max(need[-1], sum(demand[:t + 1]) - (initial - safety)))
-        best = None
-        for pick in product((0, 1), repeat=n):
-            level, cost = need[n], 0.0
-            for t in range(n, 0, -1):
-                cost += 0.5 * level
-                before = max(need[t - 1], level - cap) if pick[t - 1] else level
-                cost += 20.0 * (before < level)
-                level = before
-            if level <= 0 and (best is None or cost < best):
-                best = cost
-        got = capped_orders(demand, safety, initial, cap, 0.5, 20.0)
-        assert (got is None) == (best is None)
-        if got is not None:
-            total = np.cumsum(got)
-            assert max(got) <= cap + 1e-9 and (total >= np.array(need[1:]) - 1e-9).all()
-            assert 0.5 * total.sum() + 20.0 * sum(q > 1e-9 for q in got) == pytest.approx(best)
+        series.append(np.round(rng.uniform(0, 100, n) * (rng.random(n) > 0.2), 1).tolist())
+        caps.append(float(rng.uniform(30, 130)))
+    limits = spark.createDataFrame(list(enumerate(caps)), "Store int, cap double")
+    frame = _series_frame(spark, series).join(limits, "Store")
+    planned = plan_with_cap(frame, p, F.col("cap")).collect()
+    methods = [r.method for r in planned]
+    assert len(planned) == 80 and min(methods.count(m) for m in ("optimal", "optimal_capped", "order_up_to")) >= 5
+    for r in planned:
+        need, best = _capped_enumeration(r.demand, r.safety, r.initial, r.cap, 0.5, 20.0)
+        assert (r.method == "order_up_to") == (best is None)
+        if best is not None:
+            total = np.cumsum(r.orders)
+            assert max(r.orders) <= r.cap + 1e-9 and (total >= np.array(need[1:]) - 1e-9).all()
+            assert 0.5 * total.sum() + 20.0 * sum(q > 1e-9 for q in r.orders) == pytest.approx(best)
+            assert np.allclose(r.levels, r.initial + total - np.cumsum(r.demand))
+
+
+def _recursion(d, safety, initial, h, K):
+    """The plain recursion over the week of the last order; cost of the whole plan."""
+    need = np.maximum(np.maximum.accumulate(np.cumsum(d)) - (initial - safety), 0.0)
+    net, T = np.diff(need, prepend=0.0), len(d)
+    f = np.zeros(T + 1)
+    hold = np.zeros(T + 1)
+    for t in range(1, T + 1):
+        hold[1:t] += (t - np.arange(1, t)) * net[t - 1]
+        hold[t] = 0.0
+        f[t] = (f[:t] + K + h * hold[1:t + 1]).min()
+        if net[t - 1] <= 0:
+            f[t] = min(f[t], f[t - 1])
+    return f[T] + h * (initial + need - np.cumsum(d)).sum()
+
+
+def test_thousand_weeks_equal_the_plain_recursion(spark):
+    rng = np.random.default_rng(31)
+    series = [rng.uniform(0, 50000, 1000), rng.uniform(0, 300, 1000), rng.uniform(0, 9e6, 400),
+              np.where(rng.random(1000) < .9, 0.0, rng.uniform(0, 80000, 1000)), rng.normal(2000, 9000, 1000),
+              np.zeros(50), np.full(1000, 1000.0)]
+    series = [np.round(d, 2).tolist() for d in series]
+    for r in lot_size(_series_frame(spark, series), P).collect():
+        want = _recursion(np.array(r.demand), r.safety, r.initial, P.holding_cost, P.ordering_cost)
+        own = P.holding_cost * np.sum(r.levels) + P.ordering_cost * sum(q > 0 for q in r.orders)
+        assert r.plan_cost == pytest.approx(want, rel=1e-10) and own == pytest.approx(want, rel=1e-10)
+        assert min(r.levels) >= r.safety - 1e-6 * max(1.0, abs(r.safety)) and min(r.orders) >= 0
+
+
+def test_no_python_in_the_plan(spark):
+    from stockroute.operators.inventory import plan_with_cap
+    plan = plan_with_cap(_series_frame(spark, [[1.0, 2.0]]), P)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
