@@ -24,7 +24,9 @@ from stockroute.llm.staging import stage
 CAPACITY = 2048
 SLACK = 3               # a sequence this close to full is emitted at once
 GROUP_ITEMS = 200_000   # items that one group of a round may hold
-SHRINK = 0.995          # a round that keeps more of its items than this ends the tree
+#: Places in a sequence number: 32 levels (the last one: uncut full pieces) of 2^26
+#: partitions of 2^32 sequences.
+LEVEL_BITS, PART_BITS, LEVELS = 58, 32, 31
 
 #: Bytes after (or before) which a space is sure to open a new piece of the
 #: tokenizer's own splitting: ASCII beyond controls, and the last byte of the
@@ -45,7 +47,8 @@ class Encoder:
 
     The tokenizer never joins a visible character with a lone space or line
     feed that follows it, so texts are cut there and a chunk met before is not
-    encoded again.  Chunks whose ends are not surely visible characters are
+    encoded again.  Added tokens of the vocabulary file (``<|endoftext|>``) are
+    chunks of their own.  Chunks whose ends are not surely visible characters are
     encoded by themselves.  The cache is a table with two places a chunk, in
     which a new chunk may take an old one's place; it never holds more than
     ``places`` chunks and about ``room`` ids.
@@ -56,8 +59,10 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
-        vocab = json.loads(self.tok.to_str())["model"]["vocab"]
+        told = json.loads(self.tok.to_str())
+        vocab = told["model"]["vocab"]
+        #: strings of the vocabulary file that are one token wherever they stand
+        self.marks = [t["content"].encode() for t in told["added_tokens"]]
         self.size = np.zeros(max(vocab.values()) + 65, np.int64)
         for word, i in vocab.items():
             self.size[i] = len(word)        # a character of the vocabulary is one byte
@@ -80,8 +85,21 @@ class Encoder:
         self.used += len(ids)
         return at
 
-    @staticmethod
-    def cuts(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _marked(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Starts and ends of the added tokens within documents; the leftmost one counts."""
+        raw, found, at = data.tobytes(), [], 0
+        while self.marks:
+            hits = [(i, -len(m)) for m in self.marks if (i := raw.find(m, at)) >= 0]
+            if not hits:
+                break
+            i, size = min(hits)
+            border = off[np.searchsorted(off, i, side="right")]
+            if i - size <= border:
+                found.append((i, i - size))
+            at = min(i - size, int(border))
+        return np.array(found, np.int64).reshape(-1, 2)
+
+    def cuts(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of the chunks, and whether each may be joined with others."""
         n = len(data)
         if not n:
@@ -103,12 +121,16 @@ class Encoder:
         # the letters of Latin-1: C3 80 .. C3 BF but for two signs
         letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
         keep[1:n] |= letter[:-1] & _PUNCT[data[1:]]
+        marked = self._marked(data, off)
+        for a, b in marked:
+            keep[a:b + 1] = False
+        keep[marked.ravel()] = True
         at = np.flatnonzero(keep)
         starts, ends = at[:-1], at[1:]
         first = data[starts]
         second = data[np.minimum(starts + 1, n - 1)]
         begins = opens[starts] | ((first == 0x20) & (ends - starts > 1) & (_ASCII[second] | _LEAD2[second]))
-        return starts, ends, begins & closes[ends - 1]
+        return starts, ends, begins & closes[ends - 1] & ~np.isin(starts, marked[:, 0])
 
     def _learn(self, chunks: list[bytes], joined: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Encode chunks into the pool; where each one's ids begin, and their number."""
@@ -263,7 +285,7 @@ def _round(level: int, capacity: int, limit: int):
             _, first, at = np.unique(t["bin"].to_numpy(), return_index=True, return_inverse=True)
             bins, offset, fill = best_fit(t["fill"].to_numpy()[first], capacity)
             # numbers are unique over levels, partitions and calls
-            name = (np.int64(level) << 48) + (np.int64(part) << 28) + bins + made
+            name = (np.int64(level) << LEVEL_BITS) + (np.int64(part) << PART_BITS) + bins + made
             made += len(fill)
             cols = [t[c] for c in names[:5]] + [
                 pa.array(name[at]), pa.array(t["offset"].to_numpy() + offset[at]), pa.array(fill[bins][at])]
@@ -291,25 +313,31 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, slack: int = SLACK,
 
     ``parts`` should be a written table: it is read more than once.  Ties,
     repeated rows and hot documents don't matter, as only lengths count; no
-    piece gives no sequence.  Groups of a round hold a bounded number of items;
-    the tree ends with one group, or when merging no longer helps.
+    piece gives no sequence.  Groups of a round hold a bounded number of items and are
+    dealt anew each time.  Sequences that not even the emptiest other one fits into are
+    emitted; the tree ends with one group, or with a round that merges nothing.
     """
     numbered = (parts.withColumn("bin", F.monotonically_increasing_id())
                 .withColumn("offset", F.lit(0).cast("long")).withColumn("fill", F.col("length")))
-    done = [numbered.where(F.col("length") >= capacity).withColumn("bin", F.col("bin") + F.lit(1 << 51))]
-    rows = numbered.where(F.col("length") < capacity)       # the first round packs each partition
-    level, before = 0, None
+    full = F.col("length") >= capacity
+    done = [numbered.where(full).withColumn("bin", F.col("bin") + F.lit(LEVELS << LEVEL_BITS))]
+    rows = numbered.where(~full)            # the first round packs each partition
+    level, groups, before = 0, 0, None
     while True:
         packed = stage(rows.mapInArrow(_round(level, capacity, 4 * group_items), _PLACED), f"pack-{level}")
-        under = F.col("fill") < capacity - slack
-        left = packed.where(under).agg(F.count_distinct("bin")).first()[0]
-        if left <= 1 or before is not None and (groups == 1 or left > SHRINK * before):
+        # at most a row for each fill
+        fills = {r["fill"]: r["n"] for r in packed.where(F.col("fill") < capacity - slack)
+                 .groupBy("fill").agg(F.count_distinct("bin").alias("n")).collect()}
+        room = capacity - min(fills, default=capacity)
+        under = (F.col("fill") < capacity - slack) & (F.col("fill") <= room)
+        left = sum(n for fill, n in fills.items() if fill <= room)
+        if left <= 1 or groups == 1 or before is not None and left >= before or level == LEVELS - 1:
             done.append(packed)
             break
         done.append(packed.where(~under))
         before, level = left, level + 1
         groups = -(-left // group_items)
-        rows = (packed.where(under).repartition(groups, F.pmod(F.xxhash64("bin"), F.lit(groups)))
+        rows = (packed.where(under).repartition(groups, F.pmod(F.xxhash64("bin", F.lit(level)), F.lit(groups)))
                 .sortWithinPartitions("bin"))
     out = done[0]
     for d in done[1:]:

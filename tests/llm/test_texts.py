@@ -113,12 +113,35 @@ def _check_packing(rows, capacity):
     return len(by)
 
 
-def test_packing_round_trip(spark, encoder, odd_docs):
+@pytest.fixture(scope="module")
+def plain_tokenizer():
+    """The vocabulary file as it comes, apart from the operator's own encoder."""
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(packing.default_vocabulary())
+
+
+MARKED = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>", "x<|endoftext|>y  <|endoftext|>\n\n z",
+          "<|endoftext", "|> <|endoftext|", "it's<|endoftext|>'s", "<|<|endoftext|>|>", "ends <|endoftext|> ", "é<|endoftext|>é"]
+
+
+def test_added_tokens_keep_their_id(encoder, plain_tokenizer):
+    texts = [*MARKED, *(t + u for t in MARKED for u in MARKED), "<|endo", "ftext|>", "plain words"]
+    want = [e.ids for e in plain_tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert want[0] == [64, 220, 50256, 275]
+    for first, ids, bounds in encoder.encode(pa.array(texts)):
+        for i in range(len(bounds) - 1):
+            assert ids[bounds[i]:bounds[i + 1]].tolist() == want[first + i], texts[first + i]
+
+
+def test_packing_round_trip(spark, plain_tokenizer, odd_docs):
+    marked = spark.createDataFrame([(100 + i, t) for i, t in enumerate(MARKED)], "doc_id long, text string")
+    odd_docs = odd_docs.select("doc_id", "text").unionByName(marked)
     rows = packing.pack_documents(odd_docs).collect()
     n = _check_packing(rows, 2048)
     assert n <= sum(r["length"] for r in rows) / 2048 + 2
     docs = _pairs(odd_docs)
-    ref = [np.append(e.ids, 0).astype("<u4") for e in encoder.tok.encode_batch_fast([t or "" for _, t in docs], add_special_tokens=False)]
+    ref = [np.append(e.ids, 0).astype("<u4")
+           for e in plain_tokenizer.encode_batch_fast([t or "" for _, t in docs], add_special_tokens=False)]
     want = []
     for (i, _), ids in zip(docs, ref):
         start = 0
@@ -130,6 +153,40 @@ def test_packing_round_trip(spark, encoder, odd_docs):
     assert sorted(got, key=repr) == sorted([tuple(None if x is None else int(x) for x in w) for w in want], key=repr)
 
 
+def _plain_best_fit(sizes, capacity):
+    """Bins of items, longest first (in order where equal), each into the fullest bin it fits."""
+    bins = []
+    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        fits = [b for b in bins if sum(sizes[j] for j in b) + sizes[i] <= capacity]
+        if fits:
+            max(fits, key=lambda b: sum(sizes[j] for j in b)).append(i)
+        else:
+            bins.append([i])
+    return bins
+
+
+def test_best_fit_equals_plain_search():
+    rnd = random.Random(12)
+    for _ in range(60):
+        capacity = rnd.randrange(5, 200)
+        sizes = [rnd.randrange(1, capacity + 1) for _ in range(rnd.randrange(1, 120))]
+        bins, offset, fill = packing.best_fit(np.array(sizes), capacity)
+        want = _plain_best_fit(sizes, capacity)
+        assert sorted(fill.tolist()) == sorted(sum(sizes[j] for j in b) for b in want)
+        for b in range(len(fill)):
+            at = 0
+            for i in sorted(np.flatnonzero(bins == b), key=lambda i: offset[i]):
+                assert offset[i] == at
+                at += sizes[i]
+            assert at == fill[b] <= capacity
+
+
+def test_sequence_numbers_of_levels_are_apart():
+    top = (1 << packing.LEVEL_BITS) - 1
+    assert (packing.LEVELS << packing.LEVEL_BITS) + top < 1 << 63
+    assert ((1 << 26) - 1 << packing.PART_BITS) + (1 << packing.PART_BITS) - 1 == top
+
+
 def test_tree_of_rounds(spark):
     """Small groups: several levels, each merging what the last left open."""
     rnd = random.Random(2)
