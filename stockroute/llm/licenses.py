@@ -223,11 +223,13 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> Dat
                              lambda i: F.get(F.col("w"), i)).alias("win"))
     v = v.select("doc_id", "n", "start", shingles(F.col("win"), F.col("k")).alias("sh"))
     v = v.select("*", hashes(F.col("sh")).alias("hashed"))
-    # the templates' bands: BANDS rows a template
-    t_bands = table.select("license", "n", "t_shingles", F.explode(bands(hashes(F.col("t_shingles")))).alias("b"))
-    t_bands = F.broadcast(t_bands.select("license", "n", "t_shingles", "b.band", "b.low"))
+    # written, so that their size is known: BANDS narrow rows a template, and its shingles once
+    table = stage(table.select("license", "n", "t_shingles"), "license-templates")
+    t_bands = stage(table.select("license", "n", F.explode(bands(hashes(F.col("t_shingles")))).alias("b"))
+                    .select("license", "n", "b.band", "b.low"), "license-bands")
     hits = (v.select("doc_id", "n", "start", "sh", F.explode(bands(F.col("hashed"))).alias("b"))
-            .select("doc_id", "n", "start", "sh", "b.band", "b.low").join(t_bands, ["n", "band", "low"]))
+            .select("doc_id", "n", "start", "sh", "b.band", "b.low").join(t_bands, ["n", "band", "low"])
+            .join(table.select("license", "t_shingles"), "license"))
     share = F.size(F.array_intersect("sh", "t_shingles")) / F.size("t_shingles")
     return (hits.select("doc_id", "license", "start", share.alias("containment"))
             .where(F.col("containment") >= MIN_CONTAINMENT)

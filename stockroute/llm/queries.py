@@ -56,19 +56,20 @@ def op1(spark, sf_dir):
 LICENSE_SQL = r"""
 WITH t AS (
   SELECT license, regexp_extract_all({lower}, '{word}') AS w FROM (VALUES {rows}) v(license, text)),
+shaped AS (      -- a template of under five words is one shingle
+  SELECT license, w, len(w) AS n, greatest(1, len(w) // 4) AS s, least(5, len(w)) AS k FROM t WHERE len(w) > 0),
 ts AS (
-  SELECT DISTINCT license, len(w) AS n, greatest(1, len(w) // 4) AS s,
-         array_to_string(w[i:i + 4], ' ') AS sh
-  FROM t, unnest(range(1, len(w) - 3)) u(i) WHERE len(w) >= 5),
-tm AS (SELECT license, n, s, count(*) AS m FROM ts GROUP BY ALL),
+  SELECT DISTINCT license, n, s, k, array_to_string(w[i:i + k - 1], ' ') AS sh
+  FROM shaped, unnest(range(1, n - k + 2)) u(i)),
+tm AS (SELECT license, n, s, k, count(*) AS m FROM ts GROUP BY ALL),
 d AS (SELECT doc_id, regexp_extract_all({lower}, '{word}') AS w FROM documents),
 ds AS (
-  SELECT doc_id, i - 1 AS pos, array_to_string(w[i:i + 4], ' ') AS sh
-  FROM d, unnest(range(1, len(w) - 3)) u(i)),
-hit AS (SELECT doc_id, license, n, s, ts.sh, pos FROM ds JOIN ts USING (sh)),
+  SELECT doc_id, k, i - 1 AS pos, array_to_string(w[i:i + k - 1], ' ') AS sh
+  FROM d, (SELECT DISTINCT k FROM shaped) x, unnest(range(1, len(w) - k + 2)) u(i)),
+hit AS (SELECT doc_id, license, n, s, k, ts.sh, pos FROM ds JOIN ts USING (k, sh)),
 win AS (
-  SELECT doc_id, license, k * s AS start, count(DISTINCT sh) AS c
-  FROM (SELECT *, unnest(range(greatest(0, CAST(ceil((pos + 5 - n - s) / s) AS BIGINT)), pos // s + 1)) AS k FROM hit)
+  SELECT doc_id, license, j * s AS start, count(DISTINCT sh) AS c
+  FROM (SELECT *, unnest(range(greatest(0, CAST(ceil((pos + k - n - s) / s) AS BIGINT)), pos // s + 1)) AS j FROM hit)
   GROUP BY ALL)
 SELECT doc_id, license, max(c / m) AS containment, CAST(min(start) AS INTEGER) AS first_word
 FROM win JOIN tm USING (license) WHERE c / m >= 0.8 GROUP BY doc_id, license
@@ -78,7 +79,7 @@ FROM win JOIN tm USING (license) WHERE c / m >= 0.8 GROUP BY doc_id, license
 def _license_sql() -> str:
     from stockroute.llm import licenses as lc
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
-    rows = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in lc.TEMPLATES)
+    rows = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in lc.ALL_TEMPLATES)
     lower = f"translate(text, '{lc.UPPER}', '{lc.LOWER}')"
     return (LICENSE_SQL.replace("{rows}", rows).replace("{lower}", lower)
             .replace("{word}", lc.WORD.replace("'", "''")))
@@ -86,9 +87,8 @@ def _license_sql() -> str:
 
 @register("op2_license_scan", _license_sql())
 def op2(spark, sf_dir):
-    from stockroute.llm.licenses import TEMPLATES, scan
-    # the statement leaves out templates of under five words, and so does this query
-    return scan(table(spark, sf_dir, "documents"), TEMPLATES)
+    from stockroute.llm.licenses import scan
+    return scan(table(spark, sf_dir, "documents"))
 
 
 # ------------------------------------------------------- 3: mixing of sources
