@@ -5,9 +5,9 @@
 * evaluation: F16 metrics on train and validation rows;
 * forecast: per series the last row (exogenous features frozen) and the tail
   of the sales history as an array column; 13 future weeks are produced by
-  ``explode(sequence)`` (frozen lags) or by 13 batched steps over *all*
-  series at once (recursive lags), each step one ``transform`` of the model
-  with the state checkpointed to the shared checkpoint folder.
+  ``explode(sequence)`` (frozen lags), or recursively: the fitted trees travel
+  as flat arrays (``trees``) and all weeks of a batch of series are evaluated
+  in one narrow stage.  A rule instead of a model takes a step a week.
 """
 
 from __future__ import annotations
@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 from stockroute.config import ForecastParams
 from stockroute.functions.columns import add_weeks, calendar_parts, clamp_zero
 from stockroute.operators.aggregates import regression_metrics
+from stockroute.operators import trees
 from stockroute.operators.features import (
     FEATURES_BASIC, FEATURES_FULL, lag_features, lag_names, model_rows, time_split)
-from stockroute.session import ensure_checkpoint_dir, shared_table
+from stockroute.session import shared_table
 
 KEYS = ["Store", "Dept"]
 ROWS_PER_FIT_PARTITION = 25_000
@@ -190,19 +191,38 @@ def forecast_direct(model: PipelineModel | Column, history: DataFrame,
 
 
 def forecast_recursive(model: PipelineModel | Column, history: DataFrame,
-                       p: ForecastParams = ForecastParams(),
-                       checkpoint_every: int = 8) -> DataFrame:
-    """Batched steps over all series; each prediction (clamped at 0) is
-    appended to the state array so later lags and rolling features see it.
-
-    Steps are narrow projections (no shuffle), so consecutive steps run in
-    the same tasks; every ``checkpoint_every`` steps the state is written
-    with a reliable checkpoint so long horizons keep a short lineage and a
-    lost executor only replays the steps since the last checkpoint.
+                       p: ForecastParams = ForecastParams()) -> DataFrame:
+    """Each prediction (clamped at 0) joins the series' tail, so that later lags
+    and rolling features see it.
+
+    A fitted model is read once as flat arrays; one narrow stage of Arrow batches then
+    walks all weeks of every series, with nothing written and nothing shuffled between
+    weeks.  A rule is a Column, so it takes a step a week (``forecast_by_steps``).
     """
-    checkpoint = checkpoint_every > 0
-    if checkpoint:
-        ensure_checkpoint_dir(history.sparkSession)
+    if isinstance(model, Column):
+        return forecast_by_steps(model, history, p)
+    last = history.agg(F.max("Date")).first()[0]
+    spark = history.sparkSession
+    weeks = _future_calendar(spark.range(1, p.horizon + 1).withColumn("w", F.col("id").cast("int")),
+                             F.lit(last), F.col("w")).orderBy("w").collect() if last else []
+    calendar = [{c: w[c] for c in w.__fields__ if c not in ("id", "w", "Date")} for w in weeks]
+    dates = [w["Date"] for w in weeks]
+    cols = feature_columns(p)
+    state = series_state(history, p)
+    ready = state.select(
+        *[F.col(c).cast("int").alias(f"_{c}") for c in KEYS], "n", F.col("first").cast("double").alias("first"),
+        F.col("recent").cast("array<double>").alias("recent"),
+        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols if c in state.columns])
+    run = trees.recursive_weeks(trees.flat(model.stages[-1]), cols, p.lags, calendar, dates,
+                                max(max(p.lags), 12), p.serve_std_population)
+    out = ready.mapInArrow(run, "Store int, Dept int, Date date, p double")
+    return out.select(*KEYS, "Date", F.bround("p", 2).alias("Predicted_Weekly_Sales"))
+
+
+def forecast_by_steps(model: PipelineModel | Column, history: DataFrame,
+                      p: ForecastParams = ForecastParams()) -> DataFrame:
+    """I12 week by week, for any predictor: the state of all series is written to the
+    shared folder after each step, so a step's expression is not nested into the next."""
     tail = max(max(p.lags), 12)
     last_date = history.agg(F.max("Date")).scalar()
     state = series_state(history, p).withColumn("_last", last_date) \
@@ -218,12 +238,8 @@ def forecast_recursive(model: PipelineModel | Column, history: DataFrame,
             (F.col("n") + 1).alias("n"),
             F.concat(F.col("preds"), F.array(pred)).alias("preds"))
         state = state.select(*base_cols)
-        if isinstance(model, Column) and w < p.horizon:
-            # a rule's expression would be nested into the next step's: the
-            # state is written after each step
+        if w < p.horizon:
             state = shared_table(state, "forecast-state")
-        elif checkpoint and w % checkpoint_every == 0 and w < p.horizon:
-            state = state.checkpoint()
     out = state.select(*KEYS, "_last", F.posexplode("preds").alias("i", "p"))
     return out.select(*[F.col(c).cast("int") for c in KEYS],
                       add_weeks(F.col("_last"), F.col("i") + 1).alias("Date"),

@@ -68,3 +68,45 @@ def test_metrics_and_importance(spark, fitted):
     imp = FC.feature_importance(model, C._params().forecast).collect()
     assert len(imp) == len(FC.feature_columns(C._params().forecast))
     assert sum(r.importance for r in imp) == pytest.approx(1.0, abs=1e-6)
+
+
+def test_flat_trees_equal_the_model_on_every_row(spark, fitted):
+    model, frame, _ = fitted
+    cols = FC.feature_columns(C._params().forecast)
+    rows = model.transform(FC._assembled(frame, cols)).select(*cols, "prediction").toPandas()
+    ensemble = FC.trees.flat(model.stages[-1])
+    assert len(ensemble.root) == len(model.stages[-1].trees) and ensemble.depth <= 4
+    got = ensemble.predict(rows[cols].to_numpy(float))
+    assert len(rows) > 1000 and np.allclose(got, rows.prediction, rtol=1e-12, atol=1e-9)
+
+
+def test_one_stage_equals_week_by_week(spark, fitted):
+    model, _, hist = fitted
+    p = C._params().forecast
+    a = FC.forecast_recursive(model, hist, p)
+    plan = a._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    key = ["Store", "Dept", "Date"]
+    a, b = (df.toPandas().sort_values(key).reset_index(drop=True) for df in (a, FC.forecast_by_steps(model, hist, p)))
+    assert a[key].equals(b[key]) and len(a) > 100
+    # a cent may round differently
+    assert (a.Predicted_Weekly_Sales - b.Predicted_Weekly_Sales).abs().max() < 0.011
+
+
+def test_descriptions_of_trees():
+    text = """GBTRegressionModel: uid=x, numTrees=2, numFeatures=3
+  Tree 0 (weight 1.0):
+    If (feature 2 <= 1.5)
+     If (feature 0 <= -3.0E-4)
+      Predict: 10.0
+     Else (feature 0 > -3.0E-4)
+      Predict: 20.0
+    Else (feature 2 > 1.5)
+     Predict: -1.0E10
+  Tree 1 (weight 0.1):
+    Predict: 5.0
+"""
+    got = FC.trees.parse(text).predict(np.array([[-1.0, 0, 1.5], [0.0, 0, 1.0], [0.0, 0, 2.0], [0.0, 0, np.nan]]))
+    assert got.tolist() == [10.5, 20.5, -1e10 + 0.5, -1e10 + 0.5]
+    with pytest.raises(ValueError):
+        FC.trees.parse("Tree 0 (weight 1.0):\n If (feature 1 in {0.0})\n Predict: 1.0")
