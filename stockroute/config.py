@@ -65,6 +65,8 @@ class ForecastParams:
     learning_rate: float = DEFAULT_LEARNING_RATE
     subsample: float = 0.8
     min_leaf: int = 5
+    # a node of fewer rows is not split; follows from min_leaf up to twice its size
+    min_split: int = 10
     seed: int = 42
     test_weeks: int = DEFAULT_TEST_WEEKS
     lags: tuple = DEFAULT_LAGS

@@ -50,7 +50,13 @@ def prepare_model_frame(history: DataFrame, p: ForecastParams = ForecastParams()
 
 def fit_model(frame: DataFrame, p: ForecastParams = ForecastParams(),
               label: str = "Weekly_Sales") -> PipelineModel:
-    """Gradient-boosted regression on the training rows."""
+    """Gradient-boosted regression on the training rows.
+
+    Both parts of a split hold ``min_leaf`` rows, so no node of fewer than twice as many
+    is split: that is the rule of ``min_split`` too, which may not ask for more.
+    """
+    if p.min_split > 2 * p.min_leaf:
+        raise ValueError(f"min_split {p.min_split} is more than two leaves of {p.min_leaf} rows")
     cols = feature_columns(p)
     train = _assembled(frame.where(F.col("split") == "train"), cols) \
         .select(*cols, F.col(label).alias("label"))

@@ -515,3 +515,47 @@ def q_many_depots(spark, sf_dir):
     return depot_distances(stops, sites).select(
         "plan_id", "stop_id", "depot_idx", round_col("depot_dist", 4).alias("depot_km"),
         round_col("second_dist", 4).alias("second_km"))
+
+
+# ---------------------------------------------------------------- contents of a saved run
+RUN_SQL = "WITH RECURSIVE " + V.with_views("lags")[len("WITH "):] + "," + SPLIT_SQL + TAIL_SQL[len(V.with_views("merged")):] + """,
+step(Store, Dept, w, v) AS (
+  SELECT Store, Dept, 0, v FROM tail
+  UNION ALL
+  SELECT Store, Dept, w + 1, list_append(v[2:], greatest(0.0, 0.37 * list_avg(v[-4:]) + 0.63 * list_avg(v)))
+  FROM step WHERE w < 13),
+pred AS (SELECT Store, w, CAST(round_even(v[-1], 2) AS DOUBLE) AS p FROM step WHERE w > 0),
+weekly AS (SELECT Store, w, sum(p) AS d FROM pred GROUP BY 1, 2),
+err AS (SELECT split, Store, Weekly_Sales AS y, 0.37 * Sales_RollingMean_4 + 0.63 * Sales_RollingMean_12 AS p FROM split),
+found AS (
+  SELECT 'predictions' AS name, CAST(Store AS VARCHAR) AS part, sum(p) AS total FROM pred GROUP BY Store
+  UNION ALL SELECT 'inventory_plan', CAST(Store AS VARCHAR), sum(d) FROM weekly GROUP BY Store
+  UNION ALL SELECT 'naive_cost', CAST(Store AS VARCHAR), count(*) * 5000.0 + 0.05 * (sum(d) + 0.5 * sum(d)) FROM weekly GROUP BY Store
+  UNION ALL SELECT 'validation', CAST(Store AS VARCHAR), sum(p) FROM err WHERE split = 'val' GROUP BY Store
+  UNION ALL SELECT 'metrics', split, avg(abs(y - p)) FROM err GROUP BY split
+  UNION ALL SELECT 'history', CAST(Store AS VARCHAR), sum(Weekly_Sales) FROM history GROUP BY Store)
+SELECT name, part, """ + r("total", "total", 2) + " FROM found"
+
+
+@register("M9_run_contents", RUN_SQL)
+def q_run_contents(spark, sf_dir):
+    """A whole run by the rule, saved over an earlier one and read again: what
+    its tables hold, by store or split."""
+    from stockroute.plans.runner import run_planning
+    from stockroute.sources import io
+    res = run_planning(C.upload_table(spark, sf_dir), C._params(), predictor=_rule())
+    res.model = None
+    path = _folder(spark, "results")
+    earlier = replace(res, predictions=res.predictions.limit(0), history=None)
+    io.save_results(earlier, path)
+    io.save_results(res, path, keep=1)
+    back = io.load_results(spark, path)
+    whole = {"predictions": ("Store", "Predicted_Weekly_Sales"), "inventory_plan": ("Store", "Demand"),
+             "naive_cost": ("Store", "naive_cost"), "validation": ("Store", "Predicted_Sales"),
+             "metrics": ("split", "mae"), "history": ("Store", "Weekly_Sales")}
+    out = None
+    for name, (part, value) in whole.items():
+        one = getattr(back, name).groupBy(F.col(part).cast("string").alias("part")).agg(F.sum(value).alias("total"))
+        one = one.select(F.lit(name).alias("name"), "part", "total")
+        out = one if out is None else out.unionByName(one)
+    return rounded(out, 2)

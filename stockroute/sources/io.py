@@ -7,6 +7,7 @@ nothing is funnelled through the driver.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -113,27 +114,66 @@ class StoredResults:
     model: PipelineModel | None = None
 
 
-def save_results(results, root: str) -> None:
-    """Persist the tables of a planning run, and its model, under one folder."""
-    for name, schema in S.RESULT_TABLES.items():
+MANIFEST_SCHEMA = T.StructType([
+    T.StructField("seq", T.LongType()), T.StructField("run", T.StringType()),
+    T.StructField("tables", T.MapType(T.StringType(), T.LongType()))])
+
+
+def saved_runs(spark: SparkSession, root: str) -> DataFrame:
+    """The whole runs saved below ``root``: seq (rising), run, and rows by table."""
+    return read_optional(spark, f"{root}/manifest", MANIFEST_SCHEMA)
+
+
+def save_results(results, root: str, keep: int | None = None) -> str:
+    """Save the tables of a planning run, and its model, as one run.
+
+    Tables go to a folder of their own; one manifest row, written last, makes the run
+    known.  A writer that breaks off in between leaves the runs before it as they
+    were, and readers never meet tables of two runs.  With ``keep`` the folders of all
+    but that many latest runs are removed.  Returns the run's name.
+    """
+    spark = results.predictions.sparkSession
+    run = uuid.uuid4().hex
+    folder, rows = f"{root}/runs/{run}", {}
+    for name, schema in [*S.RESULT_TABLES.items(), ("history", None)]:
         df = getattr(results, name, None)
         if df is not None:
-            write_table(df.select(*[F.col(f.name).cast(f.dataType) for f in schema]), f"{root}/{name}")
-    if getattr(results, "history", None) is not None:
-        write_table(results.history, f"{root}/history")
+            if schema is not None:
+                df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+            write_table(df, f"{folder}/{name}")
+            rows[name] = spark.read.parquet(f"{folder}/{name}").count()     # from the file footers
     if getattr(results, "model", None) is not None:
-        save_model(results.model, f"{root}/model")
-
-
-def load_results(spark: SparkSession, root: str, with_model: bool = False) -> StoredResults:
-    """Read a results folder written by ``save_results``; absent tables are empty."""
-    tables = {name: read_optional(spark, f"{root}/{name}", schema) for name, schema in S.RESULT_TABLES.items()}
+        save_model(results.model, f"{folder}/model")
+    last = saved_runs(spark, root).agg(F.max("seq")).first()[0] or 0
+    spark.createDataFrame([(last + 1, run, rows)], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(
+        f"{root}/manifest")
+    if keep is not None:
+        old = saved_runs(spark, root).orderBy(F.desc("seq"), "run").offset(keep).collect()
+        for r in old:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/runs/{r['run']}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return run
+
+
+def load_results(spark: SparkSession, root: str, with_model: bool = False, run: str | None = None) -> StoredResults:
+    """The latest run saved by ``save_results``, or the named one; absent tables are
+    empty.  A table with other rows than its manifest tells is an error."""
+    known = saved_runs(spark, root)
+    found = (known if run is None else known.where(F.col("run") == run)).orderBy(F.desc("seq"), "run").first()
+    if found is None and run is not None:
+        raise ValueError(f"no run {run} below {root}")
+    folder, rows = (f"{root}/runs/{found['run']}", found["tables"]) if found else (root, {})
+    tables = {name: read_optional(spark, f"{folder}/{name}", schema) for name, schema in S.RESULT_TABLES.items()}
     try:
-        history = spark.read.parquet(f"{root}/history")
+        history = spark.read.parquet(f"{folder}/history")
     except AnalysisException:
         history = None
+    for name, n in rows.items():
+        df = history if name == "history" else tables.get(name)
+        if df is None or df.count() != n:
+            raise ValueError(f"table {name} of run {found['run']} is not whole")
     return StoredResults(**tables, history=history,
-                         model=load_model(f"{root}/model") if with_model else None)
+                         model=load_model(f"{folder}/model") if with_model else None)
 
 
 def to_json_text(df: DataFrame) -> DataFrame:

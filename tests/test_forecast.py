@@ -110,3 +110,20 @@ def test_descriptions_of_trees():
     assert got.tolist() == [10.5, 20.5, -1e10 + 0.5, -1e10 + 0.5]
     with pytest.raises(ValueError):
         FC.trees.parse("Tree 0 (weight 1.0):\n If (feature 1 in {0.0})\n Predict: 1.0")
+
+
+@pytest.mark.parametrize("n, splits", [(9, False), (10, True)])
+def test_nodes_of_under_ten_rows_are_not_split(spark, n, splits):
+    """Five rows a leaf, so a node of nine can't be parted."""
+    p = ForecastParams(n_estimators=1, max_depth=2, subsample=1.0)
+    cols = FC.feature_columns(p)
+    rows = spark.range(n).select(*[(F.col("id") if c == "Size" else F.lit(0)).cast("double").alias(c) for c in cols],
+                                 F.when(F.col("id") < n // 2, 0.0).otherwise(100.0).alias("Weekly_Sales"),
+                                 F.lit("train").alias("split"))
+    depth = FC.trees.flat(FC.fit_model(rows, p).stages[-1]).depth
+    assert (depth > 0) == splits
+
+
+def test_split_rule_beyond_the_leaves_is_refused(spark):
+    with pytest.raises(ValueError, match="min_split"):
+        FC.fit_model(spark.range(1), ForecastParams(min_leaf=2, min_split=10))

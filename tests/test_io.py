@@ -64,3 +64,53 @@ def test_json_records_and_model_persistence(spark):
     io.save_model(model, os.path.join(d, "model"))
     loaded = io.load_model(os.path.join(d, "model"))
     assert loaded.stages[-1].getNumTrees == 2 and io.model_features(loaded) == cols
+
+
+class _Run:
+    """Tables of a run that all hold one number."""
+
+    def __init__(self, spark, x: float):
+        self.predictions = spark.createDataFrame([(1, 1, None, x)] * 3, S.RESULT_TABLES["predictions"])
+        self.naive_cost = spark.createDataFrame([(1, x)], S.RESULT_TABLES["naive_cost"])
+        self.naive_distance = spark.createDataFrame([(1, x, 1)], S.RESULT_TABLES["naive_distance"])
+
+
+def _numbers(res):
+    return ({r[3] for r in res.predictions.collect()}, {r[1] for r in res.naive_cost.collect()},
+            {r[1] for r in res.naive_distance.collect()})
+
+
+def test_a_run_that_breaks_off_leaves_the_last_one_whole(spark, tmp_path, monkeypatch):
+    import pytest
+    root, write = str(tmp_path), io.write_table
+    first = io.save_results(_Run(spark, 1.0), root)
+    assert _numbers(io.load_results(spark, root)) == ({1.0}, {1.0}, {1.0})
+
+    def breaks(df, path, *a, **k):
+        if path.endswith("naive_distance"):
+            raise OSError("lost")
+        write(df, path, *a, **k)
+    monkeypatch.setattr(io, "write_table", breaks)
+    with pytest.raises(OSError):
+        io.save_results(_Run(spark, 2.0), root)
+    monkeypatch.setattr(io, "write_table", write)
+    # neither the broken run nor a mix of both
+    assert _numbers(io.load_results(spark, root)) == ({1.0}, {1.0}, {1.0})
+    third = io.save_results(_Run(spark, 3.0), root)
+    assert _numbers(io.load_results(spark, root)) == ({3.0}, {3.0}, {3.0})
+    assert _numbers(io.load_results(spark, root, run=first)) == ({1.0}, {1.0}, {1.0})
+    assert [r.run for r in io.saved_runs(spark, root).orderBy("seq").collect()] == [first, third]
+    with pytest.raises(ValueError, match="no run"):
+        io.load_results(spark, root, run="other")
+
+
+def test_old_runs_are_removed_and_cut_tables_noticed(spark, tmp_path):
+    import glob
+    import pytest
+    root = str(tmp_path)
+    names = [io.save_results(_Run(spark, float(k)), root, keep=2) for k in range(4)]
+    assert {os.path.basename(p) for p in glob.glob(f"{root}/runs/*")} == set(names[2:])
+    assert _numbers(io.load_results(spark, root, run=names[2])) == ({2.0}, {2.0}, {2.0})
+    io.write_table(spark.createDataFrame([], S.RESULT_TABLES["naive_cost"]), f"{root}/runs/{names[3]}/naive_cost")
+    with pytest.raises(ValueError, match="naive_cost .* not whole"):
+        io.load_results(spark, root)
