@@ -16,6 +16,7 @@ from stockroute.functions.columns import (
 from stockroute.operators.aggregates import exact_medians
 from stockroute.operators.joins import lookup_with_default
 
+SERIES_ROWS = 1_000_000     # rows of a series that one task may order
 MARKDOWNS = [f"MarkDown{i}" for i in range(1, 6)]
 IMPUTED = ["CPI", "Unemployment", "Temperature", "Fuel_Price"]
 
@@ -118,18 +119,67 @@ def prepare_orders(df: DataFrame) -> DataFrame:
     })
 
 
+def _same(keys: list[str], left: str, right: str) -> F.Column:
+    """Null-safe equality of the keys of two aliased frames."""
+    met = F.lit(True)
+    for k in keys:
+        met = met & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
+    return met
+
+
+def _parted(df: DataFrame, keys: list[str], order: str, rows: int, halo: int) -> DataFrame:
+    """Rows of long series with the parts of time that read them: ``_part`` and ``_halo``
+    (true where a part only looks back at the row).
+
+    Stretches of four weeks are counted once; about ``rows`` rows make a part, and the
+    stretches that hold the last ``halo`` rows before a later part go to it as well.
+    """
+    stretch = F.floor(F.datediff(F.col(order), F.lit("1970-01-01").cast("date")) / 28).cast("int")
+    df = df.withColumn("_at", stretch)
+    upto = Window.partitionBy(*keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    counted = (df.groupBy(*keys, "_at").agg(F.count("*").alias("_n"))
+               .withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
+               .withColumn("_part", F.floor(F.col("_before") / rows)))
+    starts = counted.groupBy(*keys, F.col("_part").alias("_to")).agg(F.min("_before").alias("_start"))
+    later = (counted.alias("c").join(starts.alias("s"), _same(keys, "c", "s"))
+             .where((F.col("_to") > F.col("_part")) & (F.col("_start") - F.col("_before") - F.col("_n") < halo))
+             .select(*[f"c.{k}" for k in keys], "_at", F.col("_to").alias("_part"), F.lit(True).alias("_halo")))
+    own = counted.select(*keys, "_at", "_part", F.lit(False).alias("_halo"))
+    return (df.alias("l").join(own.unionByName(later).alias("r"), _same([*keys, "_at"], "l", "r"))
+            .select("l.*", "_part", "_halo").drop("_at"))
+
+
 def lag_features(df: DataFrame, lags=(1, 2, 4, 8, 12), keys=("Store", "Dept"),
-                 order: str = "Date", target: str = "Weekly_Sales") -> DataFrame:
+                 order: str = "Date", target: str = "Weekly_Sales",
+                 series_rows: int | None = SERIES_ROWS) -> DataFrame:
     """Row lags, trailing means of the previous 4 and 12 rows and the
-    trailing sample std of the previous 4 rows (null -> 0), one window."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    y = F.col(target)
-    cols = {f"Sales_Lag_{k}": F.lag(y, k).over(w) for k in lags}
-    cols["Sales_RollingMean_4"] = F.avg(y).over(w.rowsBetween(-4, -1))
-    cols["Sales_RollingMean_12"] = F.avg(y).over(w.rowsBetween(-12, -1))
-    cols["Sales_RollingStd_4"] = F.coalesce(F.stddev_samp(y).over(w.rowsBetween(-4, -1)),
-                                            F.lit(0.0))
-    return df.withColumns(cols)
+    trailing sample std of the previous 4 rows (null -> 0), one window.
+
+    Series of more than ``series_rows`` rows are cut into parts of time, each with the
+    rows before it that its first ones look back at, so that no task holds a whole long
+    series; all others keep the one exchange by series.  (One small count tells which;
+    None leaves it out, and every series whole.)
+    """
+    y, keys = F.col(target), list(keys)
+
+    def featured(rows: DataFrame, by: list[str]) -> DataFrame:
+        w = Window.partitionBy(*by).orderBy(order)
+        cols = {f"Sales_Lag_{k}": F.lag(y, k).over(w) for k in lags}
+        cols["Sales_RollingMean_4"] = F.avg(y).over(w.rowsBetween(-4, -1))
+        cols["Sales_RollingMean_12"] = F.avg(y).over(w.rowsBetween(-12, -1))
+        cols["Sales_RollingStd_4"] = F.coalesce(F.stddev_samp(y).over(w.rowsBetween(-4, -1)), F.lit(0.0))
+        return rows.withColumns(cols)
+
+    if series_rows is None:
+        return featured(df, keys)
+    long_ = df.groupBy(*keys).count().where(F.col("count") > series_rows).select(*keys)
+    if long_.isEmpty():
+        return featured(df, keys)
+    rest = df.alias("s").join(long_.alias("h"), _same(keys, "s", "h"), "left_anti")
+    hot = df.alias("s").join(long_.alias("h"), _same(keys, "s", "h"), "left_semi")
+    parted = _parted(hot, keys, order, series_rows, max(max(lags), 12))
+    return featured(rest, keys).unionByName(
+        featured(parted, [*keys, "_part"]).where(~F.col("_halo")).drop("_part", "_halo"))
 
 
 def model_rows(df: DataFrame, lags=(1, 2, 4, 8, 12)) -> DataFrame:

@@ -88,22 +88,44 @@ def solve_routes(stops: DataFrame, depots: DataFrame,
     return tours_local(small, nv, p.capacity).unionByName(tours_leased(big, nv, p.capacity, p.lease))
 
 
-def route_legs_audit(routes: DataFrame) -> DataFrame:
-    """Leg distance recomputed from the previous stop of the vehicle."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("plan_id", "Vehicle").orderBy("Stop_Order")
-    return routes.withColumn(
-        "leg_check", F.coalesce(haversine_km(F.lag("Lat").over(w), F.lag("Lon").over(w),
-                                             F.col("Lat"), F.col("Lon")), F.lit(0.0)))
+ROUTE_BLOCK = 65_536        # consecutive stops of a route that one task orders
+ROUTE_KEYS = ["plan_id", "Vehicle"]
 
 
-def running_totals(routes: DataFrame) -> DataFrame:
-    """Cumulative load and distance along each route from the legs."""
+def _blocks(routes: DataFrame, block: int):
+    """Routes with the block of each stop, and the window over a block."""
+    from pyspark.sql import Window
+    rows = routes.withColumn("_block", F.floor(F.col("Stop_Order") / block))
+    return rows, Window.partitionBy(*ROUTE_KEYS, "_block").orderBy("Stop_Order")
+
+
+def route_legs_audit(routes: DataFrame, block: int = ROUTE_BLOCK) -> DataFrame:
+    """Leg distance recomputed from the previous stop of the vehicle; a block's
+    first stop takes the last one of the block before."""
+    rows, w = _blocks(routes, block)
+    ends = rows.groupBy(*ROUTE_KEYS, (F.col("_block") + 1).alias("_block")).agg(
+        F.max_by(F.struct("Lat", "Lon"), "Stop_Order").alias("_end"))
+    back = F.when(F.row_number().over(w) == 1, F.col("_end")).otherwise(F.lag(F.struct("Lat", "Lon")).over(w))
+    return (rows.join(ends, [*ROUTE_KEYS, "_block"], "left").withColumn("_back", back)
+            .withColumn("leg_check", F.coalesce(haversine_km(F.col("_back.Lat"), F.col("_back.Lon"),
+                                                             F.col("Lat"), F.col("Lon")), F.lit(0.0)))
+            .select(*routes.columns, "leg_check"))
+
+
+def running_totals(routes: DataFrame, block: int = ROUTE_BLOCK) -> DataFrame:
+    """Cumulative load and distance along each route from the legs, in two levels:
+    sums of whole blocks before a stop's own, and the stops of its block up to it."""
     from pyspark.sql import Window
-    w = (Window.partitionBy("plan_id", "Vehicle").orderBy("Stop_Order")
-         .rowsBetween(Window.unboundedPreceding, 0))
-    return routes.withColumns({"load_check": F.sum("Demand").over(w),
-                               "distance_check": F.sum("Distance_km").over(w)})
+    rows, w = _blocks(routes, block)
+    w = w.rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(*ROUTE_KEYS).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy(*ROUTE_KEYS, "_block").agg(F.sum("Demand").alias("_load"), F.sum("Distance_km").alias("_km"))
+    before = before.select(*ROUTE_KEYS, "_block", *[F.coalesce(F.sum(c).over(upto), F.lit(0.0)).alias(c)
+                                                    for c in ("_load", "_km")])
+    return (rows.join(before, [*ROUTE_KEYS, "_block"])
+            .withColumns({"load_check": F.col("_load") + F.sum("Demand").over(w),
+                          "distance_check": F.col("_km") + F.sum("Distance_km").over(w)})
+            .select(*routes.columns, "load_check", "distance_check"))
 
 
 def route_summary(routes: DataFrame) -> DataFrame:

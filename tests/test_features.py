@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockroute.operators import aggregates as A
+from stockroute.operators import features as F_
 from stockroute.operators.features import lag_features, time_split
 from stockroute.operators.validate import missing_columns, validate_upload
 from stockroute.sources.schemas import empty_frame
@@ -96,3 +97,26 @@ def test_validation(spark):
     df = spark.createDataFrame([(1,)], "Store int")
     ok, msg = validate_upload(df)
     assert not ok and msg.startswith("columns not found: Dept, Date")
+
+
+def test_long_series_are_cut_into_parts_of_time(spark):
+    """Gaps, sparse stretches and null keys: the same features as over whole series."""
+    rng = np.random.default_rng(14)
+    rows = []
+    for store, dept, n in ((1, 1, 400), (1, None, 150), (2, 1, 30), (3, 7, 900)):
+        days = np.cumsum(rng.choice([7, 7, 7, 14, 70, 700], n, p=[.5, .2, .1, .1, .07, .03])) if store != 3 else 7 * np.arange(n)
+        rows += [(store, dept, int(d), float(rng.normal(100, 30))) for d in days]
+    df = spark.createDataFrame(rows, "Store int, Dept int, d int, Weekly_Sales double")
+    df = df.withColumn("Date", F.date_add(F.lit("1970-01-05").cast("date"), F.col("d"))).cache()
+    key = ["Store", "Dept", "d"]
+    want = lag_features(df, series_rows=None).toPandas().sort_values(key).reset_index(drop=True)
+    for limit in (3, 40, 200):
+        got = lag_features(df, series_rows=limit)
+        assert got.columns == list(want.columns)
+        got = got.toPandas().sort_values(key).reset_index(drop=True)
+        assert got[key].equals(want[key])
+        for c in want.columns[-8:]:
+            assert np.allclose(got[c], want[c], equal_nan=True), (limit, c)
+    parts = F_._parted(df, ["Store", "Dept"], "Date", 40, 12)
+    assert parts.where("not _halo").count() == df.count()
+    assert parts.where("not _halo").groupBy("Store", "Dept", "_part").count().agg(F.max("count")).first()[0] < 100

@@ -233,3 +233,15 @@ def test_no_points_and_no_queries(spark):
     assert [r.near for r in NR.nearest(one, points, 2).collect()] == [None]
     assert NR.nearest(none, one.withColumnRenamed("stop_id", "id"), 2).collect() == []
     assert R.stop_neighbours(one).collect() == []
+
+
+def test_long_routes_are_summed_by_blocks(spark):
+    stops = _hot_groups(spark, 400)
+    routes = R.solve_routes(stops, depot_frame(spark), RoutingParams(num_vehicles=6, capacity=3000.0)).cache()
+    key = ["plan_id", "Vehicle", "Stop_Order"]
+    by_block = R.running_totals(R.route_legs_audit(routes, block=7), block=5)
+    assert by_block.columns == [*routes.columns, "leg_check", "load_check", "distance_check"]
+    a = by_block.toPandas().sort_values(key).reset_index(drop=True)
+    assert a.groupby(["plan_id", "Vehicle"]).size().max() > 30
+    assert np.allclose(a.load_check, a.groupby(["plan_id", "Vehicle"]).Demand.cumsum())
+    assert np.allclose(a.distance_check, a.Cumulative_Distance_km) and np.allclose(a.leg_check, a.Distance_km)
