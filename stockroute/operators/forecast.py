@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -49,21 +51,26 @@ def prepare_model_frame(history: DataFrame, p: ForecastParams = ForecastParams()
 
 
 def fit_model(frame: DataFrame, p: ForecastParams = ForecastParams(),
-              label: str = "Weekly_Sales") -> PipelineModel:
+              label: str = "Weekly_Sales", rows: int | None = None) -> PipelineModel:
     """Gradient-boosted regression on the training rows.
 
     Both parts of a split hold ``min_leaf`` rows, so no node of fewer than twice as many
-    is split: that is the rule of ``min_split`` too, which may not ask for more.
+    is split: that is the rule of ``min_split`` too, which may not ask for more.  With
+    ``rows``, an upper bound of the training rows that the caller knows already (from
+    ``counted_table``), they need no count of their own.
     """
     if p.min_split > 2 * p.min_leaf:
         raise ValueError(f"min_split {p.min_split} is more than two leaves of {p.min_leaf} rows")
     cols = feature_columns(p)
     train = _assembled(frame.where(F.col("split") == "train"), cols) \
         .select(*cols, F.col(label).alias("label"))
-    # evaluated once; then dealt evenly, with no more partitions than the rows
-    # need (the learner runs a few small jobs per tree level) and no upper bound
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    parts = max(1, -(-train.count() // ROWS_PER_FIT_PARTITION))
+    # dealt evenly, with no more partitions than the rows need (the learner runs a few
+    # small jobs per tree level) and no upper bound; evaluated once
+    held = None
+    if rows is None:
+        train = held = train.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = train.count()
+    parts = max(1, -(-rows // ROWS_PER_FIT_PARTITION))
     gbt = GBTRegressor(featuresCol="features", labelCol="label", predictionCol="prediction",
                        maxIter=p.n_estimators, maxDepth=p.max_depth, stepSize=p.learning_rate,
                        subsamplingRate=p.subsample, minInstancesPerNode=p.min_leaf, seed=p.seed,
@@ -73,7 +80,8 @@ def fit_model(frame: DataFrame, p: ForecastParams = ForecastParams(),
     try:
         return pipe.fit(train.repartition(parts))
     finally:
-        train.unpersist()
+        if held is not None:
+            held.unpersist()
 
 
 def score(model: PipelineModel | Column, df: DataFrame, p: ForecastParams = ForecastParams(),
@@ -197,17 +205,18 @@ def forecast_direct(model: PipelineModel | Column, history: DataFrame,
 
 
 def forecast_recursive(model: PipelineModel | Column, history: DataFrame,
-                       p: ForecastParams = ForecastParams()) -> DataFrame:
+                       p: ForecastParams = ForecastParams(), last: date | None = None) -> DataFrame:
     """Each prediction (clamped at 0) joins the series' tail, so that later lags
     and rolling features see it.
 
     A fitted model is read once as flat arrays; one narrow stage of Arrow batches then
     walks all weeks of every series, with nothing written and nothing shuffled between
     weeks.  A rule is a Column, so it takes a step a week (``forecast_by_steps``).
+    ``last`` is the history's last date, where the caller knows it.
     """
     if isinstance(model, Column):
         return forecast_by_steps(model, history, p)
-    last = history.agg(F.max("Date")).first()[0]
+    last = last or history.agg(F.max("Date")).first()[0]
     spark = history.sparkSession
     weeks = _future_calendar(spark.range(1, p.horizon + 1).withColumn("w", F.col("id").cast("int")),
                              F.lit(last), F.col("w")).orderBy("w").collect() if last else []
@@ -262,12 +271,14 @@ def history_and_forecast(history: DataFrame, predictions: DataFrame,
 
 
 def forecast_stage(history: DataFrame, p: ForecastParams = ForecastParams(),
-                   recursive: bool = False, predictor: Column | None = None):
+                   recursive: bool = False, predictor: Column | None = None, seen: dict | None = None):
     """(model, metrics, validation, predictions, importances) for one history;
-    with ``predictor`` that rule stands in for the fitted model."""
+    with ``predictor`` that rule stands in for the fitted model.  ``seen`` holds the
+    history's ``rows`` and ``last`` date where its write has observed them."""
+    seen = seen or {}
     frame = prepare_model_frame(history, p)
-    model = fit_model(frame, p) if predictor is None else predictor
+    model = fit_model(frame, p, rows=seen.get("rows")) if predictor is None else predictor
     metrics, validation = evaluate(model, frame, p)
-    preds = (forecast_recursive(model, history, p) if recursive
+    preds = (forecast_recursive(model, history, p, seen.get("last")) if recursive
              else forecast_direct(model, history, p))
     return model, metrics, validation, preds, feature_importance(model, p)

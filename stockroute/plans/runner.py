@@ -22,7 +22,7 @@ from stockroute.operators import scenarios as SC
 from stockroute.operators.features import add_coordinates, engineer_features
 from stockroute.operators.joins import lookup_with_default
 from stockroute.operators.validate import validate_upload
-from stockroute.session import shared_table
+from stockroute.session import counted_table, shared_table
 from stockroute.sources.schemas import depot_frame, store_coordinates, store_names
 
 
@@ -73,9 +73,9 @@ def run_planning(upload: DataFrame, params: PlanningParams = PlanningParams(),
         raise ValueError(msg)
     fp = params.forecast
     _describe(spark, "features", progress)
-    hist = shared_table(engineer_features(upload, store_coordinates(spark)), "history")
+    hist, seen = counted_table(engineer_features(upload, store_coordinates(spark)), "history", last=F.max("Date"))
     _describe(spark, "forecast model", progress)
-    model, metrics, validation, preds, importance = FC.forecast_stage(hist, fp, recursive, predictor)
+    model, metrics, validation, preds, importance = FC.forecast_stage(hist, fp, recursive, predictor, seen)
     _describe(spark, "forecast", progress)
     preds = shared_table(preds, "predictions")
     _describe(spark, "inventory", progress)

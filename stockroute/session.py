@@ -88,3 +88,14 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def counted_table(df: DataFrame, name: str, **measures) -> tuple[DataFrame, dict]:
+    """``shared_table`` plus what the write saw of its rows: their number (``rows``)
+    and the given aggregate columns, observed in passing instead of by a scan of their own."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+    seen = Observation(name)
+    out = shared_table(df.observe(seen, F.count(F.lit(1)).alias("rows"),
+                                  *[c.alias(k) for k, c in measures.items()]), name)
+    return out, seen.get

@@ -21,6 +21,24 @@ def test_full_run_over_one_upload(spark, sf_small):
     assert {r.split for r in res.metrics.collect()} == {"train", "val"}
 
 
+def test_counts_come_with_the_write(spark, sf_small, monkeypatch):
+    """The write's own figures equal those of a scan, and the fit needs no count."""
+    from stockroute.operators import forecast as FC
+    from stockroute.session import counted_table
+    hist = C.ml_history(spark, sf_small)
+    table, seen = counted_table(hist, "seen", last=F.max("Date"), stores=F.max("Store"))
+    want = hist.agg(F.count("*").alias("rows"), F.max("Date").alias("last"), F.max("Store").alias("stores")).first()
+    assert seen == want.asDict() and table.count() == want.rows
+    p = ForecastParams(n_estimators=2)
+    frame = FC.prepare_model_frame(table, p)
+    counted = []
+    monkeypatch.setattr(type(hist), "count", lambda self, f=type(hist).count: counted.append(1) or f(self))
+    FC.fit_model(frame, p, rows=seen["rows"])
+    assert not counted
+    FC.fit_model(frame, p)
+    assert len(counted) == 1
+
+
 def test_upload_validation_rejects_missing_columns(spark, sf_small):
     import pytest
     upload = C.upload_table(spark, sf_small).drop("CPI")
