@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockroute.llm import wordscan as ws
-from stockroute.llm.staging import stage
+from stockroute.llm.staging import release, stage
 
 TOP = 5                     # counts up to this are discounted by Good-Turing
 KEEP = 0.999                # of larger counts
@@ -140,6 +140,7 @@ def unigrams(train: DataFrame, chunk: int) -> Unigrams:
     lost = sum(of[r - 1] * r * (1 - d[r - 1]) for r in range(1, TOP + 1))
     lost += (n - sum(of[r - 1] * r for r in range(1, TOP + 1))) * (1 - KEEP)
     heavy = table.where(F.col("c") * HEAVY_PARTS >= n).collect() if n else []   # at most HEAVY_PARTS rows
+    release(table)
     return Unigrams(n, s["types"], d, lost / n if n else 1.0,
                     Lookup(np.array([r["w"] for r in heavy], np.int64).view(np.uint64),
                            np.array([r["c"] for r in heavy], np.int64)))
@@ -170,10 +171,13 @@ _PARTS = [("uid", np.int64), ("doc_id", np.int64), ("train", np.uint8), ("word",
 
 def _dump(parts: list[np.ndarray]) -> bytes:
     sizes = np.array([len(p) for p in parts], np.int64)
-    return b"".join([sizes.tobytes(), *[np.ascontiguousarray(p, t).tobytes() for p, (_, t) in zip(parts, _PARTS)]])
+    raw = b"".join([sizes.tobytes(), *[np.ascontiguousarray(p, t).tobytes() for p, (_, t) in zip(parts, _PARTS)]])
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
-def _load(raw) -> dict[str, np.ndarray]:
+def _load(packed) -> dict[str, np.ndarray]:
+    size = int.from_bytes(packed.slice(0, 8).to_pybytes(), "little")
+    raw = pa.decompress(packed.slice(8), size, "zstd")
     sizes = np.frombuffer(raw, np.int64, len(_PARTS))
     at, out = sizes.nbytes, {}
     for n, (name, t) in zip(sizes, _PARTS):

@@ -19,7 +19,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder below ``spark.checkpoint.dir`` and read it back.
 
     The lineage is cut at storage that every executor shares: a lost executor
-    costs only its running tasks.
+    costs only its running tasks.  ``release`` removes the table once nothing
+    reads it any more.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -31,7 +32,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     finally:
         spark.conf.set(_CLEANUP, before[0])
         spark.conf.set(_BATCH, before[1])
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove written tables of ``stage``.  Only for tables whose last reader has been
+    written itself: whatever is computed from them later would not find them."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.staged_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
