@@ -9,12 +9,15 @@ their first n - ceil(t n) + 1 (the prefix).
 2.  Groups meet in the lists of their prefix shingles.  In a first round each
     list only pairs its leading group with the others by their first few
     shingles; the links found join the bulk of large near-copy families.
-3.  In the second round every list pairs all its groups whose components still
+3.  Families that stay apart in long lists are joined by rounds of chance: a class
+    meets some others of its longest list in a seeded order, and links are verified.
+    A round is linear in the classes.
+4.  In the last round every list pairs all its groups whose components still
     differ, under the size and position filters and a lower bound on the
     difference of their sets (parities of 256 buckets travel along: two sets
     differ in at least as many shingles as in parities), so no link between
     different components can be missed.
-4.  Group pairs are expanded to class pairs, pruned by an exact lower bound on
+5.  Group pairs are expanded to class pairs, pruned by an exact lower bound on
     the difference of the sets, and verified on the whole sets.
 
 Links inside one component beyond those that connect it are not listed; the
@@ -28,12 +31,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockroute.llm import wordscan as ws
 from stockroute.llm.components import components
-from stockroute.llm.staging import stage
+from stockroute.llm.staging import release, stage
 
 SHINGLE = 3
 PERCENT = 90
@@ -44,6 +47,9 @@ BUCKETS = 64                # of the histogram that bounds the difference of two
 PARITIES = 256              # bits that travel with the lists
 _Q = [f"q{k}" for k in range(PARITIES // 64)]
 LIST_ROWS = 400_000
+LONG_LIST = 64              # classes of a list that takes part in the rounds of chance
+CHANCE_MATES = (8, 32)     # others that a class meets in each of them
+CHANCE_BLOCK = 4096
 LEAST = -(1 << 63)
 
 
@@ -319,6 +325,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
     groups = stage(groups, "join-groups")
     members = stage(classes.join(groups.select("n", "p0", "gid"), ["n", "p0"])
                     .select("cid", "gid", "n", "copies", "histogram"), "join-members")
+    rows_of = stage(sketch.select("doc_id", "n", "s0", "s1"), "join-rows")
+    named = stage(classes.select(*same, "cid"), "join-named")
+    release(sketch, classes)
 
     def postings(of: DataFrame, places, tag) -> DataFrame:
         rows = of.select("gid", "n", "members", tag.alias("tag"), *_Q, F.posexplode(places).alias("pos", "token"))
@@ -336,9 +345,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
                        "join-needed")
         texts = src.join(needed, src["doc_id"] == needed["cid"]).select("doc_id", "text").dropDuplicates(["doc_id"])
         sets = stage(texts.mapInArrow(_sets(order, shingle), "cid long, keys binary"), "join-sets")
-        return stage(close.join(sets.select(F.col("cid").alias("a"), F.col("keys").alias("ka")), "a")
-                     .join(sets.select(F.col("cid").alias("b"), F.col("keys").alias("kb")), "b")
-                     .mapInArrow(_verify(percent), "u long, v long"), "join-links")
+        found = stage(close.join(sets.select(F.col("cid").alias("a"), F.col("keys").alias("ka")), "a")
+                      .join(sets.select(F.col("cid").alias("b"), F.col("keys").alias("kb")), "b")
+                      .mapInArrow(_verify(percent), "u long, v long"), "join-links")
+        release(close, needed, sets)
+        return found
 
     lone = F.lit(LEAST)
     most = F.struct((-F.col("copies")).alias("few"), "cid")
@@ -356,7 +367,43 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
     comp = components(edges, "join-components").select(F.col("node").alias("cid"), "component")
     known = stage(members.join(comp, "cid", "left")
                   .select("cid", "gid", F.coalesce("component", "cid").alias("component")), "join-known")
-    # second round: whatever could still join two components
+    # rounds of chance: each class in a few of its lists, if they are long and have several components
+    span = known.groupBy("gid").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    # the last places of a prefix hold what a family shares; what sets its members apart is rarer
+    last = F.slice("prefix", -F.least(F.size("prefix"), F.lit(LEAD_PLACES)), F.lit(LEAD_PLACES))
+    tokens = groups.join(span, "gid").select("gid", "members", "low", "high", F.explode(last).alias("token"))
+    long_ = (tokens.groupBy("token").agg(F.sum("members").alias("rows"), F.min("low").alias("low"),
+                                         F.max("high").alias("high"))
+             .where((F.col("rows") > LONG_LIST) & (F.col("low") < F.col("high"))).select("token", "rows"))
+    posts = stage(tokens.select("gid", "token").join(long_, "token").join(members.select("cid", "gid", "n"), "gid")
+                  .select("cid", "n", "token", "rows"), "join-long")
+    for turn, most_mates in enumerate(() if posts.isEmpty() else CHANCE_MATES):
+        place = F.xxhash64("cid", F.lit(turn))
+        dealt = posts.join(known.select("cid", "component"), "cid").select(
+            "cid", "n", "component", "token", place.alias("place"),
+            F.pmod(place, F.ceil(F.col("rows") / CHANCE_BLOCK)).alias("block"))
+        ahead = Window.partitionBy("token", "block").orderBy("place", "cid").rowsBetween(1, most_mates)
+        mates = F.filter(F.collect_list(F.struct("cid", "n", "component")).over(ahead),
+                         lambda x: x["component"] != F.col("component"))
+        met = (dealt.withColumn("mates", mates).select("cid", "n", "component", F.explode("mates").alias("x"))
+               .where((F.col("component") != F.col("x.component"))
+                      & (100 * F.least("n", "x.n") >= percent * F.greatest("n", "x.n")))
+               .select(F.col("cid").alias("a"), F.col("x.cid").alias("b")))
+        new = links(met)
+        if new.isEmpty():
+            break
+        edges = edges.unionByName(new)
+        of = known.select("cid", "component")
+        joined = (new.join(of.select(F.col("cid").alias("u"), F.col("component").alias("cu")), "u")
+                  .join(of.select(F.col("cid").alias("v"), F.col("component").alias("cv")), "v")
+                  .select(F.col("cu").alias("u"), F.col("cv").alias("v")))
+        merged = components(joined, "join-chance").select(F.col("node").alias("component"), F.col("component").alias("to"))
+        before = known
+        known = stage(before.join(merged, "component", "left")
+                      .select("cid", "gid", F.coalesce("to", "component").alias("component")), "join-known")
+        release(before)
+    release(posts)
+    # last round: whatever could still join two components
     state = known.groupBy("gid").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     state = state.select("gid", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(lone).alias("comp"))
     second = (postings(groups.join(state, "gid"), F.col("prefix"), F.col("comp"))
@@ -373,9 +420,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
              .where("a < b and ca <> cb").select("a", "b"))
     more = links(wide.unionByName(inner))
     comp = components(edges.unionByName(more), "join-components").select(F.col("node").alias("cid"), "component")
-    of_class = stage(classes.select(*same, "cid").join(comp, "cid", "left")
+    release(groups, members, known, first, second, lead)
+    of_class = stage(named.join(comp, "cid", "left")
                      .select(*same, "cid", F.coalesce("component", "cid").alias("component")), "join-result")
-    out = sketch.select("doc_id", "n", "s0", "s1").join(of_class, same, "left")
+    out = rows_of.join(of_class, same, "left")
     show = lambda c: F.when(c != lone, c)
     return out.select(
         show(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),

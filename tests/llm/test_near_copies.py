@@ -40,3 +40,27 @@ def test_shingle_length_equals_brute_force(spark, make_text):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = prefixjoin.near_duplicates(docs, percent=80, shingle=5, frequent=50, chunk=500).collect()
     assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got} == _linked(rows, 80, 5)
+
+
+def test_pairs_of_a_family_grow_with_its_size(spark, monkeypatch):
+    """Copies with two changed words each: most don't link, yet few pairs are left for the last round."""
+    rnd, n, pairs = random.Random(1), 600, {}
+    base = [f"w{rnd.randrange(5000)}" for _ in range(200)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(2):
+            w[rnd.randrange(200)] = f"x{rnd.randrange(10 ** 9)}"
+        rows.append((i, " ".join(w)))
+    stage = prefixjoin.stage
+
+    def counted(df, name):
+        out = stage(df, name)
+        if name in ("join-second", "join-close"):
+            pairs[name] = pairs.get(name, 0) + out.count()
+        return out
+    monkeypatch.setattr(prefixjoin, "stage", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in prefixjoin.near_duplicates(docs).collect()}
+    assert got == _linked(rows, 90, 3)
+    assert pairs["join-second"] < 5 * n and pairs["join-close"] < 60 * n
