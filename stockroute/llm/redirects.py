@@ -34,7 +34,8 @@ def path_of(url: Column) -> Column:
 def matched_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
     """The longest fitting rule as struct(rule, action), or null.
 
-    Longest: by host, then by path.  The rules travel in the plan, so a list of
+    Longest: by host, then by path; of rules with one host and path the first in the
+    list decides (others of equal length can't fit the same url).  The rules travel in the plan, so a list of
     thousands is meant, not of millions.
     """
     ordered = sorted(rules, key=lambda r: (-len(r[1].split("/", 1)[0]), -len(r[1])))
@@ -58,7 +59,11 @@ def _absolute(base_host: Column, base_path: Column, target: Column) -> tuple[Col
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """(u, v): each page's host and path with those its canonical link or refresh names."""
+    """(u, v): each page's host and path with those its canonical link or refresh names.
+
+    Queries and fragments are no part of a node, as they are none of a rule: pages that
+    differ only after ``?`` are one node.
+    """
     p = pages.select(host_of(pages["url"]).alias("host"), path_of(pages["url"]).alias("path"), pages["html"])
     p = p.where((F.col("host") != "") & F.col("html").rlike("(?i)canonical|refresh"))
     named = F.filter(F.array(

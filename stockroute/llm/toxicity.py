@@ -10,8 +10,9 @@ and word beginnings minimises
 with the logistic loss; while the second part is negative (the classifier
 overfits the positives) its gradient step is reversed.
 
-The fit sees at most ``max_positive`` and ``max_unlabelled`` texts (those with
-the least hash of doc_id); scoring reads every text whole.
+Features are counted over all training texts.  Only the fit of their weights sees
+a bounded sample: at most ``max_positive`` and ``max_unlabelled`` texts (those with
+the least hash of doc_id).  Scoring reads every text whole.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from stockroute.llm.staging import stage
 
 PREFIXES = (3, 4, 5, 6)
 THRESHOLD = 0.3
+MARKS = 1 << 26             # bits of the bitmap of features (8 MB)
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
@@ -106,20 +108,45 @@ def nnpu_fit(docs: list[np.ndarray], positive: np.ndarray, n_features: int, prio
     return theta[:-1], float(theta[-1])
 
 
-def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per batch: each feature's number of positive and of unlabelled texts."""
-    for b in batches:
-        positive = np.asarray(b["positive"].to_numpy(zero_copy_only=False), bool)
-        for words in ws.scan(b["text"], lower=True, is_word=_LETTER):
-            f = features(words).ravel()
-            doc = np.repeat(words.doc_of_word(), 1 + len(PREFIXES))
-            keys, at = np.unique(f, return_inverse=True)
-            pair = np.unique(at.astype(np.int64) * words.docs + doc)
-            is_p = positive[words.first + pair % words.docs]
-            n = np.bincount(pair // words.docs, minlength=len(keys))
-            p = np.bincount(pair // words.docs, is_p, len(keys)).astype(np.int64)
-            yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(p), pa.array(n - p)],
-                                  names=["f", "p", "u"])
+def _count_features(marks: np.ndarray | None = None):
+    """Per block of texts: how many of them hold each feature (of those that ``marks``, a
+    bitmap of feature hashes, may have)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for words in ws.scan(b["text"], lower=True, is_word=_LETTER):
+                f = features(words).ravel()
+                doc = np.repeat(words.doc_of_word(), 1 + len(PREFIXES))
+                if marks is not None:
+                    at = (f & np.uint64(MARKS - 1)).astype(np.int64)
+                    held = marks[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) != 0
+                    f, doc = f[held], doc[held]
+                keys, at = np.unique(f, return_inverse=True)
+                pair = np.unique(at.astype(np.int64) * words.docs + doc)
+                n = np.bincount(pair // max(1, words.docs), minlength=len(keys)).astype(np.int64)
+                yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n)], names=["f", "n"])
+    return run
+
+
+def _feature_counts(docs: DataFrame, positive: DataFrame, min_texts: int) -> DataFrame:
+    """f, p, u of the features of ``min_texts`` positive texts or more: how many of the
+    positive texts and of all texts hold them.
+
+    Every text of ``docs`` is counted.  The features of the positives mark a bitmap of
+    fixed size, so that most others are not shuffled; the join leaves out the rest.
+    """
+    count = "f long, n long"
+    known = stage(docs.join(positive, "doc_id", "left_semi").select("text").mapInArrow(_count_features(), count)
+                  .groupBy("f").agg(F.sum("n").alias("p")).where(F.col("p") >= min_texts), "pu-features")
+    words = (known.withColumn("place", F.col("f").bitwiseAND(F.lit(MARKS - 1)))
+             .groupBy(F.shiftright("place", 6).alias("w"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 AS INT))")).alias("bits")))
+    marks = np.zeros(MARKS >> 6, np.uint64)
+    for r in words.collect():           # at most MARKS / 64 rows
+        marks[r["w"]] = np.int64(r["bits"]).view(np.uint64)
+    shared = docs.sparkSession.sparkContext.broadcast(marks)
+    everywhere = (docs.select("text").mapInArrow(lambda batches: _count_features(shared.value)(batches), count)
+                  .groupBy("f").agg(F.sum("n").alias("u")))
+    return known.join(everywhere, "f")
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_unlabelled: int = 9000,
@@ -127,36 +154,41 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_unlabe
         min_precision: float = 0.6, prior_share: float = 0.95) -> Model:
     """Fit on confirmed toxic texts plus unlabelled ones, held-out rows aside.
 
-    A feature is used if it is more frequent among the positives (``min_z``)
-    and if, with the prior, at least ``min_precision`` of the unlabelled texts
-    that hold it should be toxic.  The risk uses ``prior_share`` of the labelled
-    share of toxic rows, as some of those show no sign of it.
+    Features are chosen from the counts of all training texts: one is used if it is more
+    frequent among the positives than among all (``min_z``) and if, with the prior, at
+    least ``min_precision`` of the texts that hold it should be toxic; the ``max_features``
+    of highest z make the model, whose size is thus bounded.  Their weights are fitted on
+    a bounded sample: at most ``max_positive`` confirmed toxic texts and
+    ``max_unlabelled`` texts of all, by hash of doc_id.  The risk uses ``prior_share`` of
+    the labelled share of toxic rows, as some of those show no sign of it.
 
     Without a toxic training row, or without any text, the model has no
-    features and scores every text the prior (0 without labels).
+    features and scores every text the prior (0 without labels).  Rows repeated with one
+    doc_id count as often as they occur, in the counts and in the sample; features of
+    equal z go by hash.
     """
     known = (labels.where(~held_out(labels["doc_id"])).groupBy(labels["doc_id"].alias("doc_id"))
              .agg(F.max("toxic").alias("toxic")).where(F.col("toxic").isNotNull()))
     prior = known.agg(F.avg("toxic")).first()[0] or 0.0
     order = lambda salt: F.xxhash64(F.lit(salt), "doc_id")
-    pos = known.where("toxic = 1").orderBy(order(1), "doc_id").limit(max_positive).select("doc_id", F.lit(True).alias("positive"))
-    ids = docs.where(~held_out(docs["doc_id"])).select(docs["doc_id"].alias("doc_id"))
-    unl = ids.orderBy(order(2), "doc_id").limit(max_unlabelled).select("doc_id", F.lit(False).alias("positive"))
+    train = docs.where(~held_out(docs["doc_id"])).select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
+    positive = stage(known.where("toxic = 1").select("doc_id"), "pu-positive")
+    pos = positive.orderBy(order(1), "doc_id").limit(max_positive).withColumn("positive", F.lit(True))
+    unl = train.select("doc_id").orderBy(order(2), "doc_id").limit(max_unlabelled).withColumn("positive", F.lit(False))
     texts = docs.select(docs["doc_id"].alias("t_id"), docs["text"].alias("text"))
     # at most max_positive + max_unlabelled ids, so their side may be broadcast
     chosen = F.broadcast(stage(pos.unionByName(unl), "pu-sample"))
     sample = stage(texts.join(chosen, F.col("t_id") == F.col("doc_id")).select("positive", "text"), "pu-texts")
-    n = {r["positive"]: r["n"] for r in sample.groupBy("positive").agg(F.count("*").alias("n")).collect()}
-    n_p, n_u = n.get(True, 0), n.get(False, 0)
+    n_u = train.count()
+    n_p = train.select("doc_id").join(positive, "doc_id", "left_semi").count()
     none = Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(max(prior, 1e-9) / max(1 - prior, 1e-9))))
     if not n_p or not n_u or not 0 < prior < 1:
         return none
-    counts = sample.mapInArrow(_count_features, "f long, p long, u long").groupBy("f").agg(
-        F.sum("p").alias("p"), F.sum("u").alias("u"))
+    counts = _feature_counts(train, positive, min_texts)
     share = (F.col("p") + F.col("u")) / (n_p + n_u)
     z = (F.col("p") / n_p - F.col("u") / n_u) / F.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u))
     precision = prior * F.col("p") / n_p / ((F.col("u") + F.sqrt("u") + 1) / n_u)
-    best = (counts.where((F.col("p") >= min_texts) & (share < 1)).withColumn("z", z)
+    best = (counts.where(share < 1).withColumn("z", z)
             .where((F.col("z") >= min_z) & (precision >= min_precision)).orderBy(F.desc("z"), "f").limit(max_features).select("f").collect())
     keys = np.sort(np.array([r["f"] for r in best], np.int64).view(np.uint64))
     if not len(keys):
@@ -194,5 +226,5 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                 [*b.columns[:-1], pa.array(model.scores(b.columns[-1]))],
                 names=[*keep, "pu_score"])
 
-    schema = src.drop("pu_text").schema.add("pu_score", "double")
+    schema = docs.select(*[docs[c] for c in keep]).schema.add("pu_score", "double")
     return src.mapInArrow(run, schema)

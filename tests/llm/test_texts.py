@@ -51,6 +51,55 @@ def toxic_docs(spark, make_text):
         any(x in (r[1] or "") for x in ("Grumple", "snarkish", "vexol")) for r in rows]
 
 
+def _risk(theta, docs, positive, prior):
+    """The non-negative risk written out text by text."""
+    z = [sum(theta[j] for j in d) + theta[-1] for d in docs]
+    lose = lambda x: float(np.log1p(np.exp(-x)))
+    p, u = [x for x, y in zip(z, positive) if y], [x for x, y in zip(z, positive) if not y]
+    mean = lambda f, xs: sum(map(f, xs)) / len(xs)
+    plus, rest = prior * mean(lose, p), mean(lambda x: lose(-x), u) - prior * mean(lambda x: lose(-x), p)
+    return plus, rest, plus + max(0.0, rest)
+
+
+def test_fit_lowers_the_risk_as_written_out():
+    rng = np.random.default_rng(3)
+    n, m, prior = 120, 6, 0.2
+    truth = rng.random(n) < prior
+    docs = [np.flatnonzero(rng.random(m) < np.where(t, [.8, .7, .3, .3, .1, .2], [.1, .1, .3, .3, .4, .2])) for t in truth]
+    positive = truth & (rng.random(n) < .7)
+    start = np.append(np.zeros(m), np.log(prior / (1 - prior)))
+    # the first step of Adam goes a fixed length against the sign of the gradient
+    weights, bias = toxicity.nnpu_fit(docs, positive, m, prior, steps=1, rate=0.01, ridge=0.0)
+    step = np.append(weights, bias) - start
+    for j in range(m + 1):
+        h = np.eye(m + 1)[j] * 1e-5
+        slope = (_risk(start + h, docs, positive, prior)[2] - _risk(start - h, docs, positive, prior)[2]) / 2e-5
+        assert abs(slope) < 1e-9 or step[j] == pytest.approx(-0.01 * np.sign(slope), rel=1e-3)
+    assert _risk(start, docs, positive, prior)[1] > 0
+    weights, bias = toxicity.nnpu_fit(docs, positive, m, prior, steps=400, ridge=0.0)
+    best = _risk(np.append(weights, bias), docs, positive, prior)[2]
+    assert best < _risk(start, docs, positive, prior)[2]
+    for _ in range(200):
+        assert best <= _risk(np.append(weights, bias) + rng.normal(0, .3, m + 1), docs, positive, prior)[2] + 0.02
+
+
+def test_features_are_counted_over_all_training_texts(toxic_docs):
+    docs, labels, _ = toxic_docs
+    train = docs.where(~toxicity.held_out(docs["doc_id"])).select("doc_id", "text")
+    positive = labels.where("toxic = 1").select("doc_id")
+    got = {r["f"]: (r["p"], r["u"]) for r in toxicity._feature_counts(train, positive, 3).collect()}
+    bad, p, u = {r["doc_id"] for r in positive.collect()}, {}, {}
+    for i, t in _pairs(train):
+        for w in toxicity.ws.scan(pa.array([t], pa.string()), lower=True, is_word=toxicity._LETTER):
+            for f in set(toxicity.features(w).ravel().view(np.int64).tolist()):
+                u[f] = u.get(f, 0) + 1
+                p[f] = p.get(f, 0) + (i in bad)
+    assert got == {f: (k, u[f]) for f, k in p.items() if k >= 3}
+    # and do not depend on the sample that the weights are fitted on
+    keys = [toxicity.fit(docs, labels, max_positive=a, max_unlabelled=b).keys.tolist() for a, b in ((3000, 9000), (20, 60))]
+    assert keys[0] == keys[1] and keys[0]
+
+
 def test_held_out_accuracy(toxic_docs):
     docs, labels, truth = toxic_docs
     model = toxicity.fit(docs, labels)
