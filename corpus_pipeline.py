@@ -1,8 +1,14 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage takes the documents its predecessor kept and, but for the last,
-returns documents again (the same columns).  ``run`` writes every stage's
-result to the shared folder and reads it back for the next one.
+returns documents again (the same columns, whatever further ones there are).
+``run`` writes every stage's result to the shared folder and reads it back for
+the next one.
+
+Null and empty texts are clean, link with nothing, have nothing to cut, are
+never taken by the mix and so end there.  A null doc_id is an id of its own.  Rows
+that repeat a doc_id are one document: the near-copy stage keeps one of them.
+Ties between copies go to the least doc_id.  An empty table gives empty results.
 """
 
 from __future__ import annotations
@@ -30,11 +36,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least doc_id of each group of near copies."""
+    """The document of least doc_id of each group of near copies, once."""
     found = prefixjoin.near_duplicates(docs, percent=NEAR_PERCENT, shingle=NEAR_SHINGLE)
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["kept_id"]), "left_semi")
+    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["kept_id"]), "left_semi")
+    # narrow, and mostly empty: only ids that repeat are put together
+    again = stage(docs.groupBy(docs["doc_id"].alias("again_id")).count().where(F.col("count") > 1).select("again_id"),
+                  "pipeline-repeated")
+    if again.isEmpty():
+        return kept
+    same = kept["doc_id"].eqNullSafe(again["again_id"])
+    return kept.join(again, same, "left_anti").unionByName(
+        kept.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
