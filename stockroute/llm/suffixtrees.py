@@ -7,8 +7,9 @@ length:
 1.  Of its runs of ``seed`` words (8) the window's anchor is the one with the
     least hash, so equal windows have equal anchors.  An anchor met once can't
     start a repeat; only the others go on.
-2.  The consecutive windows of one anchor travel as one stretch of words.  Of
-    equal stretches only the earliest goes on; the others are repeats whole.
+2.  The consecutive windows of one anchor form one stretch, filed by a key of its
+    words.  Of equal stretches only the earliest goes on, and its words are read
+    from the text again; the others are repeats whole.
 3.  Stretches that share an anchor form one group.  Groups are sent by anchor
     to partitions and taken in memory-sized runs of whole groups; their
     suffixes are sorted by words, and neighbours that agree in ``width`` words
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockroute.llm import wordscan as ws
-from stockroute.llm.staging import stage
+from stockroute.llm.staging import release, stage
 
 WIDTH = 20
 SEED_WORDS = 8
@@ -82,7 +83,8 @@ def _outline(width: int, seed: int):
 
 
 _OUTLINE = "doc_id long, n_words long, key0 long, key1 long, anchor array<long>, place array<int>"
-_STRETCH = "k0 long, c0 long, c1 long, doc_id long, start int, windows int, words binary"
+_STRETCH = "k0 long, c0 long, c1 long, doc_id long, start int, windows int"
+_WORDS = "k0 long, doc_id long, start int, windows int, words binary"
 _WINDOWS = "k0 long, k1 long, doc_id long, start int"
 
 
@@ -93,35 +95,58 @@ def _list_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (flat.to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(n)]).astype(np.int64))
 
 
+def _found_stretches(b: pa.RecordBatch, width: int, seed: int, places: np.ndarray, p_cut: np.ndarray
+                     ) -> Iterator[tuple]:
+    """Of each block of documents: the words, and of the windows of each document and
+    shared anchor the first one's place, their number, document and anchor's hash."""
+    for w in ws.scan(b["text"]):
+        h, first, last = w.hashes, w.first, w.first + w.docs
+        s, a, g = window_anchors(h, w.bounds, width, seed)
+        shared = np.zeros(len(h) + 1, bool)
+        own = places[p_cut[first]:p_cut[last]].astype(np.int64)
+        shared[np.repeat(w.bounds[:-1], np.diff(p_cut[first:last + 1])) + own] = True
+        s, a = s[shared[a]], a[shared[a]]
+        if len(s):
+            head = np.flatnonzero(np.diff(a, prepend=-1) != 0)
+            yield w, s[head], np.diff(np.append(head, len(s))), w.doc_of_word()[s[head]], g[a[head]]
+
+
 def _stretches(width: int, seed: int):
-    """A row for the windows of each document and shared anchor, with their words."""
+    """A row for the windows of each document and shared anchor, with a key of their words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            doc_ids = b["doc_id"].to_numpy(zero_copy_only=False).astype(np.int64)
+            for w, s, n, d, anchor in _found_stretches(b, width, seed, *_list_column(b["places"])):
+                flat = w.hashes[ws.ranges(s, n + width - 1)]
+                c0, c1 = ws.sequence_keys(flat, np.concatenate([[0], np.cumsum(n + width - 1)]))
+                yield pa.record_batch(
+                    [pa.array(anchor.view(np.int64)), pa.array(c0.view(np.int64)), pa.array(c1.view(np.int64)),
+                     pa.array(doc_ids[w.first + d]), pa.array((s - w.bounds[d]).astype(np.int32)),
+                     pa.array(n.astype(np.int32))],
+                    names=["k0", "c0", "c1", "doc_id", "start", "windows"])
+    return run
+
+
+def _stretch_words(width: int):
+    """The chosen stretches (k0, start, windows of each document) with their words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             doc_ids = b["doc_id"].to_numpy(zero_copy_only=False).astype(np.int64)
-            places, p_cut = _list_column(b["places"])
+            (k0, cut), (start, _), (windows, _) = (_list_column(b[c]) for c in ("k0", "start", "windows"))
             for w in ws.scan(b["text"]):
-                h, first, last = w.hashes, w.first, w.first + w.docs
-                s, a, g = window_anchors(h, w.bounds, width, seed)
-                shared = np.zeros(len(h) + 1, bool)
-                own = places[p_cut[first]:p_cut[last]].astype(np.int64)
-                shared[np.repeat(w.bounds[:-1], np.diff(p_cut[first:last + 1])) + own] = True
-                s, a = s[shared[a]], a[shared[a]]
-                if not len(s):
-                    continue
-                head = np.flatnonzero(np.diff(a, prepend=-1) != 0)
-                n = np.diff(np.append(head, len(s)))
-                s, a = s[head], a[head]
-                flat = h[ws.ranges(s, n + width - 1)]
-                cut = np.concatenate([[0], np.cumsum(n + width - 1)])
-                c0, c1 = ws.sequence_keys(flat, cut)
-                d = w.doc_of_word()[s]
+                rows = np.arange(cut[w.first], cut[w.first + w.docs])
+                d = np.repeat(np.arange(w.docs), np.diff(cut[w.first:w.first + w.docs + 1]))
+                size = windows[rows].astype(np.int64) + width - 1
+                # a row that shares its doc_id with a longer text may lack some
+                fits = start[rows] + size <= np.diff(w.bounds)[d]
+                rows, d, size = rows[fits], d[fits], size[fits]
+                flat = w.hashes[ws.ranges(w.bounds[d] + start[rows], size)]
+                ends = (8 * np.concatenate([[0], np.cumsum(size)])).astype(np.int32)
                 yield pa.record_batch(
-                    [pa.array(g[a].view(np.int64)), pa.array(c0.view(np.int64)), pa.array(c1.view(np.int64)),
-                     pa.array(doc_ids[first + d]), pa.array((s - w.bounds[d]).astype(np.int32)),
-                     pa.array(n.astype(np.int32)),
-                     pa.Array.from_buffers(pa.binary(), len(s), [None, pa.py_buffer((8 * cut).astype(np.int32)),
-                                                                 pa.py_buffer(flat.tobytes())])],
-                    names=["k0", "c0", "c1", "doc_id", "start", "windows", "words"])
+                    [pa.array(k0[rows]), pa.array(doc_ids[w.first + d]), pa.array(start[rows].astype(np.int32)),
+                     pa.array(windows[rows].astype(np.int32)),
+                     pa.Array.from_buffers(pa.binary(), len(d), [None, pa.py_buffer(ends), pa.py_buffer(flat.tobytes())])],
+                    names=["k0", "doc_id", "start", "windows", "words"])
     return run
 
 
@@ -231,25 +256,31 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, seed: int = SEED_WORDS,
                    "suffix-shared")
     places = stage(fresh.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("place").alias("places")),
                    "suffix-places")
+    release(fresh, shared)
     filed = stage(docs.join(places, "doc_id").select("doc_id", "text", "places")
                   .mapInArrow(_stretches(width, seed), _STRETCH), "suffix-stretches")
+    release(places)
+    # only places are filed; of equal stretches the earliest one's words are read again
     same = ["k0", "c0", "c1"]
-    lead = stage(filed.groupBy(*same).agg(F.min(F.struct("doc_id", "start", "windows", "words")).alias("m"))
+    lead = stage(filed.groupBy(*same).agg(F.min(F.struct("doc_id", "start", "windows")).alias("m"))
                  .select(*same, "m.*"), "suffix-leads")
-    equal = (filed.select(*same, "doc_id", "start", "windows")
-             .join(lead.select(*same, F.col("doc_id").alias("l_doc"), F.col("start").alias("l_start")), same)
+    equal = (filed.join(lead.select(*same, F.col("doc_id").alias("l_doc"), F.col("start").alias("l_start")), same)
              .where((F.col("doc_id") != F.col("l_doc")) | (F.col("start") != F.col("l_start")))
              .select("doc_id", F.col("start").alias("lo"), (F.col("start") + F.col("windows") + (width - 1)).alias("hi")))
+    chosen = (lead.groupBy("doc_id").agg(F.collect_list(F.struct("k0", "start", "windows")).alias("x"))
+              .select("doc_id", "x.k0", "x.start", "x.windows"))
+    words = stage(docs.join(chosen, "doc_id").select("doc_id", "text", "k0", "start", "windows")
+                  .mapInArrow(_stretch_words(width), _WORDS), "suffix-words")
     big = stage(lead.groupBy("k0").agg(F.count("*").alias("n")).where(F.col("n") > heavy)
                 .select("k0", F.lit(True).alias("big")), "suffix-heavy")
-    lead = lead.join(big, "k0", "left")
-    light = lead.where(F.col("big").isNull()).select("k0", "doc_id", "start", "windows", "words")
-    size = filed.agg(F.sum(F.length("words") + 40)).first()[0] or 0
+    words_of = words.join(big, "k0", "left")
+    light = words_of.where(F.col("big").isNull()).select("k0", "doc_id", "start", "windows", "words")
+    size = words.agg(F.sum(F.length("words") + 40)).first()[0] or 0
     n = max(1, int(size // PARTITION_BYTES) + 1,
             int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) if size > (1 << 20) else 1)
     trees = (light.repartition(n, "k0").sortWithinPartitions("k0")
              .mapInArrow(_subtrees(width, run_windows), "doc_id long, lo int, hi int"))
-    deep = stage(lead.where("big").select("doc_id", "start", "windows", "words")
+    deep = stage(words_of.where("big").select("doc_id", "start", "windows", "words")
                  .mapInArrow(_windows(width), _WINDOWS), "suffix-windows")
     earliest = stage(deep.groupBy("k0", "k1").agg(F.min(F.struct("doc_id", "start")).alias("e"),
                                                   F.count("*").alias("n")).where("n > 1").drop("n"), "suffix-deep")
@@ -267,10 +298,12 @@ def _strip(keep: list[str]):
             texts, words, removed = [], [], []
             for w in ws.scan(b["sf_text"]):
                 first, last = w.first, w.first + w.docs
-                base = np.repeat(w.bounds[:-1], np.diff(cut[first:last + 1]))
+                own = np.diff(cut[first:last + 1])
+                base, end = np.repeat(w.bounds[:-1], own), np.repeat(w.bounds[1:], own)
                 depth = np.zeros(len(w.hashes) + 1, np.int64)
-                np.add.at(depth, base + lo[cut[first]:cut[last]], 1)
-                np.add.at(depth, base + hi[cut[first]:cut[last]], -1)
+                # spans of a longer text with the same doc_id end with this one
+                np.add.at(depth, np.minimum(base + lo[cut[first]:cut[last]], end), 1)
+                np.add.at(depth, np.minimum(base + hi[cut[first]:cut[last]], end), -1)
                 stay = np.cumsum(depth[:-1]) == 0
                 size = (w.ends - w.starts)[stay] + 1         # with a space behind each word
                 flat = np.append(w.data, np.uint8(0x20))[ws.ranges(w.starts[stay], size)]
