@@ -10,12 +10,14 @@ the depot.
 * ``tours_local`` walks a whole group in one task (groups up to a limit).
 * ``tours_leased`` walks hot groups by leases.  A group's open stops lie in tiles
   (a written table sorted by tile, and an index with each tile's circle, number of
-  open stops and smallest demand).  In a round every group's vehicle gets the
-  nearest stops around it from the tiles within its reach, at most ``lease`` of
-  them, and one task walks on as long as the next stop is surely nearer than
-  anything outside the lease.  Then the vehicle's state is handed to the next
-  round.  A round is a few jobs, whatever the number of groups, and most rounds
-  serve many stops.
+  open stops and smallest demand).  In a round every group's vehicle gets a window:
+  the nearest stops around it from the tiles within its reach, at most ``WINDOW`` of
+  them (or a lease, if that is more).  One task takes lease after lease of at most
+  ``lease`` stops from the window and walks each as long as the next stop is surely
+  nearer than anything outside it.  Where that can't be told from the window either,
+  the vehicle's state is handed to the next round.  A round is a few jobs, whatever
+  the number of groups, and the rounds of a group grow with its stops by window, not
+  by lease.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])     # workers need n
 MARGIN_KM = 1e-6
 TILE_STOPS = 256
 LEASE = 20_000
+WINDOW = 8_192                  # stops that a round hands to a group's task, at least
 KEYS = ["plan_id", "depot_idx"]
 _ROUTE = ROUTE_SCHEMA.fieldNames()
 _STATE = "depot_name string, depot_lat double, depot_lon double, v int, c_lat double, c_lon double, " \
@@ -155,10 +158,19 @@ def tours_local(tagged: DataFrame, n_vehicles: int, capacity: float) -> DataFram
 
 
 # ------------------------------------------------------------------ leases of hot groups
-def walk(pdf: pd.DataFrame, n_vehicles: int, capacity: float, lease: int) -> pd.DataFrame:
-    """Walk one group's vehicle through its lease.
+def _nearest_of(place: tuple[float, float], lat: np.ndarray, lon: np.ndarray, ids: np.ndarray,
+                lease: int) -> tuple[np.ndarray, float]:
+    """Places (in the arrays) of the nearest ``lease`` stops, ties by id, and the farthest one's distance."""
+    km = hav_np(*place, lat, lon)
+    near = np.flatnonzero(km <= np.partition(km, lease - 1)[lease - 1])
+    near = near[np.lexsort((ids[near], km[near]))[:lease]]
+    return near, float(km[near[-1]])
 
-    Rows carry the vehicle's state, the leased stops (none: a null stop_id) and
+
+def walk(pdf: pd.DataFrame, n_vehicles: int, capacity: float, lease: int, window: int | None = None) -> pd.DataFrame:
+    """Walk one group's vehicle through its window, lease after lease.
+
+    Rows carry the vehicle's state, the window's stops (none: a null stop_id) and
     ``reach``, the distance beyond which stops may be missing (null: none is).
     Returns route rows (stops with their tile) and, while the group goes on, one
     row with the new state and no Stop_Order.
@@ -173,31 +185,44 @@ def walk(pdf: pd.DataFrame, n_vehicles: int, capacity: float, lease: int) -> pd.
     lat, lon, demand = (got[c].to_numpy(float) for c in ("lat", "lon", "demand"))
     ids, tiles = got["stop_id"].to_numpy(np.int64), got["tile"].to_numpy(np.int64)
     names = got["stop_name"].astype(str).to_numpy()
-    if len(got) >= lease:
+    if len(got) >= (lease if window is None else window):
         reach = min(reach, float(hav_np(clat, clon, lat, lon).max()))
-    field = Field(lat, lon, demand, ids)
-    start, steps, vid, rows = (clat, clon), 0, f"V{didx + 1}_{v + 1}", []
+    begin, steps, vid, rows = (clat, clon), 0, f"V{didx + 1}_{v + 1}", []
+    left = np.arange(len(ids))
     none = [None] * (1 + len(_STATE_NAMES))
 
     def route(*values, tile=None):
         rows.append([plan, didx, vid, *values, tile, *none[1:]])
 
     while True:
-        k, km = field.nearest(clat, clon, load, capacity)
-        if (clat, clon) == start:       # distances are those the lease was chosen by
-            sure = k >= 0 and (km <= reach if not steps else km == 0.0 or km <= reach - MARGIN_KM)
-        else:
-            sure = km <= reach - float(hav_np(*start, clat, clon)) - MARGIN_KM
-        if k < 0 or not sure:
-            break
-        if order == 1:
-            route(0, -1, dname, dlat, dlon, 0.0, 0.0, 0.0, 0.0, True)
-        field.take(k)
-        clat, clon, steps = float(lat[k]), float(lon[k]), steps + 1
-        load += demand[k]
-        total += km
-        route(order, int(ids[k]), names[k], clat, clon, demand[k], load, km, total, False, tile=int(tiles[k]))
-        order += 1
+        start, before = (clat, clon), steps
+        left = left[load + demand[left] <= capacity]
+        of, around = left, reach if not steps else reach - float(hav_np(*begin, *start)) - MARGIN_KM
+        if len(left) > lease:
+            near, last = _nearest_of(start, lat[left], lon[left], ids[left], lease)
+            of, around = left[near], min(around, last)
+        field = Field(lat[of], lon[of], demand[of], ids[of])
+        while True:
+            k, km = field.nearest(clat, clon, load, capacity)
+            if (clat, clon) == start:   # distances are those the lease was chosen by
+                sure = k >= 0 and (km <= around - (MARGIN_KM if steps > before else 0.0)
+                                   or km == 0.0 and (steps > before or start == begin))
+            else:
+                sure = km <= around - float(hav_np(*start, clat, clon)) - MARGIN_KM
+            if k < 0 or not sure:
+                break
+            if order == 1:
+                route(0, -1, dname, dlat, dlon, 0.0, 0.0, 0.0, 0.0, True)
+            field.take(k)
+            i = of[k]
+            clat, clon, steps = float(lat[i]), float(lon[i]), steps + 1
+            load += demand[i]
+            total += km
+            route(order, int(ids[i]), names[i], clat, clon, demand[i], load, km, total, False, tile=int(tiles[i]))
+            order += 1
+        if steps == before or len(of) == len(left):
+            break                       # the window has nothing else to tell
+        left = np.setdiff1d(left, of[~field.open], assume_unique=True)
     goes_on = True
     if k < 0 and reach == np.inf:       # nothing open fits any more
         goes_on = order > 1 and v + 1 < n_vehicles
@@ -234,11 +259,11 @@ def _index(open_: DataFrame) -> DataFrame:
         F.min("demand").alias("least"), F.count("*").alias("n")))
 
 
-def _picked(state: DataFrame, index: DataFrame, capacity: float, lease: int) -> DataFrame:
-    """Tiles that the lease of each group reads, with the group's state and reach.
+def _picked(state: DataFrame, index: DataFrame, capacity: float, window: int) -> DataFrame:
+    """Tiles that the window of each group reads, with the group's state and reach.
 
-    The reach is the smallest ring around the vehicle whose whole tiles hold a lease;
-    a group whose last lease did not bring a step reads every tile that may fit.
+    The reach is the smallest ring around the vehicle whose whole tiles fill a window;
+    a group whose last window did not bring a step reads every tile that may fit.
     """
     km = haversine_km("c_lat", "c_lon", "t_lat", "t_lon")
     near = (state.join(index, KEYS).where((F.col("n") > 0) & (F.col("load") + F.col("least") <= capacity))
@@ -247,7 +272,7 @@ def _picked(state: DataFrame, index: DataFrame, capacity: float, lease: int) ->
     ring = F.ceil(F.log(F.greatest(F.col("_high"), F.lit(1e-3))) / np.log(1.125)).cast("int")
     rings = near.withColumn("_ring", ring).groupBy(*KEYS, "_ring").agg(F.sum("n").alias("_n"))
     upto = Window.partitionBy(*KEYS).orderBy("_ring").rowsBetween(Window.unboundedPreceding, 0)
-    enough = (rings.withColumn("_sum", F.sum("_n").over(upto)).where(F.col("_sum") >= lease)
+    enough = (rings.withColumn("_sum", F.sum("_n").over(upto)).where(F.col("_sum") >= window)
               .groupBy(*KEYS).agg(F.pow(F.lit(1.125), F.min("_ring")).alias("_r")))
     reach = F.when(~F.col("stuck"), F.col("_r"))
     tiles = (near.join(enough, KEYS, "left").withColumn("reach", reach)
@@ -256,12 +281,12 @@ def _picked(state: DataFrame, index: DataFrame, capacity: float, lease: int) ->
     return heads.join(tiles, KEYS, "left")
 
 
-def _leased(picked: DataFrame, stops: DataFrame, capacity: float, lease: int) -> DataFrame:
+def _leased(picked: DataFrame, stops: DataFrame, capacity: float, window: int) -> DataFrame:
     """Each group's state with the nearest stops of its tiles that fit, or with none."""
     nearest = Window.partitionBy(*KEYS).orderBy("_km", "stop_id")
     got = (picked.join(stops, [*KEYS, "tile"]).where(F.col("load") + F.col("demand") <= F.lit(capacity))
            .withColumn("_km", haversine_km("c_lat", "c_lon", "lat", "lon"))
-           .withColumn("_rank", F.row_number().over(nearest)).where(F.col("_rank") <= lease)
+           .withColumn("_rank", F.row_number().over(nearest)).where(F.col("_rank") <= window)
            .select(*KEYS, "tile", "stop_id", "stop_name", "lat", "lon", "demand"))
     return picked.drop("tile").distinct().join(got, KEYS, "left")
 
@@ -285,6 +310,7 @@ def tours_leased(tagged: DataFrame, n_vehicles: int, capacity: float, lease: int
         return spark.read.schema(step.schema).parquet(os.path.join(folder, f"walk-{epoch}-*"))
 
     cell = [*KEYS, "tile"]
+    window = max(lease, WINDOW)
     state = written(tagged.groupBy(*KEYS).agg(
         F.first("depot_name").alias("depot_name"), F.first("depot_lat").alias("depot_lat"),
         F.first("depot_lon").alias("depot_lon")).withColumns(
@@ -300,9 +326,9 @@ def tours_leased(tagged: DataFrame, n_vehicles: int, capacity: float, lease: int
         open_ = stops
         while left * 2 > whole or left == whole:
             no += 1
-            picked = _picked(state, index, float(capacity), lease)
-            step = written(_leased(picked, open_, float(capacity), lease).groupBy(*KEYS).applyInPandas(
-                lambda pdf: walk(pdf, n_vehicles, capacity, lease), _WALK), f"walk-{epoch}-{no}")
+            picked = _picked(state, index, float(capacity), window)
+            step = written(_leased(picked, open_, float(capacity), window).groupBy(*KEYS).applyInPandas(
+                lambda pdf: walk(pdf, n_vehicles, capacity, lease, window), _WALK), f"walk-{epoch}-{no}")
             state = step.where("v is not null").select(*KEYS, *_STATE_NAMES)
             if state.isEmpty():
                 return walks().where("Stop_Order is not null").select(*_ROUTE)

@@ -100,6 +100,21 @@ def test_leases_of_hot_groups_take_few_rounds(spark, monkeypatch):
     assert len(rounds) < longest / 10, (len(rounds), longest)
 
 
+def test_rounds_of_hot_groups_dont_grow_with_short_leases(spark, monkeypatch):
+    """A round walks many leases of a window; windows of few stops hand over to the next round."""
+    stops, rounds = _hot_groups(spark, 1200), []
+    p = RoutingParams(num_vehicles=6, capacity=4500.0)
+    local = R.solve_routes(stops, depot_frame(spark), p).toPandas()
+    picked = tours._picked
+    monkeypatch.setattr(tours, "_picked", lambda *a: rounds.append(1) or picked(*a))
+    hot = replace(p, local_group_limit=0, lease=16)
+    _same_routes(local, R.solve_routes(stops, depot_frame(spark), hot).toPandas())
+    assert len(rounds) < 12, len(rounds)
+    monkeypatch.setattr(tours, "WINDOW", 150)
+    _same_routes(local, R.solve_routes(stops, depot_frame(spark), hot).toPandas())
+    assert len(rounds) > 12
+
+
 def test_field_finds_what_a_plain_search_finds():
     rng = np.random.default_rng(4)
     n = 3000
