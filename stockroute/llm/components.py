@@ -30,24 +30,32 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.unionByName(least.select("u", F.col("m").alias("v")))
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
+def components(edges: DataFrame, name: str = "components", rounds: int | None = None) -> DataFrame:
     """(node, component) of an undirected edge list (u, v); component is the least node.
 
     Each round is written to the shared folder; rounds end when the edge set
     repeats.  Loops and repeated edges are harmless; nodes without an edge do
     not appear.  Nulls on either side are ignored.
+
+    With ``rounds`` it ends after so many, settled or not: nodes of one component are
+    connected still, but connected nodes may be in several.
     """
     clean = lambda e: e.where(F.col("u") != F.col("v")).distinct()
     nodes = edges.select("u", "v").dropna()
     current = stage(clean(nodes.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))), name)
     seen = None
-    for _ in range(MAX_ROUNDS):
+    for _ in range(rounds or MAX_ROUNDS):
         current = stage(clean(_small_star(clean(_large_star(current)))), name)
+        if rounds:
+            continue
         state = current.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
         if state == seen:
             break
         seen = state
     else:
-        raise RuntimeError("components did not settle")
+        if not rounds:
+            raise RuntimeError("components did not settle")
+        own = current.select(F.col("v").alias("u"), "v")
+        return (current.unionByName(own).groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")))
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

@@ -46,10 +46,13 @@ LEAD_PLACES = 3             # shingles a group takes part with in the first roun
 BUCKETS = 64                # of the histogram that bounds the difference of two sets
 PARITIES = 256              # bits that travel with the lists
 _Q = [f"q{k}" for k in range(PARITIES // 64)]
+BEFORE = 2                  # shingles before a place of a prefix that travel with the lists of the last round
+_E = [f"e{k}" for k in range(BEFORE)]
 LIST_ROWS = 400_000
 LONG_LIST = 64              # classes of a list that takes part in the rounds of chance
 CHANCE_MATES = (8, 32)     # others that a class meets in each of them
 CHANCE_BLOCK = 4096
+FEW_ROUNDS = 2              # of components that only spare the last round some pairs
 LEAST = -(1 << 63)
 
 
@@ -172,6 +175,7 @@ class Lists:
     tag: np.ndarray         # first round: copies; second: component, or LEAST
     odd: np.ndarray         # parities of the group's set
     single: np.ndarray      # whether the group has one set only
+    before: np.ndarray      # shingles at the places before this one, nearest first (none: any value)
 
     def may_link(self, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
         """Size, position and difference filters for rows of one list."""
@@ -186,6 +190,14 @@ class Lists:
         ok[at] = 100 * (both - apart) >= percent * (both + apart)
         return ok
 
+    def met_before(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Pairs that surely met in an earlier list, as a shingle just before is the same."""
+        met = np.zeros(len(i), bool)
+        for a in range(self.before.shape[1]):
+            for b in range(self.before.shape[1]):
+                met |= (self.before[i, a] == self.before[j, b]) & (self.pos[i] > a) & (self.pos[j] > b)
+        return met
+
 
 def _by_lists(pairs, order: str, limit: int):
     """Apply ``pairs`` to rows sorted by token, in runs of whole lists."""
@@ -195,8 +207,10 @@ def _by_lists(pairs, order: str, limit: int):
             at = np.lexsort((c["gid"], -c["tag"], c["token"]) if order == "tag" else (c["np"], c["token"]))
             odd = np.stack([t[q].to_numpy() for q in _Q], axis=1)[at].view(np.uint64)
             size = c["np"][at]
+            before = [t[e].to_numpy()[at] for e in _E if e in t.column_names]
+            before = np.stack(before, axis=1) if before else np.zeros((len(at), 0), np.int64)
             lists = Lists(c["token"][at], c["gid"][at], size >> 32, (size & 0xFFFFFFFF) >> 1,
-                          c["tag"][at], odd, (size & 1) == 0)
+                          c["tag"][at], odd, (size & 1) == 0, before)
             a, b = pairs(lists)
             if len(a):
                 low, high = np.minimum(a, b), np.maximum(a, b)
@@ -235,7 +249,12 @@ def _leader_pairs(percent: int):
 
 
 def _open_pairs(percent: int):
-    """Pairs of one list whose components differ; a tag of LEAST differs from all."""
+    """Pairs of one list whose components differ; a tag of LEAST differs from all.
+
+    Every list of a pair applies the same tests of size, component and parities, and the
+    first one a test of position that no link fails.  So a list may leave out the pairs that
+    have an earlier list, and most are found once instead of in all their lists.
+    """
     def pairs(x: Lists):
         i = np.arange(len(x.token))
         out_a, out_b, lag = [x.gid[:0]], [x.gid[:0]], 1
@@ -246,6 +265,7 @@ def _open_pairs(percent: int):
             i = i[near]                     # sizes rise, so a failed one is done with
             apart = i[(x.tag[i] != x.tag[i + lag]) | (x.tag[i] == LEAST)]
             apart = apart[x.may_link(apart, apart + lag, percent)]
+            apart = apart[~x.met_before(apart, apart + lag)]
             out_a.append(x.gid[apart])
             out_b.append(x.gid[apart + lag])
             lag += 1
@@ -329,11 +349,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
     named = stage(classes.select(*same, "cid"), "join-named")
     release(sketch, classes)
 
-    def postings(of: DataFrame, places, tag) -> DataFrame:
-        rows = of.select("gid", "n", "members", tag.alias("tag"), *_Q, F.posexplode(places).alias("pos", "token"))
+    def postings(of: DataFrame, places, tag, before: int = 0) -> DataFrame:
+        place = F.transform(places, lambda x, i: F.struct(
+            i.alias("pos"), x.alias("token"),
+            *[F.coalesce(F.get(places, i - 1 - k), F.lit(0)).alias(_E[k]) for k in range(before)]))
+        rows = of.select("gid", "n", "members", tag.alias("tag"), *_Q, F.inline(place))
         # size, place, and whether the group has several sets (and so no histogram of its own)
         packed = F.shiftleft("n", 32) + F.col("pos") * 2 + (F.col("members") > 1).cast("long")
-        return (rows.select("token", "gid", packed.alias("np"), "tag", *_Q)
+        return (rows.select("token", "gid", packed.alias("np"), "tag", *_Q, *_E[:before])
                 .repartition("token").sortWithinPartitions("token"))
 
     def links(pairs: DataFrame) -> DataFrame:
@@ -341,14 +364,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
         close = stage(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                       .distinct().join(side("a"), "a").join(side("b"), "b")
                       .mapInArrow(_histogram_fits(percent), "a long, b long"), "join-close")
-        needed = stage(close.select(F.col("a").alias("cid")).unionByName(close.select(F.col("b").alias("cid"))).distinct(),
-                       "join-needed")
+        needed = close.select(F.col("a").alias("cid")).unionByName(close.select(F.col("b").alias("cid"))).distinct()
         texts = src.join(needed, src["doc_id"] == needed["cid"]).select("doc_id", "text").dropDuplicates(["doc_id"])
         sets = stage(texts.mapInArrow(_sets(order, shingle), "cid long, keys binary"), "join-sets")
         found = stage(close.join(sets.select(F.col("cid").alias("a"), F.col("keys").alias("ka")), "a")
                       .join(sets.select(F.col("cid").alias("b"), F.col("keys").alias("kb")), "b")
                       .mapInArrow(_verify(percent), "u long, v long"), "join-links")
-        release(close, needed, sets)
+        release(close, sets)
         return found
 
     lone = F.lit(LEAST)
@@ -364,7 +386,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
     cross = [first.join(lead, F.col(x) == F.col("gid")).drop("gid").join(m, F.col(y) == F.col("gid"))
              .select(F.col("lead").alias("a"), F.col("cid").alias("b")) for x, y in (("ga", "gb"), ("gb", "ga"))]
     edges = links(inside.unionByName(cross[0]).unionByName(cross[1]))
-    comp = components(edges, "join-components").select(F.col("node").alias("cid"), "component")
+    comp = components(edges, "join-components", FEW_ROUNDS).select(F.col("node").alias("cid"), "component")
     known = stage(members.join(comp, "cid", "left")
                   .select("cid", "gid", F.coalesce("component", "cid").alias("component")), "join-known")
     # rounds of chance: each class in a few of its lists, if they are long and have several components
@@ -397,7 +419,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
         joined = (new.join(of.select(F.col("cid").alias("u"), F.col("component").alias("cu")), "u")
                   .join(of.select(F.col("cid").alias("v"), F.col("component").alias("cv")), "v")
                   .select(F.col("cu").alias("u"), F.col("cv").alias("v")))
-        merged = components(joined, "join-chance").select(F.col("node").alias("component"), F.col("component").alias("to"))
+        merged = components(joined, "join-chance", FEW_ROUNDS).select(F.col("node").alias("component"), F.col("component").alias("to"))
         before = known
         known = stage(before.join(merged, "component", "left")
                       .select("cid", "gid", F.coalesce("to", "component").alias("component")), "join-known")
@@ -406,7 +428,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
     # last round: whatever could still join two components
     state = known.groupBy("gid").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     state = state.select("gid", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(lone).alias("comp"))
-    second = (postings(groups.join(state, "gid"), F.col("prefix"), F.col("comp"))
+    second = (postings(groups.join(state, "gid"), F.col("prefix"), F.col("comp"), BEFORE)
               .mapInArrow(_by_lists(_open_pairs(percent), "size", list_rows), "ga long, gb long").distinct())
     second = stage(second, "join-second")
     k = known.select(F.col("gid").alias("g"), "cid", "component")

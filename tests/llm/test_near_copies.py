@@ -2,8 +2,11 @@
 
 import random
 
+import pyarrow as pa
+
 import corpus_pipeline as cp
 from stockroute.llm import prefixjoin
+from stockroute.llm.components import components
 from tests.llm import brute
 
 
@@ -64,3 +67,35 @@ def test_pairs_of_a_family_grow_with_its_size(spark, monkeypatch):
     got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in prefixjoin.near_duplicates(docs).collect()}
     assert got == _linked(rows, 90, 3)
     assert pairs["join-second"] < 5 * n and pairs["join-close"] < 60 * n
+
+
+def _made(prefixes, n=100):
+    """Pairs that the last round makes of groups with these prefixes, each list in a task of its own."""
+    lists = {}
+    for gid, prefix in enumerate(prefixes):
+        for pos, token in enumerate(prefix):
+            before = [prefix[pos - 1 - k] if pos > k else 0 for k in range(2)]
+            row = {"token": token, "gid": gid, "np": (n << 32) + 2 * pos, "tag": gid,
+                   **{q: 0 for q in prefixjoin._Q}, **dict(zip(("e0", "e1"), before))}
+            lists.setdefault(token, []).append(row)
+    run = prefixjoin._by_lists(prefixjoin._open_pairs(80), "size", 1000)
+    return [(r["ga"], r["gb"]) for rows in lists.values() for b in run(iter([pa.RecordBatch.from_pylist(rows)]))
+            for r in b.to_pylist()]
+
+
+def test_a_pair_is_made_in_few_of_its_lists():
+    same = list(range(1, 11))
+    assert _made([same, same]) == [(0, 1)]
+    assert _made([same, [1, 2, 30, 4, 5, 6, 7, 8, 9, 10]]) == [(0, 1)]      # one apart
+    family = [[*same[:i], 100 + i, *same[i + 1:]] for i in range(10)]
+    made = _made(family)
+    assert len(set(made)) == 45 and len(made) < 60
+    # the first place has none before it, whatever its columns hold
+    assert _made([[5, 7], [5, 8]]) == [(0, 1)] and _made([[0, 5], [5, 0]]) != []
+
+
+def test_components_that_stop_early_stay_inside_the_real_ones(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100 + i, 101 + i) for i in range(3)], "u long, v long")
+    rows = components(edges, rounds=1).collect()
+    assert len(rows) == 45 and len({r["node"] for r in rows}) == 45
+    assert all((r["node"] < 100) == (r["component"] < 100) and r["component"] <= r["node"] for r in rows)
