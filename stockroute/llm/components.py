@@ -30,7 +30,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.unionByName(least.select("u", F.col("m").alias("v")))
 
 
-def components(edges: DataFrame, name: str = "components", rounds: int | None = None) -> DataFrame:
+def components(edges: DataFrame, name: str = "components", rounds: int | None = None,
+               files: int | None = None) -> DataFrame:
     """(node, component) of an undirected edge list (u, v); component is the least node.
 
     Each round is written to the shared folder; rounds end when the edge set
@@ -38,14 +39,16 @@ def components(edges: DataFrame, name: str = "components", rounds: int | None =
     not appear.  Nulls on either side are ignored.
 
     With ``rounds`` it ends after so many, settled or not: nodes of one component are
-    connected still, but connected nodes may be in several.
+    connected still, but connected nodes may be in several.  ``files`` bounds the files
+    that a round writes.
     """
     clean = lambda e: e.where(F.col("u") != F.col("v")).distinct()
+    written = lambda e: stage(e.coalesce(files) if files else e, name)
     nodes = edges.select("u", "v").dropna()
-    current = stage(clean(nodes.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))), name)
+    current = written(clean(nodes.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))))
     seen = None
     for _ in range(rounds or MAX_ROUNDS):
-        current = stage(clean(_small_star(clean(_large_star(current)))), name)
+        current = written(clean(_small_star(clean(_large_star(current)))))
         if rounds:
             continue
         state = current.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()

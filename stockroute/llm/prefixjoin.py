@@ -42,7 +42,7 @@ SHINGLE = 3
 PERCENT = 90
 FREQUENT = 1 << 16          # shingles with a place of their own at the end of the order
 CHUNK_SHINGLES = 4_000_000  # counted at a time for that
-LEAD_PLACES = 3             # shingles a group takes part with in the first round
+LEAD_TOKENS = 3             # shingles of a prefix, of least hash, for the first round and those of chance
 BUCKETS = 64                # of the histogram that bounds the difference of two sets
 PARITIES = 256              # bits that travel with the lists
 _Q = [f"q{k}" for k in range(PARITIES // 64)]
@@ -52,7 +52,9 @@ LIST_ROWS = 400_000
 LONG_LIST = 64              # classes of a list that takes part in the rounds of chance
 CHANCE_MATES = (8, 32)     # others that a class meets in each of them
 CHANCE_BLOCK = 4096
-FEW_ROUNDS = 2              # of components that only spare the last round some pairs
+CHANCE_YIELD = 8            # a round of chance with fewer links than 1 for so many rows is the last
+FEW_ROUNDS = 1              # of components that only spare the last round some pairs
+FILE_ROWS = 50_000          # documents for each file of a table
 LEAST = -(1 << 63)
 
 
@@ -127,10 +129,19 @@ def prefix_sizes(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
 
 
-_SKETCH = ("doc_id long, n long, s0 long, s1 long, p0 long, prefix array<long>, histogram binary, "
+_SKETCH = ("doc_id long, n long, s0 long, s1 long, p0 long, prefix array<long>, lead array<long>, histogram binary, "
            + ", ".join(f"{q} long" for q in _Q))
 
 
+def _least_hashed(doc: np.ndarray, key: np.ndarray, docs: int) -> pa.ListArray:
+    """The LEAD_TOKENS keys of least hash of each document."""
+    at = np.lexsort((ws.mix(key), doc))
+    cut = np.searchsorted(doc, np.arange(docs + 1))
+    some = np.minimum(np.diff(cut), LEAD_TOKENS)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some)]).astype(np.int32)),
+                                    pa.array(key[at][ws.ranges(cut[:-1], some)].view(np.int64)))
+
+
 def _sketch(order: Order, percent: int, shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -159,9 +170,10 @@ def _sketch(order: Order, percent: int, shingle: int):
                      pa.array((total[0][p_end] - total[0][cut[:-1]]).view(np.int64)),
                      pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(p)]).astype(np.int32)),
                                               pa.array(key[places].view(np.int64))),
+                     _least_hashed(doc[places], key[places], w.docs),
                      pa.array([hist[i:i + BUCKETS] for i in range(0, len(hist), BUCKETS)], pa.binary()),
                      *[pa.array(np.ascontiguousarray(odd[:, k])) for k in range(len(_Q))]],
-                    names=["doc_id", "n", "s0", "s1", "p0", "prefix", "histogram", *_Q])
+                    names=["doc_id", "n", "s0", "s1", "p0", "prefix", "lead", "histogram", *_Q])
     return run
 
 
@@ -204,7 +216,9 @@ def _by_lists(pairs, order: str, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
             c = {k: t[k].to_numpy() for k in ("token", "gid", "np", "tag")}
-            at = np.lexsort((c["gid"], -c["tag"], c["token"]) if order == "tag" else (c["np"], c["token"]))
+            # equal tags by chance, so that lists of one family have several leaders
+            at = np.lexsort((ws.mix((c["gid"] ^ c["token"]).view(np.uint64)), -c["tag"], c["token"]) if order == "tag"
+                            else (c["np"], c["token"]))
             odd = np.stack([t[q].to_numpy() for q in _Q], axis=1)[at].view(np.uint64)
             size = c["np"][at]
             before = [t[e].to_numpy()[at] for e in _E if e in t.column_names]
@@ -288,6 +302,26 @@ def _histogram_fits(percent: int):
     return run
 
 
+def _prefix_fits(percent: int):
+    """Keep pairs whose prefixes share enough, whatever the rest holds.
+
+    Shared shingles up to the end of the prefix that ends first are in both prefixes; of
+    those behind it there are at most as many as either set has there.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = []
+            for x, y, a, z in zip(b["pa"], b["pb"], b["na"].to_pylist(), b["nb"].to_pylist()):
+                x, y = (v.values.to_numpy().view(np.uint64) for v in (x, y))
+                end = min(x[-1], y[-1])
+                i, j = int(np.searchsorted(x, end, "right")), int(np.searchsorted(y, end, "right"))
+                both = np.sort(np.concatenate([x[:i], y[:j]]), kind="stable")
+                most = int((both[1:] == both[:-1]).sum()) + min(a - i, z - j)
+                ok.append((100 + percent) * most >= percent * (a + z))
+            yield pa.record_batch([b["ga"], b["gb"]], names=["ga", "gb"]).filter(pa.array(ok, pa.bool_()))
+    return run
+
+
 def _sets(order: Order, shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -331,27 +365,30 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
            .orderBy(F.desc("n"), "key").limit(frequent).toPandas())
     order = Order(top["key"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64))
     sketch = stage(src.mapInArrow(_sketch(order, percent, shingle), _SKETCH), "join-sketch")
+    # few rows aren't written in a file for every partition of a shuffle
+    files = max(docs.sparkSession.sparkContext.defaultParallelism, sketch.count() // FILE_ROWS)
     same = ["s0", "s1", "n"]
     one = sketch.where("n > 0")
-    classes = stage(one.groupBy(*same).agg(F.min(F.struct("doc_id", "p0", "prefix", "histogram", *_Q)).alias("m"),
+    classes = stage(one.groupBy(*same).agg(F.min(F.struct("doc_id", "p0", "prefix", "lead", "histogram", *_Q)).alias("m"),
                                            F.count("*").alias("copies"))
-                    .select(*same, F.col("m.doc_id").alias("cid"), "m.p0", "m.prefix", "m.histogram",
-                            *[f"m.{q}" for q in _Q], "copies"),
+                    .select(*same, F.col("m.doc_id").alias("cid"), "m.p0", "m.prefix", "m.lead", "m.histogram",
+                            *[f"m.{q}" for q in _Q], "copies").coalesce(files),
                     "join-classes")
-    groups = (classes.groupBy("n", "p0").agg(F.min(F.struct("cid", "prefix", *_Q)).alias("m"),
+    groups = (classes.groupBy("n", "p0").agg(F.min(F.struct("cid", "prefix", "lead", *_Q)).alias("m"),
                                              F.max("copies").alias("weight"), F.count("*").alias("members"))
-              .select("n", "p0", F.col("m.cid").alias("gid"), "m.prefix", "weight", "members",
+              .select("n", "p0", F.col("m.cid").alias("gid"), "m.prefix", "m.lead", "weight", "members",
                       *[f"m.{q}" for q in _Q]))
-    groups = stage(groups, "join-groups")
+    groups = stage(groups.coalesce(files), "join-groups")
     members = stage(classes.join(groups.select("n", "p0", "gid"), ["n", "p0"])
-                    .select("cid", "gid", "n", "copies", "histogram"), "join-members")
+                    .select("cid", "gid", "n", "copies", "histogram").coalesce(files), "join-members")
     rows_of = stage(sketch.select("doc_id", "n", "s0", "s1"), "join-rows")
     named = stage(classes.select(*same, "cid"), "join-named")
     release(sketch, classes)
 
     def postings(of: DataFrame, places, tag, before: int = 0) -> DataFrame:
+        # without the shingles before it a place tells nothing, and is 0
         place = F.transform(places, lambda x, i: F.struct(
-            i.alias("pos"), x.alias("token"),
+            (i if before else F.lit(0)).alias("pos"), x.alias("token"),
             *[F.coalesce(F.get(places, i - 1 - k), F.lit(0)).alias(_E[k]) for k in range(before)]))
         rows = of.select("gid", "n", "members", tag.alias("tag"), *_Q, F.inline(place))
         # size, place, and whether the group has several sets (and so no histogram of its own)
@@ -359,14 +396,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
         return (rows.select("token", "gid", packed.alias("np"), "tag", *_Q, *_E[:before])
                 .repartition("token").sortWithinPartitions("token"))
 
+    def fitting(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("ga").alias("gid")).unionByName(pairs.select(F.col("gb").alias("gid")))
+        held = stage(groups.select("gid", "n", "prefix").join(ends, "gid", "left_semi"), "join-prefixes")
+        side = lambda k: held.select(F.col("gid").alias("g" + k), F.col("n").alias("n" + k), F.col("prefix").alias("p" + k))
+        out = stage(pairs.join(side("a"), "ga").join(side("b"), "gb").mapInArrow(_prefix_fits(percent), "ga long, gb long"),
+                    "join-fitting")
+        release(pairs, held)
+        return out
+
     def links(pairs: DataFrame) -> DataFrame:
         side = lambda k: members.select(F.col("cid").alias(k), F.col("n").alias("n" + k), F.col("histogram").alias("h" + k))
         close = stage(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                       .distinct().join(side("a"), "a").join(side("b"), "b")
-                      .mapInArrow(_histogram_fits(percent), "a long, b long"), "join-close")
-        needed = close.select(F.col("a").alias("cid")).unionByName(close.select(F.col("b").alias("cid"))).distinct()
-        texts = src.join(needed, src["doc_id"] == needed["cid"]).select("doc_id", "text").dropDuplicates(["doc_id"])
-        sets = stage(texts.mapInArrow(_sets(order, shingle), "cid long, keys binary"), "join-sets")
+                      .mapInArrow(_histogram_fits(percent), "a long, b long").coalesce(files), "join-close")
+        needed = close.select(F.col("a").alias("cid")).unionByName(close.select(F.col("b").alias("cid")))
+        texts = src.join(needed, src["doc_id"] == needed["cid"], "left_semi").dropDuplicates(["doc_id"])
+        sets = stage(texts.coalesce(files).mapInArrow(_sets(order, shingle), "cid long, keys binary"), "join-sets")
         found = stage(close.join(sets.select(F.col("cid").alias("a"), F.col("keys").alias("ka")), "a")
                       .join(sets.select(F.col("cid").alias("b"), F.col("keys").alias("kb")), "b")
                       .mapInArrow(_verify(percent), "u long, v long"), "join-links")
@@ -375,31 +421,32 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
 
     lone = F.lit(LEAST)
     most = F.struct((-F.col("copies")).alias("few"), "cid")
-    lead = stage(members.groupBy("gid").agg(F.min(most).alias("l")).select("gid", F.col("l.cid").alias("lead")),
-                 "join-leads")
+    lead = stage(members.groupBy("gid").agg(F.min(most).alias("l")).select("gid", F.col("l.cid").alias("lead"))
+                 .coalesce(files), "join-leads")
     # first round: leading groups of each list; leading classes of both sides
-    first = (postings(groups, F.slice("prefix", 1, LEAD_PLACES), F.col("weight"))
-             .mapInArrow(_by_lists(_leader_pairs(percent), "tag", list_rows), "ga long, gb long").distinct())
+    # a prefix starts with what only its own text holds, and changes move its places: near
+    # copies rather share its shingles of least hash
+    first = (postings(groups, F.col("lead"), F.col("weight"))
+             .mapInArrow(_by_lists(_leader_pairs(percent), "tag", list_rows), "ga long, gb long").distinct().coalesce(files))
     first = stage(first, "join-first")
     m = members.select("gid", "cid")
     inside = m.join(lead, "gid").select(F.col("lead").alias("a"), F.col("cid").alias("b"))
     cross = [first.join(lead, F.col(x) == F.col("gid")).drop("gid").join(m, F.col(y) == F.col("gid"))
              .select(F.col("lead").alias("a"), F.col("cid").alias("b")) for x, y in (("ga", "gb"), ("gb", "ga"))]
     edges = links(inside.unionByName(cross[0]).unionByName(cross[1]))
-    comp = components(edges, "join-components", FEW_ROUNDS).select(F.col("node").alias("cid"), "component")
+    comp = components(edges, "join-components", FEW_ROUNDS, files).select(F.col("node").alias("cid"), "component")
     known = stage(members.join(comp, "cid", "left")
-                  .select("cid", "gid", F.coalesce("component", "cid").alias("component")), "join-known")
+                  .select("cid", "gid", F.coalesce("component", "cid").alias("component")).coalesce(files), "join-known")
     # rounds of chance: each class in a few of its lists, if they are long and have several components
     span = known.groupBy("gid").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    # the last places of a prefix hold what a family shares; what sets its members apart is rarer
-    last = F.slice("prefix", -F.least(F.size("prefix"), F.lit(LEAD_PLACES)), F.lit(LEAD_PLACES))
-    tokens = groups.join(span, "gid").select("gid", "members", "low", "high", F.explode(last).alias("token"))
+    tokens = groups.join(span, "gid").select("gid", "members", "low", "high", F.explode("lead").alias("token"))
     long_ = (tokens.groupBy("token").agg(F.sum("members").alias("rows"), F.min("low").alias("low"),
                                          F.max("high").alias("high"))
              .where((F.col("rows") > LONG_LIST) & (F.col("low") < F.col("high"))).select("token", "rows"))
     posts = stage(tokens.select("gid", "token").join(long_, "token").join(members.select("cid", "gid", "n"), "gid")
-                  .select("cid", "n", "token", "rows"), "join-long")
-    for turn, most_mates in enumerate(() if posts.isEmpty() else CHANCE_MATES):
+                  .select("cid", "n", "token", "rows").coalesce(files), "join-long")
+    many = posts.count()
+    for turn, most_mates in enumerate(CHANCE_MATES if many else ()):
         place = F.xxhash64("cid", F.lit(turn))
         dealt = posts.join(known.select("cid", "component"), "cid").select(
             "cid", "n", "component", "token", place.alias("place"),
@@ -412,25 +459,25 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
                       & (100 * F.least("n", "x.n") >= percent * F.greatest("n", "x.n")))
                .select(F.col("cid").alias("a"), F.col("x.cid").alias("b")))
         new = links(met)
-        if new.isEmpty():
-            break
         edges = edges.unionByName(new)
+        if new.count() * CHANCE_YIELD < many:
+            break
         of = known.select("cid", "component")
         joined = (new.join(of.select(F.col("cid").alias("u"), F.col("component").alias("cu")), "u")
                   .join(of.select(F.col("cid").alias("v"), F.col("component").alias("cv")), "v")
                   .select(F.col("cu").alias("u"), F.col("cv").alias("v")))
-        merged = components(joined, "join-chance", FEW_ROUNDS).select(F.col("node").alias("component"), F.col("component").alias("to"))
+        merged = components(joined, "join-chance", FEW_ROUNDS, files).select(F.col("node").alias("component"), F.col("component").alias("to"))
         before = known
         known = stage(before.join(merged, "component", "left")
-                      .select("cid", "gid", F.coalesce("to", "component").alias("component")), "join-known")
+                      .select("cid", "gid", F.coalesce("to", "component").alias("component")).coalesce(files), "join-known")
         release(before)
     release(posts)
     # last round: whatever could still join two components
     state = known.groupBy("gid").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     state = state.select("gid", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(lone).alias("comp"))
     second = (postings(groups.join(state, "gid"), F.col("prefix"), F.col("comp"), BEFORE)
-              .mapInArrow(_by_lists(_open_pairs(percent), "size", list_rows), "ga long, gb long").distinct())
-    second = stage(second, "join-second")
+              .mapInArrow(_by_lists(_open_pairs(percent), "size", list_rows), "ga long, gb long").distinct().coalesce(files))
+    second = fitting(stage(second, "join-second"))
     k = known.select(F.col("gid").alias("g"), "cid", "component")
     wide = (second.join(k.select(F.col("g").alias("ga"), F.col("cid").alias("a"), F.col("component").alias("ca")), "ga")
             .join(k.select(F.col("g").alias("gb"), F.col("cid").alias("b"), F.col("component").alias("cb")), "gb")
@@ -441,7 +488,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
              .join(own.select("gid", F.col("cid").alias("b"), F.col("component").alias("cb")), "gid")
              .where("a < b and ca <> cb").select("a", "b"))
     more = links(wide.unionByName(inner))
-    comp = components(edges.unionByName(more), "join-components").select(F.col("node").alias("cid"), "component")
+    comp = components(edges.unionByName(more), "join-components", files=files).select(F.col("node").alias("cid"), "component")
     release(groups, members, known, first, second, lead)
     of_class = stage(named.join(comp, "cid", "left")
                      .select(*same, "cid", F.coalesce("component", "cid").alias("component")), "join-result")

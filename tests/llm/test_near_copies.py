@@ -94,6 +94,57 @@ def test_a_pair_is_made_in_few_of_its_lists():
     assert _made([[5, 7], [5, 8]]) == [(0, 1)] and _made([[0, 5], [5, 0]]) != []
 
 
+def test_lists_of_a_mid_sized_family_leave_few_pairs_to_verify(spark, monkeypatch):
+    """Families of long texts, too small for the rounds of chance, whose members mostly link."""
+    rnd, rows, closed = random.Random(3), [], []
+    for family in range(6):
+        base = [f"f{family}w{rnd.randrange(10 ** 6)}" for _ in range(300)]
+        for i in range(40):
+            w = list(base)
+            for _ in range(3):
+                w[rnd.randrange(300)] = f"x{rnd.randrange(10 ** 9)}"
+            rows.append((100 * family + i, " ".join(w)))
+    stage = prefixjoin.stage
+
+    def counted(df, name):
+        out = stage(df, name)
+        if name == "join-close":
+            closed.append(out.count())
+        return out
+    monkeypatch.setattr(prefixjoin, "stage", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"])
+           for r in prefixjoin.near_duplicates(docs, percent=80, shingle=5).collect()}
+    assert got == _linked(rows, 80, 5)
+    assert sum(closed) < 6 * len(rows)         # of 4,680 inside the families
+
+
+def _fits(x, y, na, nb, percent):
+    row = {"ga": 1, "gb": 2, "na": na, "nb": nb, "pa": x, "pb": y}
+    schema = pa.schema([("ga", pa.int64()), ("gb", pa.int64()), ("na", pa.int64()), ("nb", pa.int64()),
+                        ("pa", pa.list_(pa.int64())), ("pb", pa.list_(pa.int64()))])
+    batch = pa.RecordBatch.from_pylist([row], schema=schema)
+    return sum(b.num_rows for b in prefixjoin._prefix_fits(percent)(iter([batch]))) == 1
+
+
+def test_prefixes_that_share_too_little_are_left_out():
+    rnd = random.Random(5)
+    for percent in (80, 90):
+        kept = 0
+        for _ in range(400):
+            x = sorted(rnd.sample(range(130), 100))
+            y = sorted({*x[rnd.randrange(12):]} ^ {rnd.randrange(130) for _ in range(rnd.randrange(30))})
+            p, q = (v[:len(v) - -(-percent * len(v) // 100) + 1] for v in (x, y))
+            # the order is that of unsigned keys
+            as_long = lambda v: [k - (1 << 63) if k > 64 else k for k in v]
+            linked = 100 * len(set(x) & set(y)) >= percent * len(set(x) | set(y))
+            ok = _fits(as_long(p), as_long(q), len(x), len(y), percent)
+            assert ok or not linked
+            kept += ok
+        assert kept < 400
+    assert not _fits([1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11], [1, *range(20, 30)], 100, 100, 90)
+
+
 def test_components_that_stop_early_stay_inside_the_real_ones(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100 + i, 101 + i) for i in range(3)], "u long, v long")
     rows = components(edges, rounds=1).collect()
