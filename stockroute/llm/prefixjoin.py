@@ -7,16 +7,17 @@ their first n - ceil(t n) + 1 (the prefix).
 
 1.  Equal sets are one class; classes of equal size and prefix are one group.
 2.  Groups meet in the lists of their prefix shingles.  In a first round each
-    list only pairs its leading group with the others by their first few
-    shingles; the links found join the bulk of large near-copy families.
+    list only pairs its leading group with the others by their few shingles of
+    least hash; the links found join the bulk of near-copy families.
 3.  Families that stay apart in long lists are joined by rounds of chance: a class
-    meets some others of its longest list in a seeded order, and links are verified.
-    A round is linear in the classes.
+    meets some others of its long lists in a seeded order, and links are verified.
+    A round is linear in the classes; one with few links is the last.
 4.  In the last round every list pairs all its groups whose components still
     differ, under the size and position filters and a lower bound on the
     difference of their sets (parities of 256 buckets travel along: two sets
     differ in at least as many shingles as in parities), so no link between
-    different components can be missed.
+    different components can be missed.  Their prefixes then bound from above
+    what two sets share.
 5.  Group pairs are expanded to class pairs, pruned by an exact lower bound on
     the difference of the sets, and verified on the whole sets.
 
