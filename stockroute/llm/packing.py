@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockroute.llm import wordscan as ws
-from stockroute.llm.staging import stage
+from stockroute.llm.staging import map_batches, stage
 
 CAPACITY = 2048
 SLACK = 3               # a sequence this close to full is emitted at once
@@ -230,7 +230,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
                      pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return src.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return map_batches(src, run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -324,7 +324,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, slack: int = SLACK,
     rows = numbered.where(~full)            # the first round packs each partition
     level, groups, before = 0, 0, None
     while True:
-        packed = stage(rows.mapInArrow(_round(level, capacity, 4 * group_items), _PLACED), f"pack-{level}")
+        packed = stage(map_batches(rows, _round(level, capacity, 4 * group_items), _PLACED), f"pack-{level}")
         # at most a row for each fill
         fills = {r["fill"]: r["n"] for r in packed.where(F.col("fill") < capacity - slack)
                  .groupBy("fill").agg(F.count_distinct("bin").alias("n")).collect()}

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from stockroute.llm import wordscan as ws
 from stockroute.llm.components import components
-from stockroute.llm.staging import release, stage
+from stockroute.llm.staging import map_batches, release, small_batches, stage
 
 SHINGLE = 3
 PERCENT = 90
@@ -88,10 +88,14 @@ def _frequent(chunk: int, shingle: int):
         held, size = [], 0
 
         def counted() -> pa.RecordBatch:
-            key, n = np.unique(np.concatenate(held), return_counts=True)
-            often = n >= 4
-            return pa.record_batch([pa.array(key[often].view(np.int64)), pa.array(n[often].astype(np.int64))],
-                                   names=["key", "n"])
+            g = np.concatenate(held)
+            held.clear()
+            g.sort()                    # in place: a chunk is large
+            new = np.ones(len(g), bool)
+            new[1:] = g[1:] != g[:-1]
+            at = np.flatnonzero(new[:-3] & (g[3:] == g[:-3]))
+            n = np.searchsorted(g, g[at], side="right") - at
+            return pa.record_batch([pa.array(g[at].view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
         for b in batches:
             for w in ws.scan(b["text"], lower=True):
                 g = _distinct(*shingle_rows(w, shingle))[1]
@@ -99,7 +103,7 @@ def _frequent(chunk: int, shingle: int):
                 size += len(g)
                 if size >= chunk:
                     yield counted()
-                    held, size = [], 0
+                    size = 0
         if size:
             yield counted()
     return run
@@ -362,10 +366,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
     """
     src = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(LEAST)).alias("doc_id"),
                       docs["text"].alias("text"))
-    top = (src.mapInArrow(_frequent(chunk, shingle), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "key").limit(frequent).toPandas())
+    top = (map_batches(src, _frequent(chunk, shingle), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+           .orderBy(F.desc("n"), "key").limit(frequent))
+    with small_batches(docs.sparkSession):
+        top = top.toPandas()
     order = Order(top["key"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64))
-    sketch = stage(src.mapInArrow(_sketch(order, percent, shingle), _SKETCH), "join-sketch")
+    sketch = stage(map_batches(src, _sketch(order, percent, shingle), _SKETCH), "join-sketch")
     # few rows aren't written in a file for every partition of a shuffle
     files = max(docs.sparkSession.sparkContext.defaultParallelism, sketch.count() // FILE_ROWS)
     same = ["s0", "s1", "n"]
@@ -401,22 +407,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
         ends = pairs.select(F.col("ga").alias("gid")).unionByName(pairs.select(F.col("gb").alias("gid")))
         held = stage(groups.select("gid", "n", "prefix").join(ends, "gid", "left_semi"), "join-prefixes")
         side = lambda k: held.select(F.col("gid").alias("g" + k), F.col("n").alias("n" + k), F.col("prefix").alias("p" + k))
-        out = stage(pairs.join(side("a"), "ga").join(side("b"), "gb").mapInArrow(_prefix_fits(percent), "ga long, gb long"),
-                    "join-fitting")
+        out = stage(map_batches(pairs.join(side("a"), "ga").join(side("b"), "gb"), _prefix_fits(percent),
+                                "ga long, gb long"), "join-fitting")
         release(pairs, held)
         return out
 
     def links(pairs: DataFrame) -> DataFrame:
         side = lambda k: members.select(F.col("cid").alias(k), F.col("n").alias("n" + k), F.col("histogram").alias("h" + k))
-        close = stage(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                      .distinct().join(side("a"), "a").join(side("b"), "b")
-                      .mapInArrow(_histogram_fits(percent), "a long, b long").coalesce(files), "join-close")
+        both = (pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+                .distinct().join(side("a"), "a").join(side("b"), "b"))
+        close = stage(map_batches(both, _histogram_fits(percent), "a long, b long").coalesce(files), "join-close")
         needed = close.select(F.col("a").alias("cid")).unionByName(close.select(F.col("b").alias("cid")))
         texts = src.join(needed, src["doc_id"] == needed["cid"], "left_semi").dropDuplicates(["doc_id"])
-        sets = stage(texts.coalesce(files).mapInArrow(_sets(order, shingle), "cid long, keys binary"), "join-sets")
-        found = stage(close.join(sets.select(F.col("cid").alias("a"), F.col("keys").alias("ka")), "a")
-                      .join(sets.select(F.col("cid").alias("b"), F.col("keys").alias("kb")), "b")
-                      .mapInArrow(_verify(percent), "u long, v long"), "join-links")
+        sets = stage(map_batches(texts.coalesce(files), _sets(order, shingle), "cid long, keys binary"), "join-sets")
+        whole = (close.join(sets.select(F.col("cid").alias("a"), F.col("keys").alias("ka")), "a")
+                 .join(sets.select(F.col("cid").alias("b"), F.col("keys").alias("kb")), "b"))
+        found = stage(map_batches(whole, _verify(percent), "u long, v long"), "join-links")
         release(close, sets)
         return found
 
@@ -427,8 +433,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
     # first round: leading groups of each list; leading classes of both sides
     # a prefix starts with what only its own text holds, and changes move its places: near
     # copies rather share its shingles of least hash
-    first = (postings(groups, F.col("lead"), F.col("weight"))
-             .mapInArrow(_by_lists(_leader_pairs(percent), "tag", list_rows), "ga long, gb long").distinct().coalesce(files))
+    first = (map_batches(postings(groups, F.col("lead"), F.col("weight")),
+                         _by_lists(_leader_pairs(percent), "tag", list_rows), "ga long, gb long").distinct().coalesce(files))
     first = stage(first, "join-first")
     m = members.select("gid", "cid")
     inside = m.join(lead, "gid").select(F.col("lead").alias("a"), F.col("cid").alias("b"))
@@ -476,8 +482,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, frequent: int = FRE
     # last round: whatever could still join two components
     state = known.groupBy("gid").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     state = state.select("gid", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(lone).alias("comp"))
-    second = (postings(groups.join(state, "gid"), F.col("prefix"), F.col("comp"), BEFORE)
-              .mapInArrow(_by_lists(_open_pairs(percent), "size", list_rows), "ga long, gb long").distinct().coalesce(files))
+    second = (map_batches(postings(groups.join(state, "gid"), F.col("prefix"), F.col("comp"), BEFORE),
+                          _by_lists(_open_pairs(percent), "size", list_rows), "ga long, gb long").distinct().coalesce(files))
     second = fitting(stage(second, "join-second"))
     k = known.select(F.col("gid").alias("g"), "cid", "component")
     wide = (second.join(k.select(F.col("g").alias("ga"), F.col("cid").alias("a"), F.col("component").alias("ca")), "ga")

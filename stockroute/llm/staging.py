@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from stockroute.session import ensure_checkpoint_dir
@@ -15,6 +19,41 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _BATCH, _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "2000"
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Plans that run inside send texts to Python in small batches."""
+    before = spark.conf.get(_BATCH, "10000")
+    spark.conf.set(_BATCH, _BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
+def give_back() -> None:
+    """Return the freed memory of this process to the system, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):
+        pass
+
+
+def map_batches(df: DataFrame, each: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                schema) -> DataFrame:
+    """``mapInArrow`` whose tasks leave no freed memory behind.
+
+    Python workers outlive their tasks and keep what these freed, so that without it all
+    workers of a long job stay as large as the largest task that they ever ran.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from each(batches)
+        finally:
+            give_back()
+    return df.mapInArrow(run, schema)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder below ``spark.checkpoint.dir`` and read it back.
 
@@ -24,14 +63,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEANUP, "false"), spark.conf.get(_BATCH, "10000")
+    before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
-    spark.conf.set(_BATCH, _BATCH_ROWS)
     try:
-        df.write.parquet(path)
+        with small_batches(spark):
+            df.write.parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before[0])
-        spark.conf.set(_BATCH, before[1])
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out

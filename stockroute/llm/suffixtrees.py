@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockroute.llm import wordscan as ws
-from stockroute.llm.staging import release, stage
+from stockroute.llm.staging import map_batches, release, stage
 
 WIDTH = 20
 SEED_WORDS = 8
@@ -240,7 +240,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, seed: int = SEED_WORDS,
 
     ``docs`` is (doc_id long without null, text).
     """
-    outline = stage(docs.mapInArrow(_outline(width, seed), _OUTLINE), "suffix-outline")
+    outline = stage(map_batches(docs, _outline(width, seed), _OUTLINE), "suffix-outline")
     same = ["key0", "key1", "n_words"]
     first = stage(outline.groupBy(*same).agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
                   .where("n > 1").drop("n"), "suffix-first")
@@ -257,8 +257,8 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, seed: int = SEED_WORDS,
     places = stage(fresh.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("place").alias("places")),
                    "suffix-places")
     release(fresh, shared)
-    filed = stage(docs.join(places, "doc_id").select("doc_id", "text", "places")
-                  .mapInArrow(_stretches(width, seed), _STRETCH), "suffix-stretches")
+    filed = stage(map_batches(docs.join(places, "doc_id").select("doc_id", "text", "places"),
+                              _stretches(width, seed), _STRETCH), "suffix-stretches")
     release(places)
     # only places are filed; of equal stretches the earliest one's words are read again
     same = ["k0", "c0", "c1"]
@@ -269,8 +269,8 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, seed: int = SEED_WORDS,
              .select("doc_id", F.col("start").alias("lo"), (F.col("start") + F.col("windows") + (width - 1)).alias("hi")))
     chosen = (lead.groupBy("doc_id").agg(F.collect_list(F.struct("k0", "start", "windows")).alias("x"))
               .select("doc_id", "x.k0", "x.start", "x.windows"))
-    words = stage(docs.join(chosen, "doc_id").select("doc_id", "text", "k0", "start", "windows")
-                  .mapInArrow(_stretch_words(width), _WORDS), "suffix-words")
+    words = stage(map_batches(docs.join(chosen, "doc_id").select("doc_id", "text", "k0", "start", "windows"),
+                              _stretch_words(width), _WORDS), "suffix-words")
     big = stage(lead.groupBy("k0").agg(F.count("*").alias("n")).where(F.col("n") > heavy)
                 .select("k0", F.lit(True).alias("big")), "suffix-heavy")
     words_of = words.join(big, "k0", "left")
@@ -278,10 +278,10 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, seed: int = SEED_WORDS,
     size = words.agg(F.sum(F.length("words") + 40)).first()[0] or 0
     n = max(1, int(size // PARTITION_BYTES) + 1,
             int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) if size > (1 << 20) else 1)
-    trees = (light.repartition(n, "k0").sortWithinPartitions("k0")
-             .mapInArrow(_subtrees(width, run_windows), "doc_id long, lo int, hi int"))
-    deep = stage(words_of.where("big").select("doc_id", "start", "windows", "words")
-                 .mapInArrow(_windows(width), _WINDOWS), "suffix-windows")
+    trees = map_batches(light.repartition(n, "k0").sortWithinPartitions("k0"),
+                        _subtrees(width, run_windows), "doc_id long, lo int, hi int")
+    deep = stage(map_batches(words_of.where("big").select("doc_id", "start", "windows", "words"),
+                             _windows(width), _WINDOWS), "suffix-windows")
     earliest = stage(deep.groupBy("k0", "k1").agg(F.min(F.struct("doc_id", "start")).alias("e"),
                                                   F.count("*").alias("n")).where("n > 1").drop("n"), "suffix-deep")
     later = (deep.join(earliest, ["k0", "k1"])
@@ -290,13 +290,13 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, seed: int = SEED_WORDS,
     return copies.unionByName(equal).unionByName(trees).unionByName(later)
 
 
-def _strip(keep: list[str]):
+def _strip(keep: list[str], text: str):
+    """The kept columns and what stays of ``text``, block by block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lo, cut = _list_column(b["sf_lo"])
             hi, _ = _list_column(b["sf_hi"])
-            texts, words, removed = [], [], []
-            for w in ws.scan(b["sf_text"]):
+            for w in ws.scan(b[text]):
                 first, last = w.first, w.first + w.docs
                 own = np.diff(cut[first:last + 1])
                 base, end = np.repeat(w.bounds[:-1], own), np.repeat(w.bounds[1:], own)
@@ -313,14 +313,11 @@ def _strip(keep: list[str]):
                 kept = np.concatenate([[0], np.cumsum(stay)])[w.bounds]
                 a, z = total[kept[:-1]], total[kept[1:]]
                 raw = flat.tobytes()
-                texts.extend(raw[i:max(i, j - 1)].decode() for i, j in zip(a.tolist(), z.tolist()))
-                words.append(np.diff(w.bounds))
-                removed.append(np.diff(w.bounds) - np.diff(kept))
-            yield pa.RecordBatch.from_arrays(
-                [*[b[c] for c in keep], pa.array(texts, pa.string()),
-                 pa.array(np.concatenate(words) if words else np.zeros(0, np.int64)),
-                 pa.array(np.concatenate(removed) if removed else np.zeros(0, np.int64))],
-                names=[*keep, "sf_kept", "sf_n_words", "sf_n_removed"])
+                texts = [raw[i:max(i, j - 1)].decode() for i, j in zip(a.tolist(), z.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [*[b[c].slice(first, w.docs) for c in keep], pa.array(texts, pa.string()),
+                     pa.array(np.diff(w.bounds)), pa.array(np.diff(w.bounds) - np.diff(kept))],
+                    names=[*keep, "sf_kept", "sf_n_words", "sf_n_removed"])
     return run
 
 
@@ -341,11 +338,14 @@ def remove_repeats(docs: DataFrame, keep: list[str] | None = None, width: int =
     spans = stage(spans.groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("s"))
                   .select(F.col("doc_id").alias("sf_id"), F.col("s.lo").alias("sf_lo"), F.col("s.hi").alias("sf_hi")),
                   "suffix-spans")
-    src = docs.select(*[docs[c] for c in keep], docs["text"].alias("sf_text"), key.alias("sf_key"))
+    # a text that is kept is carried once
+    text = "text" if "text" in keep else "sf_text"
+    own = [*keep, *([] if text in keep else [text])]
+    src = docs.select(*[docs["text"].alias(c) if c == text else docs[c] for c in own], key.alias("sf_key"))
     none = F.array().cast("array<int>")
     joined = src.join(spans, F.col("sf_key") == F.col("sf_id"), "left").select(
-        *[src[c] for c in keep], "sf_text", F.coalesce("sf_lo", none).alias("sf_lo"),
+        *[src[c] for c in own], F.coalesce("sf_lo", none).alias("sf_lo"),
         F.coalesce("sf_hi", none).alias("sf_hi"))
     schema = (docs.select(*[docs[c] for c in keep]).schema.add("sf_kept", "string")
               .add("sf_n_words", "long").add("sf_n_removed", "long"))
-    return joined.mapInArrow(_strip(keep), schema)
+    return map_batches(joined, _strip(keep, text), schema)

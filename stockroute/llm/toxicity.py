@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockroute.llm import wordscan as ws
-from stockroute.llm.staging import stage
+from stockroute.llm.staging import map_batches, small_batches, stage
 
 PREFIXES = (3, 4, 5, 6)
 THRESHOLD = 0.3
@@ -73,13 +73,15 @@ class Model:
         pair = np.unique(doc * len(self.keys) + at[hit])
         return pair // len(self.keys), pair % len(self.keys)
 
-    def scores(self, texts: pa.Array) -> np.ndarray:
-        out = []
+    def block_scores(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+        """Of each block of texts: the first one's place and the scores."""
         for words in ws.scan(texts, lower=True, is_word=_LETTER):
             doc, at = self.present(words)
             z = np.bincount(doc, self.weights[at], words.docs) + self.bias
-            out.append(1.0 / (1.0 + np.exp(-np.clip(z, -60, 60))))
-        return np.concatenate(out) if out else np.zeros(0)
+            yield words.first, 1.0 / (1.0 + np.exp(-np.clip(z, -60, 60)))
+
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        return np.concatenate([np.zeros(0), *(s for _, s in self.block_scores(texts))])
 
 
 def nnpu_fit(docs: list[np.ndarray], positive: np.ndarray, n_features: int, prior: float,
@@ -135,7 +137,7 @@ def _feature_counts(docs: DataFrame, positive: DataFrame, min_texts: int) -> Dat
     fixed size, so that most others are not shuffled; the join leaves out the rest.
     """
     count = "f long, n long"
-    known = stage(docs.join(positive, "doc_id", "left_semi").select("text").mapInArrow(_count_features(), count)
+    known = stage(map_batches(docs.join(positive, "doc_id", "left_semi").select("text"), _count_features(), count)
                   .groupBy("f").agg(F.sum("n").alias("p")).where(F.col("p") >= min_texts), "pu-features")
     words = (known.withColumn("place", F.col("f").bitwiseAND(F.lit(MARKS - 1)))
              .groupBy(F.shiftright("place", 6).alias("w"))
@@ -144,7 +146,7 @@ def _feature_counts(docs: DataFrame, positive: DataFrame, min_texts: int) -> Dat
     for r in words.collect():           # at most MARKS / 64 rows
         marks[r["w"]] = np.int64(r["bits"]).view(np.uint64)
     shared = docs.sparkSession.sparkContext.broadcast(marks)
-    everywhere = (docs.select("text").mapInArrow(lambda batches: _count_features(shared.value)(batches), count)
+    everywhere = (map_batches(docs.select("text"), lambda batches: _count_features(shared.value)(batches), count)
                   .groupBy("f").agg(F.sum("n").alias("u")))
     return known.join(everywhere, "f")
 
@@ -189,7 +191,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_unlabe
     z = (F.col("p") / n_p - F.col("u") / n_u) / F.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u))
     precision = prior * F.col("p") / n_p / ((F.col("u") + F.sqrt("u") + 1) / n_u)
     best = (counts.where(share < 1).withColumn("z", z)
-            .where((F.col("z") >= min_z) & (precision >= min_precision)).orderBy(F.desc("z"), "f").limit(max_features).select("f").collect())
+            .where((F.col("z") >= min_z) & (precision >= min_precision)).orderBy(F.desc("z"), "f").limit(max_features).select("f"))
+    with small_batches(docs.sparkSession):
+        best = best.collect()
     keys = np.sort(np.array([r["f"] for r in best], np.int64).view(np.uint64))
     if not len(keys):
         return none
@@ -205,7 +209,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_unlabe
                      pa.ListArray.from_arrays(pa.array(cut), pa.array(at.astype(np.int32)))],
                     names=["positive", "at"])
 
-    got = sample.mapInArrow(rows, "positive boolean, at array<int>").collect()
+    with small_batches(docs.sparkSession):
+        got = map_batches(sample, rows, "positive boolean, at array<int>").collect()
     weights, bias = nnpu_fit([np.array(r["at"], np.int64) for r in got],
                              np.array([r["positive"] for r in got], bool), len(keys),
                              prior * prior_share)
@@ -217,14 +222,16 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     Null and empty texts hold no feature and get the model's base score.
     """
-    text = docs["text"].alias("pu_text")
-    src = docs.select(*[docs[c] for c in keep], text)
+    # a text that is kept is sent once, and goes back block by block
+    at = keep.index("text") if "text" in keep else len(keep)
+    src = docs.select(*[docs[c] for c in keep], *([] if "text" in keep else [docs["text"].alias("pu_text")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array(model.scores(b.columns[-1]))],
-                names=[*keep, "pu_score"])
+            for first, scores in model.block_scores(b.column(at)):
+                own = b.slice(first, len(scores))
+                yield pa.RecordBatch.from_arrays([*own.columns[:len(keep)], pa.array(scores)],
+                                                 names=[*keep, "pu_score"])
 
     schema = docs.select(*[docs[c] for c in keep]).schema.add("pu_score", "double")
-    return src.mapInArrow(run, schema)
+    return map_batches(src, run, schema)
