@@ -33,14 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockroute.llm import wordscan as ws
-from stockroute.llm.staging import release, stage
+from stockroute.llm.staging import map_batches, map_groups, release, stage
 
 TOP = 5                     # counts up to this are discounted by Good-Turing
 KEEP = 0.999                # of larger counts
 HEAVY_PARTS = 512
 CHUNK_TOKENS = 1_000_000    # packed at a time by a task
 BUCKET_TOKENS = 1_600_000
-ENTRY_RUN = 500_000
+ENTRY_RUN = 200_000         # entries of a bucket unpacked at a time
+OUT_ROWS = 1 << 16          # of a batch sent back
 START, END = np.uint64(1), np.uint64(2)
 LEAST = -(1 << 63)
 
@@ -68,8 +69,12 @@ def _word_counts(chunk: int):
         held, size = [], 0
 
         def counted():
-            key, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.record_batch([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["w", "c"])
+            key = np.concatenate(held)
+            held.clear()
+            key.sort()                  # in place: no copy of the chunk beside it
+            at = np.flatnonzero(_heads(key))
+            return pa.record_batch([pa.array(key[at].view(np.int64)), pa.array(np.diff(np.append(at, len(key))))],
+                                   names=["w", "c"])
         for b in batches:
             for w in ws.scan(b["text"], lower=True):
                 t = tokens(w)[1]
@@ -77,7 +82,7 @@ def _word_counts(chunk: int):
                 size += len(t)
                 if size >= chunk:
                     yield counted()
-                    held, size = [], 0
+                    size = 0
         if size:
             yield counted()
     return run
@@ -131,7 +136,7 @@ class Unigrams:
 
 
 def unigrams(train: DataFrame, chunk: int) -> Unigrams:
-    table = stage(train.mapInArrow(_word_counts(chunk), "w long, c long").groupBy("w").agg(F.sum("c").alias("c")),
+    table = stage(map_batches(train, _word_counts(chunk), "w long, c long").groupBy("w").agg(F.sum("c").alias("c")),
                   "katz-words")
     s = table.agg(F.sum("c").alias("n"), F.count("*").alias("types"),
                   *[F.count(F.when(F.col("c") == r, 1)).alias(f"n{r}") for r in range(1, TOP + 2)]).first()
@@ -202,20 +207,31 @@ def _pack(buckets: int, uni: Unigrams, pairs: Lookup, chunk: int):
         held, docs, size, n_docs = [], [], 0, 0
 
         def packed() -> Iterator[pa.RecordBatch]:
-            doc, word, history = (np.concatenate(x) for x in zip(*held))
+            history, word, doc = (np.concatenate([x.pop() for x in held]) for _ in range(3))
+            held.clear()
             uid, doc_id, train = (np.concatenate(x) for x in zip(*docs))
+            docs.clear()
             place = ws.mix(word)
             wide = uni.heavy(word) > 0
             place[wide] = pair_keys(word[wide], history[wide])
             some = np.flatnonzero(wide)
             all_over = some[pairs(place[some]) > 0]
             place[all_over] = np.uint64(int(uid[0]) & ((1 << 63) - 1))
-            bucket = (place % np.uint64(buckets)).astype(np.int64)
+            place %= np.uint64(buckets)
+            bucket = place.astype(np.int32)
+            del place, wide, some, all_over
             order = np.lexsort((doc, history, word, bucket))
-            doc, word, history, bucket = doc[order], word[order], history[order], bucket[order]
-            entry = np.flatnonzero(_heads(bucket, word, history, doc))
-            times = np.diff(np.append(entry, len(doc)))
-            doc, word, history, bucket = doc[entry], word[entry], history[entry], bucket[entry]
+            each = [doc, word, history, bucket]
+            del doc, word, history, bucket
+            for i in range(len(each)):          # one after the other: few copies at once
+                each[i] = each[i][order]
+            del order
+            entry = np.flatnonzero(_heads(*each))
+            times = np.diff(np.append(entry, len(each[0]))).astype(np.int32)
+            for i in range(len(each)):
+                each[i] = each[i][entry]
+            doc, word, history, bucket = each
+            del each, entry
             cut = np.searchsorted(bucket, np.arange(buckets + 1))
             for k in range(buckets):
                 a, z = cut[k], cut[k + 1]
@@ -237,12 +253,12 @@ def _pack(buckets: int, uni: Unigrams, pairs: Lookup, chunk: int):
                     z = min(w.docs, a + (1 << 15))
                     if size and (size >= chunk or n_docs + z - a > (1 << 16)):
                         yield from packed()
-                        held, docs, size, n_docs = [], [], 0, 0
+                        size = n_docs = 0
                     doc, word, history = tokens(w)
                     if (a, z) != (0, w.docs):
                         mine = (doc >= a) & (doc < z)
                         doc, word, history = doc[mine], word[mine], history[mine]
-                    held.append((doc - a + n_docs, word, history))
+                    held.append([(doc - a + n_docs).astype(np.uint16), word, history])
                     rows = slice(w.first + a, w.first + z)
                     docs.append(tuple(np.asarray(b[c].to_numpy(zero_copy_only=False))[rows]
                                       for c in ("uid", "doc_id", "train")))
@@ -258,80 +274,104 @@ _SUMS = ("kind int, id long, doc_id long, n long, k1 long, k2 long, k3 long, k4
          "big long, f1 double, f2 double")
 
 
-def _sums(kind: int, **cols) -> pa.Table:
-    n = len(cols["id"])
+def _sums(kind: int, **cols) -> Iterator[pa.RecordBatch]:
     names = [c.split() for c in _SUMS.split(", ")]
-    out = []
-    for name, t in names:
-        v = np.full(n, kind, np.int32) if name == "kind" else cols.get(name)
-        kind_of = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64()}[t]
-        out.append(pa.array(np.zeros(n, np.int64) if v is None else v).cast(kind_of))
-    return pa.table(out, names=[c for c, _ in names])
+    types = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
+    total = len(cols["id"])
+    for a in range(0, total, OUT_ROWS):
+        n = min(OUT_ROWS, total - a)
+        same = {t: pa.array(np.full(n, kind if t == "int" else 0)).cast(types[t]) for t in types}
+        yield pa.record_batch([same[t] if c not in cols else pa.array(cols[c][a:a + n]).cast(types[t]) for c, t in names],
+                              names=[c for c, _ in names])
+
+
+def _runs(payloads: list[pa.Buffer]) -> Iterator[dict[str, np.ndarray]]:
+    """The blobs of a bucket unpacked and joined, about ENTRY_RUN entries at a time."""
+    def joined():
+        shift = np.cumsum([0] + [len(b["uid"]) for b in held[:-1]], dtype=np.int32)
+        out = {name: np.concatenate([b[name] for b in held]) for name, _ in _PARTS if name != "doc"}
+        out["doc"] = np.concatenate([b["doc"].astype(np.int32) + s for b, s in zip(held, shift)])
+        held.clear()
+        return out
+
+    held, size = [], 0
+    for x in payloads:
+        held.append(_load(x))
+        size += len(held[-1]["doc"])
+        if size >= ENTRY_RUN:
+            yield joined()
+            size = 0
+    if held:
+        yield joined()
 
 
 def _solve(uni: Unigrams, pairs: Lookup):
-    def run(group: pa.Table) -> pa.Table:
-        blobs = [_load(x.as_buffer()) for c in group["payload"].chunks for x in c]
-        cat = lambda name: np.concatenate([b[name] for b in blobs])
-        shift = np.cumsum([0] + [len(b["uid"]) for b in blobs[:-1]])
-        doc = np.concatenate([b["doc"].astype(np.int32) + np.int32(s) for b, s in zip(blobs, shift)])
-        times, train = cat("times"), cat("train")
-        word = np.repeat(cat("word"), cat("pairs"))
-        history, entries = cat("history"), cat("entries")
-        uid, doc_id = cat("uid"), cat("doc_id")
-        del blobs
-        stop = np.cumsum(entries)
-        mine = np.add.reduceat(times * train[doc], stop - entries, dtype=np.int64)
-        # the same pair from several blobs
+    """All sums of a bucket.  Its blobs stay packed and are read twice, run by run: for the
+    counts of its pairs, and for its documents, each of which is in one blob alone."""
+    def counted(payloads) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct pairs with their training counts; which of them each pair of a blob is."""
+        found = []
+        for b in _runs(payloads):
+            start = np.cumsum(b["entries"]) - b["entries"]
+            found.append([np.add.reduceat(b["times"] * b["train"][b["doc"]], start, dtype=np.int64),
+                          b["history"], np.repeat(b["word"], b["pairs"])])
+        word, history, mine = (np.concatenate([x.pop() for x in found]) for _ in range(3))
         order = np.lexsort((history, word))
-        head = _heads(word[order], history[order])
-        of = np.empty(len(word), np.int64)
-        of[order] = np.cumsum(head) - 1
-        word, history = word[order][head], history[order][head]
-        known = pairs(pair_keys(word, history))
-        r = np.bincount(of, mine, len(word)).astype(np.int64)
-        lead = _heads(word)
-        at = np.cumsum(lead) - 1
-        c_word = np.bincount(at, r, int(lead.sum())).astype(np.int64)
+        word, history = word[order], history[order]
+        head = _heads(word, history)
+        of = np.empty(len(order), np.int32)
+        of[order] = np.cumsum(head, dtype=np.int32) - 1
+        at = np.flatnonzero(head)
+        return word[at], history[at], np.add.reduceat(mine[order], at), of
+
+    def of_histories(history, count, p) -> Iterator[pa.RecordBatch]:
+        """Heavy pairs are added by the caller."""
+        hs, at = np.unique(history[count > 0], return_inverse=True)
+        count, p = count[count > 0], p[count > 0]
+        cols = {f"k{k}": np.bincount(at, count == k, len(hs)).astype(np.int64) for k in range(1, 7)}
+        cols["big"] = np.bincount(at, np.where(count > TOP, count, 0), len(hs)).astype(np.int64)
+        cols["n"] = np.bincount(at, minlength=len(hs))
+        cols["f1"] = np.bincount(at, p, len(hs))
+        return _sums(1, id=hs.view(np.int64), **cols)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        payloads = [x.as_buffer() for b in batches for x in b["payload"]]
+        word, history, r, of = counted(payloads)
+        # of words
+        lead = np.flatnonzero(_heads(word))
+        at = np.repeat(np.arange(len(lead), dtype=np.int32), np.diff(np.append(lead, len(word))))
         heavy = uni.heavy(word[lead])
-        c = np.where(heavy > 0, heavy, c_word)[at]
+        c = np.where(heavy > 0, heavy, np.add.reduceat(r, lead))
         p = uni.p(c)
-        # histories: heavy pairs are added by the caller
-        count = np.where(known > 0, 0, r)
-        hs, h_at = np.unique(history, return_inverse=True)
-        h_cols = {f"k{k}": np.bincount(h_at, count == k, len(hs)).astype(np.int64) for k in range(1, 7)}
-        h_cols["big"] = np.bincount(h_at, np.where(count > TOP, count, 0), len(hs)).astype(np.int64)
-        h_cols["n"] = np.bincount(h_at, count > 0, len(hs)).astype(np.int64)
-        h_cols["f1"] = np.bincount(h_at, np.where(count > 0, p, 0.0), len(hs))
-        some = h_cols["n"] > 0
-        of_history = _sums(1, id=hs[some].view(np.int64), **{k: v[some] for k, v in h_cols.items()})
-        # documents
-        r = np.where(known > 0, known, r)
-        log_r = np.where(r > TOP, np.log10(np.maximum(r, 1)), 0.0) + np.where(r == 0, np.log10(p), 0.0)
-        log_r -= np.where((c > 0) & (word != END), np.log10(np.maximum(c, 1)), 0.0)
         base = np.log10((c + 1) / (uni.n + uni.types + 1))
-        e = np.repeat(of.astype(np.int32), entries)
-        m = len(train)
-        counts = np.zeros((TOP + 3, m), np.int64)       # tokens by r from 1 to 5, above, known, all
-        sums = np.zeros((2, m))
+        minus = np.where((c > 0) & (word[lead] != END), np.log10(np.maximum(c, 1)), 0.0)
+        # of pairs
+        known = pairs(pair_keys(word, history))
+        del word
+        yield from of_histories(history, np.where(known > 0, 0, r), p[at])
+        r = np.where(known > 0, known, r)
+        del known
+        log_r = np.where(r > TOP, np.log10(np.maximum(r, 1)), 0.0)
+        log_r += np.where(r == 0, np.log10(p)[at], 0.0)
+        log_r -= minus[at]
         kinds = np.minimum(r, TOP + 1).astype(np.int8)
-        misses = []
-        for z in range(0, len(e), ENTRY_RUN):           # bounded temporaries
-            d, t, u = doc[z:z + ENTRY_RUN], times[z:z + ENTRY_RUN], e[z:z + ENTRY_RUN]
-            kind = kinds[u]
-            for k in range(1, TOP + 2):
-                at = kind == k
-                counts[k - 1] += np.bincount(d[at], t[at], m).astype(np.int64)
-            at = (c > 0)[u]
-            counts[TOP + 1] += np.bincount(d[at], t[at], m).astype(np.int64)
-            counts[TOP + 2] += np.bincount(d, t, m).astype(np.int64)
-            sums[0] += np.bincount(d, t * log_r[u], m)
-            sums[1] += np.bincount(d, t * base[u], m)
-            at = np.flatnonzero(kind == 0)
-            misses.append(_sums(2, id=uid[d[at]], big=history[u[at]].view(np.int64), n=t[at].astype(np.int64)))
-        of_doc = _sums(0, id=uid, doc_id=doc_id, n=counts[TOP + 2], big=counts[TOP + 1], k6=counts[TOP],
-                       **{f"k{k}": counts[k - 1] for k in range(1, TOP + 1)}, f1=sums[0], f2=sums[1])
-        return pa.concat_tables([of_doc, of_history, *misses])
+        del r
+        # of documents; unseen pairs follow at the end, so that rows of one kind lie together
+        first, misses = 0, []
+        for b in _runs(payloads):
+            pair = of[first:first + len(b["entries"])]
+            first += len(pair)
+            u, d, t, m = np.repeat(pair, b["entries"]), b["doc"], b["times"], len(b["uid"])
+            kind, w = kinds[u], at[u]
+            tokens_of = lambda some: np.bincount(d[some], t[some], m).astype(np.int64)
+            by_kind = {f"k{k}": tokens_of(kind == k) for k in range(1, TOP + 2)}
+            yield from _sums(0, id=b["uid"], doc_id=b["doc_id"], n=np.bincount(d, t, m).astype(np.int64),
+                             big=tokens_of((c > 0)[w]), **by_kind,
+                             f1=np.bincount(d, t * log_r[u], m), f2=np.bincount(d, t * base[w], m))
+            miss = np.flatnonzero(kind == 0)
+            misses.append((b["uid"][d[miss]], u[miss], t[miss]))
+        for uid, u, t in misses:
+            yield from _sums(2, id=uid, big=history[u].view(np.int64), n=t)
     return run
 
 
@@ -351,7 +391,7 @@ def score(docs: DataFrame, chunk: int = CHUNK_TOKENS, bucket_tokens: int = BUCKE
     start = train.count()
     found = []
     if len(uni.heavy.keys):
-        found = (train.mapInArrow(_heavy_pairs(uni), "w long, h long, c long").groupBy("w", "h").agg(F.sum("c").alias("c"))
+        found = (map_batches(train, _heavy_pairs(uni), "w long, h long, c long").groupBy("w", "h").agg(F.sum("c").alias("c"))
                  .where((F.col("c") * HEAVY_PARTS >= uni.n) & (F.col("c") > TOP + 1)).collect())
     word = np.array([r["w"] for r in found], np.int64).view(np.uint64)
     history = np.array([r["h"] for r in found], np.int64).view(np.uint64)
@@ -359,17 +399,18 @@ def score(docs: DataFrame, chunk: int = CHUNK_TOKENS, bucket_tokens: int = BUCKE
     pairs = Lookup(pair_keys(word, history), counts)
     # training tokens are all but about a seventh
     buckets = max(1, -(-uni.n * 7 // (6 * bucket_tokens)))
-    packed = (src.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.col("train").cast("int").alias("train"), "text")
-              .mapInArrow(_pack(buckets, uni, pairs, chunk), "bucket int, payload binary"))
-    sums = stage(packed.groupBy("bucket").applyInArrow(_solve(uni, pairs), _SUMS), "katz-sums")
+    packed = map_batches(
+        src.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.col("train").cast("int").alias("train"), "text"),
+        _pack(buckets, uni, pairs, chunk), "bucket int, payload binary")
+    sums = stage(map_groups(packed.groupBy("bucket"), _solve(uni, pairs), _SUMS), "katz-sums")
     ks = [f"k{k}" for k in range(1, TOP + 1)]
     seen = sums.where("kind = 1")
     of = seen.agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in [*ks, "k6"]]).first()
     d = discounts([of[k] for k in [*ks, "k6"]])
-    # the heavy pairs' part in their histories: a bounded table
+    # the heavy pairs' part in their histories: a bounded table, sent as Arrow, which starts no Python worker
     extra = spark.createDataFrame(
-        [(int(np.int64(h.view(np.int64))), int(c), float(p)) for h, c, p in zip(history, counts, uni.p(uni.heavy(word)))],
-        "id long, big long, f1 double")
+        pa.table([pa.array(history.view(np.int64)), pa.array(counts), pa.array(uni.p(uni.heavy(word)), pa.float64())],
+                 names=["id", "big", "f1"]), "id long, big long, f1 double")
     parts = seen.select("id", *ks, "big", "f1").unionByName(extra, allowMissingColumns=True)
     mass = sum((F.coalesce(F.sum(k), F.lit(0)) * float(r * (1 - d[r - 1])) for r, k in enumerate(ks, 1)),
                F.sum("big") * (1 - KEEP))

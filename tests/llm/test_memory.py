@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from stockroute.llm import prefixjoin, staging, suffixtrees, toxicity
+from stockroute.llm import katz, prefixjoin, staging, suffixtrees, toxicity
 from stockroute.llm import wordscan as ws
 
 
@@ -113,3 +113,74 @@ def test_scores_stand_beside_their_rows(spark, odd_docs, keep):
     assert rows((*r[:-1], r["pu_score"] > 0.5) for r in got.collect()) == rows(tuple(r) for r in want)
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert ("pu_text" in plan) == ("text" not in keep)
+
+
+@pytest.fixture(scope="module")
+def occurrences():
+    """Documents of 400,000 tokens, most pairs of words once, and what packing needs to know of them."""
+    rng, n = np.random.default_rng(3), 10_000
+    text = pa.array([" ".join(map(str, rng.integers(0, 20_000, n - 1))) for _ in range(40)])
+    batch = pa.record_batch([pa.array(range(40)), pa.array(range(40)), pa.array([int(i % 7 > 0) for i in range(40)]), text],
+                            names=["uid", "doc_id", "train", "text"])
+    none = katz.Lookup(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    return batch, katz.Unigrams(340_000, 20_001, np.full(katz.TOP, 0.5), 1e-6, none), none
+
+
+def _peak(f):
+    tracemalloc.start()
+    try:
+        out = f()
+        return out, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_packing_takes_little_more_than_the_chunk(occurrences):
+    batch, uni, none = occurrences
+    sizes, peak = _peak(lambda: [b.nbytes for b in katz._pack(8, uni, none, 400_000)(iter([batch]))])
+    assert len(sizes) == 8 and peak < 400_000 * 80
+
+
+def test_a_bucket_is_solved_run_by_run(occurrences, monkeypatch):
+    batch, uni, none = occurrences
+    packed = [b for chunk in range(4) for b in katz._pack(1, uni, none, 1)(iter([batch.slice(10 * chunk, 10)]))]
+    solve = katz._solve(uni, none)
+    rows, peak = _peak(lambda: [b.num_rows for b in solve(iter(packed))])
+    assert max(rows) <= katz.OUT_ROWS and peak < 400_000 * 120
+    key = lambda r: (r["kind"], r["id"], r["big"])
+
+    def result():
+        return sorted((r for b in solve(iter(packed)) for r in b.to_pylist()), key=key)
+    whole = result()
+    assert sum(r["n"] for r in whole if r["kind"] == 0) == 400_000
+    for run, out in ((1, 1000), (10 ** 9, 10 ** 9)):
+        monkeypatch.setattr(katz, "ENTRY_RUN", run)
+        monkeypatch.setattr(katz, "OUT_ROWS", out)
+        other = result()
+        assert [[v for k, v in r.items() if k[0] != "f"] for r in other] == [[v for k, v in r.items() if k[0] != "f"] for r in whole]
+        for f in ("f1", "f2"):
+            assert np.allclose([r[f] for r in other], [r[f] for r in whole])
+
+
+def test_groups_leave_no_freed_memory_behind(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(staging, "give_back", lambda: calls.append(1))
+
+    class Plain:
+        """Stands for grouped rows: runs a group here, in this process."""
+        def applyInArrow(self, run, schema):
+            return run
+
+    def fails(batches):
+        yield next(batches)
+        raise ValueError
+
+    one = pa.record_batch([pa.array([1])], names=["id"])
+    assert list(staging.map_groups(Plain(), lambda batches: batches, "id long")(iter([one, one]))) == [one, one] and calls == [1]
+    with pytest.raises(ValueError):
+        list(staging.map_groups(Plain(), fails, "id long")(iter([one])))
+    assert calls == [1, 1]
+    monkeypatch.undo()
+    df = staging.map_groups(spark.range(100).selectExpr("id % 3 g", "id").groupBy("g"),
+                            lambda batches: iter([pa.record_batch([pa.array([sum(b.num_rows for b in batches)])], names=["n"])]), "n long")
+    assert sorted(r["n"] for r in df.collect()) == [33, 33, 34]
